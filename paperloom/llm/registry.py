@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from .simhash import op10_simhash
+from . import mixing, packing, quality, simhash
 
 
 def queries() -> dict:
-    return {"op10_simhash": op10_simhash}
+    return {
+        "op1_packing": packing.op1_packing,
+        "op2_mixing": mixing.op2_mixing,
+        "op4_quality_rules": quality.op4_quality_rules,
+        "op10_simhash": simhash.op10_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mixing": mixing.ORACLE_SQL, "op4_quality_rules": quality.ORACLE_SQL}
