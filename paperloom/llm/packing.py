@@ -28,35 +28,61 @@ from .common import bounded_batches, table
 WINDOW = 4096
 END_OF_TEXT = 2
 GROUP = 8192
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words, and parts of words, whose ids a worker remembers in each of two generations.
+REMEMBERED_WORDS, REMEMBERED_PARTS = 150_000, 350_000
 #: Characters that Python takes for white space and the tokenizer's pattern does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: Fixed value: the tokenizer's pattern of a word's parts.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-class WordTokens(dict):
+class Remembered(dict):
+    """Results of ``find`` for the keys asked most lately, in two generations of ``most`` keys."""
+
+    def __init__(self, find, most: int):
+        self.find, self.most, self.older = find, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.find(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class WordTokens:
     """Ids of a text as little-endian unsigned 32-bit bytes, word by word.
 
-    The tokenizer cuts at white space before anything else and drops it, so a text's ids are those of its
-    words in turn; a word's ids are remembered.
+    The tokenizer cuts at white space before anything else and drops it, so a text's ids are those of its words
+    in turn; a word's ids are those of the parts that the tokenizer's pattern finds in it, lower-cased. Words beyond
+    Latin letters, where lower case and composition depend on context, and words with a special token's mark go to
+    the tokenizer whole.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pattern, self.latin = regex.compile(PARTS), regex.compile("[\x00-\u024f]*")
+        self.parts = Remembered(self._encoded, REMEMBERED_PARTS)
+        self.words = Remembered(self._by_parts, REMEMBERED_WORDS)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self[word] = ids
-        return ids
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _by_parts(self, word: str) -> bytes:
+        if "<|" in word or not self.latin.fullmatch(word):
+            return self._encoded(word)
+        return b"".join(map(self.parts.__getitem__, self.pattern.findall(word.lower())))
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in NOT_SPACE):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+            return self._encoded(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 _loaded: dict[str, WordTokens] = {}

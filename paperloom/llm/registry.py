@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, simhash
+from . import language, mixing, packing, quality, simhash, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_packing": packing.op1_packing,
         "op2_mixing": mixing.op2_mixing,
         "op4_quality_rules": quality.op4_quality_rules,
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op6_language": language.op6_language,
         "op10_simhash": simhash.op10_simhash,
     }
 
