@@ -29,9 +29,11 @@ WINDOW = 4096
 END_OF_TEXT = 2
 GROUP = 8192
 #: Words, and parts of words, whose ids a worker remembers in each of two generations.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 150_000, 350_000
+REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 500_000
 #: Characters that Python takes for white space and the tokenizer's pattern does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: Marks that often end a word.
+MARKS = ".,;:!?"
 #: Fixed value: the tokenizer's pattern of a word's parts.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -75,8 +77,10 @@ class WordTokens:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _by_parts(self, word: str) -> bytes:
-        if "<|" in word or not self.latin.fullmatch(word):
+        if not (word.isascii() or self.latin.fullmatch(word)) or "<|" in word:
             return self._encoded(word)
+        if (core := word.rstrip(MARKS)).isalpha():  # letters, then marks: one part each
+            return self.parts[core.lower()] + (self.parts[word[len(core) :]] if len(core) < len(word) else b"")
         return b"".join(map(self.parts.__getitem__, self.pattern.findall(word.lower())))
 
     def encode(self, text: str) -> bytes:
