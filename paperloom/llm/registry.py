@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, mixing, packing, quality, simhash, toxicity
+from . import language, licences, mixing, packing, quality, simhash, sketch, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,8 @@ def queries() -> dict:
         "op4_quality_rules": quality.op4_quality_rules,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_language": language.op6_language,
+        "op3_licences": licences.op3_licences,
+        "op8_fingerprints": sketch.op8_fingerprints,
         "op10_simhash": simhash.op10_simhash,
     }
 
