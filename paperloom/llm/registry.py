@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, licences, mixing, packing, quality, simhash, sketch, toxicity
+from . import chat, language, licences, mixing, packing, quality, simhash, sketch, toxicity
 
 
 def queries() -> dict:
@@ -14,9 +14,10 @@ def queries() -> dict:
         "op6_language": language.op6_language,
         "op3_licences": licences.op3_licences,
         "op8_fingerprints": sketch.op8_fingerprints,
+        "op9_chat": chat.op9_chat,
         "op10_simhash": simhash.op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE_SQL, "op4_quality_rules": quality.ORACLE_SQL}
+    return {"op2_mixing": mixing.ORACLE_SQL, "op4_quality_rules": quality.ORACLE_SQL, "op9_chat": chat.ORACLE_SQL}
