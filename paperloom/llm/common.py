@@ -25,12 +25,19 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints: the one that the cluster names, or a new one where it names none (in tests)."""
+    context = spark.sparkContext
+    if (set_already := context.getCheckpointDir()) is not None:
+        return set_already
+    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paperloom-checkpoint-")
+    context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared checkpoint folder (the session's, or a new one where it names none)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="paperloom-checkpoint-"))
+    """Cut lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -29,7 +29,7 @@ from .common import bounded_batches, table
 
 PATH_DIM, WORD_DIM, SHAPE_DIM = 96, 32, 8
 HIDDEN = 24
-PAGES, EPOCHS, BATCH, RATE = 700, 8, 32, 0.01
+PAGES, EPOCHS, BATCH, RATE = 1200, 10, 32, 0.01
 #: Share of the tag paths left out in training.
 UNREAD = 0.03
 #: Blocks (padding included) labelled at a time.
@@ -166,9 +166,9 @@ def vectors(page: list[Block]) -> np.ndarray:
     for k, b in enumerate(page):
         out[k, :PATH_DIM] = _path_vector(b.path)
         found = b.text.lower().split()
-        row, n = out[k], len(found)
-        counts = np.bincount([_codes[w] for w in found], minlength=2 * WORD_DIM)
-        row[PATH_DIM : PATH_DIM + WORD_DIM] = (counts[:WORD_DIM] - counts[WORD_DIM:]) / n**0.5
+        row, n, distinct = out[k], len(found), set(found)
+        counts = np.bincount([_codes[w] for w in distinct], minlength=2 * WORD_DIM)
+        row[PATH_DIM : PATH_DIM + WORD_DIM] = (counts[:WORD_DIM] - counts[WORD_DIM:]) / len(distinct) ** 0.5
         letters = len(b.text)
         row[PATH_DIM + WORD_DIM :] = (np.log1p(n) / 3, np.log1p(letters) / 5, b.linked, b.text[-1] in ".!?…\"'", len(_digit.findall(b.text)) / letters, b.text[0].isupper(), k / len(page), 1.0)
     return out
@@ -285,18 +285,19 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
 
     def prose(n: int, of: int = 0) -> str:
         found = ["".join(rng.choices(syllables[of], k=rng.randint(1, 3))) for _ in range(n)]
-        return " ".join(found).capitalize() + ("." if rng.random() < 0.85 else "")
+        between = " " if rng.random() < 0.9 else rng.choice([" | ", " * ", "### ", ", ", "... ", " - "])
+        return between.join(found).capitalize() + ("." if rng.random() < 0.85 else "")
 
     def other(kind: str) -> str:
         rows = []
         for _ in range(rng.randint(1, 6 if kind in ("menu", "side", "comment") else 2)):
             says = " ".join(rng.choices(SAID[kind], k=rng.randint(1, 5)))
             if kind in ("ad", "foot", "comment", "side", "notice") and rng.random() < 0.6:
-                says = (says + " " if rng.random() < 0.4 else "") + prose(rng.randint(3, 30 if kind in ("comment", "ad") else 14), 1)
+                says = (says + " " if rng.random() < 0.4 else "") + prose(rng.randint(3, 40), 1)
             if kind == "menu" and rng.random() < 0.5:
                 says = prose(rng.randint(1, 2)).strip(".")
             shape = ("<a href='/x'>{}</a>" if rng.random() < (0.85 if kind in ("menu", "side") else 0.15) else "{}").format(says)
-            tags = {"menu": ["<li>{}</li>"], "side": ["<li>{}</li>", "<h3>{}</h3>", "<p>{}</p>", "<div>{}</div>"], "form": ["<label>{}</label><br><button>ok</button>", "<p>{}</p>", "<option>{}</option>"], "comment": ["<li>{}</li>", "<p>{}</p>", "<div class='comment'>{}</div>"]}.get(kind, ["<p>{}</p>", "<div>{}</div>", "<span>{}</span><hr>", "{}<hr>"])
+            tags = {"menu": ["<li>{}</li>"], "side": ["<li>{}</li>", "<h3>{}</h3>", "<p>{}</p>", "<div>{}</div>"], "form": ["<label>{}</label><br><button>ok</button>", "<p>{}</p>", "<option>{}</option>"], "comment": ["<li>{}</li>", "<p>{}</p>", "<div class='comment'>{}</div>"]}.get(kind, ["<p>{}</p>", "<div>{}</div>", "<span>{}</span><hr>", "{}<hr>", "{}<hr>"])
             row = rng.choice(tags).format(shape)
             rows.append(row)
             labels.extend([0] * len(blocks(row)))

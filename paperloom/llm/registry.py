@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, language, licences, mixing, packing, quality, simhash, sketch, toxicity
+from . import chat, html_text, language, licences, mixing, packing, quality, simhash, sketch, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_language": language.op6_language,
         "op3_licences": licences.op3_licences,
+        "op7_html_text": html_text.op7_html_text,
         "op8_fingerprints": sketch.op8_fingerprints,
         "op9_chat": chat.op9_chat,
         "op10_simhash": simhash.op10_simhash,
