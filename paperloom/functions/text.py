@@ -133,9 +133,9 @@ def grant_cutoff_year(max_year: Column, lag_years: Column) -> Column:
 
 
 def role_of(papers: Column, patents: Column) -> Column:
-    """What an organisation mostly does, by its papers' share of its documents."""
-    share = papers.cast("double") / F.nullif(papers + patents, F.lit(0))
-    return F.when(share >= 0.7, "research").when(share <= 0.3, "patenting").when(share.isNotNull(), "both").otherwise("none")
+    """What an organisation mostly does, by its patents' share of its documents."""
+    share = F.coalesce(patents.cast("double") / F.nullif(papers + patents, F.lit(0)), F.lit(0.0))
+    return F.when(share >= 0.7, "Primarily an IP holder").when(share <= 0.3, "Primarily a research institution").otherwise("Both researcher and IP holder")
 
 
 def shortened(title: Column, most: int = 75) -> Column:
