@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_fold(names: pd.Series) -> pd.Series:
     """Letters without their accents; what has no ASCII form goes."""
     return names.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
@@ -50,7 +51,7 @@ def token_set_score(a: str | None, b: str | None) -> float:
     return max(scores)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_score(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
@@ -72,7 +73,7 @@ def guess_language(text: str | None) -> str | None:
     return best if counts[best] else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def detect_language(texts: pd.Series) -> pd.Series:
     return texts.map(guess_language)
 
@@ -92,7 +93,7 @@ def hashed_embedding(text: str, size: int, grams: int = 3) -> np.ndarray:
 def embedding(text: Column, size: int = 384) -> Column:
     """Unit vector (array<float>) of a text by the default encoder; null texts are empty."""
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: hashed_embedding(t or "", size))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cluster_name
 from ..functions.udfs import embedding
+from ..session import materialise
 from .relational import first_per_key, signature
 
 VECTOR, MOST_TOKENS = 384, 256
@@ -66,13 +67,13 @@ def dense_clusters(points: DataFrame, id_col: str, radius: float, least: int = L
     steps = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
     spread = cells.select("n", F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.inline(steps)).select("n", "fx", "fy", (F.col("fx") + F.col("dx")).alias("cx"), (F.col("fy") + F.col("dy")).alias("cy"))
     density = spread.join(cells.select("cx", "cy"), ["cx", "cy"], "left_semi").groupBy("cx", "cy").agg(F.sum("n").alias("d"))
-    core = density.where(F.col("d") >= least).select("cx", "cy", F.struct("cx", "cy").alias("root")).checkpoint()
+    core = materialise(density.where(F.col("d") >= least).select("cx", "cy", F.struct("cx", "cy").alias("root")))
     while True:
         near = core.select("root", "cx", "cy", F.inline(steps)).select("root", (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
         least_root = near.groupBy("cx", "cy").agg(F.min("root").alias("least"))
         step = core.join(least_root, ["cx", "cy"]).select("cx", "cy", "root", "least")
         jump = step.select(F.col("cx").alias("rx"), F.col("cy").alias("ry"), F.col("least").alias("further"))
-        moved = step.join(jump, (F.col("least.cx") == F.col("rx")) & (F.col("least.cy") == F.col("ry"))).select("cx", "cy", F.least("least", "further").alias("root"), F.col("root").alias("was")).checkpoint()
+        moved = materialise(step.join(jump, (F.col("least.cx") == F.col("rx")) & (F.col("least.cy") == F.col("ry"))).select("cx", "cy", F.least("least", "further").alias("root"), F.col("root").alias("was")))
         core = moved.select("cx", "cy", "root")
         if moved.where("root <> was").isEmpty():
             break

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "paperloom", **conf: str) -> SparkSession:
@@ -14,3 +16,18 @@ def build_session(app: str = "paperloom", **conf: str) -> SparkSession:
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     return SparkSession.builder.appName(app).config(map=settings).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints: the one that the cluster names, or a new one where it names none (in tests)."""
+    context = spark.sparkContext
+    if (set_already := context.getCheckpointDir()) is not None:
+        return set_already
+    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paperloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
