@@ -4,7 +4,7 @@ An overlong document is first cut into full windows; its rest and the shorter do
 longest first, each into the open window that it leaves tightest. The segment tree is indexed by remaining
 capacity and holds the number of open windows at each, so the tightest fit is one descent.
 
-Documents are tokenised where they are read. Pieces go to groups of about ``GROUP`` documents, dealt by a hash of
+Documents are tokenised where they are read. Pieces go to groups of some thousand documents, dealt by a hash of
 the document, and each group is packed by itself, so a task's memory does not grow with the corpus; a group leaves
 a handful of unfilled windows at most.
 
@@ -27,7 +27,8 @@ from .common import bounded_batches, table
 
 WINDOW = 4096
 END_OF_TEXT = 2
-GROUP = 8192
+#: Documents to a group where checksums are carried, and where ids are (a group is held in memory).
+GROUP, GROUP_WITH_IDS = 8192, 2048
 #: Words, and parts of words, whose ids a worker remembers in each of two generations.
 REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 500_000
 #: Characters that Python takes for white space and the tokenizer's pattern does not.
@@ -188,10 +189,10 @@ def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
     return dealt.groupBy("__group").applyInPandas(placed, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int = GROUP) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int | None = None) -> DataFrame:
     """Every document's pieces with their place: (doc_id, start, length, doc_tokens, payload, sequence_id, offset)."""
     bounded_batches(docs.sparkSession)
-    groups = max(1, -(-docs.count() // group))
+    groups = max(1, -(-docs.count() // (group or (GROUP_WITH_IDS if payload == "ids" else GROUP))))
     return pack(tokenised(docs, tokenizer, id_col, text_col, window, end, payload), groups, window)
 
 
