@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import abstract_of
 
-WORK_SCHEMA = T.StructType.fromDDL(
+WORK_SCHEMA = (
     "id string, doi string, title string, type string, publication_date string, publication_year int, language string,"
     " abstract_inverted_index map<string, array<int>>, primary_topic struct<id: string, display_name: string>,"
     " authorships array<struct<institutions: array<struct<id: string, ror: string, display_name: string>>>>"
