@@ -40,7 +40,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token ids in windows: (doc_id, start, length, doc_tokens, ids, sequence_id, offset)."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # workers live on through all stages, so they remember less here than where packing runs by itself
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=(60_000, 120_000))
 
 
 STAGES = [

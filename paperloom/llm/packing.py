@@ -29,8 +29,8 @@ WINDOW = 4096
 END_OF_TEXT = 2
 #: Documents to a group where checksums are carried, and where ids are (a group is held in memory).
 GROUP, GROUP_WITH_IDS = 8192, 2048
-#: Words, and parts of words, whose ids a worker remembers in each of two generations.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 500_000
+#: Words, and parts of words, whose ids a worker remembers in each of two generations (some 200 bytes each).
+REMEMBERED = (300_000, 500_000)
 #: Characters that Python takes for white space and the tokenizer's pattern does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Marks that often end a word.
@@ -65,14 +65,14 @@ class WordTokens:
     the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: tuple[int, int] = REMEMBERED):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern, self.latin = regex.compile(PARTS), regex.compile("[\x00-\u024f]*")
-        self.parts = Remembered(self._encoded, REMEMBERED_PARTS)
-        self.words = Remembered(self._by_parts, REMEMBERED_WORDS)
+        self.parts = Remembered(self._encoded, remembered[1])
+        self.words = Remembered(self._by_parts, remembered[0])
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -90,16 +90,18 @@ class WordTokens:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-_loaded: dict[str, WordTokens] = {}
+_loaded: dict[tuple, WordTokens] = {}
 
 
-def tokens_of(path: str) -> WordTokens:
-    if path not in _loaded:
-        _loaded[path] = WordTokens(path)
-    return _loaded[path]
+def tokens_of(path: str, remembered: tuple[int, int] = REMEMBERED) -> WordTokens:
+    """The worker's own; it stays from task to task."""
+    if (path, remembered) not in _loaded:
+        _loaded.clear()
+        _loaded[path, remembered] = WordTokens(path, remembered)
+    return _loaded[path, remembered]
 
 
-def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids") -> DataFrame:
+def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, payload): a document's ids, then ``end``, cut into windows.
 
     ``payload`` says what of a piece's ids is carried: ``ids`` (array of int) or ``ids_crc32`` (their checksum).
@@ -109,7 +111,7 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     last = int(end).to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = tokens_of(tokenizer)
+        words = tokens_of(tokenizer, remembered)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.iloc[:, 0].astype(object).where(batch.iloc[:, 0].notna(), None), batch.iloc[:, 1], strict=True):
@@ -189,11 +191,11 @@ def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
     return dealt.groupBy("__group").applyInPandas(placed, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int | None = None, remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
     """Every document's pieces with their place: (doc_id, start, length, doc_tokens, payload, sequence_id, offset)."""
     bounded_batches(docs.sparkSession)
     groups = max(1, -(-docs.count() // (group or (GROUP_WITH_IDS if payload == "ids" else GROUP))))
-    return pack(tokenised(docs, tokenizer, id_col, text_col, window, end, payload), groups, window)
+    return pack(tokenised(docs, tokenizer, id_col, text_col, window, end, payload, remembered), groups, window)
 
 
 def op1_packing(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
