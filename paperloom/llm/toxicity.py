@@ -5,7 +5,7 @@ class prior p, the risk of a scorer z under the logistic loss is p E_pos[loss(z)
 E_unl[loss(-z)] - p E_pos[loss(-z)]; when that part falls below zero the step goes the other way, so the scorer
 can't overfit it. The scorer is linear over the words and word beginnings that a document holds (beginnings, as
 an inflected or compounded insult shares its stem alone; also whether two, three or five of its words share one), trained in numpy on the driver. Near copies in a training
-sample, told by equal least hashes of their long words, count once, else the words of a much copied toxic document look toxic.
+sample, told by equal triples of least hashes of their long words, count once, else the words of a much copied toxic document look toxic.
 
 Bounds, all parameters: at most ``POSITIVES`` toxic and ``UNLABELLED`` documents of any kind are read for training (those
 of least hash of the doc_id), and ``FEATURES`` features stay, those whose shares in the two samples differ most for
@@ -18,10 +18,11 @@ rows. Only the id, text and label columns are read, so extra columns of any name
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, table
 
-POSITIVES = 2000
-UNLABELLED = 5000
+POSITIVES = 1500
+UNLABELLED = 4000
 FEATURES = 400
 #: Standard errors by which a feature's shares must differ, and toxic documents that must hold it.
 DIFFERENCE, LEAST = 5.0, 4
@@ -39,6 +40,8 @@ DIFFERENCE, LEAST = 5.0, 4
 STEMS = (4, 5, 6, 7)
 #: Words sharing a beginning that make a feature of their own.
 COUNTS = (2, 3, 5)
+#: Words whose features a worker remembers.
+KNOWN = 100_000
 #: Words of so many letters tell copies.
 LONG = 9
 FOLDS, HELD_OUT = 5, 0
@@ -61,17 +64,15 @@ def with_counts(found: Iterable[Iterable[str]]) -> set[str]:
     return set(counts) | {f"{f}#{k}" for f, n in counts.items() if n > 1 for k in COUNTS if n >= k}
 
 
-def first_copies(rows: Iterable[set[str]]) -> list[set[str]]:
-    """The rows without those that share a least hash of their long words with an earlier one."""
-    seen: set[tuple[int, int]] = set()
-    out = []
+def first_copies(rows: Iterable[set[str]]) -> Iterator[set[str]]:
+    """The rows without those that share the three least hashes of their long words with an earlier one, by either of two hashes."""
+    seen: set[tuple[int, ...]] = set()
     for x in rows:
         long = [w.encode() for w in x if len(w) >= LONG] or [" ".join(sorted(x)).encode()]
-        keys = [(seed, min(zlib.crc32(w, seed) for w in long)) for seed in (0, 1)]
+        keys = [(seed, *heapq.nsmallest(3, (zlib.crc32(w, seed) for w in long))) for seed in (0, 1)]
         if seen.isdisjoint(keys):
-            out.append(x)
+            yield x
         seen.update(keys)
-    return out
 
 
 def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -88,7 +89,7 @@ class Model:
     def held(self, words: set[str]) -> set[str]:
         """The model's features that the words have."""
         found = []
-        if len(self.known) > 500_000:
+        if len(self.known) > KNOWN:
             self.known.clear()
         for word in words:
             own = self.known.get(word)
@@ -106,26 +107,20 @@ class Model:
 NEVER = Model({}, -30.0)
 
 
-class Remembered(dict):
-    def __init__(self, find):
-        self.find = find
-
-    def __missing__(self, key):
-        self[key] = found = self.find(key)
-        return found
-
-
 def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prior: float, features: int = FEATURES, steps: int = 400, rate: float = 0.1, decay: float = 2e-4) -> Model:
-    """Fit the linear scorer by the non-negative risk, with Adam over all rows at a time."""
-    pos, unl = first_copies(map(vocabulary, positive)), first_copies(map(vocabulary, unlabelled))
+    """Fit the linear scorer by the non-negative risk, with Adam over all rows at a time.
+
+    A prior above the true share would push every score up, so it is lowered to what the samples themselves allow.
+    """
+    held = lambda words: with_counts(features_of(w) for w in words)
+    pos = list(first_copies(map(vocabulary, positive)))
+    in_pos = Counter(f for x in pos for f in held(x))
+    candidates = {f for f, k in in_pos.items() if k >= LEAST}
+    # only candidates' features are kept of any document, so memory is that of the texts
+    pos = [held(x) & candidates for x in pos]
+    unl = [held(x) & candidates for x in first_copies(map(vocabulary, unlabelled))]
     if not pos or not unl:
         return NEVER
-    of = Remembered(lambda word: tuple(features_of(word)))
-    held = lambda rows: [with_counts(of[w] for w in x) for x in rows]
-    pos = held(pos)
-    in_pos = Counter(f for x in pos for f in x)
-    candidates = {f for f, k in in_pos.items() if k >= LEAST}
-    unl = [x & candidates for x in held(unl)]
     in_unl = Counter(f for x in unl for f in x)
     n, m = len(pos), len(unl)
     ranked = []
@@ -144,6 +139,9 @@ def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prio
         return out
 
     a, b = matrix(pos), matrix(unl)
+    # no more of the unlabelled text can be toxic than holds a feature as often as the toxic text does
+    in_a, in_b = (x[:, :-1].any(1).mean() if chosen else 0.0 for x in (a, b))
+    prior = min(prior, max(in_b / in_a, 1e-3)) if in_a else prior
     w = np.zeros(a.shape[1])
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
