@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import bounded_batches, table
@@ -381,14 +381,14 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     weights = (model.forward.w, model.backward.w, model.out)
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Labeller(*weights)
         for batch in batches:
-            texts = main_texts(batch["html"].tolist(), own)
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            texts = main_texts(batch.column(2).to_pylist(), own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     chosen = pages.selectExpr(f"`{id_col}` AS page_id", f"`{url_col}` AS url", f"`{html_col}` AS html")
-    return chosen.mapInPandas(read, f"page_id {kinds[id_col]}, url string, text string, n_chars bigint")
+    return chosen.mapInArrow(read, f"page_id {kinds[id_col]}, url string, text string, n_chars bigint")
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,19 +111,24 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, start bigint, length bigint, doc_tokens bigint, {kind}"
     last = int(end).to_bytes(4, "little")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokens_of(tokenizer, remembered)
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch.iloc[:, 0].astype(object).where(batch.iloc[:, 0].notna(), None), batch.iloc[:, 1], strict=True):
+            row, starts, lengths, totals, parts = [], [], [], [], []
+            for at, text in enumerate(batch.column(1).to_pylist()):
                 ids = words.encode(text or "") + last
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]
-                    out.append((doc_id, start, len(part) // 4, n, zlib.crc32(part) if payload == "ids_crc32" else np.frombuffer(part, dtype="<u4").astype(np.int32)))
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "doc_tokens", payload])
+                    row.append(at)
+                    starts.append(start)
+                    lengths.append(len(part) // 4)
+                    totals.append(n)
+                    parts.append(zlib.crc32(part) if payload == "ids_crc32" else np.frombuffer(part, dtype="<i4"))
+            carried = pa.array(parts, pa.int64() if payload == "ids_crc32" else pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()), carried], names=["doc_id", "start", "length", "doc_tokens", payload])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(cut, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, schema)
 
 
 class OpenWindows:
@@ -181,14 +187,16 @@ def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
     payload = [f for f in pieces.schema if f.name not in ("sequence_id", "offset")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in payload) + ", sequence_id bigint, offset bigint"
 
-    def placed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        rest = [c for c in group.columns if c not in ("length", "__group") and group[c].dtype != object]
-        group = group.sort_values(["length", *rest], ascending=[False] + [True] * len(rest), kind="stable")
-        places = np.array(best_fit_decreasing(group["length"].tolist(), window), dtype=np.int64).reshape(-1, 2)
-        return group.drop(columns="__group").assign(sequence_id=key[0] * (1 << 32) + places[:, 0], offset=places[:, 1])
+    def placed(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.drop_columns("__group")
+        ties = [(f.name, "ascending") for f in group.schema if f.name != "length" and not pa.types.is_nested(f.type)]
+        group = group.take(pc.sort_indices(group, [("length", "descending"), *ties]))
+        places = np.array(best_fit_decreasing(group["length"].to_pylist(), window), dtype=np.int64).reshape(-1, 2)
+        group = group.append_column("sequence_id", pa.array(key[0].as_py() * (1 << 32) + places[:, 0]))
+        return group.append_column("offset", pa.array(places[:, 1]))
 
     dealt = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(groups)))
-    return dealt.groupBy("__group").applyInPandas(placed, schema)
+    return dealt.groupBy("__group").applyInArrow(placed, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int | None = None, remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
