@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, table
 
-POSITIVES = 1500
-UNLABELLED = 4000
+POSITIVES = 1000
+UNLABELLED = 3000
 FEATURES = 400
 #: Standard errors by which a feature's shares must differ, and toxic documents that must hold it.
 DIFFERENCE, LEAST = 5.0, 4
