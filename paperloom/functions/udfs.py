@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 import zlib
 
@@ -78,16 +79,22 @@ def detect_language(texts: pd.Series) -> pd.Series:
     return texts.map(guess_language)
 
 
+@functools.lru_cache(100_000)
+def _pieces(word: str, size: int, grams: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of a word and its character grams."""
+    padded = f" {word} "
+    hashes = np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in (word, *(padded[i : i + grams] for i in range(len(padded) - grams + 1)))], dtype=np.int64)
+    return hashes % size, np.where(hashes & 1 << 20, 1.0, -1.0)
+
+
 def hashed_embedding(text: str, size: int, grams: int = 3) -> np.ndarray:
     """Unit vector of hashed words and character grams."""
-    v = np.zeros(size, dtype=np.float32)
-    for word in text.lower().split():
-        padded = f" {word} "
-        for piece in [word, *(padded[i : i + grams] for i in range(len(padded) - grams + 1))]:
-            h = zlib.crc32(piece.encode())
-            v[h % size] += 1.0 if h & 1 << 20 else -1.0
+    found = [_pieces(w, size, grams) for w in text.lower().split()]
+    if not found:
+        return np.zeros(size, dtype=np.float32)
+    v = np.bincount(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]), size)
     norm = np.linalg.norm(v)
-    return v / norm if norm else v
+    return (v / norm if norm else v).astype(np.float32)
 
 
 def embedding(text: Column, size: int = 384) -> Column:
