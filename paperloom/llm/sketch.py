@@ -5,8 +5,8 @@ the sketches of two texts, however unequal, keep or drop a shared shingle alike:
 containment and resemblance are estimated by counting.
 
 The edited text of a document takes its end from the next document in order of doc_id. Ids are cut into blocks of a
-power of two chosen so that a block holds about ``BLOCK`` documents; each document is dealt to its block once, with its
-sketch, and the first document of a block once more to the block before, so the next document is always the next row
+power of two chosen so that a block holds about ``BLOCK`` documents; each document is dealt to its block once and
+the first document of a block once more to the block before, so the next document is always the next row
 of the block. No task sees more than a block.
 
 Defined results: a null text counts as empty; fewer words than a shingle make one shingle of the whole sequence; no words
@@ -83,10 +83,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     if starts.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
     known = rows.withColumn("o", order).withColumn("cell", cell)
-    dealt = known.join(starts, F.col("o") == F.col("start"), "left").withColumn("sketch", sketch(F.col("text")))
+    dealt = known.join(starts, F.col("o") == F.col("start"), "left")
     own = F.struct(F.col("cell").alias("block"), F.lit(0).alias("borrowed"))
     again = F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("block"), F.lit(1).alias("borrowed")))
-    dealt = dealt.select("doc_id", "text", "sketch", "o", F.inline(F.array_compact(F.array(own, again))))
+    # texts alone are shuffled; sketches are made where the blocks are
+    dealt = dealt.select("doc_id", "text", "o", F.inline(F.array_compact(F.array(own, again)))).repartition("block").withColumn("sketch", sketch(F.col("text")))
     follows = Window.partitionBy("block").orderBy("borrowed", "o", "text")
     paired = dealt.withColumn("next", F.lead(F.struct("text", "sketch")).over(follows)).where("borrowed = 0")
     return paired.select("doc_id", "text", "sketch", F.col("next.text").alias("next_text"), F.col("next.sketch").alias("next_sketch"))
