@@ -27,8 +27,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies stays: fingerprints within six bits, confirmed on five-word shingles at 0.8."""
+    return simhash.keep_one(docs, max_bits=simhash.WIDE_BITS, confirm=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

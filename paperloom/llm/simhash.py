@@ -5,12 +5,15 @@ link when they differ in at most ``max_bits`` bits (2).
 
 The 64 references with one bit set and the empty one give each fingerprint a row of distances; the
 distances to the one-bit references of a band are equal for two fingerprints exactly if the band's bits
-are. With five bands, two fingerprints that differ in two bits agree on every coordinate of three bands at
-least, so each fingerprint is dealt to ten cells, one for each choice of three bands, and every link falls
-in some cell. Inside a cell, pairs whose distances to the dense references ``PIVOTS`` differ by more than
+are. With ``max_bits`` + 3 bands, two linked fingerprints agree on every coordinate of three bands at least, so
+each fingerprint is dealt to a cell for each choice of three bands (ten at two bits), and every link falls in some cell. Inside a cell, pairs whose distances to the dense references ``PIVOTS`` differ by more than
 ``max_bits`` in any coordinate are discarded, and the survivors are verified bit by bit. A cell returns a
 spanning forest of its links, never all of its pairs.
 
+``keep_one`` can take a wider radius and confirm links on five-word shingles. It then asks each cell for a *minimum* spanning
+forest, as the nearest pairs are the likeliest to be confirmed. Two groups whose nearest pairs all fail, though a farther pair would
+pass, stay apart.
+
 Defined results: a null or empty text has fingerprint zero and links like any other; fewer words than the
 shingle length make one shingle of the whole sequence; repeated rows share a fingerprint and a component;
 a component's id is the smallest non-null doc_id in it (null if it has none); an empty table gives an
@@ -31,15 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, bounded_batches, materialise
+from .sketch import resemblance, sketch
 
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
-BANDS = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
+#: Bands that any linked pair agrees on.
+INTACT = 3
+#: For ``keep_one``: links reach this far, and are confirmed on shingles of so many words at such a Jaccard similarity.
+WIDE_BITS, CONFIRM_SHINGLE, CONFIRM = 6, 5, 0.8
 #: Dense reference fingerprints: a fixed pseudo-random sequence.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, 24, dtype=np.uint64)
-#: Rows of a cell compared with the rest at a time.
-ROWS_AT_ONCE = 512
+#: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; linked pairs held back.
+ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
 
 _word = re.compile(WORD)
 _lower = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
@@ -93,34 +100,46 @@ def _survivors(prints: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarr
     return a[keep], b[keep]
 
 
-def linked(prints: np.ndarray, cells: np.ndarray, max_bits: int = MAX_BITS, pivots: np.ndarray = PIVOTS) -> np.ndarray:
-    """For each position the first position that it reaches through links inside its cell.
-
-    ``cells`` has one number a row, equal numbers adjacent; ``prints`` are unsigned and sorted inside a cell.
-    """
+def spanning(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which edges (a, b) of weight d make a minimum spanning forest of n nodes; ties go by a, then b."""
+    order = np.lexsort((b, a, d))
+    a, b = a[order], b[order]
+    roots, alive, chosen = np.arange(n), np.arange(len(a)), []
+    while True:
+        x, y = roots[a[alive]], roots[b[alive]]
+        alive, x, y = alive[x != y], x[x != y], y[x != y]
+        if not len(alive):
+            return order[np.concatenate(chosen)] if chosen else np.zeros(0, dtype=np.int64)
+        best = np.full(n, len(a))
+        np.minimum.at(best, x, alive)
+        np.minimum.at(best, y, alive)
+        picked = np.unique(best[best < len(a)])
+        chosen.append(picked)
+        _join(roots, a[picked], b[picked])
+
+
+def _pairs(prints: np.ndarray, cells: np.ndarray, max_bits: int, pivots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of linked pairs inside cells, in portions: small cells by their gaps, each large one by blocks of rows."""
     n = len(prints)
-    roots = np.arange(n)
     starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if n else np.array([], dtype=int)
     lengths = np.diff(np.r_[starts, n])
     starts, lengths = starts[lengths > 1], lengths[lengths > 1]
-    if not len(starts):
-        return roots
-    small = lengths <= 32
+    small = lengths <= SMALL_CELL
     if small.any():
         of = np.concatenate([np.arange(s, s + k) for s, k in zip(starts[small], lengths[small], strict=True)])
         table = _table(prints[of], pivots)
         run = np.repeat(np.arange(small.sum()), lengths[small])
         for gap in range(1, int(lengths[small].max())):
             a = np.flatnonzero(run[gap:] == run[:-gap])
-            if not len(a):
-                break
             a, b = _survivors(prints[of], table, a, a + gap, max_bits)
-            _join(roots, of[a], of[b])
+            if len(a):
+                yield of[a], of[b]
     for start, length in zip(starts[~small], lengths[~small], strict=True):
         part = prints[start : start + length]
         table = _table(part, pivots)
         order = np.argsort(table[:, 0], kind="stable")
-        first, own = table[order, 0], roots[start : start + length] - start
+        first = table[order, 0].astype(np.int16)
+        second = table[order, 1].astype(np.int16)
         for at in range(0, length, ROWS_AT_ONCE):
             rows = np.arange(at, min(at + ROWS_AT_ONCE, length))
             end = np.searchsorted(first, first[rows[-1]] + max_bits, side="right")
@@ -128,56 +147,115 @@ def linked(prints: np.ndarray, cells: np.ndarray, max_bits: int = MAX_BITS, pivo
                 columns = np.arange(other, min(other + 8 * ROWS_AT_ONCE, end))
                 near = np.abs(first[rows][:, None] - first[columns][None, :]) <= max_bits
                 near &= rows[:, None] < columns[None, :]
-                near &= np.abs(table[order[rows], 1][:, None] - table[order[columns], 1][None, :]) <= max_bits
+                near &= np.abs(second[rows][:, None] - second[columns][None, :]) <= max_bits
                 x, y = np.nonzero(near)
                 x, y = _survivors(part, table[:, 2:], order[rows[x]], order[columns[y]], max_bits)
-                _join(own, x, y)
-        roots[start : start + length] = own + start
+                if len(x):
+                    yield x + start, y + start
+
+
+def linked(prints: np.ndarray, cells: np.ndarray, max_bits: int = MAX_BITS, pivots: np.ndarray = PIVOTS) -> np.ndarray:
+    """For each position the first position that it reaches through links inside its cell.
+
+    ``cells`` has one number a row, equal numbers adjacent; ``prints`` are unsigned and sorted inside a cell.
+    """
+    roots = np.arange(len(prints))
+    for a, b in _pairs(prints, cells, max_bits, pivots):
+        _join(roots, a, b)
     return roots
 
 
+def shortest(prints: np.ndarray, cells: np.ndarray, max_bits: int, pivots: np.ndarray = PIVOTS) -> tuple[np.ndarray, np.ndarray]:
+    """Links inside cells that make minimum spanning forests, weighed by bits that differ; no more than one a row is held back."""
+    a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def cut() -> None:
+        nonlocal a, b
+        a, b = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((a, b)))
+        held.clear()
+        kept = spanning(len(prints), a, b, np.bitwise_count(prints[a] ^ prints[b]))
+        a, b = a[kept], b[kept]
+
+    for pair in _pairs(prints, cells, max_bits, pivots):
+        held.append(pair)
+        if sum(len(x) for x, _ in held) > 4 * len(prints) + HELD_PAIRS:
+            cut()
+    cut()
+    return a, b
+
+
 def _table(prints: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints[:, None] ^ pivots[None, :]).astype(np.int8)
 
 
-def _masks() -> list[int]:
+def _masks(max_bits: int) -> list[int]:
+    """One mask for each choice of INTACT of max_bits + INTACT bands."""
+    count = max_bits + INTACT
+    edges = [round(64 * k / count) for k in range(count + 1)]
     out = []
-    for chosen in combinations(BANDS, 3):
-        mask = sum(((1 << hi) - (1 << lo)) for lo, hi in chosen)
+    for chosen in combinations(range(count), INTACT):
+        mask = sum((1 << edges[k + 1]) - (1 << edges[k]) for k in chosen)
         out.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
     return out
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): a forest that joins whatever distinct fingerprints (column ``fp``) link, directly or not."""
-    if not 0 <= max_bits <= 2:
-        raise ValueError("five bands find links of two bits at most")
-    cells = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])).alias("choice", "cell"))
+def _in_cells(prints: DataFrame, max_bits: int, found) -> DataFrame:
+    """(a, b) that ``found(fingerprints, cells)`` gives of each cell, as positions of a and b."""
+    if not 0 <= max_bits <= 8:
+        raise ValueError("links of 0 to 8 bits are found")
+    cells = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(max_bits)])).alias("choice", "cell"))
 
     def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest: list[pd.DataFrame] = []  # rows of a cell that is not over yet
         for batch in batches:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            choice, cell = rest["choice"].to_numpy(), rest["cell"].to_numpy()
+            choice, cell = batch["choice"].to_numpy(), batch["cell"].to_numpy()
+            rest.append(batch)
+            if rest[0]["choice"].iloc[0] == choice[-1] and rest[0]["cell"].iloc[0] == cell[-1]:
+                continue
             last = np.flatnonzero((choice != choice[-1]) | (cell != cell[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield forest(rest.iloc[:cut])
-                rest = rest.iloc[cut:]
-        if rest is not None:
-            yield forest(rest)
-
-    def forest(part: pd.DataFrame) -> pd.DataFrame:
-        signed = part["fp"].to_numpy()
-        new = np.r_[True, (part["choice"].to_numpy()[1:] != part["choice"].to_numpy()[:-1]) | (part["cell"].to_numpy()[1:] != part["cell"].to_numpy()[:-1])]
-        roots = linked(signed.view(np.uint64), np.cumsum(new), max_bits)
-        child = np.flatnonzero(roots != np.arange(len(roots)))
-        return pd.DataFrame({"a": signed[child], "b": signed[roots[child]]})
+            yield edges(pd.concat([*rest[:-1], batch.iloc[:cut]], ignore_index=True))
+            rest = [batch.iloc[cut:]]
+        if rest:
+            yield edges(pd.concat(rest, ignore_index=True))
+
+    def edges(part: pd.DataFrame) -> pd.DataFrame:
+        signed, choice, cell = part["fp"].to_numpy(), part["choice"].to_numpy(), part["cell"].to_numpy()
+        new = np.r_[True, (choice[1:] != choice[:-1]) | (cell[1:] != cell[:-1])]
+        a, b = found(signed.view(np.uint64), np.cumsum(new))
+        return pd.DataFrame({"a": signed[a], "b": signed[b]})
 
     dealt = cells.repartition("choice", "cell").sortWithinPartitions("choice", "cell", "fp")
     return dealt.mapInPandas(inside, "a bigint, b bigint")
 
 
+def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): a forest that joins whatever distinct fingerprints (column ``fp``) link, directly or not."""
+
+    def forest(unsigned: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        roots = linked(unsigned, cells, max_bits)
+        child = np.flatnonzero(roots != np.arange(len(roots)))
+        return child, roots[child]
+
+    return _in_cells(prints, max_bits, forest)
+
+
+def short_links(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): links among distinct fingerprints that make a minimum spanning forest of each cell, hence of all."""
+    return _in_cells(prints, max_bits, lambda unsigned, cells: shortest(unsigned, cells, max_bits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def confirmed(edges: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int = CONFIRM_SHINGLE, least: float = CONFIRM) -> DataFrame:
+    """The links whose documents share enough shingles; ``distinct`` has a document's id (``least``) for each ``fp``."""
+    asked = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.where("least is not null"), "fp").select("fp", F.col("least").alias("__id"))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(asked, "__id")
+    sets = materialise(texts.groupBy("fp").agg(F.min("__text").alias("__text")).select("fp", sketch(F.col("__text"), shingle, 0).alias("s")))
+    a, b = (sets.select(F.col("fp").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
+    both = edges.join(a, "a").join(b, "b")
+    return both.where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select("a", "b")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of ``edges`` (a, b) with the smallest node that it reaches.
 
@@ -195,12 +273,18 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "root")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """One row a document: (doc_id, fp, component_id)."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, confirm: bool = False) -> DataFrame:
+    """One row a document: (doc_id, fp, component_id).
+
+    With ``confirm``, fingerprints that differ link only where the documents' shingles are alike, too; that is for wider radii.
+    """
     bounded_batches(docs.sparkSession)
     prints = materialise(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp")))
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = materialise(links(distinct, max_bits))
+    if confirm:
+        edges = materialise(confirmed(materialise(short_links(distinct, max_bits)), distinct, docs, id_col, text_col))
+    else:
+        edges = materialise(links(distinct, max_bits))
     if edges.isEmpty():
         classes = distinct.select("fp", F.col("least").alias("component_id"))
     else:
@@ -210,9 +294,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, confirm: bool = False) -> DataFrame:
     """The documents with one of each component: that whose id names it. Rows without an id stay."""
-    classes = materialise(near_duplicates(docs, id_col, text_col, max_bits).where("doc_id is not null").select("doc_id", "component_id"))
+    classes = materialise(near_duplicates(docs, id_col, text_col, max_bits, confirm).where("doc_id is not null").select("doc_id", "component_id"))
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     kept = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
     repeated = materialise(classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")))

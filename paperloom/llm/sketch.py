@@ -33,14 +33,15 @@ NO_ID = -(1 << 63)
 
 
 def sketch(text: Column, shingle: int = SHINGLE, zero_bits: int = ZERO_BITS) -> Column:
-    """Sorted distinct hashes (bigint) of the shingles kept."""
+    """Sorted distinct hashes (bigint) of the shingles kept; of all of them where ``zero_bits`` is 0."""
 
     def of(w: Column) -> Column:
         last = F.size(w) - shingle
         many = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
         one = F.array(F.xxhash64(F.concat_ws(" ", w)))
         hashes = F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(last < 0, one).otherwise(many)
-        return F.array_sort(F.array_distinct(F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - zero_bits) == 0)))
+        kept = F.filter(hashes, lambda h: F.shiftrightunsigned(h, 64 - zero_bits) == 0) if zero_bits else hashes
+        return F.array_sort(F.array_distinct(kept))
 
     return bind(words(F.lower(F.coalesce(text, F.lit("")))), of)
 

@@ -149,3 +149,48 @@ def test_merge_and_containment(docs, prose):
     assert r["p"] == 1
     assert r["q"] == pytest.approx(0.75, abs=0.12)
     assert (r["n"], r["z"]) == (0, None)
+
+
+def test_spanning_forest():
+    r = random.Random(4)
+    for _ in range(20):
+        n = 30
+        edges = [(a, b, r.randrange(5)) for a in range(n) for b in range(a) if r.random() < 0.15]
+        a, b, d = (np.array([e[k] for e in edges], dtype=np.int64) for k in range(3))
+        kept = S.spanning(n, a, b, d)
+        roots, weight, count = list(range(n)), 0, 0
+
+        def find(i, roots=roots):
+            while roots[i] != i:
+                i = roots[i]
+            return i
+
+        for x, y, w in sorted(edges, key=lambda e: e[2]):
+            if find(x) != find(y):
+                roots[find(x)] = find(y)
+                weight, count = weight + w, count + 1
+        assert (len(kept), int(d[kept].sum())) == (count, weight)
+    assert len(S.spanning(3, *(np.zeros(0, dtype=np.int64),) * 3)) == 0
+
+
+def test_confirmed_near_copies(docs, prose):
+    r = random.Random(8)
+    rows, texts = [], {}
+    for g in range(12):
+        base = prose(100 + g, 250).split()
+        for k in range(6):
+            w = list(base)
+            for _ in range(k):
+                w[r.randrange(len(w))] = f"changed{g}{k}"
+            rows.append((10 * g + k, " ".join(w)))
+    rows += [(500, None), (501, ""), (502, "lone words here"), (None, rows[0][1])]
+    texts = {i: {" ".join(x) for x in zip(*(t.split()[k:] for k in range(5)), strict=False)} for i, t in rows if t and i is not None and i < 500}
+    found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=6, confirm=True).collect() if x["doc_id"] is not None}
+    same = lambda a, b: len(texts[a] & texts[b]) / len(texts[a] | texts[b])
+    near = [(a, b) for a in texts for b in texts if a < b and same(a, b) >= 0.8]
+    assert np.mean([found[a] == found[b] for a, b in near]) > 0.6
+    for i, c in found.items():
+        assert i >= 500 or i // 10 == c // 10
+    assert (found[500], found[501], found[502]) == (500, 500, 502)
+    kept = S.keep_one(docs(rows), max_bits=6, confirm=True)
+    assert sorted(x["doc_id"] for x in kept.where("doc_id is not null").collect()) == sorted(set(found.values()))
