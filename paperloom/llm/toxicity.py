@@ -22,7 +22,7 @@ import heapq
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -64,15 +64,18 @@ def with_counts(found: Iterable[Iterable[str]]) -> set[str]:
     return set(counts) | {f"{f}#{k}" for f, n in counts.items() if n > 1 for k in COUNTS if n >= k}
 
 
-def first_copies(rows: Iterable[set[str]]) -> Iterator[set[str]]:
-    """The rows without those that share the three least hashes of their long words with an earlier one, by either of two hashes."""
+def first_copies(texts: Iterable[str | None]) -> list[str | None]:
+    """The texts without those that share the three least hashes of their long words with an earlier one, by either of two hashes."""
     seen: set[tuple[int, ...]] = set()
-    for x in rows:
+    out = []
+    for t in texts:
+        x = vocabulary(t)
         long = [w.encode() for w in x if len(w) >= LONG] or [" ".join(sorted(x)).encode()]
         keys = [(seed, *heapq.nsmallest(3, (zlib.crc32(w, seed) for w in long))) for seed in (0, 1)]
         if seen.isdisjoint(keys):
-            yield x
+            out.append(t)
         seen.update(keys)
+    return out
 
 
 def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -112,16 +115,14 @@ def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prio
 
     A prior above the true share would push every score up, so it is lowered to what the samples themselves allow.
     """
-    held = lambda words: with_counts(features_of(w) for w in words)
-    pos = list(first_copies(map(vocabulary, positive)))
-    in_pos = Counter(f for x in pos for f in held(x))
-    candidates = {f for f, k in in_pos.items() if k >= LEAST}
-    # only candidates' features are kept of any document, so memory is that of the texts
-    pos = [held(x) & candidates for x in pos]
-    unl = [held(x) & candidates for x in first_copies(map(vocabulary, unlabelled))]
+    held = lambda text: with_counts(features_of(w) for w in vocabulary(text))
+    pos, unl = first_copies(positive), first_copies(unlabelled)
     if not pos or not unl:
         return NEVER
-    in_unl = Counter(f for x in unl for f in x)
+    # features are made anew for each count: memory is that of the texts and of one document's features
+    in_pos = Counter(f for t in pos for f in held(t))
+    candidates = {f for f, k in in_pos.items() if k >= LEAST}
+    in_unl = Counter(f for t in unl for f in held(t) & candidates)
     n, m = len(pos), len(unl)
     ranked = []
     for f in sorted(candidates):
@@ -131,11 +132,11 @@ def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prio
             ranked.append((-difference, f))
     chosen = {f: i for i, (_, f) in enumerate(sorted(ranked)[:features])}
 
-    def matrix(rows: list[set[str]]) -> np.ndarray:
-        out = np.zeros((len(rows), len(chosen) + 1), dtype=np.float32)
+    def matrix(texts: list[str | None]) -> np.ndarray:
+        out = np.zeros((len(texts), len(chosen) + 1))
         out[:, -1] = 1
-        for r, x in enumerate(rows):
-            out[r, [chosen[f] for f in chosen.keys() & x]] = 1
+        for r, t in enumerate(texts):
+            out[r, [chosen[f] for f in chosen.keys() & held(t)]] = 1
         return out
 
     a, b = matrix(pos), matrix(unl)
