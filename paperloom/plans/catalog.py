@@ -500,8 +500,8 @@ i AS (SELECT n_nationkey AS id, lower(n_name) || ' labs' AS name FROM nation),
 rows AS (
   SELECT 0 AS layer, 'org_seed_' || id AS org_id, 'patentsview' AS source, 'A' || id AS source_id, 'Seed ' || id AS canonical_name, 'seed_crosswalk' AS match_method, 'high' AS confidence FROM s WHERE id % 10 = 0
   UNION ALL SELECT 1, 'org_seed_' || id, 'openalex', 'I' || id, name, 'seed_crosswalk', 'high' FROM i WHERE id % 6 = 0
-  UNION ALL SELECT 3, CASE WHEN id % 10 = 0 THEN 'org_seed_' || id ELSE 'org_pv_' || (SELECT replace(s.name, ' ', '_') FROM s WHERE s.id = i.id) END, 'openalex', 'I' || id, name, 'fuzzy_high', 'high' FROM i WHERE id % 6 <> 0 AND id % 2 = 0
-  UNION ALL SELECT 3, 'org_pv_' || replace(s.name, ' ', '_'), 'patentsview', 'A' || s.id, s.name, 'fuzzy_high', 'high' FROM s JOIN i ON i.id = s.id WHERE s.id % 6 <> 0 AND s.id % 2 = 0 AND s.id % 10 <> 0
+  UNION ALL SELECT 3, CASE WHEN s.id % 10 = 0 THEN 'org_seed_' || s.id ELSE 'org_pv_' || coalesce(replace(s.name, ' ', '_'), 'a' || i.id) END, 'openalex', 'I' || i.id, i.name, 'fuzzy_high', 'high' FROM i LEFT JOIN s ON s.id = i.id WHERE i.id % 6 <> 0 AND i.id % 2 = 0
+  UNION ALL SELECT 3, 'org_pv_' || coalesce(replace(s.name, ' ', '_'), 'a' || i.id), 'patentsview', 'A' || i.id, coalesce(s.name, 'A' || i.id), 'fuzzy_high', 'high' FROM i LEFT JOIN s ON s.id = i.id WHERE i.id % 6 <> 0 AND i.id % 2 = 0 AND (s.id IS NULL OR s.id % 10 <> 0)
   UNION ALL SELECT 4, 'org_pv_' || replace(name, ' ', '_'), 'patentsview', 'A' || id, name, 'native_id', 'high' FROM s
   UNION ALL SELECT 5, 'org_oa_' || replace(name, ' ', '_'), 'openalex', 'I' || id, name, 'ror', 'high' FROM i)
 SELECT org_id, source, source_id, canonical_name, match_method, confidence FROM (SELECT *, row_number() OVER (PARTITION BY source, source_id ORDER BY layer) AS n FROM rows) WHERE n = 1""")
