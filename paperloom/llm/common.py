@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, so that shuffle files and checkpoints that nothing refers to any more leave the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array, in order; built-in functions only."""
     spaced = F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE))

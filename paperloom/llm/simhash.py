@@ -11,8 +11,8 @@ each fingerprint is dealt to a cell for each choice of three bands (ten at two b
 spanning forest of its links, never all of its pairs.
 
 ``keep_one`` can take a wider radius and confirm links on five-word shingles. It then asks each cell for a *minimum* spanning
-forest, as the nearest pairs are the likeliest to be confirmed. Two groups whose nearest pairs all fail, though a farther pair would
-pass, stay apart.
+forest, as the nearest pairs are the likeliest to be confirmed. What those links leave apart is sought by an exact join on shingles
+(``alike``), so no pair at ``CONFIRM`` or more is missed, however many bits its fingerprints differ in.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; fewer words than the
 shingle length make one shingle of the whole sequence; repeated rows share a fingerprint and a component;
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, bounded_batches, materialise
+from .common import WORD, bounded_batches, materialise, release
 from .sketch import resemblance, sketch
 
 SHINGLE = 3
@@ -47,6 +47,8 @@ WIDE_BITS, CONFIRM_SHINGLE, CONFIRM = 6, 5, 0.8
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, 24, dtype=np.uint64)
 #: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; linked pairs held back.
 ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
+#: Bits of the parities that discard pairs of the shingle join before their shingles are compared.
+PARITIES = 512
 
 _word = re.compile(WORD)
 _lower = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
@@ -200,26 +202,29 @@ def _masks(max_bits: int) -> list[int]:
     return out
 
 
+def _whole_cells(batches: Iterator[pd.DataFrame], *keys: str) -> Iterator[pd.DataFrame]:
+    """Sorted rows in portions that end where a cell ends."""
+    rest: list[pd.DataFrame] = []  # rows of a cell that is not over yet
+    for batch in batches:
+        if not len(batch):
+            continue
+        rest.append(batch)
+        if all(rest[0][k].iloc[0] == batch[k].iloc[-1] for k in keys):
+            continue
+        last = np.flatnonzero(reduce(np.logical_or, [batch[k].to_numpy() != batch[k].iloc[-1] for k in keys]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        yield pd.concat([*rest[:-1], batch.iloc[:cut]], ignore_index=True)
+        rest = [batch.iloc[cut:]]
+    if rest:
+        yield pd.concat(rest, ignore_index=True)
+
+
 def _in_cells(prints: DataFrame, max_bits: int, found) -> DataFrame:
     """(a, b) that ``found(fingerprints, cells)`` gives of each cell, as positions of a and b."""
     if not 0 <= max_bits <= 8:
         raise ValueError("links of 0 to 8 bits are found")
     cells = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(max_bits)])).alias("choice", "cell"))
 
-    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: list[pd.DataFrame] = []  # rows of a cell that is not over yet
-        for batch in batches:
-            choice, cell = batch["choice"].to_numpy(), batch["cell"].to_numpy()
-            rest.append(batch)
-            if rest[0]["choice"].iloc[0] == choice[-1] and rest[0]["cell"].iloc[0] == cell[-1]:
-                continue
-            last = np.flatnonzero((choice != choice[-1]) | (cell != cell[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            yield edges(pd.concat([*rest[:-1], batch.iloc[:cut]], ignore_index=True))
-            rest = [batch.iloc[cut:]]
-        if rest:
-            yield edges(pd.concat(rest, ignore_index=True))
-
     def edges(part: pd.DataFrame) -> pd.DataFrame:
         signed, choice, cell = part["fp"].to_numpy(), part["choice"].to_numpy(), part["cell"].to_numpy()
         new = np.r_[True, (choice[1:] != choice[:-1]) | (cell[1:] != cell[:-1])]
@@ -227,7 +232,7 @@ def _in_cells(prints: DataFrame, max_bits: int, found) -> DataFrame:
         return pd.DataFrame({"a": signed[a], "b": signed[b]})
 
     dealt = cells.repartition("choice", "cell").sortWithinPartitions("choice", "cell", "fp")
-    return dealt.mapInPandas(inside, "a bigint, b bigint")
+    return dealt.mapInPandas(lambda batches: map(edges, _whole_cells(batches, "choice", "cell")), "a bigint, b bigint")
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -256,6 +261,134 @@ def confirmed(edges: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: st
     return both.where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select("a", "b")
 
 
+def parities(sets: Column) -> Column:
+    """PARITIES bits, each set where an odd number of the hashes falls to it: two sets differ in no fewer hashes than these in bits."""
+
+    @F.pandas_udf("binary")
+    def odd(sets: pd.Series) -> pd.Series:
+        if not len(sets):
+            return pd.Series([], dtype=object)
+        at = np.repeat(np.arange(len(sets)) * PARITIES, sets.map(len)) + (np.concatenate(list(sets)) & (PARITIES - 1))
+        bits = np.bincount(at, minlength=len(sets) * PARITIES).reshape(-1, PARITIES) & 1
+        return pd.Series([x.tobytes() for x in np.packbits(bits.astype(np.uint8), axis=1)])
+
+    return odd(sets)
+
+
+def _maybe_alike(cells: np.ndarray, size: np.ndarray, label: np.ndarray, odd: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, parities that differ) of pairs inside cells with other labels that can reach ``least``; rows are sorted by size inside a cell."""
+
+    def able(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keep = (label[a] != label[b]) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]) - 1e-6)
+        a, b = a[keep], b[keep]
+        most, d = (size[a] + size[b]) * ((1 - least) / (1 + least)) + 1e-6, np.zeros(len(a), dtype=np.int64)
+        for k in range(odd.shape[1]):
+            d = d + np.bitwise_count(odd[a, k] ^ odd[b, k])
+            keep = d <= most
+            a, b, d, most = a[keep], b[keep], d[keep], most[keep]
+        return a, b, d
+
+    starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.array([], dtype=int)
+    lengths = np.diff(np.r_[starts, len(cells)])
+    small = lengths <= SMALL_CELL
+    of = np.flatnonzero(np.repeat(small, lengths))
+    for gap in range(1, int(lengths[small].max(initial=1))):
+        at = np.flatnonzero(cells[of[gap:]] == cells[of[:-gap]])
+        yield able(of[at], of[at + gap])
+    for start, length in zip(starts[~small], lengths[~small], strict=True):
+        own = label[start : start + length]
+        names, counts = np.unique(own, return_counts=True)
+        most = own == names[counts.argmax()]  # rows of one label aren't compared with each other
+        fewer, sizes = np.flatnonzero(~most), size[start : start + length]
+        for at in range(0, len(fewer), ROWS_AT_ONCE):
+            rows = fewer[at : at + ROWS_AT_ONCE]
+            low, high = np.searchsorted(sizes, least * sizes[rows[0]] - 1e-6), np.searchsorted(sizes, sizes[rows[-1]] / least + 1e-6, side="right")
+            for other in range(low, high, 8 * ROWS_AT_ONCE):
+                columns = np.arange(other, min(other + 8 * ROWS_AT_ONCE, high))
+                x, y = np.nonzero(most[columns][None, :] | (rows[:, None] < columns[None, :]))
+                yield able(rows[x] + start, columns[y] + start)
+
+
+def heads(prints: DataFrame, least: float = CONFIRM) -> DataFrame:
+    """``prints`` with sid, size, odd and head for the shingles s: a hash of their set, its size, its parities and the first of its hashes."""
+    head = F.slice("s", F.lit(1), F.floor((1 - least) * F.size("s") + 1e-6).cast("int") + 1)
+    return prints.withColumn("odd", parities(F.col("s"))).withColumns({"sid": F.xxhash64("s"), "size": F.size("s"), "head": head}).drop("s")
+
+
+def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = CONFIRM) -> DataFrame:
+    """(a, b): fingerprints to join beyond ``edges`` so that all documents whose shingles reach ``least`` end together.
+
+    ``prints`` has (doc_id, fp) and what ``heads`` adds; documents without an id are left out.
+
+    Of two sets at ``least`` or more, each has a share of ``least`` at least in the other, so the sets' first hashes, a share of 1 - ``least``
+    and one more, have one in common. Sets that share such a hash meet in its cell; their sizes and parities discard pairs. A spanning forest of the
+    rest is confirmed first; then all pairs are that it leaves apart. No hash and no pair is capped.
+    """
+    sets = prints.where("doc_id is not null and size > 0")
+    owners = materialise(sets.groupBy("sid").agg(F.min("fp").alias("owner"), F.min("doc_id").alias("__id"), F.first("size").alias("size"), F.first("odd").alias("odd")))
+    edges = edges.unionByName(sets.select("sid", "fp").distinct().join(owners.select("sid", "owner"), "sid").where("fp <> owner").select(F.col("owner").alias("a"), F.col("fp").alias("b")))
+    first = sets.select("sid", F.explode("head").alias("token")).repartition("token")  # one exchange for both sides of the join
+    again = first.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
+    rows = materialise(first.join(again, "token", "left_semi").distinct())
+    release(prints.sparkSession)
+    # of cells with the same members one is enough
+    members = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("sid").alias("x"), F.bit_xor(F.xxhash64("sid")).alias("y"))
+    rows = materialise(rows.join(members.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"), "token", "left_semi"))
+    release(prints.sparkSession)
+
+    def asked_pairs(edges: DataFrame, forest: bool) -> DataFrame:
+        own = owners.select("sid", F.col("owner").alias("fp"), "size", "odd")
+        labels = own.withColumn("label", F.col("fp")) if edges.isEmpty() else own.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp"))
+        dealt = rows.join(labels.select("sid", "size", "odd", "label"), "sid").repartition("token").sortWithinPartitions("token", "size")
+
+        def found(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            sid, token, size, label = (part[k].to_numpy() for k in ("sid", "token", "size", "label"))
+            odd = np.frombuffer(b"".join(part["odd"]), dtype=np.uint64).reshape(len(part), -1)
+            pairs = _maybe_alike(token, size.astype(np.int64), label, odd, least)
+            if forest:
+                pairs = _shortest_between(pairs, np.unique(label, return_inverse=True)[1])
+            for a, b, _ in pairs:
+                yield pd.DataFrame({"a": np.minimum(sid[a], sid[b]), "b": np.maximum(sid[a], sid[b])})
+
+        return dealt.mapInPandas(lambda batches: (x for part in _whole_cells(batches, "token") for x in found(part)), "a bigint, b bigint").distinct()
+
+    def right(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(owners.select("sid", "__id", "owner"), "sid")
+        texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(asked, "__id")
+        # documents may share an id, so the set is hashed again
+        found = texts.withColumn("s", sketch(F.col("__text"), CONFIRM_SHINGLE, 0)).where(F.xxhash64("s") == F.col("sid")).dropDuplicates(["__id", "sid"])
+        held = materialise(found.select("sid", "owner", "s"))
+        a, b = (held.select(F.col("sid").alias(k), F.col("s").alias(f"s{k}"), F.col("owner").alias(f"fp{k}")) for k in "ab")
+        return pairs.join(a, "a").join(b, "b").where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select(F.col("fpa").alias("a"), F.col("fpb").alias("b"))
+
+    edges = materialise(edges)
+    tried = materialise(asked_pairs(edges, True))
+    edges = materialise(edges.unionByName(right(tried)))
+    release(prints.sparkSession)
+    rest = materialise(asked_pairs(edges, False).join(tried, ["a", "b"], "left_anti"))
+    return edges if rest.isEmpty() else materialise(edges.unionByName(right(rest)))
+
+
+def _shortest_between(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], label: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """One portion: pairs that make a minimum spanning forest of the labels."""
+    kept = tuple(np.zeros(0, dtype=np.int64) for _ in range(3))
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def cut() -> None:
+        nonlocal kept
+        a, b, d = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate(kept))
+        held.clear()
+        chosen = spanning(len(label), label[a], label[b], d)
+        kept = a[chosen], b[chosen], d[chosen]
+
+    for pair in pairs:
+        held.append(pair)
+        if sum(len(x[0]) for x in held) > 4 * len(label) + HELD_PAIRS:
+            cut()
+    cut()
+    return [kept]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of ``edges`` (a, b) with the smallest node that it reaches.
 
@@ -276,13 +409,19 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, confirm: bool = False) -> DataFrame:
     """One row a document: (doc_id, fp, component_id).
 
-    With ``confirm``, fingerprints that differ link only where the documents' shingles are alike, too; that is for wider radii.
+    With ``confirm``, fingerprints that differ link where the documents' shingles are alike, and only there; that is for wider radii.
     """
     bounded_batches(docs.sparkSession)
-    prints = materialise(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp")))
+    shingles = [sketch(F.col(text_col), CONFIRM_SHINGLE, 0).alias("s")] if confirm else []
+    prints = docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp"), *shingles)
+    prints = materialise(heads(prints) if confirm else prints)
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     if confirm:
-        edges = materialise(confirmed(materialise(short_links(distinct, max_bits)), distinct, docs, id_col, text_col))
+        near = materialise(short_links(distinct, max_bits))
+        release(docs.sparkSession)
+        near = materialise(confirmed(near, distinct, docs, id_col, text_col))
+        release(docs.sparkSession)
+        edges = alike(prints, near, docs, id_col, text_col)
     else:
         edges = materialise(links(distinct, max_bits))
     if edges.isEmpty():

@@ -194,3 +194,36 @@ def test_confirmed_near_copies(docs, prose):
     assert (found[500], found[501], found[502]) == (500, 500, 502)
     kept = S.keep_one(docs(rows), max_bits=6, confirm=True)
     assert sorted(x["doc_id"] for x in kept.where("doc_id is not null").collect()) == sorted(set(found.values()))
+
+
+def test_every_near_copy_is_joined(docs, prose):
+    r = random.Random(11)
+    rows = []
+    for g in range(60):  # a text of 100 words beside copies with one and two words changed, and one beyond the rule
+        base = prose(300 + g, 100).split()
+        for k, changes in enumerate((0, 1, 2, 9)):
+            w = list(base)
+            for at in r.sample(range(100), changes):
+                w[at] = f"other{g}x{k}x{at}"
+            rows.append((10 * g + k, " ".join(w)))
+    for k in range(40):  # one large group around a text that all share cells with
+        w = prose(77, 100).split()
+        w[r.randrange(100)] = f"own{k}"
+        rows.append((1000 + k, " ".join(w)))
+    sets = {i: plain_sketch(t)[1] for i, t in rows}
+    roots = {i: i for i in sets}
+
+    def find(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                roots[y] = x
+    assert len({find(i) for i in sets}) < len(sets) - 90
+    for bits in (0, 6):
+        found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=bits, confirm=True).collect()}
+        assert found == {i: find(i) for i in sets}
