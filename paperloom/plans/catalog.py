@@ -286,6 +286,13 @@ def inverted_index_topk(t: Load) -> DataFrame:
     return matching.candidates(tokens(t("benchmark"), "item_id"), tokens(t("documents"), "doc_id"), "item_id", "doc_id", most=5, postings=40)
 
 
+@query(_sql["inverted_index_topk"].replace("<= 40", f"<= {matching.MOST_POSTINGS}").replace("n <= 5", f"n <= {matching.MOST_CANDIDATES}"))
+def inverted_index_production(t: Load) -> DataFrame:
+    """Candidates with the operator's own values; the query above is held by its SQL to small ones."""
+    tokens = lambda df, key: df.select(key, X.late_tokens(c("text")).alias("tokens"))
+    return matching.candidates(tokens(t("benchmark"), "item_id"), tokens(t("documents"), "doc_id"), "item_id", "doc_id")
+
+
 # --- ordering, lists, windows --------------------------------------------------------------------------------------------
 
 
@@ -445,6 +452,15 @@ def ctfidf_terms(t: Load) -> DataFrame:
     return found.select("label", "term", F.round("weight", 6).alias("weight"), "rank")
 
 
+@query(_sql["ctfidf_terms"].replace("LIMIT 2000", f"LIMIT {C.FEATURES}"))
+def ctfidf_production(t: Load) -> DataFrame:
+    """Terms with the operator's own vocabulary; the query above is held by its SQL to a smaller one."""
+    label = F.when(c("lang") == "en", 0).when(c("lang") == "de", 1).when(c("lang") == "fr", 2).otherwise(-1)
+    ascii_only = F.regexp_replace(F.lower("text"), "[^a-z]", " ")
+    found = C.terms(t("documents").select(label.alias("label"), ascii_only.alias("text")))
+    return found.select("label", "term", F.round("weight", 6).alias("weight"), "rank")
+
+
 # --- numbers, rules, evaluation ------------------------------------------------------------------------------------------
 
 
