@@ -5,8 +5,8 @@ is trained on the driver from licence statements made of ``TEMPLATES`` and from
 that grant none; the latter are a class of their own, ``unknown``. Every n-gram of the model holds an anchor word
 (``ANCHORS``), so a paragraph without an anchor word scores as the bias does, which is unknown, and is not scored. The
 softmax is tempered so that mean confidence on held-back statements equals accuracy there; a family less
-likely than ``CONFIDENT`` is unknown. A predicted family is confirmed if the paragraph shares enough words with
-one of its templates, that is ``COVERAGE`` of the template's words.
+likely than ``CONFIDENT`` is unknown. A predicted family is confirmed if the paragraph holds the family's name (``NAMES``) or shares enough
+words with one of its templates, that is ``COVERAGE`` of the template's words.
 
 The whole scan is one projection: nothing is shuffled, so hot sources and groups of copies cost what other rows cost.
 
@@ -28,18 +28,19 @@ from .common import bind, table
 
 #: Statements by licence family, in the words that licences ask to be announced with.
 TEMPLATES = {
-    "agpl": ["This program is licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL-3.0 license.", "You may redistribute it under the terms of the GNU Affero General Public License as published by the Free Software Foundation."],
+    "agpl": ["This program is licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL-3.0 license.", "You may redistribute it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "SPDX-License-Identifier: AGPL-3.0-or-later", "Distributed under AGPLv3.", "AGPLv3"],
     "apache": ["Licensed under the Apache License, Version 2.0.", "Released under the Apache 2.0 License.", "You may not use this file except in compliance with the Apache License.", "SPDX-License-Identifier: Apache-2.0"],
-    "bsd": ["Licensed under the BSD 3-Clause License.", "Released under the BSD License.", "Use of this source code is governed by a BSD-style license.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."],
-    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Released under the Creative Commons Attribution License."],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Released under CC BY-NC-SA 4.0."],
-    "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under the Creative Commons Attribution-ShareAlike License."],
-    "cc0": ["Released under CC0 1.0 Universal.", "This work is dedicated to the public domain under CC0.", "To the extent possible under law the author has waived all copyright with a CC0 public domain dedication."],
-    "gpl": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL v2 or later.", "Released under the GPL.", "You can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation."],
-    "isc": ["Licensed under the ISC License.", "Released under the ISC license."],
-    "lgpl": ["Licensed under the GNU Lesser General Public License, version 2.1.", "Released under the LGPL.", "This library is licensed under the GNU Lesser General Public License."],
-    "mit": ["Released under the MIT License.", "Licensed under the MIT license.", "This project is licensed under the terms of the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."],
-    "mpl": ["Licensed under the Mozilla Public License, version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Released under MPL 2.0."],
+    "bsd": ["Licensed under the BSD 3-Clause License.", "Released under the BSD License.", "Use of this source code is governed by a BSD-style license.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.", "SPDX-License-Identifier: BSD-3-Clause"],
+    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Released under the Creative Commons Attribution License.", "SPDX-License-Identifier: CC-BY-4.0"],
+    "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Released under CC BY-NC-SA 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under the Creative Commons Attribution-ShareAlike License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
+    "cc0": ["Released under CC0 1.0 Universal.", "This work is dedicated to the public domain under CC0.", "To the extent possible under law the author has waived all copyright with a CC0 public domain dedication.", "SPDX-License-Identifier: CC0-1.0"],
+    "gpl": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL v2 or later.", "Released under the GPL.", "You can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation.", "SPDX-License-Identifier: GPL-3.0-or-later", "This code is GPLv2 or later.", "Distributed under GPLv3.", "GPLv3"],
+    "isc": ["Licensed under the ISC License.", "Released under the ISC license.", "SPDX-License-Identifier: ISC"],
+    "lgpl": ["Licensed under the GNU Lesser General Public License, version 2.1.", "Released under the LGPL.", "This library is licensed under the GNU Lesser General Public License.", "SPDX-License-Identifier: LGPL-2.1-or-later", "Available under LGPLv2.1+.", "LGPLv3"],
+    "mit": ["Released under the MIT License.", "Licensed under the MIT license.", "This project is licensed under the terms of the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", "SPDX-License-Identifier: MIT"],
+    "mpl": ["Licensed under the Mozilla Public License, version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Released under MPL 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "unlicense": ["Released to the public domain (Unlicense).", "Licensed under the Unlicense.", "This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
 }
 UNKNOWN = "unknown"
 #: Sentences that name licences or rights and grant nothing known.
@@ -51,15 +52,23 @@ OTHERS = (
     "The gnu is an antelope.", "Copyright law differs by country.", "Permission of the owner is needed.", "Licensed under the terms of the agreement between the parties.", "This work is licensed by the city.",
 )
 #: Words one of which every n-gram of the model holds.
-ANCHORS = ("license", "licensed", "licence", "licenced", "licenses", "gnu", "gpl", "lgpl", "agpl", "affero", "mit", "apache", "bsd", "cc", "cc0", "creative", "commons", "mozilla", "mpl", "isc", "permission", "redistribution", "redistribute", "copyright", "spdx")
+ANCHORS = ("license", "licensed", "licence", "licenced", "licenses", "gnu", "gpl", "lgpl", "agpl", "affero", "mit", "apache", "bsd", "cc", "cc0", "creative", "commons", "mozilla", "mpl", "isc", "permission", "redistribution", "redistribute", "copyright", "spdx", "unlicense", "unencumbered")
 NGRAM = 3
 CONFIDENT, COVERAGE = 0.5, 0.6
 #: A word of a statement: letters and digits, versions without their dot.
 WORD = "[a-z0-9]+"
+#: A licence's name with its version behind it, as in GPLv3 and LGPL2.1; the two are words of their own.
+VERSIONED = "(?<![a-z0-9])(a?gpl|lgpl|mpl|apache|bsd)v?([0-9])"
+#: Words of which a paragraph holds all of one set if it names the family.
+NAMES = {
+    "agpl": ["agpl", "affero general public"], "apache": ["apache"], "bsd": ["bsd"], "cc-by": ["cc by", "creative commons attribution"], "cc-by-nc": ["cc by nc", "creative commons attribution noncommercial"],
+    "cc-by-sa": ["cc by sa", "creative commons attribution sharealike"], "cc0": ["cc0"], "gpl": ["gpl", "gnu general public"], "isc": ["isc"], "lgpl": ["lgpl", "gnu lesser general public"],
+    "mit": ["mit"], "mpl": ["mpl", "mozilla public"], "unlicense": ["unlicense", "unencumbered public domain"],
+}
 
 
 def words_of(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
+    return re.findall(WORD, re.sub(VERSIONED, r"\1 \2", text.lower()))
 
 
 def ngrams_of(found: list[str], n: int = NGRAM) -> set[str]:
@@ -148,6 +157,7 @@ def _classified(paragraph: Column, model: Model) -> Column:
     anchors = F.array(*[F.lit(x) for x in ANCHORS])
     n = len(model.classes)
     templates = {k: F.array(*[F.array(*[F.lit(w) for w in sorted(set(words_of(t)))]) for t in texts]) for k, texts in TEMPLATES.items()}
+    names = F.create_map(*[v for k, x in NAMES.items() for v in (F.lit(k), F.array(*[F.array(*[F.lit(w) for w in t.split()]) for t in x]))])
     all_templates = F.create_map(*[v for k, x in templates.items() for v in (F.lit(k), x)])
 
     def of(w: Column) -> Column:
@@ -168,18 +178,19 @@ def _classified(paragraph: Column, model: Model) -> Column:
         def judged(s: Column) -> Column:
             sure = F.when((s["chance"] >= CONFIDENT) & (s["family"] != UNKNOWN), s["family"]).otherwise(F.lit(UNKNOWN))
             covered = F.exists(F.element_at(all_templates, s["family"]), lambda t: F.size(F.array_intersect(t, w)) >= COVERAGE * F.size(t))
+            covered |= F.exists(F.element_at(names, s["family"]), lambda t: F.size(F.array_except(t, w)) == 0)
             return F.struct(sure.alias("family"), s["chance"].alias("chance"), ((sure != UNKNOWN) & F.coalesce(covered, F.lit(False))).alias("confirmed"))
 
         assert n == len(model.bias)
         return bind(bind(z, softmax), judged)
 
-    return bind(F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0)), of)
+    return bind(F.regexp_extract_all(F.regexp_replace(F.lower(paragraph), VERSIONED, "$1 $2"), F.lit(WORD), F.lit(0)), of)
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """(doc_id, n_paragraphs, found): found has, of each licence paragraph, paragraph (from 0), family, chance, confirmed."""
     model = model or trained()
-    anchored = r"(?i)(?<![a-z0-9])(?:" + "|".join(ANCHORS) + r")(?![a-z0-9])"
+    anchored = r"(?i)(?<![a-z0-9])(?:" + "|".join(ANCHORS) + r"|(?:a?gpl|lgpl|mpl|apache|bsd)v?[0-9][a-z0-9]*)(?![a-z0-9])"
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
 
     def of(x: Column) -> Column:

@@ -39,3 +39,13 @@ def test_no_python(docs):
     plan = L.scanned(docs([(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan
     assert "Arrow" not in plan
+
+
+def test_versions_and_tags(docs):
+    lines = {
+        "Distributed under GPLv3.": "gpl", "This code is GPLv2 or later": "gpl", "Available under LGPLv2.1+": "lgpl", "AGPLv3": "agpl", "Released to the public domain (Unlicense)": "unlicense",
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: BSD-3-Clause": "bsd", "SPDX-License-Identifier: GPL-2.0-only": "gpl", "SPDX-License-Identifier: LGPL-3.0": "lgpl",
+        "SPDX-License-Identifier: AGPL-3.0": "agpl", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: CC0-1.0": "cc0",
+    }
+    found = L.scanned(docs([(1, "\n".join([*lines, *L.OTHERS]))])).first()["found"]
+    assert {x["paragraph"]: x["family"] for x in found if x["confirmed"]} == dict(enumerate(lines.values()))
