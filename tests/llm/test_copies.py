@@ -227,3 +227,23 @@ def test_every_near_copy_is_joined(docs, prose):
     for bits in (0, 6):
         found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=bits, confirm=True).collect()}
         assert found == {i: find(i) for i in sets}
+
+
+def test_nearer_false_links_hide_no_pair(spark, docs, monkeypatch):
+    r = random.Random(12)  # here two false links are nearer than the true one, so a forest of all three leaves that out
+    base = [f"w{r.randrange(10**6)}" for _ in range(90)]
+    texts = []
+    for k in range(14):
+        w = list(base)
+        for _ in range(r.randrange(0, 5)):
+            w[r.randrange(90)] = f"x{k}y{r.randrange(1000)}"
+        texts.append(" ".join(w))
+    rows = [(i, texts[k]) for i, k in enumerate((0, 3, 11))]
+    bits = lambda a, b: (S.fingerprint(rows[a][1]) ^ S.fingerprint(rows[b][1])).bit_count()
+    sets = [plain_sketch(t)[1] for _, t in rows]
+    alike = [(a, b) for b in range(3) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert (alike, bits(0, 1), bits(0, 2), bits(1, 2)) == ([(0, 1)], 6, 5, 5)
+    signed = [f - (1 << 64) if (f := S.fingerprint(t)) >> 63 else f for _, t in rows]
+    monkeypatch.setattr(S, "short_links", lambda prints, max_bits: spark.createDataFrame([(signed[0], signed[2]), (signed[1], signed[2])], "a long, b long"))
+    found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=6, confirm=True).collect()}
+    assert found == {0: 0, 1: 0, 2: 2}
