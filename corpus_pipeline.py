@@ -28,7 +28,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: texts that share five-word shingles at 0.8, found by fingerprints and an exact join."""
-    return simhash.keep_one(docs, max_bits=simhash.WIDE_BITS, confirm=True)
+    return simhash.keep_one(docs, confirm=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
