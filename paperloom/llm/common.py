@@ -37,9 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage by a checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by a checkpoint in the shared folder.
+
+    A checkpoint keeps the optimizer's guess of its plan's size, and a join multiplies its sides' guesses; in a loop the guess comes to have
+    so many digits that planning takes minutes. The rows are therefore wrapped anew, without a guess, and joins are settled by the sizes
+    that adaptive execution measures.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    stored = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(stored.queryExecution().toRdd(), stored.schema(), False), spark)
 
 
 def release(spark: SparkSession) -> None:

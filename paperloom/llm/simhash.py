@@ -3,16 +3,19 @@
 A fingerprint has a bit set where more than half of a text's shingle hashes have it. Two fingerprints
 link when they differ in at most ``max_bits`` bits (2).
 
-The 64 references with one bit set and the empty one give each fingerprint a row of distances; the
-distances to the one-bit references of a band are equal for two fingerprints exactly if the band's bits
-are. With ``max_bits`` + 3 bands, two linked fingerprints agree on every coordinate of three bands at least, so
-each fingerprint is dealt to a cell for each choice of three bands (ten at two bits), and every link falls in some cell. Inside a cell, pairs whose distances to the dense references ``PIVOTS`` differ by more than
-``max_bits`` in any coordinate are discarded, and the survivors are verified bit by bit. A cell returns a
-spanning forest of its links, never all of its pairs.
+Each fingerprint x has a row in a table of distances to reference fingerprints: the empty one, 0, and the ``REFERENCES``, r_1 to r_32,
+each with two neighbouring bits set. Its coordinate c_j is 1 - (d(x, r_j) - d(x, 0)) / 2, which is 0, 1 or 2. As the references share no
+bit, the coordinates of two fingerprints differ by no more in sum than the fingerprints do in bits (triangle inequality, one reference at a
+time); so of linked fingerprints at most ``max_bits`` coordinates differ. With the coordinates in ``max_bits`` + ``INTACT`` bands, at least
+``INTACT`` bands agree in full: a fingerprint is dealt to a cell for each choice of so many bands (ten at two bits), and every link falls
+in some cell. Inside a cell, pairs whose distances to the dense references ``PIVOTS`` differ by more than ``max_bits`` in any coordinate are
+discarded, and the survivors are verified bit by bit. A cell returns a spanning forest of its links, never all of its pairs.
 
-``keep_one`` can take a wider radius and confirm links on five-word shingles. It then asks each cell for a *minimum* spanning
-forest, as the nearest pairs are the likeliest to be confirmed. What those links leave apart is sought by an exact join on shingles
-(``alike``), so no pair at ``CONFIRM`` or more is missed, however many bits its fingerprints differ in.
+Distinct fingerprints alone are dealt, so copies cost one row. A cell of more than ``CHUNK`` of them is cut into chunks while it is read,
+and each two of its chunks are compared in a task of their own: no task holds more than two chunks, and no pair is skipped.
+
+``keep_one`` can confirm links on five-word shingles. What those links leave apart is then sought by an exact join on shingles
+(``shingle_join.alike``), as fingerprints of texts at ``CONFIRM`` or more may differ in many bits.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; fewer words than the
 shingle length make one shingle of the whole sequence; repeated rows share a fingerprint and a component;
@@ -24,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -34,21 +36,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, bounded_batches, materialise, release
-from .sketch import resemblance, sketch
+from .graph import components, merge, portions
+from .shingle_join import CONFIRM_SHINGLE, alike, confirmed, heads
+from .sketch import sketch
 
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
-#: Bands that any linked pair agrees on.
+#: References of the dealing table: each has two neighbouring bits set, and no bit is set in two.
+REFERENCES = np.uint64(3) << np.arange(0, 64, 2, dtype=np.uint64)
+#: Bands of coordinates that any linked pair agrees on.
 INTACT = 3
-#: For ``keep_one``: links reach this far, and are confirmed on shingles of so many words at such a Jaccard similarity.
-WIDE_BITS, CONFIRM_SHINGLE, CONFIRM = 6, 5, 0.8
 #: Dense reference fingerprints: a fixed pseudo-random sequence.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, 24, dtype=np.uint64)
-#: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; linked pairs held back.
-ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
-#: Bits of the parities that discard pairs of the shingle join before their shingles are compared.
-PARITIES = 512
+#: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; rows of a cell held at once.
+ROWS_AT_ONCE, SMALL_CELL, CHUNK = 512, 32, 8192
 
 _word = re.compile(WORD)
 _lower = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
@@ -80,18 +82,6 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE, seed: int = SEED) -
     return simhash(text)
 
 
-def _join(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Merge the trees of each a and b; roots point to smaller or equal positions."""
-    while len(a):
-        a, b = roots[a], roots[b]
-        differ = a != b
-        low, high = np.minimum(a, b)[differ], np.maximum(a, b)[differ]
-        np.minimum.at(roots, high, low)
-        while (roots != (up := roots[roots])).any():
-            roots[:] = up
-        a, b = low, high
-
-
 def _survivors(prints: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(table.shape[1]):  # the maximum coordinate difference, one coordinate after another
         keep = np.abs(table[a, k] - table[b, k]) <= max_bits
@@ -102,22 +92,14 @@ def _survivors(prints: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarr
     return a[keep], b[keep]
 
 
-def spanning(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Which edges (a, b) of weight d make a minimum spanning forest of n nodes; ties go by a, then b."""
-    order = np.lexsort((b, a, d))
-    a, b = a[order], b[order]
-    roots, alive, chosen = np.arange(n), np.arange(len(a)), []
-    while True:
-        x, y = roots[a[alive]], roots[b[alive]]
-        alive, x, y = alive[x != y], x[x != y], y[x != y]
-        if not len(alive):
-            return order[np.concatenate(chosen)] if chosen else np.zeros(0, dtype=np.int64)
-        best = np.full(n, len(a))
-        np.minimum.at(best, x, alive)
-        np.minimum.at(best, y, alive)
-        picked = np.unique(best[best < len(a)])
-        chosen.append(picked)
-        _join(roots, a[picked], b[picked])
+def _survivors(prints: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    for k in range(table.shape[1]):  # the maximum coordinate difference, one coordinate after another
+        keep = np.abs(table[a, k] - table[b, k]) <= max_bits
+        a, b = a[keep], b[keep]
+        if not len(a):
+            return a, b
+    keep = np.bitwise_count(prints[a] ^ prints[b]) <= max_bits
+    return a[keep], b[keep]
 
 
 def _pairs(prints: np.ndarray, cells: np.ndarray, max_bits: int, pivots: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -163,38 +145,27 @@ def linked(prints: np.ndarray, cells: np.ndarray, max_bits: int = MAX_BITS, pivo
     """
     roots = np.arange(len(prints))
     for a, b in _pairs(prints, cells, max_bits, pivots):
-        _join(roots, a, b)
+        merge(roots, a, b)
     return roots
 
 
-def shortest(prints: np.ndarray, cells: np.ndarray, max_bits: int, pivots: np.ndarray = PIVOTS) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside cells that make minimum spanning forests, weighed by bits that differ; no more than one a row is held back."""
-    a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def cut() -> None:
-        nonlocal a, b
-        a, b = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((a, b)))
-        held.clear()
-        kept = spanning(len(prints), a, b, np.bitwise_count(prints[a] ^ prints[b]))
-        a, b = a[kept], b[kept]
+def _table(prints: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(prints[:, None] ^ pivots[None, :]).astype(np.int8)
 
-    for pair in _pairs(prints, cells, max_bits, pivots):
-        held.append(pair)
-        if sum(len(x) for x, _ in held) > 4 * len(prints) + HELD_PAIRS:
-            cut()
-    cut()
-    return a, b
 
+def coordinates(fp: Column) -> Column:
+    """The dealing table's row as one bigint, two bits a coordinate, from the lowest.
 
-def _table(prints: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(prints[:, None] ^ pivots[None, :]).astype(np.int8)
+    1 - (d(x, r) - d(x, 0)) / 2 counts the bits of r that x has: one where its two bits differ, two where both are set.
+    """
+    low, other = F.lit(0x5555555555555555), F.shiftrightunsigned(fp, 1)
+    return fp.bitwiseXOR(other).bitwiseAND(low).bitwiseOR(F.shiftleft(fp.bitwiseAND(other).bitwiseAND(low), 1))
 
 
 def _masks(max_bits: int) -> list[int]:
-    """One mask for each choice of INTACT of max_bits + INTACT bands."""
-    count = max_bits + INTACT
-    edges = [round(64 * k / count) for k in range(count + 1)]
+    """One mask of coordinates for each choice of INTACT of max_bits + INTACT bands."""
+    count, n = max_bits + INTACT, len(REFERENCES)
+    edges = [2 * round(n * k / count) for k in range(count + 1)]
     out = []
     for chosen in combinations(range(count), INTACT):
         mask = sum((1 << edges[k + 1]) - (1 << edges[k]) for k in chosen)
@@ -202,228 +173,63 @@ def _masks(max_bits: int) -> list[int]:
     return out
 
 
-def _whole_cells(batches: Iterator[pd.DataFrame], *keys: str) -> Iterator[pd.DataFrame]:
-    """Sorted rows in portions that end where a cell ends."""
-    rest: list[pd.DataFrame] = []  # rows of a cell that is not over yet
-    for batch in batches:
-        if not len(batch):
-            continue
-        rest.append(batch)
-        if all(rest[0][k].iloc[0] == batch[k].iloc[-1] for k in keys):
-            continue
-        last = np.flatnonzero(reduce(np.logical_or, [batch[k].to_numpy() != batch[k].iloc[-1] for k in keys]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        yield pd.concat([*rest[:-1], batch.iloc[:cut]], ignore_index=True)
-        rest = [batch.iloc[cut:]]
-    if rest:
-        yield pd.concat(rest, ignore_index=True)
-
-
-def _in_cells(prints: DataFrame, max_bits: int, found) -> DataFrame:
-    """(a, b) that ``found(fingerprints, cells)`` gives of each cell, as positions of a and b."""
-    if not 0 <= max_bits <= 8:
-        raise ValueError("links of 0 to 8 bits are found")
-    cells = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(max_bits)])).alias("choice", "cell"))
-
-    def edges(part: pd.DataFrame) -> pd.DataFrame:
-        signed, choice, cell = part["fp"].to_numpy(), part["choice"].to_numpy(), part["cell"].to_numpy()
-        new = np.r_[True, (choice[1:] != choice[:-1]) | (cell[1:] != cell[:-1])]
-        a, b = found(signed.view(np.uint64), np.cumsum(new))
-        return pd.DataFrame({"a": signed[a], "b": signed[b]})
-
-    dealt = cells.repartition("choice", "cell").sortWithinPartitions("choice", "cell", "fp")
-    return dealt.mapInPandas(lambda batches: map(edges, _whole_cells(batches, "choice", "cell")), "a bigint, b bigint")
-
-
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): a forest that joins whatever distinct fingerprints (column ``fp``) link, directly or not."""
-
-    def forest(unsigned: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        roots = linked(unsigned, cells, max_bits)
-        child = np.flatnonzero(roots != np.arange(len(roots)))
-        return child, roots[child]
-
-    return _in_cells(prints, max_bits, forest)
+def _forest(part: pd.DataFrame, keys: list[str], max_bits: int) -> pd.DataFrame:
+    signed = part["fp"].to_numpy()
+    new = np.zeros(len(part), dtype=bool)
+    for c in (part[k].to_numpy() for k in keys):
+        new[1:] |= c[1:] != c[:-1]
+    roots = linked(signed.view(np.uint64), np.cumsum(new), max_bits)
+    child = np.flatnonzero(roots != np.arange(len(roots)))
+    return pd.DataFrame({"a": signed[child], "b": signed[roots[child]]})
 
 
-def short_links(prints: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): links among distinct fingerprints that make a minimum spanning forest of each cell, hence of all."""
-    return _in_cells(prints, max_bits, lambda unsigned, cells: shortest(unsigned, cells, max_bits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def confirmed(edges: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int = CONFIRM_SHINGLE, least: float = CONFIRM) -> DataFrame:
-    """The links whose documents share enough shingles; ``distinct`` has a document's id (``least``) for each ``fp``."""
-    asked = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.where("least is not null"), "fp").select("fp", F.col("least").alias("__id"))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(asked, "__id")
-    sets = materialise(texts.groupBy("fp").agg(F.min("__text").alias("__text")).select("fp", sketch(F.col("__text"), shingle, 0).alias("s")))
-    a, b = (sets.select(F.col("fp").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
-    both = edges.join(a, "a").join(b, "b")
-    return both.where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select("a", "b")
-
-
-def parities(sets: Column) -> Column:
-    """PARITIES bits, each set where an odd number of the hashes falls to it: two sets differ in no fewer hashes than these in bits."""
-
-    @F.pandas_udf("binary")
-    def odd(sets: pd.Series) -> pd.Series:
-        if not len(sets):
-            return pd.Series([], dtype=object)
-        at = np.repeat(np.arange(len(sets)) * PARITIES, sets.map(len)) + (np.concatenate(list(sets)) & (PARITIES - 1))
-        bits = np.bincount(at, minlength=len(sets) * PARITIES).reshape(-1, PARITIES) & 1
-        return pd.Series([x.tobytes() for x in np.packbits(bits.astype(np.uint8), axis=1)])
-
-    return odd(sets)
-
-
-def _maybe_alike(cells: np.ndarray, size: np.ndarray, label: np.ndarray, odd: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, parities that differ) of pairs inside cells with other labels that can reach ``least``; rows are sorted by size inside a cell."""
-
-    def able(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keep = (label[a] != label[b]) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]) - 1e-6)
-        a, b = a[keep], b[keep]
-        most, d = (size[a] + size[b]) * ((1 - least) / (1 + least)) + 1e-6, np.zeros(len(a), dtype=np.int64)
-        for k in range(odd.shape[1]):
-            d = d + np.bitwise_count(odd[a, k] ^ odd[b, k])
-            keep = d <= most
-            a, b, d, most = a[keep], b[keep], d[keep], most[keep]
-        return a, b, d
-
-    starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.array([], dtype=int)
-    lengths = np.diff(np.r_[starts, len(cells)])
-    small = lengths <= SMALL_CELL
-    of = np.flatnonzero(np.repeat(small, lengths))
-    for gap in range(1, int(lengths[small].max(initial=1))):
-        at = np.flatnonzero(cells[of[gap:]] == cells[of[:-gap]])
-        yield able(of[at], of[at + gap])
-    for start, length in zip(starts[~small], lengths[~small], strict=True):
-        own = label[start : start + length]
-        names, counts = np.unique(own, return_counts=True)
-        most = own == names[counts.argmax()]  # rows of one label aren't compared with each other
-        fewer, sizes = np.flatnonzero(~most), size[start : start + length]
-        for at in range(0, len(fewer), ROWS_AT_ONCE):
-            rows = fewer[at : at + ROWS_AT_ONCE]
-            low, high = np.searchsorted(sizes, least * sizes[rows[0]] - 1e-6), np.searchsorted(sizes, sizes[rows[-1]] / least + 1e-6, side="right")
-            for other in range(low, high, 8 * ROWS_AT_ONCE):
-                columns = np.arange(other, min(other + 8 * ROWS_AT_ONCE, high))
-                x, y = np.nonzero(most[columns][None, :] | (rows[:, None] < columns[None, :]))
-                yield able(rows[x] + start, columns[y] + start)
-
-
-def heads(prints: DataFrame, least: float = CONFIRM) -> DataFrame:
-    """``prints`` with sid, size, odd and head for the shingles s: a hash of their set, its size, its parities and the first of its hashes."""
-    head = F.slice("s", F.lit(1), F.floor((1 - least) * F.size("s") + 1e-6).cast("int") + 1)
-    return prints.withColumn("odd", parities(F.col("s"))).withColumns({"sid": F.xxhash64("s"), "size": F.size("s"), "head": head}).drop("s")
+def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
+    """(a, b): edges that join whatever distinct fingerprints (column ``fp``) link, directly or not."""
+    if not 0 <= max_bits <= 8:
+        raise ValueError("links of 0 to 8 bits are found")
+    table, cell = coordinates(F.col("fp")), ["choice", "cell"]
+    cells = prints.select("fp", F.posexplode(F.array(*[table.bitwiseAND(F.lit(m)) for m in _masks(max_bits)])).alias(*cell))
 
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part, number in portions(batches, cell, chunk):
+            if number is None:
+                yield _forest(part, cell, max_bits).assign(choice=0, cell=0, chunk=-1)
+            else:  # too large to hold: its rows come again
+                yield pd.DataFrame({"a": part["fp"], "b": part["fp"], "choice": part["choice"], "cell": part["cell"], "chunk": number})
 
-def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = CONFIRM) -> DataFrame:
-    """(a, b): fingerprints to join beyond ``edges`` so that all documents whose shingles reach ``least`` end together.
+    dealt = cells.repartition(*cell).sortWithinPartitions(*cell, "fp")
+    found = materialise(dealt.mapInPandas(search, "a bigint, b bigint, choice int, cell bigint, chunk int"))
+    edges, large = found.where("chunk < 0").select("a", "b"), found.where("chunk >= 0").select(F.col("a").alias("fp"), *cell, "chunk")
+    counts = large.groupBy(*cell).agg((F.max("chunk") + 1).alias("chunks"))
+    if counts.isEmpty():
+        return edges
+    two = [*cell, "low", "high"]
+    again = large.join(counts, cell).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    again = again.select("fp", *cell, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")).repartition(*two).sortWithinPartitions(*two, "fp")
 
-    ``prints`` has (doc_id, fp) and what ``heads`` adds; documents without an id are left out.
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part, _ in portions(batches, two, 2 * chunk):  # no more than two chunks meet
+            yield _forest(part, two, max_bits)
 
-    Of two sets at ``least`` or more, each has a share of ``least`` at least in the other, so the sets' first hashes, a share of 1 - ``least``
-    and one more, have one in common. Sets that share such a hash meet in its cell; their sizes and parities discard pairs. A spanning forest of the
-    rest is confirmed first; then all pairs are that it leaves apart. No hash and no pair is capped.
-    """
-    sets = prints.where("doc_id is not null and size > 0")
-    owners = materialise(sets.groupBy("sid").agg(F.min("fp").alias("owner"), F.min("doc_id").alias("__id"), F.first("size").alias("size"), F.first("odd").alias("odd")))
-    edges = edges.unionByName(sets.select("sid", "fp").distinct().join(owners.select("sid", "owner"), "sid").where("fp <> owner").select(F.col("owner").alias("a"), F.col("fp").alias("b")))
-    first = sets.select("sid", F.explode("head").alias("token")).repartition("token")  # one exchange for both sides of the join
-    again = first.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
-    rows = materialise(first.join(again, "token", "left_semi").distinct())
-    release(prints.sparkSession)
-    # of cells with the same members one is enough
-    members = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("sid").alias("x"), F.bit_xor(F.xxhash64("sid")).alias("y"))
-    rows = materialise(rows.join(members.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"), "token", "left_semi"))
-    release(prints.sparkSession)
-
-    def asked_pairs(edges: DataFrame, forest: bool) -> DataFrame:
-        own = owners.select("sid", F.col("owner").alias("fp"), "size", "odd")
-        labels = own.withColumn("label", F.col("fp")) if edges.isEmpty() else own.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp"))
-        dealt = rows.join(labels.select("sid", "size", "odd", "label"), "sid").repartition("token").sortWithinPartitions("token", "size")
-
-        def found(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            sid, token, size, label = (part[k].to_numpy() for k in ("sid", "token", "size", "label"))
-            odd = np.frombuffer(b"".join(part["odd"]), dtype=np.uint64).reshape(len(part), -1)
-            pairs = _maybe_alike(token, size.astype(np.int64), label, odd, least)
-            if forest:
-                pairs = _shortest_between(pairs, np.unique(label, return_inverse=True)[1])
-            for a, b, _ in pairs:
-                yield pd.DataFrame({"a": np.minimum(sid[a], sid[b]), "b": np.maximum(sid[a], sid[b])})
-
-        return dealt.mapInPandas(lambda batches: (x for part in _whole_cells(batches, "token") for x in found(part)), "a bigint, b bigint").distinct()
-
-    def right(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(owners.select("sid", "__id", "owner"), "sid")
-        texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(asked, "__id")
-        # documents may share an id, so the set is hashed again
-        found = texts.withColumn("s", sketch(F.col("__text"), CONFIRM_SHINGLE, 0)).where(F.xxhash64("s") == F.col("sid")).dropDuplicates(["__id", "sid"])
-        held = materialise(found.select("sid", "owner", "s"))
-        a, b = (held.select(F.col("sid").alias(k), F.col("s").alias(f"s{k}"), F.col("owner").alias(f"fp{k}")) for k in "ab")
-        return pairs.join(a, "a").join(b, "b").where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select(F.col("fpa").alias("a"), F.col("fpb").alias("b"))
-
-    edges = materialise(edges)
-    tried = materialise(asked_pairs(edges, True))
-    edges = materialise(edges.unionByName(right(tried)))
-    release(prints.sparkSession)
-    rest = materialise(asked_pairs(edges, False).join(tried, ["a", "b"], "left_anti"))
-    return edges if rest.isEmpty() else materialise(edges.unionByName(right(rest)))
-
-
-def _shortest_between(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], label: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """One portion: pairs that make a minimum spanning forest of the labels."""
-    kept = tuple(np.zeros(0, dtype=np.int64) for _ in range(3))
-    held: list[tuple[np.ndarray, ...]] = []
-
-    def cut() -> None:
-        nonlocal kept
-        a, b, d = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate(kept))
-        held.clear()
-        chosen = spanning(len(label), label[a], label[b], d)
-        kept = a[chosen], b[chosen], d[chosen]
-
-    for pair in pairs:
-        held.append(pair)
-        if sum(len(x[0]) for x in held) > 4 * len(label) + HELD_PAIRS:
-            cut()
-    cut()
-    return [kept]
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): each node of ``edges`` (a, b) with the smallest node that it reaches.
-
-    Labels spread to neighbours and then jump to their label's label; each round is checkpointed.
-    """
-    both = materialise(edges.where("a <> b").select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct())
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")))
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("root", "near").alias("to"), F.col("root").alias("was"))
-        ahead = labels.select(F.col("node").alias("to"), F.col("root").alias("further"))
-        labels = materialise(step.join(ahead, "to").select("node", F.least("to", "further").alias("root"), "was"))
-        if labels.where("root <> was").isEmpty():
-            return labels.select("node", "root")
-        labels = labels.select("node", "root")
+    return edges.unionByName(again.mapInPandas(compare, "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, confirm: bool = False) -> DataFrame:
     """One row a document: (doc_id, fp, component_id).
 
-    With ``confirm``, fingerprints that differ link where the documents' shingles are alike, and only there; that is for wider radii.
+    With ``confirm``, fingerprints that differ link where the documents' five-word shingles are alike, and only there, however many bits
+    differ: links within ``max_bits`` are confirmed first, and ``alike`` finds all others.
     """
     bounded_batches(docs.sparkSession)
     shingles = [sketch(F.col(text_col), CONFIRM_SHINGLE, 0).alias("s")] if confirm else []
     prints = docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp"), *shingles)
     prints = materialise(heads(prints) if confirm else prints)
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    edges = materialise(links(distinct, max_bits))
     if confirm:
-        near = materialise(short_links(distinct, max_bits))
+        edges = materialise(confirmed(edges, prints, docs, id_col, text_col))
         release(docs.sparkSession)
-        near = materialise(confirmed(near, distinct, docs, id_col, text_col))
-        release(docs.sparkSession)
-        edges = alike(prints, near, docs, id_col, text_col)
-    else:
-        edges = materialise(links(distinct, max_bits))
+        edges = alike(prints, edges, docs, id_col, text_col)
     if edges.isEmpty():
         classes = distinct.select("fp", F.col("least").alias("component_id"))
     else:
@@ -450,21 +256,3 @@ def op10_simhash(spark, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def brute_force(rows: list[tuple[int | None, str | None]], max_bits: int = MAX_BITS) -> dict[int, tuple[str, int]]:
-    """All pairs compared: doc_id to (hex fingerprint, component id). For tests."""
-    prints = [fingerprint(t) for _, t in rows]
-    roots = list(range(len(rows)))
-
-    def find(i: int) -> int:
-        while roots[i] != i:
-            i = roots[i]
-        return i
-
-    for i, j in combinations(range(len(rows)), 2):
-        if (prints[i] ^ prints[j]).bit_count() <= max_bits:
-            a, b = sorted((find(i), find(j)), key=lambda x: rows[x][0])
-            roots[b] = a
-    least = reduce(lambda m, i: m | {find(i): min(m.get(find(i), rows[i][0]), rows[i][0])}, range(len(rows)), {})
-    return {rows[i][0]: (f"{prints[i]:016x}", least[find(i)]) for i in range(len(rows))}

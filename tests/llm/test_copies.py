@@ -2,12 +2,17 @@
 
 import hashlib
 import random
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from paperloom.llm import graph as G
+from paperloom.llm import shingle_join as J
 from paperloom.llm import simhash as S
 from paperloom.llm import sketch as K
 
@@ -21,6 +26,24 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def brute_force(rows, max_bits=2):
+    """All pairs compared: doc_id to (hex fingerprint, component id)."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    roots = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= max_bits:
+            a, b = sorted((find(i), find(j)), key=lambda x: rows[x][0])
+            roots[b] = a
+    least = reduce(lambda m, i: m | {find(i): min(m.get(find(i), rows[i][0]), rows[i][0])}, range(len(rows)), {})
+    return {rows[i][0]: (f"{prints[i]:016x}", least[find(i)]) for i in range(len(rows))}
+
+
 def test_fingerprints(prose):
     for text in [None, "", "One", "One Two", "a b c", "a b c d", "ÀÉ Über", "x y z x y z x y z", prose(1, 200), "A\tB\nC  D"]:
         assert S.fingerprint(text) == plain_fingerprint(text)
@@ -37,14 +60,14 @@ def flipped(seed, n, around):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_links_lose_nothing(spark, seed):
+@pytest.mark.parametrize(("seed", "chunk"), [(0, S.CHUNK), (1, S.CHUNK), (2, 7), (3, 40)])
+def test_links_lose_nothing(spark, seed, chunk):
     r = random.Random(seed)
     around = [r.getrandbits(64) for _ in range(30)]
     prints = sorted(set(flipped(seed, 400, around) + [0, 1, 3, 7, 2**63, 2**64 - 1]))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    edges = S.links(spark.createDataFrame([(signed(x),) for x in prints], "fp long"))
-    found = {row["node"]: row["root"] for row in S.components(edges).collect()}
+    edges = S.links(spark.createDataFrame([(signed(x),) for x in prints], "fp long"), chunk=chunk)
+    found = {row["node"]: row["root"] for row in G.components(edges).collect()}
     roots = list(range(len(prints)))
 
     def find(i):
@@ -63,6 +86,35 @@ def test_links_lose_nothing(spark, seed):
         assert {found.get(x, x) for x in g} == {min(g)}
 
 
+def test_table(spark):
+    r = random.Random(6)
+    prints = [r.getrandbits(64) for _ in range(50)] + [0, 2**64 - 1, 1 << 63, 3]
+    bits = lambda a, b: (a ^ b).bit_count()
+    rows = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(prints)], "i int, fp long")
+    for i, t in rows.select("i", S.coordinates(rows["fp"])).collect():
+        x = prints[i]
+        assert [(t >> 2 * j) & 3 for j in range(32)] == [1 - (bits(x, int(ref)) - bits(x, 0)) // 2 for ref in S.REFERENCES]
+    assert sum(int(x) for x in S.REFERENCES) == 2**64 - 1  # no bit in two references
+
+
+def test_portions():
+    r = random.Random(7)
+    for most in (1, 3, 10, None):
+        keys = sorted(r.choices(range(12), k=80))
+        rows, batches = pd.DataFrame({"k": keys, "v": range(80)}), []
+        at = 0
+        while at < 80:
+            n = r.randrange(0, 9)
+            batches.append(rows.iloc[at : at + n])
+            at += n
+        got = list(G.portions(iter(batches), ["k"], most))
+        assert [v for part, _ in got for v in part["v"]] == list(range(80))
+        for part, chunk in got:
+            counts = [keys.count(k) for k in set(part["k"])]
+            assert len(part) == sum(counts) if chunk is None else len(set(part["k"])) == 1 and len(part) <= most + 8 and most < counts[0]  # batches have 8 rows at most
+        assert len({(part["k"].iloc[0], chunk) for part, chunk in got if chunk is not None}) == sum(chunk is not None for _, chunk in got)
+
+
 def test_large_cell_is_exact():
     prints = np.array(sorted(set(flipped(9, 3000, 0xDEADBEEF12345678))), dtype=np.uint64)
     roots = S.linked(prints, np.zeros(len(prints), dtype=int))
@@ -81,7 +133,7 @@ def test_near_duplicates(docs, prose):
     words = base.split()
     rows = [(10, base), (7, base.upper()), (3, " ".join([*words[:150], "swapped", *words[151:]])), (20, prose(2, 300)), (21, None), (22, ""), (23, " \n"), (20, prose(2, 300)), (30, "tiny"), (31, "tiny"), (40, prose(5, 30000))]
     found = [tuple(r) for r in S.near_duplicates(docs(rows)).collect()]
-    expected = S.brute_force(rows)
+    expected = brute_force(rows)
     assert len(found) == len(rows)
     for doc_id, fp, component in found:
         assert (f"{fp & (2**64 - 1):016x}", component) == expected[doc_id]
@@ -157,7 +209,7 @@ def test_spanning_forest():
         n = 30
         edges = [(a, b, r.randrange(5)) for a in range(n) for b in range(a) if r.random() < 0.15]
         a, b, d = (np.array([e[k] for e in edges], dtype=np.int64) for k in range(3))
-        kept = S.spanning(n, a, b, d)
+        kept = G.spanning(n, a, b, d)
         roots, weight, count = list(range(n)), 0, 0
 
         def find(i, roots=roots):
@@ -170,7 +222,7 @@ def test_spanning_forest():
                 roots[find(x)] = find(y)
                 weight, count = weight + w, count + 1
         assert (len(kept), int(d[kept].sum())) == (count, weight)
-    assert len(S.spanning(3, *(np.zeros(0, dtype=np.int64),) * 3)) == 0
+    assert len(G.spanning(3, *(np.zeros(0, dtype=np.int64),) * 3)) == 0
 
 
 def test_confirmed_near_copies(docs, prose):
@@ -185,14 +237,14 @@ def test_confirmed_near_copies(docs, prose):
             rows.append((10 * g + k, " ".join(w)))
     rows += [(500, None), (501, ""), (502, "lone words here"), (None, rows[0][1])]
     texts = {i: {" ".join(x) for x in zip(*(t.split()[k:] for k in range(5)), strict=False)} for i, t in rows if t and i is not None and i < 500}
-    found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=6, confirm=True).collect() if x["doc_id"] is not None}
+    found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), confirm=True).collect() if x["doc_id"] is not None}
     same = lambda a, b: len(texts[a] & texts[b]) / len(texts[a] | texts[b])
     near = [(a, b) for a in texts for b in texts if a < b and same(a, b) >= 0.8]
-    assert np.mean([found[a] == found[b] for a, b in near]) > 0.6
+    assert all(found[a] == found[b] for a, b in near)
     for i, c in found.items():
         assert i >= 500 or i // 10 == c // 10
     assert (found[500], found[501], found[502]) == (500, 500, 502)
-    kept = S.keep_one(docs(rows), max_bits=6, confirm=True)
+    kept = S.keep_one(docs(rows), confirm=True)
     assert sorted(x["doc_id"] for x in kept.where("doc_id is not null").collect()) == sorted(set(found.values()))
 
 
@@ -229,6 +281,24 @@ def test_every_near_copy_is_joined(docs, prose):
         assert found == {i: find(i) for i in sets}
 
 
+def test_parities_discard_no_pair(spark):
+    r = random.Random(13)
+    sets = []
+    for k in range(60):
+        base = [r.getrandbits(63) for _ in range(r.choice([1, 5, 400, 600, 1500]))]
+        sets.append(base)
+        sets.append([*base[: len(base) - len(base) // r.randrange(3, 20)], *(r.getrandbits(63) for _ in range(len(base) // 12))])
+    rows = spark.createDataFrame([(i, sorted(set(x))) for i, x in enumerate(sets)], "fp long, s array<bigint>")
+    kept = J.heads(rows).select("fp", "sid", "size", "wide", "odd").collect()
+    assert all(len(x["odd"]) == J.PARITIES // 8 and 64 * len(x["wide"]) >= max(J.PARITIES, x["size"]) for x in kept)
+    side = lambda k: J.heads(rows).select(F.col("fp").alias(k), F.col("size").alias(f"n{k}"), F.col("wide").alias(f"w{k}"))
+    passed = {(x["a"], x["b"]) for x in side("a").crossJoin(side("b")).where(J._may_reach(0.8)).select("a", "b").collect()}
+    alike = lambda x, y: len(set(x) & set(y)) / len(set(x) | set(y))
+    scores = {(a, b): alike(sets[a], sets[b]) for a in range(len(sets)) for b in range(len(sets))}
+    assert {p for p, v in scores.items() if v >= 0.8} <= passed
+    assert not [p for p in passed if scores[p] < 0.5 and len(sets[p[0]]) > 5]
+
+
 def test_nearer_false_links_hide_no_pair(spark, docs, monkeypatch):
     r = random.Random(12)  # here two false links are nearer than the true one, so a forest of all three leaves that out
     base = [f"w{r.randrange(10**6)}" for _ in range(90)]
@@ -244,6 +314,6 @@ def test_nearer_false_links_hide_no_pair(spark, docs, monkeypatch):
     alike = [(a, b) for b in range(3) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     assert (alike, bits(0, 1), bits(0, 2), bits(1, 2)) == ([(0, 1)], 6, 5, 5)
     signed = [f - (1 << 64) if (f := S.fingerprint(t)) >> 63 else f for _, t in rows]
-    monkeypatch.setattr(S, "short_links", lambda prints, max_bits: spark.createDataFrame([(signed[0], signed[2]), (signed[1], signed[2])], "a long, b long"))
+    monkeypatch.setattr(S, "links", lambda prints, max_bits: spark.createDataFrame([(signed[0], signed[2]), (signed[1], signed[2])], "a long, b long"))
     found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=6, confirm=True).collect()}
     assert found == {0: 0, 1: 0, 2: 2}
