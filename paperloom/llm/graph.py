@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
+#: Links to a part of a checkpoint, about.
+LINKS_A_PART = 500_000
+
 
 def merge(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Merge the trees of each a and b; roots point to smaller or equal positions."""
@@ -85,13 +88,32 @@ def portions(batches: Iterator[pd.DataFrame], keys: list[str], most: int | None
     yield from ended()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The links (a, b) of one part as (node, root): each node with the smallest that it reaches there, itself included."""
+    held = [x for x in batches if len(x)]
+    if held:
+        a, b = (np.concatenate([x[k].to_numpy() for x in held]) for k in "ab")
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        roots = np.arange(len(nodes))
+        merge(roots, at[: len(a)], at[len(a) :])
+        yield pd.DataFrame({"node": nodes, "root": nodes[roots]})
+
+
+def components(edges: DataFrame, links_a_part: int = LINKS_A_PART) -> DataFrame:
     """(node, root): each node of ``edges`` (a, b) with the smallest node that it reaches.
 
-    Labels spread to neighbours and then jump to their label's label; each round is checkpointed.
+    Links are merged inside parts of about ``links_a_part``; one part is the whole answer. Of more, the parts' stars are joined: labels spread
+    to neighbours and then jump to their label's label; each round is checkpointed.
     """
-    both = materialise(edges.where("a <> b").select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct())
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")))
+    edges = materialise(edges.where("a <> b").select("a", "b").distinct())
+    parts = 1 + edges.count() // links_a_part
+    dealt = edges.coalesce(1) if parts == 1 else edges.repartition(parts, "a")
+    stars = materialise(dealt.mapInPandas(_stars, "node bigint, root bigint"))
+    if parts == 1:
+        return stars
+    both = stars.select(F.inline(F.array(F.struct(F.col("node").alias("a"), F.col("root").alias("b")), F.struct(F.col("root").alias("a"), F.col("node").alias("b"))))).distinct()
+    both = materialise(both)
+    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         step = labels.join(near, "node").select("node", F.least("root", "near").alias("to"), F.col("root").alias("was"))

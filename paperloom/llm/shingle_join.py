@@ -27,11 +27,15 @@ CONFIRM_SHINGLE, CONFIRM = 5, 0.8
 PARITIES = 512
 #: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; pairs held back.
 ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
+#: Documents up to which the ids of those asked for are sent to every executor (some 40 bytes each).
+BROADCAST_ROWS = 500_000
 
 
 def _hashes_of(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``asked`` (__id, sid, ...) with the shingle hashes s of that document whose set has the hash ``sid``: documents may share an id."""
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(asked, "__id")
+    asked = materialise(asked)
+    few = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked  # a few numbers a row; texts are shuffled only beyond that
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(few, "__id")
     # explode keeps the filter from computing the shingles once more
     found = texts.select(*asked.columns, F.explode(F.array(sketch(F.col("__text"), CONFIRM_SHINGLE, 0))).alias("s"))
     return found.where(F.xxhash64("s") == F.col("sid")).dropDuplicates(["__id", "sid"])

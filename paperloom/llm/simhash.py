@@ -211,7 +211,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Da
         for part, _ in portions(batches, two, 2 * chunk):  # no more than two chunks meet
             yield _forest(part, two, max_bits)
 
-    return edges.unionByName(again.mapInPandas(compare, "a bigint, b bigint"))
+    return materialise(edges.unionByName(again.mapInPandas(compare, "a bigint, b bigint")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, confirm: bool = False) -> DataFrame:
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp"), *shingles)
     prints = materialise(heads(prints) if confirm else prints)
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = materialise(links(distinct, max_bits))
+    edges = links(distinct, max_bits)
     if confirm:
         edges = materialise(confirmed(edges, prints, docs, id_col, text_col))
         release(docs.sparkSession)

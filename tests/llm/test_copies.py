@@ -97,6 +97,19 @@ def test_table(spark):
     assert sum(int(x) for x in S.REFERENCES) == 2**64 - 1  # no bit in two references
 
 
+@pytest.mark.parametrize("links_a_part", [G.LINKS_A_PART, 40])
+def test_components(spark, links_a_part):
+    r = random.Random(5)
+    edges = [(r.randrange(-150, 150), r.randrange(-150, 150)) for _ in range(120)] + [(1000 + i, 1001 + i) for i in range(90)] + [(5, 5), (7000, 7000)]
+    least = {x: x for e in edges for x in e}
+    for _ in range(len(edges)):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    found = {x["node"]: x["root"] for x in G.components(spark.createDataFrame([*edges, *edges[:9]], "a long, b long"), links_a_part).collect()}
+    assert found == {x: v for x, v in least.items() if any(x in e and e[0] != e[1] for e in edges)}
+    assert G.components(spark.createDataFrame([], "a long, b long"), links_a_part).count() == 0
+
+
 def test_portions():
     r = random.Random(7)
     for most in (1, 3, 10, None):
