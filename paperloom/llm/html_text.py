@@ -31,7 +31,7 @@ PATH_DIM, WORD_DIM, SHAPE_DIM = 96, 32, 8
 HIDDEN = 24
 PAGES, EPOCHS, BATCH, RATE = 1200, 10, 32, 0.01
 #: Share of the tag paths left out in training.
-UNREAD = 0.03
+UNREAD = 0.15
 #: Blocks (padding included) labelled at a time.
 CELLS = 1 << 15
 
@@ -48,11 +48,17 @@ ENDS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
+_ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*"
 _token = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)(?![a-zA-Z0-9:-])(" + _ATTRIBUTES + r")>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(" + _ATTRIBUTES + r")>|<[!?][^>]*>|[^<]+|<",
     re.S | re.I,
 )
+#: Elements that hold no text of the page. Of one that is never closed, a script, style or iframe takes the rest of the page with it, as
+#: browsers have it; of the others the tag alone is dropped, and of these a tag that closes itself is whole.
+TO_THE_END = frozenset("script style iframe".split())
+_closing = {tag: re.compile(rf"</{tag}(?![a-zA-Z0-9:-])[^>]*>", re.I) for tag in "script style noscript template svg iframe object".split()}
+_opening = {tag: re.compile(rf"<{tag}(?![a-zA-Z0-9:-])({_ATTRIBUTES})>", re.S | re.I) for tag in ("template", "svg", "object")}
 _named = re.compile(r"""(?<![\w-])(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _part = re.compile(r"[a-z]+")
 _digit = re.compile(r"\d")
@@ -64,6 +70,24 @@ class Block(NamedTuple):
     linked: float  # share of its characters in links
 
 
+def _past(page: str, m: re.Match, unclosed: set[str]) -> int:
+    """Where the page goes on after the element without text whose opening tag is ``m``; ``unclosed``: tags not closed any more."""
+    tag, at = m[1].lower(), m.end()
+    if tag not in TO_THE_END and m[2].endswith("/"):
+        return at
+    depth = 1  # templates, drawings and objects may stand inside one another
+    while tag not in unclosed:
+        if not (end := _closing[tag].search(page, at)):
+            unclosed.add(tag)
+            break
+        if tag in _opening:
+            depth += sum(not x[1].endswith("/") for x in _opening[tag].finditer(page, at, end.start()))
+        depth, at = depth - 1, end.end()
+        if not depth:
+            return at
+    return len(page) if tag in TO_THE_END else at
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks that have text."""
     out: list[Block] = []
@@ -92,18 +116,22 @@ def blocks(page: str | None) -> list[Block]:
             if stack[i][0] in beyond:
                 return
 
-    for m in _token.finditer(page or ""):
-        tag = m[3]
+    page, here, unclosed = page or "", 0, set()
+    while m := _token.match(page, here):
+        here, tag = m.end(), m[4]
+        if m[1]:
+            if m[1].lower() in ("iframe", "object"):
+                flush()
+            here = _past(page, m, unclosed)
+            continue
         if tag is None:
             text = m[0]
             if text[0] != "<" or text == "<":
                 parts.append(text)
                 links += len(text) if in_link else 0
-            elif m[1] and m[1].lower() in ("iframe", "object"):
-                flush()
             continue
         tag = tag.lower()
-        if m[2]:
+        if m[3]:
             if tag in BLOCK_TAGS:
                 flush()
             if any(x[0] == tag for x in stack):
@@ -121,9 +149,9 @@ def blocks(page: str | None) -> list[Block]:
                 close({"p"}, {"td", "th", "div", "li", "article", "section", "body", "button", "blockquote"})
             if tag in ENDS:
                 close(*ENDS[tag])
-        if tag in VOID_TAGS or m[4].endswith("/"):
+        if tag in VOID_TAGS or m[5].endswith("/"):
             continue
-        names = " ".join(_part.findall(" ".join(a or b or c for _, a, b, c in _named.findall(m[4])).lower())) if "=" in m[4] else ""
+        names = " ".join(_part.findall(" ".join(a or b or c for _, a, b, c in _named.findall(m[5])).lower())) if "=" in m[5] else ""
         stack.append((tag, f"{tag} {names}" if names else tag))
         in_link += tag == "a"
     flush()
@@ -266,15 +294,15 @@ SAID = {
     "head": "site logo welcome edition daily skip to content sign in search".split(),
 }
 PLACES = {
-    "menu": ["<nav>{}</nav>", '<div class="menu">{}</div>', '<div id="navbar" class="nav main-nav">{}</div>', '<ul class="breadcrumb">{}</ul>', '<div role="navigation">{}</div>'],
+    "menu": ["<table><tr><td>{}</td></tr></table>", "<div>{}</div>", "<section>{}</section>", "<nav>{}</nav>", '<div class="menu">{}</div>', '<div id="navbar" class="nav main-nav">{}</div>', '<ul class="breadcrumb">{}</ul>', '<div role="navigation">{}</div>'],
     "ad": ['<div class="ad">{}</div>', '<div class="ads banner">{}</div>', '<div id="advert">{}</div>', '<aside class="promo sponsor">{}</aside>', '<div class="advertisement">{}</div>', '<section class="sponsored">{}</section>'],
     "notice": ['<div class="cookie-notice">{}</div>', '<div id="consent-banner" role="dialog">{}</div>', '<div class="notice alert">{}</div>', '<div class="popup modal">{}</div>'],
-    "form": ["<form>{}</form>", '<form class="newsletter">{}</form>', '<div class="subscribe"><form>{}</form></div>', '<form role="search">{}</form>'],
+    "form": ["<section>{}</section>", "<div>{}</div>", "<form>{}</form>", '<form class="newsletter">{}</form>', '<div class="subscribe"><form>{}</form></div>', '<form role="search">{}</form>'],
     "comment": ['<section id="comments">{}</section>', '<div class="comments">{}</div>', '<ol class="commentlist">{}</ol>', '<div class="comment-thread discussion">{}</div>', '<div id="disqus" class="reviews">{}</div>'],
-    "side": ["<aside>{}</aside>", '<div class="sidebar">{}</div>', '<div class="widget related">{}</div>', '<div class="share social">{}</div>', '<div id="secondary" class="side">{}</div>', '<aside class="sidebar">{}</aside>'],
-    "foot": ["<footer>{}</footer>", '<div id="footer">{}</div>', '<div class="site-footer">{}</div>', '<footer role="contentinfo">{}</footer>'],
+    "side": ["<section>{}</section>", "<aside>{}</aside>", '<div class="sidebar">{}</div>', '<div class="widget related">{}</div>', '<div class="share social">{}</div>', '<div id="secondary" class="side">{}</div>', '<aside class="sidebar">{}</aside>'],
+    "foot": ["<table><tr><td>{}</td></tr></table>", "<div>{}</div>", "<section>{}</section>", "<footer>{}</footer>", '<div id="footer">{}</div>', '<div class="site-footer">{}</div>', '<footer role="contentinfo">{}</footer>'],
     "head": ["<header>{}</header>", '<div id="header">{}</div>', '<div class="masthead top">{}</div>', '<header role="banner">{}</header>'],
-    "main": ["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="content" class="post entry">{}</div>', '<div class="article-body story">{}</div>', '<section class="main">{}</section>', '<div role="main">{}</div>', "<div>{}</div>", "{}", '<div class="container"><div class="text">{}</div></div>'],
+    "main": ["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="content" class="post entry">{}</div>', '<div class="article-body story">{}</div>', '<section class="main">{}</section>', '<div role="main">{}</div>', "<div>{}</div>", "{}", "<section>{}</section>", "<table><tr><td>{}</td></tr></table>", '<div class="container"><div class="text">{}</div></div>'],
 }
 
 
@@ -310,7 +338,7 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
             rows.append(f"<h1>{prose(rng.randint(1, 12))}</h1>")
         for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14])):
             text = prose(rng.choice([1, 2, 4, 8, 20, 40, 90]), int(rng.random() < 0.15))
-            shape = rng.choices(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>", "<p><a href='/y'>{}</a></p>", "<pre>{}</pre>"], [0.5, 0.08, 0.08, 0.08, 0.07, 0.04, 0.05, 0.04, 0.03, 0.03])[0]
+            shape = rng.choices(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>", "<p><a href='/y'>{}</a></p>", "<pre>{}</pre>", "<figure><img src='x'><figcaption>{}</figcaption></figure>", "<p><svg class='i'/>{}</p>"], [0.5, 0.08, 0.08, 0.08, 0.07, 0.04, 0.05, 0.04, 0.03, 0.03, 0.06, 0.02])[0]
             rows.append(shape.format(text))
         rows = "".join(rows)
         labels.extend([1] * len(blocks(rows)))

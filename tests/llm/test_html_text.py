@@ -16,6 +16,10 @@ def texts(page):
         (None, []), ("", []), ("plain", ["plain"]), ("<p>a<p>b", ["a", "b"]), ("<p>a<b>b</b>c</p>", ["abc"]), ("<p>a<br>b</p>", ["a b"]), ("<p> a \n\t b&nbsp; c </p>", ["a b c"]),
         ("<p>&lt;b&gt; &amp;amp; &#233;&eacute;</p>", ["<b> &amp; éé"]), ("<script>var t='</p><p>x'</script><p>y</p>", ["y"]), ("<style>p{}</style>x<!-- <p>no</p> -->y", ["xy"]), ("<script>never closed <p>x", []), ("<!-- open <p>x", []),
         ("<ul><li>a<li>b<ul><li>c</ul></ul>d", ["a", "b", "c", "d"]), ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]), ("a < b and c > d", ["a < b and c > d"]), ("<div title='a>b'>x</div>", ["x"]), ("<p>a</div>b", ["a", "b"]), ("</p></p>x", ["x"]), ("<P>A</P><Script>x</SCRIPT>B", ["A", "B"]), ("<noscript><p>no</p></noscript>z", ["z"]),
+        ("<article><svg class='i'/><p>Hello</p><p>World</p></article>", ["Hello", "World"]), ("<p>a<svg width=1><path d='x'/><text>no</text></svg>b</p>", ["ab"]), ("<svg/><p>x</p><svg><g/></svg><p>y</p>", ["x", "y"]),
+        ("<a href='/'><svg aria-hidden=\"true\" /> Home</a><h1><svg/>Title</h1>", ["Home", "Title"]), ("<template><template>a</template>b</template><p>c</p>", ["c"]), ("<svg><svg></svg><p>q</p>", ["q"]), ("<svg><p>never closed", ["never closed"]),
+        ("<noscript>never closed", ["never closed"]), ("<object data=x><p>instead</p></object>z", ["z"]), ("<p>x</p><script src=a /></script><p>y</p>", ["x", "y"]), ("<p>x</p><script src=a /><p>y</p>", ["x"]),
+        ("<script>if(a<b){'</p>'}</script >t", ["t"]), ("<svg-icon>hi</svg-icon>", ["hi"]), ("<style>never closed <p>x", []), ("<svg>" * 3000 + "<p>x", ["x"]),
     ],
 )
 def test_blocks(page, expected):
@@ -65,6 +69,43 @@ def test_batches_do_not_matter():
         assert np.allclose(model.chances([p])[0], c, atol=1e-5)
 
 
+def slow_chances(model, page):
+    """The labeller over one page, gate by gate, in double precision."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    sides = []
+    for side, order in ((model.forward, page), (model.backward, page[::-1])):
+        w, n = side.w.astype(np.float64), H.HIDDEN
+        h, c, states = [0.0] * n, [0.0] * n, []
+        for x in order:
+            z = np.concatenate([x.astype(np.float64), h, [1.0]])
+            gate = [float(z @ w[:, k]) for k in range(4 * n)]
+            c = [sigmoid(gate[n + k]) * c[k] + sigmoid(gate[k]) * np.tanh(gate[3 * n + k]) for k in range(n)]
+            h = [sigmoid(gate[2 * n + k]) * np.tanh(c[k]) for k in range(n)]
+            states.append(h)
+        sides.append(states)
+    return [sigmoid(float(np.concatenate([a, b, [1.0]]) @ model.out)) for a, b in zip(sides[0], sides[1][::-1], strict=True)]
+
+
+def test_slow_labeller_agrees():
+    rng, model = random.Random(21), H.trained()
+    pages = [H.blocks(H.made_page(rng)[0]) for _ in range(6)]
+    together = model.chances([H.vectors(p) for p in pages])
+    for page, found in zip(pages, together, strict=True):
+        assert np.allclose(slow_chances(model, H.vectors(page)), found, atol=1e-4)
+
+
+def test_other_layouts():
+    said = "The harbour was closed on Monday after a storm damaged two of its piers and several boats."
+    pages = [
+        f"<table><tr><td><a href='/'>Home</a></td><td><a href='/n'>News</a></td></tr></table><table><tr><td><h1>Storm closes the harbour</h1><p>{said}</p></td></tr></table>",
+        f"<section><a href='/'>Home</a> <a href='/w'>World</a></section><section><h2>Storm</h2><p>{said}</p><figure><img src='b'><figcaption>A pier after the storm.</figcaption></figure><p>Repairs take three weeks.</p></section>",
+        f"<div class=top><span>Welcome</span></div><article><h1>Storm</h1><p><svg class='i'/>{said}</p><figure><img><figcaption>A pier.</figcaption></figure></article><div id=footer>&copy; 2021</div>",
+    ]
+    assert H.main_texts(pages, H.trained()) == [
+        f"Storm closes the harbour\n\n{said}", f"Storm\n\n{said}\n\nA pier after the storm.\n\nRepairs take three weeks.", f"Storm\n\n{said}\n\nA pier.",
+    ]
+
+
 def test_query(spark):
     page = "<html><head><title>T</title></head><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav><article><h1>A headline here</h1><p>First paragraph of the story, long enough to be one.</p><p>Second &amp; last paragraph.</p></article><aside class='sidebar'><p>Related posts</p></aside><footer>&copy; 2020 All rights reserved.</footer></body></html>"
     rows = spark.createDataFrame([(1, "u", page, 5), (1, "u", page, 5), (2, None, None, 5), (3, "v", "", 5), (None, "w", "<p>", 5)], "page_id long, url string, html string, text long")
