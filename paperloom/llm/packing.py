@@ -5,8 +5,9 @@ longest first, each into the open window that it leaves tightest. The segment tr
 capacity and holds the number of open windows at each, so the tightest fit is one descent.
 
 Documents are tokenised where they are read. Pieces go to groups of some thousand documents, dealt by a hash of
-the document, and each group is packed by itself, so a task's memory does not grow with the corpus; a group leaves
-a handful of unfilled windows at most.
+the piece, and each group is packed by itself; a group leaves a handful of unfilled windows at most. A group is sorted by Spark and placed
+while it streams by: a worker holds the open windows and one batch of pieces, never a group, so neither very long documents nor rows repeated
+any number of times (which share a group) need more memory.
 
 Defined results: a null text counts as empty and is one piece holding the end-of-text id alone; repeated rows
 are packed once each; ties go by doc_id, start and payload; a null doc_id is kept; an empty table gives no rows.
@@ -20,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +28,8 @@ from .common import bounded_batches, table
 
 WINDOW = 4096
 END_OF_TEXT = 2
-#: Documents to a group where checksums are carried, and where ids are (a group is held in memory).
-GROUP, GROUP_WITH_IDS = 8192, 2048
+#: Documents to a group. A document has one piece at most that is not a full window.
+GROUP = 8192
 #: Words, and parts of words, whose ids a worker remembers in each of two generations (some 200 bytes each).
 REMEMBERED = (300_000, 500_000)
 #: Characters that Python takes for white space and the tokenizer's pattern does not.
@@ -62,8 +62,8 @@ class WordTokens:
 
     The tokenizer cuts at white space before anything else and drops it, so a text's ids are those of its words
     in turn; a word's ids are those of the parts that the tokenizer's pattern finds in it, lower-cased. Words beyond
-    Latin letters, where lower case and composition depend on context, and words with a special token's mark go to
-    the tokenizer whole.
+    Latin letters, where lower case and composition depend on context, words with the one Latin letter whose lower case is a letter and a mark
+    (U+0130) and words with a special token's mark go to the tokenizer whole.
     """
 
     def __init__(self, path: str, remembered: tuple[int, int] = REMEMBERED):
@@ -71,7 +71,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern, self.latin = regex.compile(PARTS), regex.compile("[\x00-\u024f]*")
+        self.pattern, self.latin = regex.compile(PARTS), regex.compile("[\x00-\u012f\u0131-\u024f]*")
         self.parts = Remembered(self._encoded, remembered[1])
         self.words = Remembered(self._by_parts, remembered[0])
 
@@ -165,18 +165,26 @@ class OpenWindows:
         return capacity, self.at[capacity].pop()
 
 
-def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """(window number, offset) of each length; ``lengths`` descend and are 1 to ``window``."""
-    opened, places, n = OpenWindows(window), [], 0
-    for length in lengths:
-        found = opened.take(length) if length < window else None
+class Packer:
+    """Places pieces that come longest first."""
+
+    def __init__(self, window: int = WINDOW):
+        self.window, self.opened, self.n = window, OpenWindows(window), 0
+
+    def place(self, length: int) -> tuple[int, int]:
+        """(window number, offset) of a piece of 1 to ``window`` tokens."""
+        found = self.opened.take(length) if length < self.window else None
         if found is None:
-            found, n = (window, n), n + 1
+            found, self.n = (self.window, self.n), self.n + 1
         capacity, number = found
-        places.append((number, window - capacity))
         if capacity > length:
-            opened.add(capacity - length, number)
-    return places
+            self.opened.add(capacity - length, number)
+        return number, self.window - capacity
+
+
+def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
+    """(window number, offset) of each length; ``lengths`` descend and are 1 to ``window``."""
+    return list(map(Packer(window).place, lengths))
 
 
 def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
@@ -184,25 +192,31 @@ def pack(pieces: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
 
     A sequence id is the group's number times 2**32 plus the window's number in the group.
     """
-    payload = [f for f in pieces.schema if f.name not in ("sequence_id", "offset")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in payload) + ", sequence_id bigint, offset bigint"
+    carried = [f for f in pieces.schema if f.name not in ("sequence_id", "offset")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried) + ", sequence_id bigint, offset bigint"
+    names = [f.name for f in carried]
 
-    def placed(key: tuple, group: pa.Table) -> pa.Table:
-        group = group.drop_columns("__group")
-        ties = [(f.name, "ascending") for f in group.schema if f.name != "length" and not pa.types.is_nested(f.type)]
-        group = group.take(pc.sort_indices(group, [("length", "descending"), *ties]))
-        places = np.array(best_fit_decreasing(group["length"].to_pylist(), window), dtype=np.int64).reshape(-1, 2)
-        group = group.append_column("sequence_id", pa.array(key[0].as_py() * (1 << 32) + places[:, 0]))
-        return group.append_column("offset", pa.array(places[:, 1]))
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, packer = None, Packer(window)
+        for batch in batches:
+            sequences, offsets = [], []
+            for group, length in zip(batch.column(len(names)).to_pylist(), batch.column(names.index("length")).to_pylist(), strict=True):
+                if group != now:
+                    now, packer = group, Packer(window)
+                number, offset = packer.place(length)
+                sequences.append((group << 32) + number)
+                offsets.append(offset)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(names))), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())], names=[*names, "sequence_id", "offset"])
 
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(groups)))
-    return dealt.groupBy("__group").applyInArrow(placed, schema)
+    dealt = pieces.select(*names).withColumn("__group", F.pmod(F.xxhash64(*names), F.lit(groups)).cast("bigint"))
+    ordered = dealt.repartition("__group").sortWithinPartitions("__group", F.desc("length"), *[n for n in names if n != "length"])
+    return ordered.mapInArrow(placed, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int | None = None, remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END_OF_TEXT, payload: str = "ids", group: int = GROUP, remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
     """Every document's pieces with their place: (doc_id, start, length, doc_tokens, payload, sequence_id, offset)."""
     bounded_batches(docs.sparkSession)
-    groups = max(1, -(-docs.count() // (group or (GROUP_WITH_IDS if payload == "ids" else GROUP))))
+    groups = max(1, -(-docs.count() // group))
     return pack(tokenised(docs, tokenizer, id_col, text_col, window, end, payload, remembered), groups, window)
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 from paperloom.llm import packing as P
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", " ", "it's we'LL x's", "a<|endoftext|>b <|startoftext|>", "a\x1cb c\x85d\xa0e", "NAÏVE café é İ Σ ΟΔΟΣ ß ﬁ", "12³½ 东京 x_y--z", "'''s ​ ﻿", "w" * 3000]
+ODD = ["", " ", "it's we'LL x's", "a<|endoftext|>b <|startoftext|>", "a\x1cb c\x85d\xa0e", "NAÏVE café é İ Σ ΟΔΟΣ ß ﬁ", "12³½ 东京 x_y--z", "'''s ​ ﻿", "w" * 3000, "BELEDİYESİ, İ. İi! aİ\u0301 xİ;İ İ\u0307?", "İSTANBUL\u2019da"]
 
 
 def test_ids_are_the_tokenizers():
@@ -27,6 +28,16 @@ def test_ids_of_any_text(text):
     assert own.encode(text) == own._encoded(text)
 
 
+def test_ids_over_all_scripts():
+    r, own = random.Random(31), P.tokens_of(PATH)
+    blocks = [(0x20, 0x7F), (0xA0, 0x250), (0x250, 0x590), (0x590, 0x900), (0x900, 0x1000), (0x1E00, 0x2100), (0x2100, 0x3000), (0x3000, 0x3400), (0x4E00, 0x5200), (0xAC00, 0xAD00), (0xFB00, 0xFFF0), (0x1F300, 0x1F700)]
+    odd = "İıſßŉǰẞÅΣς'.,;:!?-_ \u0301\u0307\u200d\ufeff"
+    for _ in range(20_000):
+        low, high = r.choice(blocks)
+        text = "".join(r.choice(odd) if r.random() < 0.3 else chr(r.randrange(low, high)) for _ in range(r.randrange(1, 12)))
+        assert own.encode(text) == own._encoded(text), ascii(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=120))
 def test_best_fit_decreasing(lengths):
@@ -80,6 +91,26 @@ def test_checksums_and_empty(docs):
     assert P.pack_documents(docs([]), PATH).count() == 0
 
 
+def test_repeated_rows_and_long_documents(docs, prose):
+    base = prose(2, 60_000)
+    rows = [(1, "same words again")] * 10_000 + [(2 + k, base[k:]) for k in range(6)] + [(None, None)] * 50 + [(100 + k, prose(k, 30)) for k in range(200)]
+    found = P.pack_documents(docs(rows), PATH, payload="ids_crc32", group=64).collect()
+    lengths, windows = defaultdict(int), defaultdict(list)
+    for x in found:
+        lengths[x["doc_id"]] += x["length"]
+        windows[x["sequence_id"]].append((x["offset"], x["length"]))
+    tok = Tokenizer.from_file(PATH)
+    count = lambda t: len(tok.encode(t or "", add_special_tokens=False).ids) + 1
+    asked = defaultdict(int)
+    for i, t in rows[10_000:]:
+        asked[i] += count(t)
+    asked[1] = 10_000 * count("same words again")
+    assert lengths == asked
+    for w in windows.values():
+        ends = [0, *(o + n for o, n in sorted(w))]
+        assert [o for o, _ in sorted(w)] == ends[:-1] and ends[-1] <= 4096
+
+
 @pytest.mark.parametrize("groups", [1, 7])
 def test_groups_have_their_own_windows(spark, groups):
     pieces = spark.createDataFrame([(i, 0, 1000 + i, 1000 + i) for i in range(100)], "doc_id long, start long, length long, doc_tokens long")
