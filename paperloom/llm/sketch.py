@@ -4,14 +4,14 @@ Of a text's five-word shingles (lower-cased) the sketch keeps every hash below a
 the sketches of two texts, however unequal, keep or drop a shared shingle alike: sketches merge by union, and
 containment and resemblance are estimated by counting.
 
-The edited text of a document takes its end from the next document in order of doc_id. Ids are cut into blocks of a
-power of two chosen so that a block holds about ``BLOCK`` documents; each document is dealt to its block once and
-the first document of a block once more to the block before, so the next document is always the next row
-of the block. No task sees more than a block.
+The edited text of a document takes its end from the next document in order of doc_id. Documents are dealt to blocks of about ``BLOCK``
+that are ranges of (doc_id, hash of the text): quantiles of the ids cut them into ranges of like numbers of documents, each range is cut at powers
+of two, and an id that fills a range by itself is cut by the hash. The first document of a block is dealt once more to the block before,
+so the next document is always the next row of the block.
 
 Defined results: a null text counts as empty; fewer words than a shingle make one shingle of the whole sequence; no words
 make an empty sketch; two empty sketches are alike (1) only if the texts are equal, an empty and another are not (0);
-rows that share a doc_id follow each other in order of text; rows without one come first; a single document is its own
+rows that share a doc_id follow each other in order of a hash of their text; rows without one come first; rows alike in both stay in one block; a single document is its own
 next; an empty table gives no rows. Only the id and text columns are read, so extra columns of any name do no harm.
 """
 
@@ -27,9 +27,13 @@ SHINGLE = 5
 ZERO_BITS = 2
 #: Documents to a block, about.
 BLOCK = 2048
+#: Ranges that the ids' quantiles make, at most; no range has much more than its share of the documents.
+RANGES = 256
 #: Block starts up to which they are sent to every executor; beyond it a shuffled join is used.
 BROADCAST_BLOCKS = 200_000
 NO_ID = -(1 << 63)
+#: Bits of a hash that a fingerprint keeps.
+KEPT_BITS = 40
 
 
 def sketch(text: Column, shingle: int = SHINGLE, zero_bits: int = ZERO_BITS) -> Column:
@@ -63,33 +67,68 @@ def merged(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 
 
-def written(hashes: Column) -> Column:
-    """A sketch as text: ten hex digits of each hash, the leading zero bits aside."""
-    digits = F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(F.shiftright(h, 62 - 40))), 10, "0"))
-    return F.array_join(digits, "")
+def shortened(hashes: Column, zero_bits: int = ZERO_BITS) -> Column:
+    """The sketch as a fingerprint has it: the KEPT_BITS bits of each hash behind the zero bits, in order."""
+    return F.array_distinct(F.transform(hashes, lambda h: F.shiftrightunsigned(h, 64 - zero_bits - KEPT_BITS)))
+
+
+def written(short: Column) -> Column:
+    """A shortened sketch as text: ten hex digits of each hash."""
+    return F.array_join(F.transform(short, lambda h: F.lpad(F.lower(F.hex(h)), KEPT_BITS // 4, "0")), "")
+
+
+def _ranges(rows: DataFrame, block: int) -> list[tuple[int, int, int]]:
+    """(first id, shift of the id, shift of the hash) of ranges in order; a range's blocks are equal ids or hashes after the shift."""
+    o = F.col("o")
+    n = rows.count()
+    count = max(1, min(RANGES, n // (4 * block)))
+    got = rows.agg(F.min(o).alias("least"), F.max(o).alias("most"), F.percentile_approx(o, [i / count for i in range(count)], 20_000).alias("q")).first()
+    if not n:
+        return [(0, 0, 63)]
+    quantiles = [got["least"], *got["q"][1:]]
+    weight = {v: quantiles.count(v) for v in quantiles}
+    # ids that fill a range are ranges of their own, and so are missing ids
+    alone = {v for v, k in weight.items() if k > 1} | ({NO_ID} & weight.keys())
+    edges = sorted({*quantiles, *(v + 1 for v in alone if v < got["most"])})
+    out = []
+    for at, first in enumerate(edges):
+        end = edges[at + 1] if at + 1 < len(edges) else got["most"] + 1
+        docs = max(1, n * weight.get(first, 1) // count)
+        if first in alone:
+            out.append((first, 0, 63 - max(0, (docs // block).bit_length())))
+        else:
+            out.append((first, min(63, max(0, ((end - first) * block // docs).bit_length() - 1)), 63))
+    return out
+
+
+def _block(ranges: list[tuple[int, int, int]]) -> Column:
+    """struct(r, id, part): the block of (o, h), in the order of both."""
+    first = F.array(*[F.lit(x[0]).cast("bigint") for x in ranges])
+
+    def of(r: Column) -> Column:
+        shifts = [F.get(F.array(*[F.lit(x[k]) for x in ranges]), r) for k in (1, 2)]
+        return F.struct(r.alias("r"), F.call_function("shiftright", F.col("o"), shifts[0]).alias("id"), F.call_function("shiftrightunsigned", F.col("h"), shifts[1]).alias("part"))
+
+    return bind(F.size(F.filter(first, lambda f: f <= F.col("o"))) - 1, of)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """Each document with the next one: (doc_id, text, sketch, next_text, next_sketch)."""
+    """Each document with the next one: (doc_id, text, sketch, next_text, next_sketch); sketches are shortened."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    span = rows.agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")).first()
-    wide = (span["most"] - span["least"] + 1) if span["least"] is not None else 1
-    shift = max(0, (wide * block // max(1, span["n"])).bit_length() - 1)
-    cell = F.shiftright(order, shift) if shift < 63 else F.when(order < 0, F.lit(-1)).otherwise(F.lit(0))
-    firsts = materialise(rows.select(order.alias("o"), cell.alias("cell")).groupBy("cell").agg(F.min("o").alias("o")))
+    rows = rows.withColumns({"o": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "h": F.shiftrightunsigned(F.xxhash64("text"), 1)})
+    known = rows.withColumn("block", _block(_ranges(rows.select("o"), block)))
+    firsts = materialise(known.groupBy("block").agg(F.min(F.struct("o", "h")).alias("first")))
     # one row a block, about 1/BLOCK of the documents; the first block's start follows the last block
-    before = F.coalesce(F.lag("cell").over(Window.orderBy("cell")), F.max("cell").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    starts = materialise(firsts.select(F.col("o").alias("start"), before.alias("before")))
+    before = F.coalesce(F.lag("block").over(Window.orderBy("block")), F.max("block").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    starts = materialise(firsts.select("first.o", "first.h", before.alias("before")))
     if starts.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
-    known = rows.withColumn("o", order).withColumn("cell", cell)
-    dealt = known.join(starts, F.col("o") == F.col("start"), "left")
-    own = F.struct(F.col("cell").alias("block"), F.lit(0).alias("borrowed"))
+    dealt = known.join(starts, ["o", "h"], "left")
+    own = F.struct("block", F.lit(0).alias("borrowed"))
     again = F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("block"), F.lit(1).alias("borrowed")))
     # texts alone are shuffled; sketches are made where the blocks are
-    dealt = dealt.select("doc_id", "text", "o", F.inline(F.array_compact(F.array(own, again)))).repartition("block").withColumn("sketch", sketch(F.col("text")))
-    follows = Window.partitionBy("block").orderBy("borrowed", "o", "text")
+    dealt = dealt.select("doc_id", "text", "o", "h", F.inline(F.array_compact(F.array(own, again)))).repartition("block").withColumn("sketch", shortened(sketch(F.col("text"))))
+    follows = Window.partitionBy("block").orderBy("borrowed", "o", "h", "text")
     paired = dealt.withColumn("next", F.lead(F.struct("text", "sketch")).over(follows)).where("borrowed = 0")
     return paired.select("doc_id", "text", "sketch", F.col("next.text").alias("next_text"), F.col("next.sketch").alias("next_sketch"))
 
@@ -105,7 +144,7 @@ def op8_fingerprints(spark, sf_dir: str) -> DataFrame:
     pairs = with_next(table(spark, sf_dir, "documents"))
 
     def of(e: Column) -> Column:
-        return bind(sketch(e), lambda s: F.struct(
+        return bind(shortened(sketch(e)), lambda s: F.struct(
             F.sha2(F.encode(e, "UTF-8"), 256).alias("edited_sha256"), written(s).alias("edited_fingerprint"),
             resemblance(F.col("sketch"), s, F.col("text") == e).alias("near_edited"),
         ))

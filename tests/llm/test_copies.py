@@ -166,18 +166,35 @@ def plain_sketch(text):
 TEXTS = [None, "", "One two", "a b c d e", "a b c d e f", "Same text here for two of them ok"]
 
 
-def test_next_and_edited(docs, prose):
-    rows = [(i * 3, prose(i, 3 + i)) for i in range(60)] + [(-5, None), (1, ""), (2, "Tëxt with accents é"), (10**12, prose(9, 50)), (None, "no id"), (7, "dup b"), (7, "dup a"), (8, prose(4, 20000))]
+def next_texts(rows):
+    """Brute force: the rows in order of id and of a hash of the text, each with the one behind it."""
+    h = lambda t: xxhash.xxh64_intdigest((t or "").encode(), 42) >> 1
+    order = sorted(rows, key=lambda r: (r[0] if r[0] is not None else -(1 << 63), h(r[1])))
+    return {(r[0], r[1] or ""): order[(i + 1) % len(order)][1] or "" for i, r in enumerate(order)}
+
+
+@pytest.mark.parametrize("far", [10**12, 2**63 - 1, 70])
+def test_next_and_edited(docs, prose, far):
+    rows = [(i * 3, prose(i, 3 + i)) for i in range(60)] + [(-5, None), (1, ""), (2, "Tëxt with accents é"), (far, prose(9, 50)), (None, "no id"), (None, "none either"), (7, "dup b"), (7, "dup a"), (8, prose(4, 20000))]
+    rows += [(11, f"one id {k}") for k in range(90)]  # ties that fill blocks
     found = K.with_next(docs(rows), block=4).collect()
     assert len(found) == len(rows)
-    order = sorted(rows, key=lambda r: (r[0] if r[0] is not None else -(1 << 63), r[1] or ""))
-    after = {(r[0], r[1] or ""): order[(i + 1) % len(order)][1] or "" for i, r in enumerate(order)}
+    after = next_texts(rows)
     for r in found:
         assert r["next_text"] == after[r["doc_id"], r["text"]]
     assert [r["next_text"] for r in K.with_next(docs([(1, "only")])).collect()] == ["only"]
     assert K.with_next(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[*range(3000), 10**12], [None] * 3000, [7] * 3000, [*range(1500), *[5] * 1500], [i * i * i for i in range(3000)]])
+def test_blocks_are_even(docs, ids):
+    block = 50
+    rows = docs([(i, f"text {k}") for k, i in enumerate(ids)]).select(F.coalesce("doc_id", F.lit(K.NO_ID)).alias("o"), F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h"))
+    counts = [r["count"] for r in rows.groupBy(K._block(K._ranges(rows, block)).alias("b")).count().collect()]
+    assert sum(counts) == len(ids)
+    assert max(counts) <= 6 * block
+
+
 def test_sketches(docs, prose):
     rows = [*enumerate([*TEXTS, "Same text here for two of them ok", prose(1, 400)])]
     d = docs(rows)
@@ -191,20 +208,36 @@ def test_sketches(docs, prose):
     assert 60 < len(found[7]["s"]) < 140  # a quarter of 396
 
 
+def plain_hashes(text):
+    """The shortened sketch by another XXH64: a shingle's words are hashed in turn, each hash the seed of the next."""
+    words, kept = plain_sketch(text)[0], set()
+    shingles = [words[i : i + 5] for i in range(len(words) - 4)] or ([[" ".join(words)]] if words else [])
+    for shingle in shingles:
+        h = 42
+        for w in shingle:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        if h < 1 << 62:
+            kept.add(h >> 22)
+    return sorted(kept)
+
+
 def test_query(spark, docs, prose, tmp_path):
-    rows = [(i, prose(i % 25, 120)) for i in range(30)]
+    rows = [(i, prose(i % 25, 120)) for i in range(30)] + [(30, None), (31, "Few Words"), (32, "")]
     docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r for r in K.op8_fingerprints(spark, str(tmp_path)).collect()}
-    for i, text in rows:
+    like = lambda x, y, same: len(x & y) / len(x | y) if x | y else float(same)
+    for i, (_, text) in enumerate(rows):
+        text, following = text or "", rows[(i + 1) % len(rows)][1] or ""
         n = len(text) // 4
-        following = rows[(i + 1) % 30][1]
         edited = text[: len(text) - n] + following[:n]
-        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        a, b = plain_sketch(text)[1], plain_sketch(edited)[1]
-        assert found[i]["near_edited"] == pytest.approx(len(a & b) / len(a | b), abs=0.3)
+        a, b, c = (set(plain_hashes(t)) for t in (text, edited, following))
+        r = found[i]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r["fingerprint"], r["edited_fingerprint"]) == tuple("".join(f"{h:010x}" for h in sorted(x)) for x in (a, b))
+        assert r["near_edited"] == pytest.approx(like(a, b, text == edited))
+        assert r["near_next"] == pytest.approx(like(a, c, text == following))
     assert found[0]["fingerprint"] == found[25]["fingerprint"]
-    assert found[4]["near_next"] == 0
-    assert np.mean([found[i]["near_edited"] for i in found]) == pytest.approx(0.6, abs=0.06)
+    assert np.mean([found[i]["near_edited"] for i in range(30)]) == pytest.approx(0.6, abs=0.06)
 
 
 def test_merge_and_containment(docs, prose):
