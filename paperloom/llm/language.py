@@ -8,7 +8,9 @@ the byte and the three before it alone: training flattens the trees into one arr
 context and a column for each byte, and scoring is two look-ups a byte over the whole text. The language with
 the least total length is predicted; the score is its posterior under equal priors.
 
-Bound, a parameter: training reads at most ``SAMPLE`` documents of a language (whole texts, those of least hash).
+Bounds, all parameters: training reads at most ``SAMPLE`` documents of a language (whole texts, those of least hash, none of more than
+``LONGEST`` characters), and the flattened trees, which go to every executor, take ``TABLE_BYTES`` at most: contexts of order 3 beyond that,
+the rarest, are left to their last two bytes, and languages for which not even those fit are an error.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is everything when no row has a language
 to learn; bytes never seen in training cost the same in every language but for the escapes; repeated rows repeat;
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, table
 
 SAMPLE = 300
+#: Characters of a document that is trained on, and bytes of the table, at most.
+LONGEST, TABLE_BYTES = 100_000, 256 << 20
 ORDER = 3
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
@@ -67,7 +71,7 @@ class Model:
 NOTHING = Model([], np.zeros(256, dtype=np.int32), 1, np.zeros(1, dtype=np.int32), np.zeros((1, 0), dtype=np.float32))
 
 
-def train(texts: Mapping[str, Iterable[str]]) -> Model:
+def train(texts: Mapping[str, Iterable[str]], table_bytes: int = TABLE_BYTES) -> Model:
     """Count contexts of each language's texts and flatten the trees."""
     languages = sorted(texts)
     raw = {k: [np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8) for t in texts[k] if t] for k in languages}
@@ -93,6 +97,15 @@ def train(texts: Mapping[str, Iterable[str]]) -> Model:
                 grams.append(code)
             counted[k, order] = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
     known = np.unique(np.concatenate([counted[k, ORDER][0] // width for k in languages]))
+    room = table_bytes // (4 * width * len(languages)) - width**2
+    if room < 0:
+        raise ValueError(f"{len(languages)} languages of {width} byte values need a table of more than {table_bytes} bytes")
+    if len(known) > room:
+        seen_in = np.zeros(len(known))
+        for k in languages:
+            codes, counts = counted[k, ORDER]
+            np.add.at(seen_in, np.searchsorted(known, codes // width), counts)
+        known = np.sort(known[np.lexsort((known, -seen_in))[:room]])
     rows = np.tile(np.arange(width**2, dtype=np.int32), width)  # contexts not known go to the row of their last two symbols
     rows[known] = width**2 + np.arange(len(known), dtype=np.int32)
     bits = np.empty((width**2 + len(known), width, len(languages)), dtype=np.float32)
@@ -103,7 +116,9 @@ def train(texts: Mapping[str, Iterable[str]]) -> Model:
             contexts = codes // width
             if order == ORDER:
                 lower = lower[known % width**2]
-                place = np.searchsorted(known, contexts)
+                kept = np.isin(contexts, known)
+                codes, counts = codes[kept], counts[kept]
+                place = np.searchsorted(known, contexts[kept])
             else:
                 lower = np.tile(lower, (width if order else 1, 1))
                 place = contexts
@@ -126,7 +141,7 @@ def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Train on documents with a language outside the held-out fold: ``sample`` of each language at most."""
-    learned = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != HELD_OUT))
+    learned = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != HELD_OUT) & (F.coalesce(F.length(text_col), F.lit(0)) <= LONGEST))
     counts = {r[0]: r[1] for r in learned.groupBy(F.col(lang_col)).count().collect()}  # one row a language
     if not counts:
         return NOTHING

@@ -8,7 +8,7 @@ an inflected or compounded insult shares its stem alone; also whether two, three
 sample, told by equal triples of least hashes of their long words, count once, else the words of a much copied toxic document look toxic.
 
 Bounds, all parameters: at most ``POSITIVES`` toxic and ``UNLABELLED`` documents of any kind are read for training (those
-of least hash of the doc_id), and ``FEATURES`` features stay, those whose shares in the two samples differ most for
+of least hash of the doc_id; one row of each, and none of more than ``LONGEST`` characters, so the driver holds 80 million at most), and ``FEATURES`` features stay, those whose shares in the two samples differ most for
 their standard error, of those whose documents are toxic in half the cases or more by the prior and the two shares. Scoring reads every whole text.
 
 Defined results: null and empty texts are scored too (by the bias alone); repeated rows score alike; without labelled
@@ -34,6 +34,8 @@ from .common import bounded_batches, table
 POSITIVES = 1000
 UNLABELLED = 3000
 FEATURES = 400
+#: Characters of a document that is trained on, at most.
+LONGEST = 20_000
 #: Standard errors by which a feature's shares must differ, and toxic documents that must hold it.
 DIFFERENCE, LEAST = 5.0, 4
 #: Lengths of the word beginnings that are features.
@@ -110,6 +112,16 @@ class Model:
 NEVER = Model({}, -30.0)
 
 
+def direction(w: np.ndarray, a: np.ndarray, b: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """(negative part of the risk, gradient to descend) at weights w for rows a of positives and b of unlabelled."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    za, zb, n, m = a @ w, b @ w, len(a), len(b)
+    # gradients of the mean losses: positives as positive, positives as negative, unlabelled as negative
+    as_pos, as_neg, unl_neg = a.T @ (sigmoid(za) - 1) / n, a.T @ sigmoid(za) / n, b.T @ sigmoid(zb) / m
+    negative = float(np.logaddexp(0, zb).mean() - prior * np.logaddexp(0, za).mean())
+    return negative, prior * as_pos + unl_neg - prior * as_neg if negative >= 0 else prior * as_neg - unl_neg
+
+
 def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prior: float, features: int = FEATURES, steps: int = 400, rate: float = 0.1, decay: float = 2e-4) -> Model:
     """Fit the linear scorer by the non-negative risk, with Adam over all rows at a time.
 
@@ -146,14 +158,8 @@ def train(positive: Iterable[str | None], unlabelled: Iterable[str | None], prio
     w = np.zeros(a.shape[1])
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for step in range(1, steps + 1):
-        za, zb = a @ w, b @ w
-        # gradients of the mean losses: positives as positive, positives as negative, unlabelled as negative
-        as_pos, as_neg, unl_neg = a.T @ (sigmoid(za) - 1) / n, a.T @ sigmoid(za) / n, b.T @ sigmoid(zb) / m
-        negative = np.logaddexp(0, zb).mean() - prior * np.logaddexp(0, za).mean()
-        gradient = prior * as_pos + unl_neg - prior * as_neg if negative >= 0 else prior * as_neg - unl_neg
-        gradient = gradient + decay * np.r_[w[:-1], 0]
+        gradient = direction(w, a, b, prior)[1] + decay * np.r_[w[:-1], 0]
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return Model({f: float(w[i]) for f, i in chosen.items()}, float(w[-1]))
@@ -169,9 +175,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.where(F.col(id_col).isNotNull() & (fold(id_col) != HELD_OUT)).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     first = F.xxhash64("doc_id")
     toxic = known.where("toxic = 1").select("doc_id").distinct().orderBy(first, "doc_id").limit(positives)
-    chosen = texts.join(F.broadcast(toxic), "doc_id").select("text")  # ``positives`` ids at most
+    texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST)
+    one = lambda ids: texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").select("text")
+    chosen = one(toxic)  # ``positives`` ids at most
     some = texts.select("doc_id").distinct().orderBy(first, "doc_id").limit(unlabelled)  # all text, toxic or not: the risk needs the whole mix
-    others = texts.join(F.broadcast(some), "doc_id").select("text")  # ``unlabelled`` ids at most
+    others = one(some)  # ``unlabelled`` ids at most
     return train([r[0] for r in chosen.collect()], [r[0] for r in others.collect()], prior)
 
 

@@ -1,6 +1,8 @@
 """Toxicity and language on held-out rows and on odd ones."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -71,6 +73,66 @@ def test_non_negative_risk_steps_back():
     assert 0 < m.score("grob") <= 1
 
 
+def slow_risk(w, a, b, prior):
+    """Row by row: (positive part, negative part) of the non-negative risk."""
+    loss = lambda z: math.log1p(math.exp(-z))
+    z = lambda x: sum(float(p) * float(q) for p, q in zip(x, w, strict=True))
+    pos = sum(loss(z(x)) for x in a) / len(a)
+    return prior * pos, sum(loss(-z(x)) for x in b) / len(b) - prior * sum(loss(-z(x)) for x in a) / len(a)
+
+
+def test_gradient_is_that_of_the_risk():
+    rng, seen = np.random.default_rng(2), set()
+    for _ in range(12):
+        a, b = rng.integers(0, 2, (5, 4)).astype(float), rng.integers(0, 2, (7, 4)).astype(float)
+        w, prior = rng.normal(0, 2, 4), float(rng.uniform(0.1, 0.9))
+        negative, gradient = T.direction(w, a, b, prior)
+        assert negative == pytest.approx(slow_risk(w, a, b, prior)[1])
+        seen.add(negative >= 0)
+        aim = lambda v: sum(slow_risk(v, a, b, prior)) if negative >= 0 else -slow_risk(v, a, b, prior)[1]  # noqa: B023, E731
+        for k in range(4):
+            step = np.zeros(4)
+            step[k] = 1e-5
+            assert gradient[k] == pytest.approx((aim(w + step) - aim(w - step)) / 2e-5, abs=1e-6)
+    assert seen == {True, False}
+
+
+def test_scores_against_plain(spark, docs, made, prose):
+    rows, labels = made
+    long = prose(77, 40_000)
+    odd = [(800, long), (801, long + " grobblehead snarkfaces wretchlinged grobbleheads"), (802, None), (803, ""), (0, "other text of a repeated id")]
+    d = docs([*rows, *odd])
+    model = T.fit(d, spark.createDataFrame(labels, LABELS))
+
+    def plain(text):
+        words = {w for w in re.split(r"[\W\d_]+", (text or "").lower()) if w}
+        counts = {}
+        for w in words:
+            for f in {w, *("^" + w[:k] for k in (4, 5, 6, 7) if len(w) >= k)}:
+                counts[f] = counts.get(f, 0) + 1
+        held = set(counts) | {f"{f}#{k}" for f, n in counts.items() for k in (2, 3, 5) if n >= k}
+        return 1 / (1 + math.exp(-model.bias - sum(v for f, v in model.weights.items() if f in held)))
+
+    found = [(r["doc_id"], r["score"]) for r in T.scored(d, model).collect()]
+    asked = sorted((i, plain(t)) for i, t in [*rows, *odd])
+    for (i, x), (j, y) in zip(sorted(found), asked, strict=True):
+        assert i == j
+        assert x == pytest.approx(y, abs=1e-9)
+    assert T.fit(d, spark.createDataFrame(labels, LABELS)).weights == model.weights  # reruns agree
+
+
+def test_table_is_bounded():
+    r = random.Random(4)
+    texts = {k: ["".join(r.choices("abcdefgh", k=400)) for _ in range(5)] for k in ("x", "y")}
+    whole = L.train(texts)
+    small = L.train(texts, table_bytes=whole.bits.nbytes - 4000)
+    assert small.bits.nbytes <= whole.bits.nbytes - 4000 < whole.bits.nbytes
+    assert len(small.bits) > 0
+    assert np.abs(small.lengths("abcabc") - whole.lengths("abcabc")).max() < 20
+    with pytest.raises(ValueError, match="table"):
+        L.train(texts, table_bytes=100)
+
+
 def test_code_lengths_are_exact(monkeypatch):
     texts = {"a": ["abracadabra abra", "cadabra"], "b": ["bonbon bon", "nob", "é"]}
     m = L.train(texts)
