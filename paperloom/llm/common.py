@@ -22,20 +22,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: texts may be megabytes each."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Keep Arrow batches small: texts may be megabytes each.
+
+    Spark reads the setting when a plan starts, after the operator has returned it, so it stays for the session; a smaller one is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints: the one that the cluster names, or a new one where it names none (in tests)."""
+    """The folder for checkpoints: the one that the cluster names, or a new one where a single machine names none (in tests)."""
     context = spark.sparkContext
     if (set_already := context.getCheckpointDir()) is not None:
         return set_already
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paperloom-checkpoint-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="paperloom-checkpoint-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage by a checkpoint in the shared folder.
 

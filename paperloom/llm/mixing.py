@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, table, words
+from .common import WORD, materialise, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -111,8 +111,8 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: i
 
 
 def _first_words(text: Column, n: Column) -> Column:
-    """The first n words of a text, joined by spaces."""
-    return F.array_join(F.slice(words(text), F.lit(1), F.greatest(n, F.lit(0)).cast("int")), " ")
+    """A text up to the end of its n-th word, white space as it was."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.greatest(n, F.lit(0)).cast("int")), "")
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

@@ -28,17 +28,14 @@ STOP_WORDS = (
     "al como con cuando del donde el ella ellas ellos entre era es esta este ha hay las lo los más me mi muy ni no nos o para pero por porque que se sin sobre son su sus también te un una uno y ya"
 ).split()
 PUNCTUATION = ".,;:!?()\"'"
-#: (rule, measure, "max" or "min", threshold). A text is kept if it breaks none.
+#: (rule, measure, "max" or "min", threshold). A text is kept if it breaks none of these and no base rule (under 50 words, half of them repeated).
 RULES = (
-    ("too_short", "n_words", "min", 50.0),
-    ("repeated_words", "repeat_ratio", "max", 0.5),
     ("words_too_short", "mean_word", "min", 2.0),
     ("words_too_long", "mean_word", "max", 12.0),
     ("symbols", "symbol_ratio", "max", 0.1),
     ("few_stop_words", "stop_ratio", "min", 0.06),
     ("repeated_lines", "dup_line_ratio", "max", 0.4),
 )
-BASE_RULES = ("too_short", "repeated_words")
 
 
 def _repeated(found: Column) -> Column:
@@ -100,11 +97,10 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
         "stop_ratio": ratio(F.col("m.n_stop_words"), n),
         "dup_line_ratio": ratio(F.col("m.lines.dup"), F.col("m.lines.n")),
     }
-    broken = {name: (values[what] < bound if way == "min" else values[what] > bound) for name, what, way, bound in rules}
-    broken |= {"too_short": n < 50, "repeated_words": 100 * F.col("m.n_repeat_words") > 50 * n} if rules is RULES else {}
-    base = F.lit(False)
-    for name in BASE_RULES:
-        base = base | broken.get(name, F.lit(False))
+    # the base rules hold whatever the table says, and are compared in whole numbers
+    base_rules = {"too_short": n < 50, "repeated_words": 100 * F.col("m.n_repeat_words") > 50 * n}
+    base = base_rules["too_short"] | base_rules["repeated_words"]
+    broken = base_rules | {name: (values[what] < bound if way == "min" else values[what] > bound) for name, what, way, bound in rules}
     return m.select(
         "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", F.col("m.lines.dup").cast("long").alias("n_dup_lines"), "m.n_repeat_words",
         base.alias("base_failed"),

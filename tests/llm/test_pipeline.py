@@ -58,6 +58,28 @@ def test_stages(spark, folder, tmp_path):
     assert sum(r["start"] == 0 for r in kept[4].collect()) == kept[3].count()
 
 
+def test_odd_tables(spark, folder, docs, prose, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, ties and columns with clashing names; then no rows at all."""
+    base = spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()
+    rows = [tuple(r)[:4] for r in base] + [(900, None, None, None), (901, "", "", ""), (None, base[0]["text"], None, "s1"), (None, None, None, None), (902, f"the {prose(5, 30_000)} and of", "en", None)]
+    rows += [(903, f"the {prose(7777, 90)} and of", "en", "s2")] * 3
+    labels = spark.read.parquet(f"{folder}/labels.parquet").union(spark.createDataFrame([(None, None, None), (903, 1, None)], "doc_id long, quality int, toxic int"))
+    for case, frame in (("odd", docs(rows)), ("none", docs([]))):
+        frame.write.parquet(f"{tmp_path}/{case}/documents.parquet")
+        (labels if case == "odd" else labels.limit(0)).write.parquet(f"{tmp_path}/{case}/labels.parquet")
+        now = frame
+        for at, (_, stage) in enumerate(C.STAGES):
+            stage(spark, now, f"{tmp_path}/{case}").write.parquet(f"{tmp_path}/{case}/{at}")
+            now = spark.read.parquet(f"{tmp_path}/{case}/{at}")
+            assert at == 4 or now.columns == frame.columns
+            if at == 2 and case == "odd":
+                kept = [r["doc_id"] for r in now.collect()]
+                assert kept.count(903) == 1
+                assert kept.count(902) == 1
+                assert {r["doc_id"] for r in base} - {i for i in range(400, 440)} <= set(kept) | set(range(200, 300))
+        assert (now.count() > 0) == (case == "odd")
+
+
 def test_run(spark, folder):
     assert C.run(spark, folder).count() > 0
     assert C.ORACLE_SQL is None
