@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. ``run`` writes each
 stage's rows as Parquet in the cluster's shared folder and reads them again, so a lost executor costs one
-stage's tasks at most and no stage is computed twice.
+stage's tasks at most and no stage is computed twice; of these folders the last one stays, as the result is read from it.
+
+Defined results, as the operators have them: a null text is empty, is not toxic, has no language and so goes in the second stage; a null
+label or language teaches nothing; documents without an id are never copies and are mixed and packed as others are; of rows that share an
+id one stays at most; a null source is a source of its own; an empty table passes through and packs to no rows. The columns named in
+``documents`` are read by name, so extra columns of any name pass through; ties are settled as each operator states.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import language, mixing, packing, simhash, toxicity
-from paperloom.llm.common import shared_folder, table
+from paperloom.llm.common import remove, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,4 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for at, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{at}")
         docs = spark.read.parquet(f"{folder}/{at}")
+        if at:
+            remove(spark, f"{folder}/{at - 1}")
     return docs
