@@ -111,12 +111,16 @@ def one_contains_other(a: Column, b: Column) -> Column:
 
 
 def abstract_of(inverted: Column) -> Column:
-    """Text of an inverted index map<word, array<position>>; gaps leave empty words, a null or empty map gives ''."""
+    """Text of an inverted index map<word, array<position>>; gaps leave empty words, a null or empty map gives ''.
+
+    Entries are sorted once; where words share a position the last one stands.
+    """
     entries = F.flatten(F.transform(F.map_entries(inverted), lambda e: F.transform(e["value"], lambda p: F.struct(p.cast("int").alias("at"), e["key"].alias("word")))))
-    last = F.array_max(F.transform(entries, lambda e: e["at"]))
-    # where words share a position the last one stands
-    words = F.transform(F.sequence(F.lit(0), last), lambda i: F.coalesce(F.try_element_at(F.transform(F.filter(entries, lambda e: e["at"] == i), lambda e: e["word"]), F.lit(-1)), F.lit("")))
-    return F.when(F.coalesce(F.size(entries), F.lit(0)) > 0, F.array_join(words, " ")).otherwise(F.lit(""))
+    placed = F.array_sort(F.filter(F.transform(entries, lambda e, i: F.struct(e["at"].alias("at"), i.alias("i"), e["word"].alias("word"))), lambda e: e["at"] >= 0))
+    once = lambda value, body: F.transform(F.array(value), body)[0]
+    last = once(placed, lambda s: F.filter(s, lambda x, i: ~F.coalesce(F.get(s, i + 1)["at"] == x["at"], F.lit(False))))
+    text = once(last, lambda s: F.array_join(F.transform(s, lambda x, i: F.concat(F.repeat(F.lit(" "), x["at"] - F.coalesce(F.get(s, i - 1)["at"], F.lit(0))), x["word"])), ""))
+    return F.coalesce(text, F.lit(""))
 
 
 def cluster_name(label: Column) -> Column:
@@ -138,11 +142,44 @@ def role_of(papers: Column, patents: Column) -> Column:
     return F.when(share >= 0.7, "Primarily an IP holder").when(share <= 0.3, "Primarily a research institution").otherwise("Both researcher and IP holder")
 
 
+def day_after(day: Column, years: Column) -> Column:
+    """The day so many years of 365.25 days after a day, or before it; part days go down."""
+    return F.date_add(day, F.floor(years * F.lit(365.25)).cast("int"))
+
+
+#: Days that a trace's chart shows before the paper and after the last filing.
+BEFORE, AFTER = 90, 270
+#: Colours of a trust level and of the ends of the concentration scale.
+TRUST_COLOURS = {"high": "#22c55e", "medium": "#94a3b8", "low": "#ef4444"}
+SPREAD, CONCENTRATED = (34, 197, 94), (239, 68, 68)
+
+
+def trust_colour(level: Column) -> Column:
+    """Colour of a trust level; an unknown one counts as medium."""
+    known = F.coalesce(*[F.when(level == k, F.lit(v)) for k, v in TRUST_COLOURS.items()])
+    return F.coalesce(known, F.lit(TRUST_COLOURS["medium"]))
+
+
+def concentration_colour(share: Column) -> Column:
+    """Colour between the scale's ends for a share; beyond 0 and 1 the ends hold."""
+    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), share.cast("double")))
+    part = lambda a, b: F.lpad(F.lower(F.hex((F.lit(float(a)) + F.lit(float(b - a)) * t).cast("int").cast("bigint"))), 2, "0")
+    return F.when(share.isNotNull(), F.concat(F.lit("#"), *[part(a, b) for a, b in zip(SPREAD, CONCENTRATED, strict=True)]))
+
+
+def cut_at_word(text: Column, limit: int) -> Column:
+    """struct(snippet, cut): at most ``limit`` characters that end with a whole word, and whether any went; one longer word is cut."""
+    seen = F.substring(text, 1, limit + 1)
+    whole = F.when(seen.contains(" "), F.regexp_replace(seen, r"(?s) [^ ]*$", "")).otherwise(F.substring(text, 1, limit))
+    long = F.length(text) > limit
+    return F.struct(F.when(long, F.regexp_replace(whole, r"\s+$", "")).otherwise(text).alias("snippet"), long.alias("cut"))
+
+
 def shortened(title: Column, most: int = 75) -> Column:
     return F.when(F.length(title) > most, F.concat(F.substring(title, 1, most), F.lit("…"))).otherwise(title)
 
 
-# Families of documents and clusters.
+# Families of documents and clusters.
 PRIMARY_CODE_FAMILY = (("G03F", "euv"), ("H01S", "lasers"), ("G02B", "si_photonics"), ("G06N", "neuromorphic"), ("G11C", "in_memory"), ("H10N", "in_memory"))
 TOPIC_FAMILY = (("https://openalex.org/T11338", "euv"), ("https://openalex.org/T11429", "lasers"), ("https://openalex.org/T10299", "si_photonics"))
 SPLIT_TOPIC = "https://openalex.org/T10502"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +18,40 @@ VECTOR, MOST_TOKENS = 384, 256
 LEAST_CLUSTER, LEAST_NEIGHBOURS = 50, 50
 TERMS, FEATURES = 15, 10_000
 NOISE = "c_noise"
-#: English stop words; close to, not the same as, other libraries' lists.
+MOST_TITLES = 5
+# Labels of noise and of clusters whose answer can't be read; the cluster's id follows.
+NOISE_TAGLINE = "Frontier / Unclustered"
+FALLBACK_TAGLINE = "Technology Cluster "
+FALLBACK_SUMMARY = "A technology cluster identified from microchip hardware patent and paper data. Cluster identifier: "
+#: English stop words, written for this repository.
 STOP_WORDS = (
     "a about above after again against all almost alone along already also although always am among an and another any are around as at be became because been before being below between both but by can cannot could did do does doing done down during each either else enough etc even ever every few first for from further get give had has have having he her here hers herself him himself his how however i if in indeed into is it its itself last least less made many may me might mine more moreover most mostly much must my myself namely neither never nevertheless next no nobody none nor not nothing now of off often on once one only onto or other others otherwise our ours ourselves out over own part per perhaps please put rather re same see seem seemed seems several she should since so some somehow still such than that the their them themselves then thence there thereby therefore therein these they this those though through throughout thru thus to together too toward towards under until up upon us very via was we well were what whatever when whence whenever where whereas whereby wherein whether which while who whole whom whose why will with within without would yet you your yours yourself yourselves"
 ).split()
 
 
-def embedded(corpus: DataFrame, encoder: Callable[[Column], Column] = embedding, most_tokens: int = MOST_TOKENS) -> DataFrame:
-    """The corpus with a unit vector a document and whether its text passes the encoder's length."""
-    return corpus.select("*", encoder(F.col("text")).alias("embedding"), (F.size(F.split(F.trim("text"), r"\s+")) > most_tokens).alias("truncated"))
+def embedded(corpus: DataFrame, encoder: Callable[[Column], Column] = embedding, most_tokens: int = MOST_TOKENS, tokens: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The corpus with a unit vector a document and whether its text passes the encoder's length in tokens."""
+    tokens = tokens or word_pieces
+    return corpus.select("*", encoder(F.col("text")).alias("embedding"), (tokens(F.col("text")) > most_tokens).alias("truncated"))
+
+
+def word_pieces(text: Column) -> Column:
+    """Tokens of a text, about as a sub-word tokenizer counts them: marks, pieces of six characters, and the two special ones."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}\p{M}\p{N}]{1,6}|[^\s\p{L}\p{M}\p{N}]")) + 2
+
+
+def encoded(corpus: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]], text: str = "text", batch: int = 64) -> DataFrame:
+    """The corpus with a vector a document by a model: ``load`` is called once a task and gives a function of up to ``batch`` texts."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in corpus.schema)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = load()
+        for frame in frames:
+            texts = [t or "" for t in frame[text]]
+            vectors = [v for at in range(0, len(texts), batch) for v in np.asarray(model(texts[at : at + batch]), dtype=np.float32)]
+            yield frame.assign(embedding=pd.Series(vectors, index=frame.index, dtype=object))
+
+    return corpus.mapInPandas(run, f"{kinds}, embedding array<float>")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -33,10 +60,12 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
-    """(group, centroid): means by place, added up map-side; no vectors are gathered."""
-    each = vectors.select(group, F.posexplode(vector).alias("at", "v"))
-    means = each.groupBy(group, "at").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    return means.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "m"))), lambda x: x["m"]).alias("centroid"))
+    """(group, centroid): means by place, summed vector by vector map-side."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    each = vectors.where(F.col(vector).isNotNull()).select(group, array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("v"))
+    return each.groupBy(group).agg(Summarizer.mean(F.col("v")).alias("m")).select(group, vector_to_array("m").alias("centroid"))
 
 
 def plane(vectors: DataFrame, id_col: str, vector: str = "embedding") -> DataFrame:
@@ -126,20 +155,31 @@ def still_valid(docs: DataFrame, frozen: DataFrame) -> bool:
     return signature(docs, "doc_id").first() == signature(frozen, "doc_id").first()
 
 
-def prompt(top_terms: Column, titles: Column) -> Column:
-    """Request for a label, for a hosted model."""
-    return F.concat_ws("\n", F.concat(F.lit("Terms: "), F.array_join(top_terms, ", ")), F.concat(F.lit("Titles: "), F.array_join(titles, "; ")), F.lit('Answer as JSON: {"tagline": "...", "summary_friendly": "..."}'))
+def prompt(cluster_id: Column, top_terms: Column, titles: Column) -> Column:
+    """Request for a label, for a hosted model: the cluster, its first terms and titles, and nothing else to name it by."""
+    listed = F.transform(F.slice(titles, 1, MOST_TITLES), lambda t: F.concat(F.lit("- "), t))
+    return F.concat_ws(
+        "\n", F.concat(F.lit("Cluster "), cluster_id), F.concat(F.lit("Terms: "), F.array_join(F.slice(top_terms, 1, TERMS), ", ")), F.lit("Titles:"), F.array_join(listed, "\n"),
+        F.lit('Name and describe the cluster by these alone. Answer as JSON: {"tagline": "...", "summary_friendly": "..."}'),
+    )
 
 
-def parsed_label(answer: Column, top_terms: Column) -> Column:
-    """struct(tagline, summary_friendly) from an answer, JSON with anything around it; the terms where it can't be read."""
+def parsed_label(answer: Column, cluster_id: Column) -> Column:
+    """struct(tagline, summary_friendly) from an answer, JSON with anything around it; where it can't be read, or lacks one, the cluster's id."""
     inside = F.regexp_extract(answer, r"(?s)\{.*\}", 0)
     read = F.from_json(inside, "tagline string, summary_friendly string")
+    both = F.coalesce((F.trim(read["tagline"]) != "") & (F.trim(read["summary_friendly"]) != ""), F.lit(False))
+    fallback = F.concat(F.lit(FALLBACK_SUMMARY), cluster_id, F.lit("."))
+    return F.struct(F.when(both, F.trim(read["tagline"])).otherwise(F.concat(F.lit(FALLBACK_TAGLINE), cluster_id)).alias("tagline"), F.when(both, F.trim(read["summary_friendly"])).otherwise(fallback).alias("summary_friendly"))
+
+
+def label_of_terms(top_terms: Column) -> Column:
+    """struct(tagline, summary_friendly) from the terms, where no model is at hand."""
     named = F.coalesce(F.nullif(F.initcap(F.array_join(F.slice(top_terms, 1, 3), " / ")), F.lit("")), F.lit("Unlabelled cluster"))
-    return F.struct(F.coalesce(F.nullif(read["tagline"], F.lit("")), named).alias("tagline"), F.coalesce(F.nullif(read["summary_friendly"], F.lit("")), F.concat(F.lit("Documents about "), F.array_join(F.slice(top_terms, 1, 5), ", "), F.lit("."))).alias("summary_friendly"))
+    return F.struct(named.alias("tagline"), F.concat(F.lit("Documents about "), F.array_join(F.slice(top_terms, 1, 5), ", "), F.lit(".")).alias("summary_friendly"))
 
 
-def labelled(terms_: DataFrame, examples: DataFrame | None = None, answer: Callable[[Column], Column] | None = None, most_titles: int = 5) -> DataFrame:
+def labelled(terms_: DataFrame, examples: DataFrame | None = None, answer: Callable[[Column], Column] | None = None, most_titles: int = MOST_TITLES) -> DataFrame:
     """(cluster_id, tagline, summary_friendly, top_terms): by a given model, else from the terms; noise has a fixed label."""
     out = terms_
     if examples is not None:
@@ -147,6 +187,7 @@ def labelled(terms_: DataFrame, examples: DataFrame | None = None, answer: Calla
         out = out.join(some, "cluster_id", "left")
     else:
         out = out.withColumn("titles", F.array().cast("array<string>"))
-    said = answer(prompt(F.col("top_terms"), F.coalesce("titles", F.array().cast("array<string>")))) if answer else F.lit(None).cast("string")
-    label = F.when(F.col("cluster_id") == NOISE, F.struct(F.lit("Frontier / Unclustered").alias("tagline"), F.lit("Documents that form no distinct cluster.").alias("summary_friendly"))).otherwise(parsed_label(said, F.col("top_terms")))
+    asked = prompt(F.col("cluster_id"), F.col("top_terms"), F.coalesce("titles", F.array().cast("array<string>")))
+    named = parsed_label(answer(asked), F.col("cluster_id")) if answer else label_of_terms(F.col("top_terms"))
+    label = F.when(F.col("cluster_id") == NOISE, F.struct(F.lit(NOISE_TAGLINE).alias("tagline"), F.lit("Documents that form no distinct cluster.").alias("summary_friendly"))).otherwise(named)
     return out.withColumn("l", label).select("cluster_id", "l.tagline", "l.summary_friendly", "top_terms")

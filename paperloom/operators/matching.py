@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import late_tokens, link_confidence, one_contains_other, organisation_name, slug, token_set
 from ..functions.udfs import token_set_ratio
-from .relational import first_per_key, precision_recall, semi
+from ..session import materialise
+from .relational import first_per_key, semi
 
 # Fixed values.
 MOST_POSTINGS, MOST_CANDIDATES, LEAST_TITLE_WORDS, LEAST_REFERENCE = 5000, 30, 5, 40
@@ -55,17 +56,23 @@ def seed_institutions(seed: DataFrame, staged: DataFrame) -> DataFrame:
 def blocked_bridge(left: DataFrame, right: DataFrame, left_id: str = "institution_id", right_id: str = "assignee_id", name: str = "normalized_name", high: float = 100, review: float = 100) -> DataFrame:
     """Best match of each left name among right names with its first word.
 
-    At the usual threshold of 100 the score is a containment test on token arrays, with no Python in the plan; below it
-    pairs that share a block are scored. A block of one first word is split further by any second word only if AQE finds
-    it skewed: names are distinct per id, so blocks stay small next to either side.
+    At the usual threshold of 100 the score is a containment test on token arrays, with no Python in the plan: the name that is
+    contained has its rarest token in the other, so names meet on the rarest token of either and a frequent first word multiplies
+    nothing. Below 100 pairs that share a first word are scored.
     """
-    block = F.substring_index(F.col(name), " ", 1)
-    a = left.where(F.col(name) != "").select(left_id, F.col(name).alias("a"), block.alias("block"))
-    b = right.where(F.col(name) != "").select(right_id, F.col(name).alias("b"), block.alias("block"))
-    pairs = a.join(b, "block")
+    first = lambda c: F.substring_index(F.col(c), " ", 1)
+    a = left.where(F.col(name) != "").select(left_id, F.col(name).alias("a"))
+    b = right.where(F.col(name) != "").select(right_id, F.col(name).alias("b"))
     if review >= 100:
-        scored = pairs.where(one_contains_other(token_set(F.col("a")), token_set(F.col("b")))).withColumn("similarity", F.lit(100.0))
+        held = [df.select("*", F.explode(token_set(F.col(k))).alias("token")) for df, k in ((a, "a"), (b, "b"))]
+        counts = held[0].select("token").unionByName(held[1].select("token")).groupBy("token").agg(F.count("*").alias("n"))
+        ids = ((left_id, "a"), (right_id, "b"))
+        rare = [h.join(counts, "token").groupBy(*k).agg(F.min(F.struct("n", "token")).alias("r")).select(*k, F.col("r.token").alias("token")) for h, k in zip(held, ids, strict=True)]
+        pairs = rare[0].join(held[1], "token").unionByName(held[0].join(rare[1], "token")).select(left_id, right_id, "a", "b").distinct()
+        fits = (first("a") == first("b")) & one_contains_other(token_set(F.col("a")), token_set(F.col("b")))
+        scored = pairs.where(fits).withColumn("similarity", F.lit(100.0))
     else:
+        pairs = a.withColumn("block", first("a")).join(b.withColumn("block", first("b")), "block")
         scored = pairs.withColumn("similarity", token_set_ratio("a", "b")).where(F.col("similarity") >= review)
     best = first_per_key(scored, left_id, [F.col("similarity").desc(), F.col(right_id)])
     sure = F.col("similarity") >= high
@@ -165,17 +172,18 @@ def gold_links(published: DataFrame, patents: DataFrame, papers: DataFrame) -> D
 
 def choose_threshold(matches: DataFrame, gold: DataFrame, thresholds: Sequence[int] = THRESHOLDS, least: float = LEAST_PRECISION) -> int:
     """The lowest threshold whose links, on patents with gold links, are right often enough; else the highest."""
-    judged = semi(matches, gold.select("patent_id").distinct(), "patent_id").select("patent_id", "work_id", "score")
-    for t in sorted(thresholds):
-        row = precision_recall(judged.where(F.col("score") >= t), gold, ["patent_id", "work_id"]).first()
-        if row["true_positives"] + row["false_positives"] and row["precision"] >= least:
-            return t
-    return max(thresholds)
+    judged = semi(matches, gold.select("patent_id").distinct(), "patent_id")
+    pairs = judged.groupBy("patent_id", "work_id").agg(F.max("score").alias("score")).join(gold.select("patent_id", "work_id").distinct().withColumn("right", F.lit(1)), ["patent_id", "work_id"], "left")
+    counts = [F.count(F.when((F.col("score") >= t) & hit, 1)).alias(f"{name}{t}") for t in thresholds for name, hit in (("found", F.lit(True)), ("right", F.col("right").isNotNull()))]
+    row = pairs.agg(*counts).first()  # one pass for all thresholds
+    return min((t for t in thresholds if row[f"found{t}"] and row[f"right{t}"] / row[f"found{t}"] >= least), default=max(thresholds))
 
 
 def matched_links(references: DataFrame, papers: DataFrame, gold: DataFrame | None = None, threshold: int | None = None) -> DataFrame:
     """(patent_id, work_id, match_method, confidence, doi_extracted, score): one row a pair, exact links before fuzzy ones."""
     fuzzy = title_matches(references, papers)
+    if threshold is None and gold is not None:
+        fuzzy = materialise(fuzzy)  # read for the choice and for the links
     if threshold is None:
         threshold = choose_threshold(fuzzy, gold) if gold is not None else max(THRESHOLDS)
     f = fuzzy.where(F.col("score") >= threshold).select("patent_id", "work_id", F.lit("npl_citation").alias("match_method"), F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("doi_extracted"), "score")

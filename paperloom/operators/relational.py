@@ -116,6 +116,12 @@ def precision_recall(found: DataFrame, gold: DataFrame, keys: Sequence[str]) ->
 
 
 def signature(df: DataFrame, id_col: str, digits: int = 16) -> DataFrame:
-    """One row: digest of the distinct ids, whatever their order. Ids meet in one row, so this is for id lists that fit one."""
-    ids = F.array_join(F.array_sort(F.collect_set(F.col(id_col).cast("string"))), "\n")
-    return df.agg(F.substring(F.sha2(ids, 256), 1, digits).alias("signature"))
+    """One row: digest of the distinct ids, whatever their order.
+
+    Ids are dealt to 4096 buckets by the first digits of their md5; a bucket's digest is that of its ids in order, and the
+    signature that of the buckets' digests in order. So no row holds more than a bucket's ids.
+    """
+    ids = df.select(F.col(id_col).cast("string").alias("id")).where("id is not null").distinct()
+    buckets = ids.groupBy(F.substring(F.md5("id"), 1, 3).alias("bucket")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("id")), "\n"), 256).alias("digest"))
+    digests = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "digest"))), lambda x: x["digest"])  # 4096 at most
+    return buckets.agg(F.substring(F.sha2(F.array_join(digests, ""), 256), 1, digits).alias("signature"))

@@ -248,7 +248,7 @@ def token_set_overlap(t: Load) -> DataFrame:
     return b.join(after, "item_id").select("item_id", "other", F.size(F.array_intersect("w", "v")).alias("shared"))
 
 
-_SHORT = "SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN split_part(p_name, ' ', 1) WHEN p_partkey % 3 = 1 THEN p_name ELSE p_name || ' limited' END AS name FROM part WHERE p_partkey % 10 = 0"
+_SHORT = "SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN split_part(p_name, ' ', 1) WHEN p_partkey % 3 = 1 THEN p_name ELSE p_name || ' limited' END AS name FROM part"
 
 
 @query(f"""
@@ -257,38 +257,21 @@ x AS (SELECT id, rid, list_distinct(string_split(a.name, ' ')) AS u, list_distin
 y AS (SELECT id, rid, row_number() OVER (PARTITION BY id ORDER BY rid) AS n FROM x WHERE list_has_all(u, v) OR list_has_all(v, u))
 SELECT id, rid, 100.0::DOUBLE AS similarity, 'fuzzy_high' AS match_method FROM y WHERE n = 1""")
 def blocked_subset_bridge(t: Load) -> DataFrame:
-    return _name_bridge(t, t("part").where("p_partkey % 10 = 0"))
-
-
-def _name_bridge(t: Load, own: DataFrame) -> DataFrame:
     p = t("part").select("p_partkey", "p_name")
     k = c("p_partkey") % 3
     name = F.when(k == 0, F.split_part("p_name", F.lit(" "), F.lit(1))).when(k == 1, c("p_name")).otherwise(F.concat("p_name", F.lit(" limited")))
-    left = own.select(c("p_partkey").alias("id"), name.alias("normalized_name"))
+    left = t("part").select(c("p_partkey").alias("id"), name.alias("normalized_name"))
     right = t("supplier").select(c("s_suppkey").alias("p_partkey")).join(p, "p_partkey").select(c("p_partkey").alias("rid"), F.concat("p_name", F.when(c("p_partkey") % 2 == 0, " company").otherwise("")).alias("normalized_name"))
     return matching.blocked_bridge(left, right, "id", "rid").select("id", "rid", "similarity", "match_method")
 
 
-@query(_sql["blocked_subset_bridge"].replace(" WHERE p_partkey % 10 = 0", ""))
-def blocked_subset_bridge_whole(t: Load) -> DataFrame:
-    """The bridge of every part name; the query above is held by its SQL to a tenth of them."""
-    return _name_bridge(t, t("part"))
-
-
-@query("""
-WITH q AS (SELECT item_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z]{5,}'), lambda x: lower(x)))) AS tok FROM benchmark),
-d AS (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z]{5,}'), lambda x: lower(x)))) AS tok FROM documents),
-k AS (SELECT tok FROM d GROUP BY 1 HAVING count(*) <= 40),
+@query(f"""
+WITH q AS (SELECT item_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z]{{5,}}'), lambda x: lower(x)))) AS tok FROM benchmark),
+d AS (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z]{{5,}}'), lambda x: lower(x)))) AS tok FROM documents),
+k AS (SELECT tok FROM d GROUP BY 1 HAVING count(*) <= {matching.MOST_POSTINGS}),
 s AS (SELECT item_id, doc_id, count(*) AS shared FROM q JOIN d ON d.tok = q.tok WHERE d.tok IN (SELECT tok FROM k) GROUP BY 1, 2)
-SELECT item_id, doc_id, shared FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) AS n FROM s) WHERE n <= 5""")
+SELECT item_id, doc_id, shared FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) AS n FROM s) WHERE n <= {matching.MOST_CANDIDATES}""")
 def inverted_index_topk(t: Load) -> DataFrame:
-    tokens = lambda df, key: df.select(key, X.late_tokens(c("text")).alias("tokens"))
-    return matching.candidates(tokens(t("benchmark"), "item_id"), tokens(t("documents"), "doc_id"), "item_id", "doc_id", most=5, postings=40)
-
-
-@query(_sql["inverted_index_topk"].replace("<= 40", f"<= {matching.MOST_POSTINGS}").replace("n <= 5", f"n <= {matching.MOST_CANDIDATES}"))
-def inverted_index_production(t: Load) -> DataFrame:
-    """Candidates with the operator's own values; the query above is held by its SQL to small ones."""
     tokens = lambda df, key: df.select(key, X.late_tokens(c("text")).alias("tokens"))
     return matching.candidates(tokens(t("benchmark"), "item_id"), tokens(t("documents"), "doc_id"), "item_id", "doc_id")
 
@@ -428,7 +411,7 @@ def abstract_reconstruct(t: Load) -> DataFrame:
     return inverted.select("item_id", X.abstract_of(c("inverted")).alias("abstract"))
 
 
-@query("SELECT substr(sha256(string_agg(id, chr(10) ORDER BY id)), 1, 16) AS signature FROM (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents)")
+@query("WITH b AS (SELECT substr(md5(id), 1, 3) AS bucket, sha256(string_agg(id, chr(10) ORDER BY id)) AS digest FROM (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents WHERE doc_id IS NOT NULL) GROUP BY 1) SELECT substr(sha256(string_agg(digest, '' ORDER BY bucket)), 1, 16) AS signature FROM b")
 def corpus_signature(t: Load) -> DataFrame:
     return R.signature(t("documents"), "doc_id")
 
@@ -437,28 +420,17 @@ _CLASSES = "CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 ELSE -1
 
 
 @query(f"""
-WITH d AS (SELECT doc_id, {_CLASSES} AS label, list_filter(regexp_extract_all(lower(text), '[a-z]{{2,}}'), lambda x: x NOT IN ({", ".join("'" + w + "'" for w in C.STOP_WORDS)})) AS w FROM documents WHERE {_CLASSES} >= 0),
+WITH d AS (SELECT doc_id, {_CLASSES} AS label, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}]{{2,}}'), lambda x: x NOT IN ({", ".join("'" + w + "'" for w in C.STOP_WORDS)})) AS w FROM documents WHERE {_CLASSES} >= 0),
 p AS (SELECT doc_id, label, w, unnest(range(1, len(w)::BIGINT)) AS i FROM d),
 e AS (SELECT label, unnest(w) AS term FROM d UNION ALL SELECT label, w[i] || ' ' || w[i + 1] FROM p),
 k AS (SELECT label, term, count(*) AS n FROM e GROUP BY 1, 2),
-v AS (SELECT term, sum(n) AS total, count(*) AS df FROM k GROUP BY 1 ORDER BY total DESC, term LIMIT 2000),
+v AS (SELECT term, sum(n) AS total, count(*) AS df FROM k GROUP BY 1 ORDER BY total DESC, term LIMIT {C.FEATURES}),
 x AS (SELECT k.label, k.term, k.n, v.df, sum(k.n) OVER (PARTITION BY k.label) AS tot FROM k JOIN v ON v.term = k.term),
 s AS (SELECT label, term, n / (tot + 1e-9::DOUBLE) * ln((SELECT count(DISTINCT label) FROM d) / (df + 1e-9::DOUBLE)) AS weight FROM x)
 SELECT label, term, round(weight, 6) AS weight, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(weight, 12) DESC, term) AS rank FROM s) WHERE rank <= 15""")
 def ctfidf_terms(t: Load) -> DataFrame:
     label = F.when(c("lang") == "en", 0).when(c("lang") == "de", 1).when(c("lang") == "fr", 2).otherwise(-1)
-    ascii_only = F.regexp_replace(F.lower("text"), "[^a-z]", " ")
-    found = C.terms(t("documents").select(label.alias("label"), ascii_only.alias("text")), features=2000)
-    return found.select("label", "term", F.round("weight", 6).alias("weight"), "rank")
-
-
-@query(_sql["ctfidf_terms"].replace("LIMIT 2000", f"LIMIT {C.FEATURES}"))
-def ctfidf_production(t: Load) -> DataFrame:
-    """Terms with the operator's own vocabulary; the query above is held by its SQL to a smaller one."""
-    label = F.when(c("lang") == "en", 0).when(c("lang") == "de", 1).when(c("lang") == "fr", 2).otherwise(-1)
-    ascii_only = F.regexp_replace(F.lower("text"), "[^a-z]", " ")
-    found = C.terms(t("documents").select(label.alias("label"), ascii_only.alias("text")))
-    return found.select("label", "term", F.round("weight", 6).alias("weight"), "rank")
+    return C.terms(t("documents").select(label.alias("label"), "text")).select("label", "term", F.round("weight", 6).alias("weight"), "rank")
 
 
 # --- numbers, rules, evaluation ------------------------------------------------------------------------------------------
@@ -746,7 +718,7 @@ def dataset_totals(t: Load) -> DataFrame:
 
 
 @query()
-def plane_and_density(t: Load) -> DataFrame:
+def plane_by_pca_density_by_grid(t: Load) -> DataFrame:
     points = materialise(C.plane(t("embeddings"), "vec_id"))
     labels = C.dense_clusters(points, "vec_id", radius=0.25, least=40, smallest=40)
     return points.join(labels, "vec_id").select("vec_id", F.round("umap_x", 4).alias("umap_x"), F.round("umap_y", 4).alias("umap_y"), X.cluster_name(c("label")).alias("cluster_id"))
@@ -754,14 +726,14 @@ def plane_and_density(t: Load) -> DataFrame:
 
 @query()
 def cluster_labels(t: Load) -> DataFrame:
-    label = F.when(c("lang") == "en", 0).when(c("lang") == "de", 1).otherwise(-1)
+    label = F.when(c("lang") == "en", 0).when(c("lang") == "de", 1).when(c("lang") == "fr", 2).when(c("lang") == "es", 3).otherwise(-1)
     return C.labelled(C.cluster_terms(t("documents").select(label.alias("label"), "text")))
 
 
 @query()
 def text_embedding(t: Load) -> DataFrame:
     e = C.embedded(t("documents").select("doc_id", "text"))
-    return e.select("doc_id", F.size("embedding").alias("dims"), F.round(C.cosine(c("embedding"), c("embedding")), 3).alias("norm"), "truncated")
+    return e.select("doc_id", F.size("embedding").alias("dims"), F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x)), 3).alias("norm"), F.round(F.array_max("embedding"), 4).alias("largest"), "truncated")
 
 
 @query()
@@ -771,6 +743,8 @@ def language_guess(t: Load) -> DataFrame:
 
 @query()
 def title_scores(t: Load) -> DataFrame:
-    b = t("benchmark").select("item_id", F.lower("text").alias("a"))
-    after = b.select((c("item_id") - 1).alias("item_id"), c("a").alias("b"))
-    return b.join(after, "item_id").select("item_id", F.round(token_set_ratio("a", "b"), 4).alias("score"))
+    """Scores of each benchmark text with the five others that share most tokens with it."""
+    b = t("benchmark").select("item_id", F.lower("text").alias("a"), X.late_tokens(c("text")).alias("tokens"))
+    other = b.select(c("item_id").alias("other"), c("a").alias("b"), "tokens")
+    pairs = matching.candidates(b.select("item_id", "tokens"), other.select("other", "tokens"), "item_id", "other", most=6).where("item_id <> other")
+    return pairs.join(b.drop("tokens"), "item_id").join(other.drop("tokens"), "other").select("item_id", "other", F.round(token_set_ratio("a", "b"), 4).alias("score"))

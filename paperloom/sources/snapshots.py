@@ -84,10 +84,17 @@ def write(df: DataFrame, root: str, layer: str, entity: str, version: str | None
         return final
     staged = f"{root}/{layer}/{entity}/.staging-v{version}"
     df.write.mode("overwrite").parquet(staged)
-    delete(spark, final)
     fs, source = _fs(spark, staged)
-    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(final)):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    # an older one of the same version is moved aside, not deleted, until the new one stands
+    aside = f"{root}/{layer}/{entity}/.replaced-v{version}"
+    delete(spark, aside)
+    replaced = fs.exists(path(final)) and fs.rename(path(final), path(aside))
+    if not fs.rename(source, path(final)):
+        if replaced:
+            fs.rename(path(aside), path(final))
         raise OSError(f"{staged} can't be moved to {final}")
+    delete(spark, aside)
     return final
 
 

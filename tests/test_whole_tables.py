@@ -14,7 +14,7 @@ def test_every_part_is_bridged(spark, tmp_path):
         fits = [r for r, b in right.items() if a.split()[0] == b.split()[0] and (set(a.split()) <= set(b.split()) or set(b.split()) <= set(a.split()))]
         if fits:
             expected[i] = min(fits)
-    found = {r["id"]: r["rid"] for r in catalog.queries()["blocked_subset_bridge_whole"](spark, str(tmp_path)).collect()}
+    found = {r["id"]: r["rid"] for r in catalog.queries()["blocked_subset_bridge"](spark, str(tmp_path)).collect()}
     assert found == expected
     assert any(i % 10 for i in found)
 
@@ -22,7 +22,7 @@ def test_every_part_is_bridged(spark, tmp_path):
 def test_passages_of_many_copies_are_candidates(spark, tmp_path):
     spark.createDataFrame([(i, "wandering albatross colony") for i in range(60)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "albatross colony")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    found = catalog.queries()["inverted_index_production"](spark, str(tmp_path)).collect()
+    found = catalog.queries()["inverted_index_topk"](spark, str(tmp_path)).collect()
     assert sorted((r["item_id"], r["doc_id"], r["shared"]) for r in found) == [(1, i, 2) for i in range(30)]
 
 
@@ -30,5 +30,5 @@ def test_rarer_terms_are_kept(spark, tmp_path):
     word = lambda i: "q" + "".join(chr(97 + i // 26**k % 26) for k in range(3))
     common = " ".join(word(i) for i in range(2500))
     spark.createDataFrame([(1, f"{common} {common}", "en"), (2, "zeldzaam", "de")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    found = catalog.queries()["ctfidf_production"](spark, str(tmp_path)).collect()
+    found = catalog.queries()["ctfidf_terms"](spark, str(tmp_path)).collect()
     assert [r["term"] for r in found if r["label"] == 1] == ["zeldzaam"]
