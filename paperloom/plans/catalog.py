@@ -34,10 +34,13 @@ def query(sql: str | None = None):
 
 
 def queries():
+    from . import catalog_star  # noqa: F401  registers more
+
     return dict(_queries)
 
 
 def oracle_sql():
+    queries()
     return dict(_sql)
 
 
@@ -542,7 +545,7 @@ WHERE make_date(cast(1993 + c_custkey % 8 AS int), cast(1 + c_custkey % 12 AS in
     "clusters": "SELECT concat('c_', n_nationkey) AS cluster_id, concat('Tag ', n_name) AS tagline FROM {nation} WHERE n_nationkey < 12 UNION ALL SELECT 'c_noise', 'Noise' FROM {nation} WHERE n_nationkey = 0",
     "orgs": "SELECT concat('org_', s_suppkey) AS org_id, concat('Org ', s_name) AS canonical_name, 'native_id' AS primary_match_method, 'high' AS primary_confidence FROM {supplier} WHERE s_suppkey < 35",
 }
-_SPARK_WORDS = (("datediff('day', ", "datediff(DAY, "),)
+_SPARK_WORDS = (("datediff('day', ", "datediff(DAY, "), ("list_value(", "array("))
 _TABLES = ("lineitem", "orders", "customer", "nation", "supplier")
 
 

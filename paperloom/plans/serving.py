@@ -5,10 +5,11 @@ Orders that the questions leave open are settled by id, so results are the same
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.text import grant_cutoff_year, role_of, shortened
@@ -40,6 +41,26 @@ class Star:
         return Star(**{k: v.cache() for k, v in vars(self).items()})
 
 
+class Answers:
+    """Small results by question and arguments, held by the driver for ``seconds``: at most ``most`` of up to ``rows`` rows each."""
+
+    def __init__(self, seconds: float = 3600, most: int = 500, rows: int = 1000, clock=time.monotonic):
+        self.seconds, self.most, self.rows, self.clock = seconds, most, rows, clock
+        self.held: dict[tuple, tuple[float, list[Row]]] = {}
+
+    def ask(self, question: Callable[..., DataFrame], star: Star, *args) -> list[Row]:
+        key = (question.__name__, *(tuple(a) if isinstance(a, list) else a for a in args))
+        now = self.clock()
+        if key in self.held and now - self.held[key][0] < self.seconds:
+            return self.held[key][1]
+        found = question(star, *args).limit(self.rows).collect()
+        self.held.pop(key, None)
+        while len(self.held) >= self.most:
+            self.held.pop(next(iter(self.held)))  # the oldest
+        self.held[key] = (now, found)
+        return found
+
+
 def _scope(families: Ids, clusters: Ids, family: str = "family_id_key") -> Column:
     return within({family: families, "cluster_id": clusters})
 

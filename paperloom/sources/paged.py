@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from .snapshots import delete
 
 Get = Callable[[str, dict, dict], tuple[int, dict, dict]]
 MOST_TRIES, LONGEST_WAIT, PAGE = 3, 120.0, 200
 WORKS_URL = "https://api.openalex.org/works"
 INSTITUTIONS_URL = "https://api.openalex.org/institutions"
+TOPICS_URL = "https://api.openalex.org/topics"
 
 
 class SourceError(RuntimeError):
@@ -55,3 +62,24 @@ def keyset(get: Get, url: str, query: dict, key: str, api_key: str, size: int =
         if len(rows) < size:
             return
         after = rows[-1][key]
+
+
+def count_works(get: Get, filters: str, mailto: str, sleep=time.sleep) -> int:
+    """How many works a filter names, from the first page's header."""
+    page = polite(get, WORKS_URL, {"filter": filters, "per-page": 1, "mailto": mailto}, sleep=sleep)
+    return int(page.get("meta", {}).get("count", 0))
+
+
+def topics(get: Get, name: str, mailto: str, most: int = 10, sleep=time.sleep) -> list[tuple[str, str, int]]:
+    """(id, display name, works) of topics found by name."""
+    page = polite(get, TOPICS_URL, {"search": name, "per-page": most, "mailto": mailto}, sleep=sleep)
+    return [(r["id"], r.get("display_name") or "", int(r.get("works_count") or 0)) for r in page.get("results", [])][:most]
+
+
+def landed(spark: SparkSession, records: Iterable[dict], path: str, schema: T.StructType | str, at_once: int = 10_000) -> DataFrame:
+    """Records as a table: written to ``path`` in portions of ``at_once`` as they arrive, so the driver holds one portion."""
+    delete(spark, path)
+    spark.createDataFrame([], schema).write.parquet(path)
+    for portion in batched(records, at_once):
+        spark.createDataFrame(list(portion), schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.parquet(path)

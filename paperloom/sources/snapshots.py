@@ -113,3 +113,11 @@ def table_stats(spark: SparkSession, names: list[str]) -> DataFrame:
     """Columns and row counts of catalog tables and views."""
     rows = [(n, spark.table(n).count(), c.name, c.dataType) for n in names for c in spark.catalog.listColumns(n)]
     return spark.createDataFrame(rows, "table string, n_rows long, column string, type string")
+
+
+def store_answers(spark: SparkSession, root: str, rows: int = 3) -> bool:
+    """Whether a few rows written under ``root`` are read back and can be deleted: a check of a store and its credentials."""
+    path = f"{root}/.round-trip"
+    spark.range(rows).write.mode("overwrite").parquet(path)
+    same = spark.read.parquet(path).count() == rows
+    return delete(spark, path) and same
