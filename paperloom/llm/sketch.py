@@ -26,7 +26,7 @@ SHINGLE = 5
 #: The sketch keeps hashes of which so many leading bits are zero: a quarter of the range.
 ZERO_BITS = 2
 #: Documents to a block, about.
-BLOCK = 2048
+BLOCK = 256
 #: Ranges that the ids' quantiles make, at most; no range has much more than its share of the documents.
 RANGES = 256
 #: Block starts up to which they are sent to every executor; beyond it a shuffled join is used.
@@ -118,8 +118,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     rows = rows.withColumns({"o": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "h": F.shiftrightunsigned(F.xxhash64("text"), 1)})
     known = rows.withColumn("block", _block(_ranges(rows.select("o"), block)))
     firsts = materialise(known.groupBy("block").agg(F.min(F.struct("o", "h")).alias("first")))
-    # one row a block, about 1/BLOCK of the documents; the first block's start follows the last block
-    before = F.coalesce(F.lag("block").over(Window.orderBy("block")), F.max("block").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    # one row a block, about 1/BLOCK of the documents; a range's first block comes after the last of the range before, the very first after the last
+    lasts = firsts.groupBy("block.r").agg(F.max("block").alias("last"))  # one row a range
+    every = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = F.broadcast(lasts.select(F.col("r").alias("of"), F.coalesce(F.lag("last").over(Window.orderBy("r")), F.last("last").over(every)).alias("end")))
+    firsts = firsts.join(ends, F.col("block.r") == F.col("of"))
+    before = F.coalesce(F.lag("block").over(Window.partitionBy("of").orderBy("block")), F.col("end"))
     starts = materialise(firsts.select("first.o", "first.h", before.alias("before")))
     if starts.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
