@@ -1,7 +1,9 @@
 """An exact join of near copies on word shingles, for what SimHash links leave apart.
 
 Of two sets of shingle hashes at a Jaccard similarity of ``least`` or more, each has a share of ``least`` at least in the other, so the sets'
-first hashes in ascending order, a share of 1 - ``least`` and one more, have one in common. Sets that share such a hash meet in its cell.
+first hashes in any common order, a share of 1 - ``least`` and one more, have one in common. Sets that share such a hash meet in its cell.
+The order is by how often the hashes' buckets (``BUCKETS`` of them) occur in all documents, then by hash: a passage that many documents share
+comes last, and documents do not meet for its sake.
 
 Pairs are discarded in turn by size, by ``PARITIES`` bits that are each set where an odd number of hashes falls to it, and by as many such bits
 as a set has hashes: two sets differ in no fewer hashes than in these bits, so no pair at ``least`` is lost. What is left is compared hash by hash.
@@ -23,6 +25,8 @@ from .sketch import resemblance, sketch
 
 #: Links are confirmed on shingles of so many words at such a Jaccard similarity.
 CONFIRM_SHINGLE, CONFIRM = 5, 0.8
+#: Buckets of hashes whose occurrences are counted to order them.
+BUCKETS = 1 << 17
 #: Bits of the parities that every row of a cell carries.
 PARITIES = 512
 #: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; pairs held back.
@@ -47,28 +51,37 @@ def _alike_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(resemblance(F.col("sa"), F.col("sb"), F.lit(True)) >= least).select("a", "b")
 
 
-def parities(sets: Column) -> Column:
-    """struct(odd, wide): PARITIES bits of a set as bytes, and as longs the least power of two of bits that is no less than the set or PARITIES."""
+def occurrences(docs: DataFrame, text_col: str) -> np.ndarray:
+    """How many shingles of all documents fall to each bucket of hashes; summed map-side, so ``BUCKETS`` rows a task are shuffled at most."""
+    each = docs.select(F.explode(F.transform(sketch(F.col(text_col), CONFIRM_SHINGLE, 0), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)))).alias("bucket"))
+    found = each.groupBy("bucket").count().toArrow()  # one row a bucket
+    out = np.zeros(BUCKETS, dtype=np.int64)
+    out[found["bucket"].to_numpy()] = found["count"].to_numpy()
+    return out
 
-    @F.pandas_udf("struct<odd: binary, wide: array<bigint>>")
-    def odd(sets: pd.Series) -> pd.DataFrame:
-        few, many = [], []
+
+def summaries(sets: Column, counts: np.ndarray, least: float = CONFIRM) -> Column:
+    """struct(head, odd, wide): a set's first hashes; PARITIES bits of it as bytes; and as longs the least power of two of bits that is no less than the set or PARITIES."""
+
+    @F.pandas_udf("struct<head: array<bigint>, odd: binary, wide: array<bigint>>")
+    def summed(sets: pd.Series) -> pd.DataFrame:
+        first, few, many = [], [], []
         for s in sets:
+            first.append(s[np.lexsort((s, counts[s & (BUCKETS - 1)]))[: int((1 - least) * len(s) + 1e-6) + 1]])
             width = max(PARITIES, 1 << max(0, len(s) - 1).bit_length())
             bits = (np.bincount(s & (width - 1), minlength=width) & 1).astype(np.uint8)
             wide = np.packbits(bits, bitorder="little").view(np.int64)
             many.append(wide)
             few.append(np.bitwise_xor.reduce(wide.reshape(-1, PARITIES // 64), axis=0).tobytes())
-        return pd.DataFrame({"odd": pd.Series(few, dtype=object), "wide": pd.Series(many, dtype=object)})
+        return pd.DataFrame({"head": pd.Series(first, dtype=object), "odd": pd.Series(few, dtype=object), "wide": pd.Series(many, dtype=object)})
 
-    return odd(sets)
+    return summed(sets)
 
 
-def heads(prints: DataFrame, least: float = CONFIRM) -> DataFrame:
-    """``prints`` with sid, size, odd, wide and head for the shingles s: a hash of their set, its size, its parities and the first of its hashes."""
-    head = F.slice("s", F.lit(1), F.floor((1 - least) * F.size("s") + 1e-6).cast("int") + 1)
+def heads(prints: DataFrame, counts: np.ndarray, least: float = CONFIRM) -> DataFrame:
+    """``prints`` with sid, size, head, odd and wide for the shingles s: a hash of their set, its size, and its ``summaries``."""
     kept = [c for c in prints.columns if c != "s"]
-    return prints.withColumn("p", parities(F.col("s"))).select(*kept, F.xxhash64("s").alias("sid"), F.size("s").alias("size"), head.alias("head"), "p.odd", "p.wide")
+    return prints.withColumn("p", summaries(F.col("s"), counts, least)).select(*kept, F.xxhash64("s").alias("sid"), F.size("s").alias("size"), "p.head", "p.odd", "p.wide")
 
 
 def _may_reach(least: float) -> Column:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, bounded_batches, materialise, release
 from .graph import components, merge, portions
-from .shingle_join import CONFIRM_SHINGLE, alike, confirmed, heads
+from .shingle_join import CONFIRM_SHINGLE, alike, confirmed, heads, occurrences
 from .sketch import sketch
 
 SHINGLE = 3
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bounded_batches(docs.sparkSession)
     shingles = [sketch(F.col(text_col), CONFIRM_SHINGLE, 0).alias("s")] if confirm else []
     prints = docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp"), *shingles)
-    prints = materialise(heads(prints) if confirm else prints)
+    prints = materialise(heads(prints, occurrences(docs, text_col)) if confirm else prints)
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     edges = links(distinct, max_bits)
     if confirm:
