@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, html_text, language, licences, mixing, packing, quality, simhash, sketch, toxicity
+from . import audit, chat, collocations, decontaminate, html_text, language, licences, mixing, packing, quality, simhash, sketch, toxicity
 
 
 def queries() -> dict:
@@ -17,8 +17,18 @@ def queries() -> dict:
         "op8_fingerprints": sketch.op8_fingerprints,
         "op9_chat": chat.op9_chat,
         "op10_simhash": simhash.op10_simhash,
+        "op11_filter_audit": audit.op11_filter_audit,
+        "op12_decontaminate": decontaminate.op12_decontaminate,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE_SQL, "op4_quality_rules": quality.ORACLE_SQL, "op9_chat": chat.ORACLE_SQL}
+    return {
+        "op2_mixing": mixing.ORACLE_SQL,
+        "op4_quality_rules": quality.ORACLE_SQL,
+        "op9_chat": chat.ORACLE_SQL,
+        "op11_filter_audit": audit.ORACLE_SQL,
+        "op12_decontaminate": decontaminate.ORACLE_SQL,
+        "op13_collocations": collocations.ORACLE_SQL,
+    }
