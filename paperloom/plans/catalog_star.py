@@ -22,18 +22,19 @@ _SHAPES |= {
 SELECT cast(o_orderkey AS string) AS patent_id, CASE WHEN o_orderkey % 9 = 0 THEN 'Kernel 1.2' WHEN o_orderkey % 9 = 1 THEN ' ' ELSE concat('Method of ', o_orderpriority) END AS patent_title,
        cast(cast(cast(o_orderdate AS date) + INTERVAL '700' DAY AS date) AS string) AS patent_date, 'utility' AS patent_type FROM {orders}""",
     "applications": "SELECT cast(o_orderkey AS string) AS patent_id, cast(cast(o_orderdate AS date) AS string) AS filing_date FROM {orders} WHERE o_orderkey % 17 <> 0",
+    "stray": "SELECT cast(NULL AS string) AS patent_id, 'No id' AS patent_title, '1996-01-01' AS patent_date, 'utility' AS patent_type, '1995-01-01' AS filing_date FROM {supplier} UNION ALL SELECT concat('S', s_suppkey), 'No day', '1996-01-01', 'utility', cast(NULL AS string) FROM {supplier}",
     "codes": """
 SELECT cast(l_orderkey AS string) AS patent_id, CASE l_partkey % 8 WHEN 0 THEN 'G03F7/2004' WHEN 1 THEN 'G03F7/70' WHEN 2 THEN 'H01S5/10' WHEN 3 THEN 'G02B6/122' WHEN 4 THEN 'G11C11/54' WHEN 5 THEN 'H04L9/00' WHEN 6 THEN 'G06N3/049' END AS cpc_group,
        concat('S', l_partkey % 8) AS cpc_subclass, 'G03' AS cpc_class, 'G' AS cpc_section, 'inventional' AS cpc_type, cast(l_linenumber - 1 AS string) AS cpc_sequence FROM {lineitem}""",
     "assignees": """
-SELECT cast(l_orderkey AS string) AS patent_id, concat('A', l_suppkey) AS assignee_id, CASE WHEN l_suppkey % 19 = 0 THEN '  ' ELSE concat('Firm ', l_suppkey % 50, ' Inc.') END AS disambig_assignee_organization,
+SELECT cast(l_orderkey AS string) AS patent_id, CASE WHEN l_suppkey % 10 <> 6 THEN concat('A', l_suppkey) END AS assignee_id, CASE WHEN l_suppkey % 19 = 0 THEN '  ' WHEN l_suppkey % 10 = 7 THEN NULL ELSE concat('Firm ', l_suppkey % 50, ' Inc.') END AS disambig_assignee_organization,
        CASE l_partkey % 4 WHEN 0 THEN '2' WHEN 1 THEN '3' WHEN 2 THEN '4' ELSE '7' END AS assignee_type, cast(l_linenumber - 1 AS string) AS assignee_sequence FROM {lineitem}""",
     "refs": """
 SELECT cast(l_orderkey AS string) AS patent_id, cast(l_linenumber AS string) AS other_reference_sequence, CASE l_partkey % 3 WHEN 0 THEN concat('See 10.1000/ABC.', l_suppkey, '; p. 3') WHEN 1 THEN concat('Smith, no doi, ', l_partkey) END AS other_reference_text FROM {lineitem}""",
     "citations": "SELECT cast(l_orderkey AS string) AS patent_id, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE cast(l_partkey AS string) END AS citation_patent_id FROM {lineitem}",
     "works": """
-SELECT concat('https://works.test/W', c_custkey) AS openalex_id, CASE c_custkey % 10 WHEN 0 THEN concat('https://doi.org/10.7910/DVN/', c_custkey) WHEN 1 THEN NULL ELSE concat('https://doi.org/10.1000/abc.', c_custkey) END AS doi,
-       CASE c_custkey % 11 WHEN 0 THEN 'plot.PNG' WHEN 1 THEN 'seL4 3.0.1' WHEN 2 THEN NULL ELSE concat('On ', c_name) END AS title, 'article' AS type, cast(make_date(cast(1993 + c_custkey % 4 AS int), cast(1 + c_custkey % 12 AS int), 1) AS string) AS publication_date,
+SELECT CASE WHEN c_custkey % 13 <> 5 THEN concat('https://works.test/W', c_custkey) END AS openalex_id, CASE c_custkey % 10 WHEN 0 THEN concat('https://doi.org/10.7910/DVN/', c_custkey) WHEN 1 THEN NULL ELSE concat('https://doi.org/10.1000/abc.', c_custkey) END AS doi,
+       CASE c_custkey % 11 WHEN 0 THEN 'plot.PNG' WHEN 1 THEN 'seL4 3.0.1' WHEN 2 THEN NULL ELSE concat('On ', c_name) END AS title, 'article' AS type, CASE WHEN c_custkey % 14 <> 5 THEN cast(make_date(cast(1993 + c_custkey % 4 AS int), cast(1 + c_custkey % 12 AS int), 1) AS string) END AS publication_date,
        cast(1993 + c_custkey % 4 AS string) AS publication_year, 'en' AS language, CASE WHEN c_custkey % 3 = 0 THEN 'A neuron spikes.' WHEN c_custkey % 3 = 1 THEN 'A memristor.' END AS abstract,
        CASE c_custkey % 5 WHEN 0 THEN 'https://openalex.org/T11338' WHEN 1 THEN 'https://openalex.org/T10502' ELSE 'https://openalex.org/T1' END AS primary_topic_id, 'topic' AS primary_topic_name,
        list_value(concat('I', c_nationkey), concat('J', c_custkey % 5)) AS institution_ids, list_value('r', 'r') AS institution_rors, list_value(concat('Labs ', c_nationkey, ' Ltd'), CASE WHEN c_custkey % 2 = 0 THEN concat('Joint ', c_custkey % 5) END) AS institution_display_names FROM {customer}""",
@@ -56,10 +57,10 @@ WHERE a.filing_date::DATE BETWEEN DATE '{_START}' AND DATE '{_END}' AND p.patent
     "stg_works": f"""
 SELECT openalex_id AS work_url, regexp_extract(openalex_id, 'W([0-9]+)', 0) AS work_id, doi, lower(regexp_replace(coalesce(doi, ''), '{X.DOI_PREFIX}', '')) AS doi_bare, title, type, publication_date::DATE AS publication_date, publication_year::INT AS publication_year,
        language, abstract, primary_topic_id, primary_topic_name, institution_ids, institution_rors, institution_display_names FROM works
-WHERE title IS NOT NULL AND coalesce(NOT contains(doi, '10.7910/'), TRUE) AND NOT regexp_matches(lower(title), '\\.(jpg|jpeg|png|tif|tiff|csv|xlsx|nc|mat|zip)$') AND NOT regexp_matches(title, '{X.STAGED_VERSION_TITLE}')
+WHERE openalex_id IS NOT NULL AND title IS NOT NULL AND publication_date IS NOT NULL AND coalesce(NOT contains(doi, '10.7910/'), TRUE) AND NOT regexp_matches(lower(title), '\\.(jpg|jpeg|png|tif|tiff|csv|xlsx|nc|mat|zip)$') AND NOT regexp_matches(title, '{X.STAGED_VERSION_TITLE}')
   AND regexp_extract(openalex_id, 'W([0-9]+)', 0) NOT IN (SELECT doc_id FROM excluded WHERE doc_type = 'paper')""",
-    "stg_patents": "SELECT patent_id, patent_title AS title, filing_date::DATE AS filing_date, patent_date::DATE AS grant_date, patent_type FROM scoped WHERE patent_id NOT IN (SELECT doc_id FROM excluded WHERE doc_type = 'patent')",
-    "stg_assignees": "SELECT patent_id, assignee_id, disambig_assignee_organization AS org_name, assignee_type, assignee_sequence::INT AS assignee_sequence FROM assignees WHERE assignee_type IN ('2', '3', '6', '7') AND patent_id IN (SELECT patent_id FROM stg_patents)",
+    "stg_patents": "SELECT patent_id, patent_title AS title, filing_date::DATE AS filing_date, patent_date::DATE AS grant_date, patent_type FROM (SELECT * FROM scoped UNION ALL SELECT * FROM stray) WHERE patent_id IS NOT NULL AND filing_date IS NOT NULL AND patent_id NOT IN (SELECT doc_id FROM excluded WHERE doc_type = 'patent')",
+    "stg_assignees": "SELECT patent_id, assignee_id, disambig_assignee_organization AS org_name, assignee_type, assignee_sequence::INT AS assignee_sequence FROM assignees WHERE assignee_id IS NOT NULL AND disambig_assignee_organization IS NOT NULL AND assignee_type IN ('2', '3', '6', '7') AND patent_id IN (SELECT patent_id FROM stg_patents)",
     "stg_codes": "SELECT patent_id, cpc_group, cpc_subclass, cpc_class, cpc_section, cpc_type, cpc_sequence::INT AS cpc_sequence FROM codes WHERE cpc_group IS NOT NULL AND patent_id IN (SELECT patent_id FROM stg_patents)",
     "stg_refs": f"SELECT patent_id, other_reference_sequence::INT AS ref_sequence, other_reference_text AS ref_text, nullif(rtrim(lower(regexp_extract(other_reference_text, '{X.DOI_PATTERN}', 0)), '.,;:'), '') AS doi_extracted FROM refs WHERE other_reference_text IS NOT NULL AND patent_id IN (SELECT patent_id FROM stg_patents)",
     "stg_citations": "SELECT patent_id AS citing_patent_id, citation_patent_id AS cited_patent_id FROM citations WHERE citation_patent_id IS NOT NULL AND patent_id IN (SELECT patent_id FROM stg_patents)",
@@ -84,7 +85,7 @@ def over(names: str, rest: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({b})" for n, b in bodies.items()) + rest
 
 
-RAW = "patents applications codes excluded scoped stg_patents"
+RAW = "patents applications codes excluded scoped stray stg_patents"
 
 
 def _scoped(t: Load) -> DataFrame:
@@ -92,7 +93,8 @@ def _scoped(t: Load) -> DataFrame:
 
 
 def _patents(t: Load) -> DataFrame:
-    return staging.staged_patents(_scoped(t), shaped(t, "excluded"))
+    """Staged patents of the scope and of stray rows that lack an id or a day."""
+    return staging.staged_patents(_scoped(t).unionByName(shaped(t, "stray")), shaped(t, "excluded"))
 
 
 def _works(t: Load) -> DataFrame:

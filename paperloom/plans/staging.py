@@ -42,13 +42,14 @@ def staged_works(works: DataFrame, excluded: DataFrame) -> DataFrame:
 
 
 def staged_patents(scoped: DataFrame, excluded: DataFrame) -> DataFrame:
-    p = scoped.select("patent_id", F.col("patent_title").alias("title"), F.to_date("filing_date").alias("filing_date"), F.to_date("patent_date").alias("grant_date"), "patent_type")
+    """Patents in scope with an id and a filing date, without what the gate excluded."""
+    p = scoped.where("patent_id is not null and filing_date is not null").select("patent_id", F.col("patent_title").alias("title"), F.to_date("filing_date").alias("filing_date"), F.to_date("patent_date").alias("grant_date"), "patent_type")
     return not_in(p, excluded.where("doc_type = 'patent'").withColumnRenamed("doc_id", "patent_id"), "patent_id")
 
 
 def staged_assignees(assignees: DataFrame, patents: DataFrame) -> DataFrame:
-    """Assignees that are organisations, of staged patents."""
-    own = assignees.where(F.col("assignee_type").isin(*ORGANISATION_TYPES))
+    """Assignees that are organisations with an id and a name, of staged patents."""
+    own = assignees.where(F.col("assignee_type").isin(*ORGANISATION_TYPES) & F.col("assignee_id").isNotNull() & F.col("disambig_assignee_organization").isNotNull())
     return semi(own, patents, "patent_id").select("patent_id", "assignee_id", F.col("disambig_assignee_organization").alias("org_name"), "assignee_type", F.col("assignee_sequence").cast("int").alias("assignee_sequence"))
 
 
