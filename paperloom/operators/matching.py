@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,30 +54,100 @@ def seed_institutions(seed: DataFrame, staged: DataFrame) -> DataFrame:
     return staged.select("institution_id", "display_name").join(own, "institution_id").select("org_id", "canonical_name", "institution_id", "display_name", F.lit("seed_crosswalk").alias("match_method"), F.lit("high").alias("confidence"))
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def _named(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Distinct names with their first word, tokens, length of the tokens joined and counts of letters."""
+    known = df.where(F.col(name) != "").select(F.col(name).alias(key)).distinct()
+    joined = F.array_join(F.array_sort("t"), " ")
+    bag = F.transform(F.array(*[F.lit(x) for x in _LETTERS]), lambda x: F.length("j") - F.length(F.replace(F.col("j"), x, F.lit(""))))
+    out = known.select(key, F.substring_index(key, " ", 1).alias("first"), token_set(F.col(key)).alias("t")).withColumn("j", joined)
+    # all other characters count as one kind
+    bag = F.concat(bag, F.array(F.length(F.translate("j", _LETTERS, ""))))
+    return out.select(key, "first", F.col("t").alias(f"t{key}"), F.length("j").alias(f"n{key}"), bag.alias(f"bag{key}"))
+
+
+def _containing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs (a, b) of names with one first word of which one holds all tokens of the other.
+
+    The name that is contained has its rarest token in the other, so names of several tokens meet on the rarest token of either. A name of one token is its block's
+    first word: it meets the block's names by that, and of those it is contained in one row a block is enough (least ``rid``).
+    """
+    alone = lambda k: (F.size(f"t{k}") == 1) & (F.get(f"t{k}", F.lit(0)) == F.col("first"))
+    many = {k: df.where(~alone(k)) for k, df in (("a", a), ("b", b))}
+    held = {k: df.select("*", F.explode(f"t{k}").alias("token")) for k, df in many.items()}
+    counts = held["a"].select("token").unionByName(held["b"].select("token")).groupBy("token").agg(F.count("*").alias("n"))
+    rare = {k: h.join(counts, "token").groupBy(k, "first").agg(F.min(F.struct("n", "token")).alias("r"), F.first(f"t{k}").alias(f"t{k}")).select(k, "first", f"t{k}", F.col("r.token").alias("token")) for k, h in held.items()}
+    keys = ["first", "token"]
+    met = rare["a"].join(held["b"].select("b", "tb", *keys), keys).unionByName(held["a"].select("a", "ta", *keys).join(rare["b"], keys), allowMissingColumns=True)
+    pairs = met.select("a", "b", "ta", "tb").where(one_contains_other(F.col("ta"), F.col("tb"))).select("a", "b").distinct()
+    least = b.groupBy("first").agg(F.min(F.struct("rid", "b")).alias("x")).select("first", F.col("x.b").alias("b"))
+    short_a = a.where(alone("a")).select("a", "first").join(least, "first").select("a", "b")
+    short_b = many["a"].select("a", "first").join(b.where(alone("b")).groupBy("first").agg(F.min(F.struct("rid", "b")).alias("x")).select("first", F.col("x.b").alias("b")), "first").select("a", "b")
+    return pairs.unionByName(short_a).unionByName(short_b)
+
+
+def _common(x: Column, y: Column) -> Column:
+    """Letters that two counts of letters have in common: no common subsequence is longer."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
+
+
+def similar_candidates(a: DataFrame, b: DataFrame, review: float) -> DataFrame:
+    """Pairs of names with one first word that may score ``review`` or more: (a, b, sure, bound).
+
+    A token-set score is the best of three. Two compare what the names share with one of them: they are known from lengths (``sure``), and reach ``review`` only if the shared tokens
+    make up so much of a name that one of its rarer tokens is among them. The third compares the names themselves: lengths and counts of letters
+    bound it (``bound``). No name is scored here.
+    """
+    part = review / (200.0 - review)
+    tokens = {k: df.select(k, "first", f"n{k}", F.explode(f"t{k}").alias("token")) for k, df in (("a", a), ("b", b))}
+    counts = tokens["a"].select("token").unionByName(tokens["b"].select("token")).groupBy("token").agg(F.count("*").alias("n"))
+    keys, met = ["first", "token"], []
+    early = {}
+    for k in "ab":
+        order = tokens[k].join(counts, "token").groupBy(k, "first", f"n{k}").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("s"))
+        rest = F.transform("s", lambda x, i: F.struct(x["token"].alias("token"), F.aggregate(F.slice("s", i + 1, F.size("s")), F.lit(0), lambda w, y: w + F.length(y["token"]) + 1).alias("rest")))
+        early[k] = order.select(k, "first", F.col(f"n{k}").alias("n"), F.explode(rest).alias("x")).where(F.col("x.rest") >= part * F.col("n") + 1 - 1e-6).select(k, "first", F.col("x.token").alias("token"))
+    met.append(early["a"].join(tokens["b"].select("b", *keys), keys).select("a", "b"))
+    met.append(tokens["a"].select("a", *keys).join(early["b"], keys).select("a", "b"))
+    step = -math.log(part)
+    grade = lambda n: F.floor(F.log(F.col(n)) / step).cast("int")
+    left = a.select("a", "first", "na", "baga", F.explode(F.sequence(grade("na") - 1, grade("na") + 1)).alias("grade"))
+    near = left.join(b.select("b", "first", "nb", "bagb", grade("nb").alias("grade")), ["first", "grade"])
+    short = F.least("na", "nb") * 200.0 >= review * (F.col("na") + F.col("nb")) - 1e-6
+    met.append(near.where(short).where(_common(F.col("baga"), F.col("bagb")) * 200.0 >= review * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b"))
+    pairs = met[0].unionByName(met[1]).unionByName(met[2]).distinct().join(a.drop("first"), "a").join(b.drop("first", "rid"), "b")
+    shared = F.length(F.array_join(F.array_intersect("ta", "tb"), " "))
+    known = pairs.withColumn("s", shared)
+    sure = F.greatest(F.lit(200.0) * F.col("s") / (F.col("s") + F.col("na")), F.lit(200.0) * F.col("s") / (F.col("s") + F.col("nb")))
+    bound = F.lit(200.0) * F.least("na", "nb", _common(F.col("baga"), F.col("bagb"))) / (F.col("na") + F.col("nb"))
+    return known.select("a", "b", sure.alias("sure"), bound.alias("bound")).where(F.greatest("sure", "bound") >= review)
+
+
 def blocked_bridge(left: DataFrame, right: DataFrame, left_id: str = "institution_id", right_id: str = "assignee_id", name: str = "normalized_name", high: float = 100, review: float = 100) -> DataFrame:
-    """Best match of each left name among right names with its first word.
+    """Best match of each left name among right names with its first word: the highest token-set score, then the least right id.
 
-    At the usual threshold of 100 the score is a containment test on token arrays, with no Python in the plan: the name that is
-    contained has its rarest token in the other, so names meet on the rarest token of either and a frequent first word multiplies
-    nothing. Below 100 pairs that share a first word are scored.
+    A score of 100 is a containment test on token arrays, with no Python in the plan. Below 100, names without such a match meet by ``similar_candidates``; a
+    pair is scored only if its bound reaches ``review`` and the best score that is sure for its left name. Names are compared once, however many rows have them.
     """
-    first = lambda c: F.substring_index(F.col(c), " ", 1)
-    a = left.where(F.col(name) != "").select(left_id, F.col(name).alias("a"))
-    b = right.where(F.col(name) != "").select(right_id, F.col(name).alias("b"))
-    if review >= 100:
-        held = [df.select("*", F.explode(token_set(F.col(k))).alias("token")) for df, k in ((a, "a"), (b, "b"))]
-        counts = held[0].select("token").unionByName(held[1].select("token")).groupBy("token").agg(F.count("*").alias("n"))
-        ids = ((left_id, "a"), (right_id, "b"))
-        rare = [h.join(counts, "token").groupBy(*k).agg(F.min(F.struct("n", "token")).alias("r")).select(*k, F.col("r.token").alias("token")) for h, k in zip(held, ids, strict=True)]
-        pairs = rare[0].join(held[1], "token").unionByName(held[0].join(rare[1], "token")).select(left_id, right_id, "a", "b").distinct()
-        fits = (first("a") == first("b")) & one_contains_other(token_set(F.col("a")), token_set(F.col("b")))
-        scored = pairs.where(fits).withColumn("similarity", F.lit(100.0))
-    else:
-        pairs = a.withColumn("block", first("a")).join(b.withColumn("block", first("b")), "block")
-        scored = pairs.withColumn("similarity", token_set_ratio("a", "b")).where(F.col("similarity") >= review)
-    best = first_per_key(scored, left_id, [F.col("similarity").desc(), F.col(right_id)])
+    a = _named(left, name, "a")
+    ids = right.where(F.col(name) != "").groupBy(F.col(name).alias("b")).agg(F.min(right_id).alias("rid"))
+    b = _named(right, name, "b").join(ids, "b")
+    found = _containing(a, b).withColumn("similarity", F.lit(100.0))
+    if review < 100:
+        a, b, found = materialise(a), materialise(b), materialise(found)
+        pairs = materialise(similar_candidates(a.join(found.select("a"), "a", "left_anti"), b, review))
+        floor = pairs.groupBy("a").agg(F.max("sure").alias("floor"))
+        open_ = pairs.join(floor, "a").where(F.greatest("sure", "bound") >= F.col("floor"))
+        known = open_.where("bound <= sure").select("a", "b", F.col("sure").alias("similarity"))
+        scored = open_.where("bound > sure").select("a", "b", token_set_ratio("a", "b").alias("similarity"))
+        found = found.unionByName(known.unionByName(scored).where(F.col("similarity") >= review))
+    best = first_per_key(found.join(ids, "b"), "a", [F.col("similarity").desc(), F.col("rid")])
+    rows = left.where(F.col(name) != "").select(left_id, F.col(name).alias("a")).join(best.select("a", F.col("rid").alias(right_id), "similarity"), "a")
+    rows = first_per_key(rows, left_id, [F.col("similarity").desc(), F.col(right_id)])
     sure = F.col("similarity") >= high
-    return best.select(left_id, right_id, "similarity", F.when(sure, "fuzzy_high").otherwise("fuzzy_review").alias("match_method"), F.when(sure, "high").otherwise("medium").alias("confidence"))
+    return rows.select(left_id, right_id, "similarity", F.when(sure, "fuzzy_high").otherwise("fuzzy_review").alias("match_method"), F.when(sure, "high").otherwise("medium").alias("confidence"))
 
 
 def uncovered_organisations(seed: DataFrame, seed_oa: DataFrame, bridge: DataFrame) -> DataFrame:
