@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import json
 import os
 import zipfile
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import abstract_of
+from .paged import named
 
 WORK_SCHEMA = (
     "id string, doi string, title string, type string, publication_date string, publication_year int, language string,"
@@ -32,9 +39,100 @@ def unpacked(path: str, folder: str, fetch: Callable[[str], str] | None = None)
         return z.extract(z.namelist()[0], folder)
 
 
+def opened(uri: str):
+    """A file of any store that Arrow reaches, open for reading at any place."""
+    if "://" not in uri:
+        return open(uri, "rb")  # noqa: SIM115
+    fs, path = pafs.FileSystem.from_uri(uri)
+    return fs.open_input_file(path)
+
+
+def _header(line: str) -> list[str]:
+    return next(csv.reader([line], delimiter="\t"), [])
+
+
+class Member(InputPartition):
+    def __init__(self, uri: str, name: str):
+        super().__init__(name)
+        self.uri, self.name = uri, name
+
+
+class _ZipReader(DataSourceReader):
+    def __init__(self, options: dict, columns: list[str]):
+        self.options, self.columns = dict(options), columns
+
+    def partitions(self) -> list[Member]:
+        return list(_members(self.options))
+
+    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+        open_, at_once = named(self.options["open"]), int(self.options["rows"])
+        schema = pa.schema([(c, pa.string()) for c in self.columns])
+        with open_(partition.uri) as raw, zipfile.ZipFile(raw) as packed, packed.open(partition.name) as member:
+            lines = csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""), delimiter="\t")
+            has = next(lines, [])
+            if absent := [c for c in self.columns if c not in has]:
+                raise ValueError(f"{partition.uri}!{partition.name} lacks columns {absent}; it has {has}")
+            places, rows = [has.index(c) for c in self.columns], []
+
+            def batch() -> pa.RecordBatch:
+                # a short row has nulls at its end, and an empty field is null, as in files that are not packed
+                return pa.RecordBatch.from_arrays([pa.array([(r[p] or None) if p < len(r) else None for r in rows], pa.string()) for p in places], schema=schema)
+
+            for row in lines:
+                if row:
+                    rows.append(row)
+                if len(rows) >= at_once:
+                    yield batch()
+                    rows = []
+            if rows:
+                yield batch()
+
+
+def _members(options: Mapping[str, str]) -> Iterator[Member]:
+    open_ = named(options["open"])
+    for uri in json.loads(options["uris"]):
+        with open_(uri) as raw, zipfile.ZipFile(raw) as packed:
+            yield from (Member(uri, n) for n in packed.namelist() if not n.endswith("/"))
+
+
+class ZippedSource(DataSource):
+    """Tab-separated members of zip files, a task a member, read as a stream where the task runs.
+
+    The driver reads the zips' directories and one header. Options: ``uris`` (JSON array), ``open`` (names the function that opens one), ``rows`` a batch.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipped_tsv"
+
+    def _columns(self) -> list[str]:
+        first = next(iter(_members(self.options)), None)
+        if first is None:
+            return []
+        with named(self.options["open"])(first.uri) as raw, zipfile.ZipFile(raw) as packed, packed.open(first.name) as member:
+            return _header(io.TextIOWrapper(member, "utf-8-sig", newline="").readline().rstrip("\r\n"))
+
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(c, T.StringType()) for c in self._columns()])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _ZipReader(self.options, schema.fieldNames())
+
+
+def read_zipped(spark: SparkSession, uris: Sequence[str], required: Sequence[str], types: Mapping[str, str] | None = None, open_: str = "paperloom.sources.files:opened", rows: int = 10_000) -> DataFrame:
+    """Tab-separated files inside zips, as ``read_tsv`` reads them unpacked; every member has to have the first one's columns, in any order."""
+    spark.dataSource.register(ZippedSource)
+    df = spark.read.format("zipped_tsv").options(uris=json.dumps(list(uris)), open=open_, rows=str(rows)).load()
+    return _typed(df, ", ".join(uris), required, types)
+
+
 def read_tsv(spark: SparkSession, path: str, required: Sequence[str], types: Mapping[str, str] | None = None) -> DataFrame:
     """Tab-separated file with a header: all columns are text but those in ``types``; a missing required one is an error."""
     df = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return _typed(df, path, required, types)
+
+
+def _typed(df: DataFrame, path: str, required: Sequence[str], types: Mapping[str, str] | None) -> DataFrame:
     if absent := [c for c in required if c not in df.columns]:
         raise ValueError(f"{path} lacks columns {absent}; it has {df.columns}")
     return df.select(*[F.expr(f"try_cast(`{c}` AS {types[c]})").alias(c) if types and c in types else F.col(c) for c in df.columns])

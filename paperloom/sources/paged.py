@@ -1,12 +1,19 @@
-"""Paged web sources. ``get(url, params, headers)`` is given by the caller and returns (status, headers, body)."""
+"""Paged web sources. ``get(url, params, headers)`` is given by the caller and returns (status, headers, body).
+
+``WorksSource`` and ``KeysetSource`` read them as tables: a filter, or a search, is a slice and a slice is a task, which keeps its cursor to itself and gives its
+records on as they come. The driver sees slices alone. Transport and key are given by the names of functions, which tasks import.
+"""
 
 from __future__ import annotations
 
+import importlib
+import json
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql import types as T
 
 from .snapshots import delete
@@ -83,3 +90,75 @@ def landed(spark: SparkSession, records: Iterable[dict], path: str, schema: T.St
     for portion in batched(records, at_once):
         spark.createDataFrame(list(portion), schema).coalesce(1).write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+def named(name: str) -> Callable:
+    """The function that ``module:function`` names."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+class Slice(InputPartition):
+    def __init__(self, number: int, asked: str):
+        super().__init__(number)
+        self.number, self.asked = number, asked
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.options = dict(options)
+
+    def partitions(self) -> list[Slice]:
+        return [Slice(i, json.dumps(x)) for i, x in enumerate(json.loads(self.options["slices"]))]
+
+    def records(self, asked) -> Iterator[dict]:
+        raise NotImplementedError
+
+    def read(self, partition: Slice) -> Iterator[tuple]:
+        if partition is None or not hasattr(partition, "asked"):
+            return
+        for record in self.records(json.loads(partition.asked)):
+            yield partition.number, json.dumps(record)
+
+
+class _WorksReader(_Reader):
+    def records(self, asked) -> Iterator[dict]:
+        return works(named(self.options["get"]), asked, self.options["mailto"], named(self.options.get("sleep", "time:sleep")))
+
+
+class _KeysetReader(_Reader):
+    def records(self, asked) -> Iterator[dict]:
+        o = self.options
+        return keyset(named(o["get"]), o["url"], asked, o["key"], named(o["apikey"])(), int(o.get("size", 1000)), named(o.get("sleep", "time:sleep")))
+
+
+class WorksSource(DataSource):
+    """Works by cursor: options ``slices`` (JSON array of filters), ``get``, ``mailto``."""
+
+    reader_of = _WorksReader
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_works"
+
+    def schema(self) -> str:
+        return "slice int, value string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return self.reader_of(self.options)
+
+
+class KeysetSource(WorksSource):
+    """Records by last key: options ``slices`` (JSON array of queries), ``get``, ``url``, ``key``, ``apikey`` (names a function), ``size``."""
+
+    reader_of = _KeysetReader
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_keyset"
+
+
+def read_pages(spark: SparkSession, source: type[DataSource], slices: Sequence, **options: str) -> DataFrame:
+    """(slice, value): records as JSON, a task a slice. An error of one slice fails its task, which Spark tries again."""
+    spark.dataSource.register(source)
+    return spark.read.format(source.name()).options(slices=json.dumps(list(slices)), **options).load()
