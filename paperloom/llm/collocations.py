@@ -7,6 +7,7 @@ one stack a task counts all their prefixes, so a phrase of any length costs no p
 * **Hot words.** A first word may begin a third of all suffixes. Tasks are therefore ranges of the sorted suffixes, so that a hot word spans as many tasks as it
   needs. Bounds are quantiles of a sample of the documents; they settle balance alone: prefixes that a task shares with its neighbours are given out
   whatever their count and added up afterwards, so counts are exact for any bounds.
+* **Codes.** The ``CODED`` words most frequent stand as two bytes in suffixes, so the dictionary is as large for any input; others stand as they are.
 * **Rare words.** A phrase of ``MIN_COUNT`` occurrences has no word with fewer. Words are counted first; a map of ``FILTER_BITS`` bits, as large for any
   input, marks the hashes of words that are frequent enough, and suffixes end where a word has no mark. Words that share a mark cost rows, not exactness.
 * **Parts** of a phrase are at least as frequent as the phrase, so their counts are among those counted: joins by (language, part) find them.
@@ -22,11 +23,11 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
-from itertools import groupby, islice
+from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,41 +40,80 @@ BEST = 2000
 #: A phrase goes if a longer one has so many of a hundred of its occurrences.
 ABSORBED = 100
 FILTER_BITS = 1 << 24
-#: Distinct words or suffixes summed in a task before they are given out.
-HELD = 200_000
-#: Sampled suffixes that the bounds of tasks are taken from, and characters of a bound.
+#: Words with a code, at most 254 * 254.
+CODED = 60_000
+#: Bytes of text looked at together.
+CHUNK = 6 << 20
+#: Suffixes counted together by the stack.
+TOGETHER = 100_000
+#: Sampled suffixes that the bounds of tasks are taken from, about, and bytes of a bound.
 SAMPLE = 20_000
-BOUND_CHARS = 64
-#: Words of a piece looked at together.
-RUN = 1 << 16
+BOUND_BYTES = 64
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _NORMAL = bytes.maketrans(bytes(range(65, 91)) + _ENDS + b"\t", bytes(range(97, 123)) + b"\n" * len(_ENDS) + b" ")
 NO_LANGUAGE = "und"
 
 
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """Words of each piece of a text, A-Z made small. NUL and \\x01 inside words are escaped, so NUL can stand between words and sorts first."""
-    data = (text or "").encode("utf-8").translate(_NORMAL)
-    if b"\x01" in data or b"\x00" in data:
-        data = data.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
-    at = 0
-    while at < len(data):
-        end = data.find(b"\n", at)
-        end = len(data) if end < 0 else end
-        if end > at and (found := [w for w in data[at:end].split(b" ") if w]):
-            yield found
-        at = end + 1
+def normal(text: str | None) -> bytes:
+    """A text with A-Z small, line feeds between pieces and blanks between words. NUL and \\x01 are escaped, so NUL can stand between words and sorts first."""
+    return escaped((text or "").encode("utf-8").translate(_NORMAL))
 
 
-def _plain(escaped: bytes) -> bytes:
-    return escaped.replace(b"\x01\x01", b"\x00").replace(b"\x01\x02", b"\x01") if b"\x01" in escaped else escaped
+def escaped(data: bytes) -> bytes:
+    return data.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01") if b"\x01" in data or b"\x00" in data else data
 
 
-def _languages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, str | None]]:
+def plain(data: bytes) -> bytes:
+    return data.replace(b"\x01\x01", b"\x00").replace(b"\x01\x02", b"\x01") if b"\x01" in data else data
+
+
+def portions(data: bytes, longest: int, most: int | None = None) -> Iterator[tuple[bytes, int]]:
+    """A normal text in portions with the end of the places that each answers for; a portion goes on for as many words as a suffix needs."""
+    most, at = most or CHUNK, 0
+    while len(data) - at > 2 * most:
+        cut = at + most
+        while cut < len(data) and data[cut] not in b" \n":
+            cut += 1
+        end = cut
+        for _ in range(longest):
+            while end < len(data) and data[end] in b" \n":
+                end += 1
+            while end < len(data) and data[end] not in b" \n":
+                end += 1
+        yield data[at:end], cut - at
+        at = cut
+    yield data[at:], len(data) - at
+
+
+def chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[bytes, bytes, int]]:
+    """(language, text, places) of about ``CHUNK`` bytes: texts of a language joined, long ones in portions."""
+    held: dict[bytes, list[bytes]] = {}
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-            yield (lang.as_py() or "").replace("\x01", "\x01\x02").replace("\x00", "\x01\x01").encode("utf-8"), text.as_py()
+            key, data = escaped(lang.as_py().encode("utf-8")), normal(text.as_py())
+            if len(data) > CHUNK:
+                yield from ((key, *p) for p in portions(data, longest))
+                continue
+            held.setdefault(key, []).append(data)
+            size += len(data) + 64
+            if size > CHUNK:
+                yield from ((k, d := b"\n".join(v), len(d)) for k, v in held.items())
+                held, size = {}, 0
+    yield from ((k, d := b"\n".join(v), len(d)) for k, v in held.items())
+
+
+def words_of(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, and for each word in order which of them it is, its piece and its place in the text."""
+    b = np.frombuffer(data, np.uint8)
+    line = b == 10
+    inside = ~(line | (b == 32))
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(b[inside])]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.searchsorted(np.flatnonzero(line), starts), starts
 
 
 def _read(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -81,33 +121,25 @@ def _read(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_col).alias("text"))
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, word, n), lang and word escaped as ``pieces`` does."""
+def word_counts(docs: DataFrame, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, word, n) of words that occur ``least`` times or more, and of each language with an empty word: all its words. Both escaped."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Counter] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, words in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.binary()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"])
-            held.clear()
-
-        for lang, text in _languages(batches):
-            words = held.setdefault(lang, Counter())
-            for piece in pieces(text):
-                words.update(piece)
-            if sum(map(len, held.values())) > HELD:
-                yield from out()
-        yield from out()
+        for lang, data, places in chunks(batches, 0):
+            words, index, _, starts = words_of(data)
+            n = np.bincount(index[starts < places], minlength=len(words))
+            own, n = [*words.to_pylist(), b""], np.append(n, n.sum())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.binary()), pa.array(own, pa.binary()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
 
-    return _read(docs, text_col, lang_col).mapInArrow(count, "lang binary, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = _read(docs, text_col, lang_col).mapInArrow(count, "lang binary, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return counted.where((F.col("n") >= least) | (F.length("word") == 0))
 
 
 def _marks(counts: DataFrame, least: int, bits: int = FILTER_BITS) -> bytes:
     """A map of bits that is set at the hash of every word frequent enough; as large for any input."""
     place = F.pmod(F.crc32(F.concat("lang", F.lit(b"\0"), "word")), F.lit(bits))
     # the functions number bits from 1, 32768 of them to a row of 4096 bytes
-    rows = counts.where(F.col("n") >= least).select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
+    rows = counts.where((F.col("n") >= least) & (F.length("word") > 0)).select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
     marks = bytearray(bits // 8)
     for r in rows.collect():  # bits / 32768 rows at most
         at = (r["b"] - 1) * 4096
@@ -115,98 +147,143 @@ def _marks(counts: DataFrame, least: int, bits: int = FILTER_BITS) -> bytes:
     return bytes(marks)
 
 
-class Suffixes:
-    """Truncated suffixes of frequent words, summed."""
-
-    def __init__(self, marks: bytes, longest: int):
-        self.marks, self.longest = marks, longest
-        self.known: dict[tuple[bytes, bytes], bool] = {}
-        self.held: Counter = Counter()
-
-    def frequent(self, lang: bytes, word: bytes) -> bool:
-        if (found := self.known.get((lang, word))) is None:
-            if len(self.known) > HELD:
-                self.known.clear()
-            at = zlib.crc32(lang + b"\0" + word) % (8 * len(self.marks))
-            found = self.known[lang, word] = bool(self.marks[at >> 3] >> (at & 7) & 1)
-        return found
-
-    def add(self, lang: bytes, text: str | None) -> Iterator[Counter]:
-        """Sums what a text has; yields the sums whenever they are many."""
-        head, longest = lang + b"\0", self.longest
-        for piece in pieces(text):
-            for frequent, group in groupby(piece, lambda w: self.frequent(lang, w)):
-                if not frequent:
-                    continue
-                words = list(group)
-                for start in range(0, len(words), RUN):
-                    own = words[start : start + RUN + longest - 1]
-                    self.held.update([head + b"\0".join(own[i : i + longest]) for i in range(min(RUN, len(words) - start))])
-                    if len(self.held) > HELD:
-                        yield self.held
-                        self.held = Counter()
-
-    def rest(self) -> Counter:
-        return self.held
-
-
-def prefixes(rows: Iterator[tuple[bytes, int]], least: int) -> Iterator[tuple[bytes, bytes, int, int]]:
-    """(lang, phrase, words, count) of the prefixes of suffixes sorted in reverse order, by one stack.
-
-    The stack holds the words of the last suffix with the counts of its prefixes so far; a prefix is complete once a suffix comes that
-    does not begin with it. Prefixes of the first and of the last suffix may go on in other tasks and are given out whatever their count.
+def _codes(counts: DataFrame, most: int = CODED) -> dict[bytes, bytes]:
+    """Two bytes for each of the ``most`` (or somewhat fewer) words most frequent."""
+    words = counts.where(F.length("word").between(3, 64)).groupBy("word").agg(F.sum("n").alias("n"))
+    grade = F.floor(F.log2("n") * 16).alias("grade")
+    upto, least = 0, None
+    for r in words.groupBy(grade).count().orderBy(F.desc("grade")).collect():  # a thousand rows at most
+        if (upto := upto + r["count"]) > most:
+            break
+        least = r["grade"]
+    if least is None:
+        return {}
+    chosen = sorted(bytes(r["word"]) for r in words.where(grade >= least).select("word").collect())
+    return {w: bytes((2 + k // 254, 2 + k % 254)) for k, w in enumerate(chosen)}
+
+
+def shortened(word: bytes, codes: Mapping[bytes, bytes]) -> bytes:
+    """A word as it stands in suffixes: two bytes mean a code, so words of two bytes are marked by one that UTF-8 never has."""
+    return codes.get(word) or (b"\xff" + word if len(word) == 2 else word)
+
+
+def restored(short: bytes, words: Mapping[bytes, bytes]) -> bytes:
+    return words[short] if len(short) == 2 else plain(short[1:] if short[:1] == b"\xff" else short)
+
+
+def suffixes(lang: bytes, data: bytes, places: int, marks: bytes, codes: Mapping[bytes, bytes], longest: int = MAX_WORDS) -> tuple[pa.Array, np.ndarray]:
+    """Distinct suffixes of frequent words, cut to ``longest`` words, in order of bytes, and how often each begins at one of the first ``places``."""
+    words, index, piece, starts = words_of(data)
+    own = words.to_pylist()
+    short = [shortened(w, codes) for w in own]
+    bits = 8 * len(marks)
+    hashes = [zlib.crc32(w, zlib.crc32(lang + b"\0")) % bits for w in own]
+    frequent = np.array([marks[h >> 3] >> (h & 7) & 1 for h in hashes], bool)
+    order = sorted(range(len(own)), key=short.__getitem__)
+    rank = np.empty(len(own) + 1, np.int64)
+    rank[order] = np.arange(1, len(own) + 1)
+    ids = np.where(frequent[index], rank[index], 0) if len(own) else np.zeros(0, np.int64)
+    columns = [ids]
+    for k in range(1, longest):
+        following = np.zeros_like(ids)
+        if len(ids) > k:
+            following[:-k] = np.where((piece[k:] == piece[:-k]) & (columns[-1][:-k] > 0), ids[k:], 0)
+        columns.append(following)
+    begins = (ids > 0) & (starts < places)
+    columns = [c[begins] for c in columns]
+    # two numbers a suffix: words of a chunk are fewer than 2 ^ 21 by its bytes
+    keys = [np.zeros(len(columns[0]), np.int64) for _ in range((longest + 2) // 3)]
+    for k, c in enumerate(columns):
+        keys[k // 3] |= c << (42 - 21 * (k % 3))
+    by = np.lexsort(keys[::-1])
+    new = np.ones(len(by), bool)
+    if len(by):
+        new[1:] = np.logical_or.reduce([k[by][1:] != k[by][:-1] for k in keys])
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(by)))
+    sorted_words = pa.array([b"", *(short[i] for i in order)], pa.binary())
+    parts = [pc.take(sorted_words, pa.array(np.where(c[by][first] > 0, c[by][first], 0), mask=c[by][first] == 0)) for c in columns]
+    heads = pa.array([lang] * len(first), pa.binary())
+    return (pc.binary_join_element_wise(heads, *parts, b"\0", null_handling="skip") if len(first) else pa.array([], pa.binary())), n
+
+
+class Prefixes:
+    """Counts all prefixes of suffixes that come sorted, in either order, by one stack.
+
+    The stack holds the words of the last suffix with the counts of its prefixes so far; a prefix is complete once a suffix comes that does not begin
+    with it. Suffixes come many at a time: those that begin and end among them never reach the stack. Prefixes of the first and of the last suffix
+    of all may go on in other tasks and are given out whatever their count.
     """
-    words: list[bytes] = []
-    counts: list[int] = []
-    edge: list[bool] = []
-
-    def closed(keep: int, last: bool) -> Iterator[tuple[bytes, bytes, int, int]]:
-        while len(words) > keep:
-            n = counts.pop()
-            if (edge.pop() or last or n >= least) and len(words) > 1:
-                yield _plain(words[0]), b" ".join(map(_plain, words[1:])), len(words) - 1, n
-            words.pop()
-            if counts:
-                counts[-1] += n
-
-    first = True
-    for key, n in rows:
-        new = key.split(b"\0")
-        same = 0
-        for a, b in zip(words, new, strict=False):
-            if a != b:
-                break
-            same += 1
-        yield from closed(same, False)
-        for w in new[same:]:
-            words.append(w)
-            counts.append(0)
-            edge.append(first)
-        counts[-1] += n
-        first = False
-    yield from closed(0, True)
-
-
-def _bounds(docs: DataFrame, marks, longest: int, parts: int, sample: int = SAMPLE) -> list[bytes]:
-    """At most ``parts`` - 1 suffixes that cut the sorted suffixes into parts of like size, judged by a sample of documents."""
-    n = docs.count()
+
+    def __init__(self, least: int):
+        self.least = least
+        self.stack: list[list] = []  # word, count, whether the first suffix began it
+        self.begun = False
+
+    def _closed(self, keep: int, every: bool = False) -> Iterator[tuple[list[bytes], int]]:
+        while len(self.stack) > keep:
+            words = [s[0] for s in self.stack]
+            _, n, edge = self.stack.pop()
+            if edge or every or n >= self.least:
+                yield words, n
+
+    def add(self, keys: pa.Array, n: np.ndarray) -> Iterator[tuple[list[bytes], int]]:
+        """(words, count) of prefixes that are complete."""
+        if not len(keys):
+            return
+        split = pc.split_pattern(keys, b"\0")
+        flat = split.flatten().dictionary_encode()
+        offsets = split.offsets.to_numpy()
+        sizes = np.diff(offsets)
+        words = np.full((len(keys), int(sizes.max())), -1, np.int64)
+        rows = np.repeat(np.arange(len(keys)), sizes)
+        words[rows, np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)] = flat.indices.to_numpy()
+        name = lambda row, depth: [flat.dictionary[int(w)].as_py() for w in words[row, : depth + 1]]
+        top = name(0, int(sizes[0]) - 1)
+        shared = 0
+        while shared < min(len(top), len(self.stack)) and self.stack[shared][0] == top[shared]:
+            shared += 1
+        yield from self._closed(shared)
+        new = np.zeros(len(keys), bool)
+        new[0] = True
+        open_: list[list] = []
+        ended = None
+        for depth in range(words.shape[1]):
+            new[1:] |= words[1:, depth] != words[:-1, depth]
+            first = np.flatnonzero(new)
+            first = first[words[first, depth] >= 0]
+            ends = np.flatnonzero(new)
+            sums = np.add.reduceat(n, ends)[np.searchsorted(ends, first)]
+            last = words[-1, depth] >= 0
+            for g in np.flatnonzero((sums >= self.least) | (first == 0) | (np.arange(len(first)) == len(first) - 1)):
+                row, count, edge = int(first[g]), int(sums[g]), False
+                if row == 0:
+                    edge = not self.begun
+                    if depth < shared:
+                        count, edge = count + self.stack[depth][1], self.stack[depth][2]
+                if last and g == len(first) - 1:
+                    open_.append([flat.dictionary[int(words[row, depth])].as_py(), count, edge])
+                elif edge or count >= self.least:
+                    yield name(row, depth), count
+        self.stack, self.begun = open_, True
+
+    def rest(self) -> Iterator[tuple[list[bytes], int]]:
+        yield from self._closed(0, every=True)
+
+
+def _bounds(read: DataFrame, marks, codes, longest: int, parts: int, total: int, sample: int = SAMPLE) -> list[bytes]:
+    """At most ``parts`` - 1 suffixes that cut the sorted suffixes into parts of like size, judged by about ``sample`` of them."""
+    n = read.count()
     share = min(1.0, sample / 10 / max(n, 1))
-    rows = docs.sample(share, seed=42) if share < 1 else docs
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Suffixes(marks.value, longest)
-        for lang, text in _languages(batches):
-            for held in found.add(lang, text):
-                yield from out(held)
-        yield from out(found.rest())
-
-    def out(held: Counter) -> Iterator[pa.RecordBatch]:
-        keys = list(held)
-        for at in range(0, len(keys), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array([k[:BOUND_CHARS] for k in keys[at : at + 10_000]], pa.binary())], names=["s"])
-
-    drawn = rows.mapInArrow(suffixes, "s binary").orderBy(F.xxhash64("s", F.lit(42))).limit(sample).collect()
-    keys = sorted({bytes(r["s"]) for r in drawn})
+    one_of = max(1, int(total * share / sample))
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, longest):
+            keys, _ = suffixes(*chunk, marks.value, codes.value, longest)
+            yield pa.RecordBatch.from_arrays([pa.array([k[:BOUND_BYTES] for k in keys.to_pylist() if zlib.crc32(k) % one_of == 0], pa.binary())], names=["s"])
+
+    rows = (read.sample(share, seed=42) if share < 1 else read).mapInArrow(drawn, "s binary").collect()
+    keys = sorted({bytes(r["s"]) for r in rows})
     return sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if keys else []
 
 
@@ -214,36 +291,44 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int = MIN_COUNT, lon
     """(lang, phrase, size, f) of all phrases of 1 to ``longest`` words that occur ``least`` times or more."""
     spark = docs.sparkSession
     read = _read(docs, text_col, lang_col)
-    marks = spark.sparkContext.broadcast(_marks(words, least))
+    marks, codes = (spark.sparkContext.broadcast(x) for x in (_marks(words, least), _codes(words)))
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    bounds = spark.sparkContext.broadcast(_bounds(read, marks, longest, parts))
-
-    def dealt(held: Counter) -> Iterator[pa.RecordBatch]:
-        """Sums in order, each with the number of the range that it lies in."""
-        keys = sorted(held)
-        ends = [*(bisect_left(keys, b) for b in bounds.value), len(keys)]
-        start = 0
-        for part, end in enumerate(ends):
-            if end > start:
-                own = keys[start:end]
-                yield pa.RecordBatch.from_arrays([pa.array([part] * len(own), pa.int32()), pa.array(own, pa.binary()), pa.array([held[k] for k in own], pa.int64())], names=["part", "s", "n"])
-            start = max(start, end)
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Suffixes(marks.value, longest)
-        for lang, text in _languages(batches):
-            for held in found.add(lang, text):
-                yield from dealt(held)
-        yield from dealt(found.rest())
+    total = words.where(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0
+    bounds = spark.sparkContext.broadcast(_bounds(read, marks, codes, longest, parts, total))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((k, n) for b in batches for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        found = prefixes(rows, least)
-        while some := list(islice(found, 10_000)):
-            lang, phrase, size, n = zip(*some, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in lang]), pa.array([x.decode() for x in phrase]), pa.array(size, pa.int32()), pa.array(n, pa.int64())], names=["lang", "phrase", "size", "n"])
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Suffixes of a chunk with the number of the range that each lies in."""
+        for chunk in chunks(batches, longest):
+            keys, n = suffixes(*chunk, marks.value, codes.value, longest)
+            ends = [bisect_left(range(len(keys)), b, key=lambda i: keys[i].as_py()) for b in bounds.value]
+            part = np.searchsorted(np.array(ends, np.int64), np.arange(len(keys)), side="right")
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), keys, pa.array(n, pa.int64())], names=["part", "s", "n"])
 
-    sums = read.mapInArrow(suffixes, "part int, s binary, n long").repartitionById(len(bounds.value) + 1, F.col("part"))
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {short: plain(word) for word, short in codes.value.items()}
+        stack = Prefixes(least)
+
+        def out(found: Iterator[tuple[list[bytes], int]]) -> Iterator[pa.RecordBatch]:
+            rows = [(plain(w[0]).decode(), b" ".join(restored(x, known) for x in w[1:]).decode(), len(w) - 1, n) for w, n in found if len(w) > 1]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)], names=["lang", "phrase", "size", "n"])
+
+        def together() -> Iterator[pa.Table]:
+            held, size = [], 0
+            for b in batches:
+                held, size = [*held, b], size + b.num_rows
+                if size >= TOGETHER:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held, size = [], 0
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks()
+
+        for t in together():
+            for s, n in zip(t.column(0).chunks, t.column(1).chunks, strict=True):
+                yield from out(stack.add(s, n.to_numpy()))
+        yield from out(stack.rest())
+
+    sums = read.mapInArrow(dealt, "part int, s binary, n long").repartitionById(len(bounds.value) + 1, F.col("part"))
     found = sums.sortWithinPartitions(F.desc("s")).select("s", "n").mapInArrow(counted, "lang string, phrase string, size int, n long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
@@ -271,11 +356,11 @@ def scored(counts: DataFrame, totals: DataFrame, absorbed: int = ABSORBED) -> Da
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, best: int = BEST, absorbed: int = ABSORBED, parts: int | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Each language's first ``best`` phrases: (lang, rank, phrase, a, l, r, n, score)."""
-    words = materialise(word_counts(docs, text_col, lang_col))
+    words = materialise(word_counts(docs, least, text_col, lang_col))
     # languages come escaped from the words' counts
     lang = F.decode(F.col("lang"), "UTF-8")
-    plain = F.replace(F.replace(lang, F.lit("\x01\x01"), F.lit("\x00")), F.lit("\x01\x02"), F.lit("\x01"))
-    totals = words.groupBy(plain.alias("lang")).agg(F.sum("n").alias("n"))
+    unescaped = F.replace(F.replace(lang, F.lit("\x01\x01"), F.lit("\x00")), F.lit("\x01\x02"), F.lit("\x01"))
+    totals = words.where(F.length("word") == 0).select(unescaped.alias("lang"), "n")
     counts = materialise(phrase_counts(docs, words, least, longest, parts, text_col, lang_col))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(counts, totals, absorbed).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
