@@ -24,6 +24,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping
+from types import MappingProxyType
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,12 @@ BEST = 2000
 #: A phrase goes if a longer one has so many of a hundred of its occurrences.
 ABSORBED = 100
 FILTER_BITS = 1 << 24
-#: Words with a code, at most 254 * 254.
+#: Words with a code, at most 253 * 253.
 CODED = 60_000
 #: Bytes of text looked at together.
 CHUNK = 6 << 20
+#: Bits of a chunk's count of a suffix.
+_PART = 40
 #: Suffixes counted together by the stack.
 TOGETHER = 100_000
 #: Sampled suffixes that the bounds of tasks are taken from, about, and bytes of a bound.
@@ -56,10 +59,14 @@ NO_LANGUAGE = "und"
 
 
 def normal(text: str | None) -> bytes:
-    """A text with A-Z small, line feeds between pieces and blanks between words. NUL and \\x01 are escaped, so NUL can stand between words and sorts first."""
+    """A text with A-Z small, line feeds between pieces and blanks between words. NUL and \\x01 are escaped, so NUL can end words."""
     return escaped((text or "").encode("utf-8").translate(_NORMAL))
 
 
+#: Bytes that begin and end a word without a code; UTF-8 has no such byte, and NUL is escaped.
+_OPEN, _CLOSE = 0xFF, 0x00
+
+
 def escaped(data: bytes) -> bytes:
     return data.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01") if b"\x01" in data or b"\x00" in data else data
 
@@ -159,16 +166,33 @@ def _codes(counts: DataFrame, most: int = CODED) -> dict[bytes, bytes]:
     if least is None:
         return {}
     chosen = sorted(bytes(r["word"]) for r in words.where(grade >= least).select("word").collect())
-    return {w: bytes((2 + k // 254, 2 + k % 254)) for k, w in enumerate(chosen)}
+    return {w: bytes((1 + k // 253, 1 + k % 253)) for k, w in enumerate(chosen)}
 
 
-def shortened(word: bytes, codes: Mapping[bytes, bytes]) -> bytes:
-    """A word as it stands in suffixes: two bytes mean a code, so words of two bytes are marked by one that UTF-8 never has."""
-    return codes.get(word) or (b"\xff" + word if len(word) == 2 else word)
+def shortened(word: bytes, codes: Mapping[bytes, bytes] = MappingProxyType({})) -> bytes:
+    """A word as it stands in suffixes: its code, or itself between two bytes. None begins another, so suffixes need nothing between words and sort as their words do."""
+    return codes.get(word) or bytes((_OPEN,)) + word + bytes((_CLOSE,))
 
 
 def restored(short: bytes, words: Mapping[bytes, bytes]) -> bytes:
-    return words[short] if len(short) == 2 else plain(short[1:] if short[:1] == b"\xff" else short)
+    """The word that ``apart`` found."""
+    return plain(short[1:]) if short[0] == _OPEN else words[short]
+
+
+def apart(keys: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of suffixes (codes, or words behind their first byte), which of them each word is in order, and the words of each suffix."""
+    keys = keys.cast(pa.large_binary())
+    ends = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset : keys.offset + len(keys) + 1]
+    data = np.frombuffer(keys.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    opens, closes = data == _OPEN, data == _CLOSE
+    inside = np.cumsum(opens.astype(np.int64) - closes) > 0
+    coded = ~inside & ~closes
+    # codes are pairs, so every other byte of them begins a word
+    starts = opens | (coded & (np.cumsum(coded) % 2 == 1))
+    kept = coded | inside
+    offsets = np.append(np.flatnonzero(starts[kept]), kept.sum()).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[kept])]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.add.reduceat(starts.astype(np.int64), ends[:-1] - ends[0])
 
 
 def suffixes(lang: bytes, data: bytes, places: int, marks: bytes, codes: Mapping[bytes, bytes], longest: int = MAX_WORDS) -> tuple[pa.Array, np.ndarray]:
@@ -203,8 +227,8 @@ def suffixes(lang: bytes, data: bytes, places: int, marks: bytes, codes: Mapping
     n = np.diff(np.append(first, len(by)))
     sorted_words = pa.array([b"", *(short[i] for i in order)], pa.binary())
     parts = [pc.take(sorted_words, pa.array(np.where(c[by][first] > 0, c[by][first], 0), mask=c[by][first] == 0)) for c in columns]
-    heads = pa.array([lang] * len(first), pa.binary())
-    return (pc.binary_join_element_wise(heads, *parts, b"\0", null_handling="skip") if len(first) else pa.array([], pa.binary())), n
+    heads = pa.array([shortened(lang)] * len(first), pa.binary())
+    return (pc.binary_join_element_wise(heads, *parts, b"", null_handling="skip") if len(first) else pa.array([], pa.binary())), n
 
 
 class Prefixes:
@@ -231,14 +255,10 @@ class Prefixes:
         """(words, count) of prefixes that are complete."""
         if not len(keys):
             return
-        split = pc.split_pattern(keys, b"\0")
-        flat = split.flatten().dictionary_encode()
-        offsets = split.offsets.to_numpy()
-        sizes = np.diff(offsets)
+        known, index, sizes = apart(keys)
         words = np.full((len(keys), int(sizes.max())), -1, np.int64)
-        rows = np.repeat(np.arange(len(keys)), sizes)
-        words[rows, np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)] = flat.indices.to_numpy()
-        name = lambda row, depth: [flat.dictionary[int(w)].as_py() for w in words[row, : depth + 1]]
+        words[np.repeat(np.arange(len(keys)), sizes), np.arange(len(index)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = index
+        name = lambda row, depth: [known[int(w)].as_py() for w in words[row, : depth + 1]]
         top = name(0, int(sizes[0]) - 1)
         shared = 0
         while shared < min(len(top), len(self.stack)) and self.stack[shared][0] == top[shared]:
@@ -262,7 +282,7 @@ class Prefixes:
                     if depth < shared:
                         count, edge = count + self.stack[depth][1], self.stack[depth][2]
                 if last and g == len(first) - 1:
-                    open_.append([flat.dictionary[int(words[row, depth])].as_py(), count, edge])
+                    open_.append([known[int(words[row, depth])].as_py(), count, edge])
                 elif edge or count >= self.least:
                     yield name(row, depth), count
         self.stack, self.begun = open_, True
@@ -302,14 +322,14 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int = MIN_COUNT, lon
             keys, n = suffixes(*chunk, marks.value, codes.value, longest)
             ends = [bisect_left(range(len(keys)), b, key=lambda i: keys[i].as_py()) for b in bounds.value]
             part = np.searchsorted(np.array(ends, np.int64), np.arange(len(keys)), side="right")
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), keys, pa.array(n, pa.int64())], names=["part", "s", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part << _PART | n, pa.int64()), keys], names=["n", "s"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {short: plain(word) for word, short in codes.value.items()}
         stack = Prefixes(least)
 
         def out(found: Iterator[tuple[list[bytes], int]]) -> Iterator[pa.RecordBatch]:
-            rows = [(plain(w[0]).decode(), b" ".join(restored(x, known) for x in w[1:]).decode(), len(w) - 1, n) for w, n in found if len(w) > 1]
+            rows = [(restored(w[0], known).decode(), b" ".join(restored(x, known) for x in w[1:]).decode(), len(w) - 1, n) for w, n in found if len(w) > 1]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)], names=["lang", "phrase", "size", "n"])
 
@@ -328,8 +348,9 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int = MIN_COUNT, lon
                 yield from out(stack.add(s, n.to_numpy()))
         yield from out(stack.rest())
 
-    sums = read.mapInArrow(dealt, "part int, s binary, n long").repartitionById(len(bounds.value) + 1, F.col("part"))
-    found = sums.sortWithinPartitions(F.desc("s")).select("s", "n").mapInArrow(counted, "lang string, phrase string, size int, n long")
+    # a range's number stands above the count
+    sums = read.mapInArrow(dealt, "n long, s binary").repartitionById(len(bounds.value) + 1, F.shiftright("n", _PART).cast("int"))
+    found = sums.sortWithinPartitions(F.desc("s")).select("s", F.col("n").bitwiseAND(F.lit((1 << _PART) - 1)).alias("n")).mapInArrow(counted, "lang string, phrase string, size int, n long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
 

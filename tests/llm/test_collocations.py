@@ -55,6 +55,13 @@ def test_against_plain_counts(docs, rows, least, best, parts):
     assert found(docs, rows, least=least, best=best, parts=parts) == brute(rows, least, best)
 
 
+def joined(keys):
+    """Suffixes as escaped words with NUL between them."""
+    known, index, sizes = C.apart(keys) if len(keys) else ([], [], [])
+    words = iter([known[int(i)].as_py().removeprefix(b"\xff") for i in index])
+    return [b"\0".join(next(words) for _ in range(n)) for n in sizes]
+
+
 def test_small_chunks(docs, rows, monkeypatch):
     plain = Counter()
     for t, _ in rows:
@@ -68,7 +75,7 @@ def test_small_chunks(docs, rows, monkeypatch):
         for one in C.chunks(iter([batch]), 5):
             keys, n = C.suffixes(*one, b"\xff" * 64, {}, 5)
             assert keys.to_pylist() == sorted(set(keys.to_pylist()))
-            sums.update(dict(zip((k.as_py().replace(b"\0\xff", b"\0") for k in keys), n.tolist(), strict=True)))
+            sums.update(dict(zip(joined(keys), n.tolist(), strict=True)))
         assert sums == plain
 
 
@@ -80,7 +87,7 @@ def test_hot_first_word_spans_tasks(spark, docs):
     sent = spark.sparkContext.broadcast
     codes = C._codes(words)
     bounds = C._bounds(C._read(table, "text", "lang"), sent(C._marks(words, 5)), sent(codes), 5, 16, 9000)
-    assert len([b for b in bounds if b.startswith(b"en\0" + C.shortened(b"the", codes))]) >= 3
+    assert len([b for b in bounds if b.startswith(C.shortened(b"en") + C.shortened(b"the", codes))]) >= 3
     assert found(docs, texts, least=5, parts=16) == brute(texts, 5, 2000)
 
 
@@ -88,23 +95,26 @@ def test_hot_first_word_spans_tasks(spark, docs):
 @pytest.mark.parametrize("reverse", [False, True])
 def test_stack_counts_prefixes(together, reverse):
     r = random.Random(9)
-    rows = Counter({b"\0".join([b"l", *r.choices([b"a", b"b", b"c"], k=r.randrange(1, 6))]): r.randrange(1, 9) for _ in range(80)})
+    codes = {b"a": b"\x01\x02", b"b": b"\x61\x62"}
+    lists = {(b"l", *r.choices([b"a", b"b", b"c", b"ab"], k=r.randrange(1, 6))): r.randrange(1, 9) for _ in range(80)}
     plain = Counter()
-    for k, n in rows.items():
-        w = k.split(b"\0")
-        plain.update({tuple(w[:i]): n for i in range(1, len(w) + 1)})
+    for w, n in lists.items():
+        plain.update({w[:i]: n for i in range(1, len(w) + 1)})
+    coded = {b"".join(C.shortened(x, codes) for x in w): w for w in lists}
+    rows = {k: lists[w] for k, w in coded.items()}
     keys = sorted(rows, reverse=reverse)
+    back = {v: k for k, v in codes.items()}
     for least in (1, 20, 10**9):
         stack, out = C.Prefixes(least), []
         for at in range(0, len(keys), together):
             some = keys[at : at + together]
             out += stack.add(C.pa.array(some, C.pa.binary()), C.np.array([rows[k] for k in some]))
         out += stack.rest()
-        got = {tuple(w): n for w, n in out}
+        got = {tuple(C.restored(x, back) for x in w): n for w, n in out}
         assert len(got) == len(out)
         # prefixes of the first and last suffix are given out below the threshold, others are not
-        ends = [keys[0].split(b"\0"), keys[-1].split(b"\0")]
-        edges = {tuple(w[:i]) for w in ends for i in range(1, len(w) + 1)}
+        ends = [coded[keys[0]], coded[keys[-1]]]
+        edges = {w[:i] for w in ends for i in range(1, len(w) + 1)}
         assert got == {k: n for k, n in plain.items() if n >= least or k in edges}
 
 
@@ -114,7 +124,7 @@ def test_rare_words_end_suffixes(spark, docs):
     assert {(r["word"].decode(), r["n"]) for r in words.collect()} == {("a", 3), ("b", 3), ("c", 3), ("", 10)}
     data = C.normal("a b c rare a b c")
     keys, n = C.suffixes(b"en", data, len(data), C._marks(words, 2), {}, 5)
-    assert dict(zip(keys.to_pylist(), n.tolist(), strict=True)) == {b"en\0a\0b\0c": 2, b"en\0b\0c": 2, b"en\0c": 2}
+    assert dict(zip(joined(keys), n.tolist(), strict=True)) == {b"en\0a\0b\0c": 2, b"en\0b\0c": 2, b"en\0c": 2}
 
 
 def test_codes(spark):
@@ -124,7 +134,9 @@ def test_codes(spark):
     assert len(set(codes.values())) == len(codes)
     back = {v: k for k, v in codes.items()}
     for w in (b"word3", b"word299", b"ab", "é".encode(), b"a", b"\x01\x01", b"\x01\x02b", b"long-word"):
-        assert C.restored(C.shortened(w, codes), back) == C.plain(w)
+        known, _, sizes = C.apart(C.pa.array([C.shortened(b"x") + C.shortened(w, codes) + C.shortened(w, codes)], C.pa.binary()))
+        assert sizes.tolist() == [3]
+        assert {C.restored(k.as_py(), back) for k in known} == {b"x", C.plain(w)}
 
 
 def test_exact_products(spark):
