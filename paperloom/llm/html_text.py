@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 
 from .common import bounded_batches, table
 
-PATH_DIM, WORD_DIM, SHAPE_DIM = 96, 32, 8
+PATH_DIM, WORD_DIM, SHAPE_DIM = 96, 64, 8
 HIDDEN = 24
-PAGES, EPOCHS, BATCH, RATE = 1200, 10, 32, 0.01
+PAGES, EPOCHS, BATCH, RATE = 3600, 14, 32, 0.01
 #: Share of the tag paths left out in training.
-UNREAD = 0.15
+UNREAD = 0.1
 #: Blocks (padding included) labelled at a time.
 CELLS = 1 << 15
 
@@ -48,17 +48,15 @@ ENDS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-_ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*"
-_token = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)(?![a-zA-Z0-9:-])(" + _ATTRIBUTES + r")>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(" + _ATTRIBUTES + r")>|<[!?][^>]*>|[^<]+|<",
-    re.S | re.I,
-)
+_word = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_mark = re.compile(r"[>\"']")
 #: Elements that hold no text of the page. Of one that is never closed, a script, style or iframe takes the rest of the page with it, as
 #: browsers have it; of the others the tag alone is dropped, and of these a tag that closes itself is whole.
+SILENT = frozenset("script style noscript template svg iframe object".split())
 TO_THE_END = frozenset("script style iframe".split())
-_closing = {tag: re.compile(rf"</{tag}(?![a-zA-Z0-9:-])[^>]*>", re.I) for tag in "script style noscript template svg iframe object".split()}
-_opening = {tag: re.compile(rf"<{tag}(?![a-zA-Z0-9:-])({_ATTRIBUTES})>", re.S | re.I) for tag in ("template", "svg", "object")}
+NESTING = frozenset("template svg object".split())
+#: Of what encloses a block, so many levels count, innermost first.
+LEVELS = 64
 _named = re.compile(r"""(?<![\w-])(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _part = re.compile(r"[a-z]+")
 _digit = re.compile(r"\d")
@@ -66,34 +64,119 @@ _digit = re.compile(r"\d")
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # what encloses the block, outermost first, as "tag name name"
+    path: tuple[str, ...]  # what encloses the block, outermost first, as "tag name name"; the LEVELS innermost
     linked: float  # share of its characters in links
 
 
-def _past(page: str, m: re.Match, unclosed: set[str]) -> int:
-    """Where the page goes on after the element without text whose opening tag is ``m``; ``unclosed``: tags not closed any more."""
-    tag, at = m[1].lower(), m.end()
-    if tag not in TO_THE_END and m[2].endswith("/"):
-        return at
-    depth = 1  # templates, drawings and objects may stand inside one another
-    while tag not in unclosed:
-        if not (end := _closing[tag].search(page, at)):
-            unclosed.add(tag)
-            break
-        if tag in _opening:
-            depth += sum(not x[1].endswith("/") for x in _opening[tag].finditer(page, at, end.start()))
-        depth, at = depth - 1, end.end()
-        if not depth:
+class Scan:
+    """A page's marks, found in one pass: whatever is looked for in vain is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.missing: dict[str, int] = {}  # what is not there from some place on
+        self.astray: set[int] = set()  # quotes from which no tag's end is reached
+        self.ends: dict[int, int] = {}  # of quotes from which one is
+
+    def find(self, what: str, at: int) -> int:
+        if at >= self.missing.get(what, len(self.page) + 1):
+            return -1
+        if (found := self.page.find(what, at)) < 0:
+            self.missing[what] = at
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """The place of the first ``>`` outside quotes, or -1."""
+        passed = []
+        end = -1
+        while at < self.missing.get("mark", len(self.page) + 1):
+            if not (m := _mark.search(self.page, at)):
+                self.missing["mark"] = at
+                break
+            if m[0] == ">":
+                end = m.start()
+                break
+            if m.start() in self.astray:
+                break
+            if m.start() in self.ends:
+                end = self.ends[m.start()]
+                break
+            passed.append(m.start())
+            close = self.find(m[0], m.end())
+            if close < 0:
+                break
+            at = close + 1
+        if end < 0:
+            self.astray.update(passed)
+        else:
+            self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def tag(self, at: int) -> tuple[bool, str, str, int] | None:
+        """(closing, name, attributes, end) of the tag that begins at ``<``; None if none does."""
+        closing = self.page.startswith("/", at + 1)
+        name = _word.match(self.page, at + 1 + closing)
+        if not name or (end := self.tag_end(name.end())) < 0:
+            return None
+        return closing, name[0].lower(), self.page[name.end() : end], end + 1
+
+    def past(self, tag: str, attributes: str, at: int) -> int:
+        """Where the page goes on after an element without text whose opening tag ends at ``at``."""
+        if tag not in TO_THE_END and attributes.endswith("/"):
             return at
-    return len(page) if tag in TO_THE_END else at
+        if self.missing.get(f"</{tag}>", len(self.page) + 1) <= at:
+            return len(self.page) if tag in TO_THE_END else at
+        depth, here = 1, at  # templates, drawings and objects may stand inside one another
+        pattern = _inner[tag]
+        while m := pattern.search(self.page, here):
+            here = m.end()
+            if m[1]:
+                if (end := self.find(">", here)) < 0:
+                    break
+                depth, here = depth - 1, end + 1
+                if not depth:
+                    return here
+            elif tag in NESTING and (end := self.tag_end(here)) >= 0:
+                depth += self.page[end - 1] != "/"
+                here = end + 1
+        self.missing[f"</{tag}>"] = min(at, self.missing.get(f"</{tag}>", at))
+        return len(self.page) if tag in TO_THE_END else at
+
+
+#: Closing tags of an element, and of those that may stand inside one another the opening ones.
+_inner = {tag: re.compile(rf"<({'/' if tag not in NESTING else '/?'}){tag}(?![a-zA-Z0-9:-])", re.I) for tag in SILENT}
+
+
+class Open:
+    """What is open at a place of the page: as ``list`` of (tag, names), with the places of each tag."""
+
+    def __init__(self):
+        self.all: list[tuple[str, str]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, names: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.all))
+        if tag in BLOCK_TAGS:
+            self.blocks.append(len(self.all))
+        self.all.append((tag, names))
+
+    def last(self, *tags: str) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, at: int) -> None:
+        while len(self.all) > at:
+            tag, _ = self.all.pop()
+            self.places[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.blocks.pop()
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The page's blocks that have text."""
+    """The page's blocks that have text; time is in proportion to the page."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    open_ = Open()
     parts: list[str] = []
-    links, in_link = 0, 0
+    links = 0
 
     def flush() -> None:
         nonlocal links
@@ -101,44 +184,51 @@ def blocks(page: str | None) -> list[Block]:
             raw = "".join(parts)
             text = " ".join(_html.unescape(raw).split())
             if text:
-                out.append(Block(text, tuple(x[1] for x in stack), min(1.0, links / max(1, len(raw.strip())))))
+                out.append(Block(text, tuple(x[1] for x in open_.all[-LEVELS:]), min(1.0, links / max(1, len(raw.strip())))))
             parts.clear()
         links = 0
 
     def close(tags, beyond) -> None:
-        nonlocal in_link
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                flush()
-                in_link -= sum(x[0] == "a" for x in stack[i:])
-                del stack[i:]
-                return
-            if stack[i][0] in beyond:
-                return
-
-    page, here, unclosed = page or "", 0, set()
-    while m := _token.match(page, here):
-        here, tag = m.end(), m[4]
-        if m[1]:
-            if m[1].lower() in ("iframe", "object"):
-                flush()
-            here = _past(page, m, unclosed)
+        if (at := open_.last(*tags)) > open_.last(*beyond):
+            flush()
+            open_.cut(at)
+
+    def say(text: str) -> None:
+        nonlocal links
+        parts.append(text)
+        links += len(text) if open_.places.get("a") else 0
+
+    page = page or ""
+    scan, here = Scan(page), 0
+    while here < len(page):
+        if page[here] != "<":
+            start, here = here, scan.find("<", here)
+            here = len(page) if here < 0 else here
+            say(page[start:here])
+            continue
+        if page.startswith("<!--", here):
+            end = scan.find("-->", here + 4)
+            here = len(page) if end < 0 else end + 3
             continue
-        if tag is None:
-            text = m[0]
-            if text[0] != "<" or text == "<":
-                parts.append(text)
-                links += len(text) if in_link else 0
+        if page.startswith(("<!", "<?"), here) and (end := scan.find(">", here)) >= 0:
+            here = end + 1
             continue
-        tag = tag.lower()
-        if m[3]:
+        if (found := scan.tag(here)) is None:
+            say("<")
+            here += 1
+            continue
+        closing, tag, attributes, here = found
+        if closing:
             if tag in BLOCK_TAGS:
                 flush()
-            if any(x[0] == tag for x in stack):
-                at = max(i for i, x in enumerate(stack) if x[0] == tag)
-                if tag in BLOCK_TAGS or not any(x[0] in BLOCK_TAGS for x in stack[at:]):
-                    in_link -= sum(x[0] == "a" for x in stack[at:])
-                    del stack[at:]
+            # a tag that is no block's ends nothing beyond the block that it stands in
+            if (at := open_.last(tag)) >= 0 and (tag in BLOCK_TAGS or not open_.blocks or open_.blocks[-1] < at):
+                open_.cut(at)
+            continue
+        if tag in SILENT:
+            if tag in ("iframe", "object"):
+                flush()
+            here = scan.past(tag, attributes, here)
             continue
         if tag == "br":
             parts.append("\n")
@@ -149,11 +239,10 @@ def blocks(page: str | None) -> list[Block]:
                 close({"p"}, {"td", "th", "div", "li", "article", "section", "body", "button", "blockquote"})
             if tag in ENDS:
                 close(*ENDS[tag])
-        if tag in VOID_TAGS or m[5].endswith("/"):
+        if tag in VOID_TAGS or attributes.endswith("/"):
             continue
-        names = " ".join(_part.findall(" ".join(a or b or c for _, a, b, c in _named.findall(m[5])).lower())) if "=" in m[5] else ""
-        stack.append((tag, f"{tag} {names}" if names else tag))
-        in_link += tag == "a"
+        names = " ".join(_part.findall(" ".join(a or b or c for _, a, b, c in _named.findall(attributes)).lower())) if "=" in attributes else ""
+        open_.push(tag, f"{tag} {names}" if names else tag)
     flush()
     return out
 
@@ -293,6 +382,18 @@ SAID = {
     "foot": "copyright all rights reserved terms of service privacy contact sitemap powered by © ·".split(),
     "head": "site logo welcome edition daily skip to content sign in search".split(),
 }
+#: The like in German, French and Spanish.
+SAID_ELSEWHERE = {
+    "menu": "startseite politik sport kultur wirtschaft kontakt anmelden suche über uns accueil actualités rubriques boutique connexion inicio noticias deportes tienda contacto buscar",
+    "ad": "anzeige werbung jetzt kaufen angebot publicité acheter maintenant offre publicidad comprar ahora oferta",
+    "notice": "diese website verwendet cookies speichert daten zustimmen akzeptieren einstellungen ce site utilise des cookies accepter refuser paramètres este sitio utiliza cookies aceptar this website stores data such as",
+    "form": "newsletter abonnieren e-mail adresse eingeben absenden inscrivez-vous votre adresse envoyer suscríbete su correo enviar nombre",
+    "comment": "kommentare antworten sagt danke schöner beitrag commentaires répondre dit merci comentarios responder dice gracias",
+    "side": "meistgelesen verwandte artikel teilen weiterlesen articles liés à lire aussi partager lo más leído relacionados compartir",
+    "foot": "impressum datenschutz agb alle rechte vorbehalten mentions légales tous droits réservés conditions aviso legal todos los derechos reservados condiciones",
+    "head": "willkommen ausgabe bienvenue édition bienvenido edición",
+}
+UNITS = ("", "", "g", "kg", "ml", "km", "%", "h", "cm")
 PLACES = {
     "menu": ["<table><tr><td>{}</td></tr></table>", "<div>{}</div>", "<section>{}</section>", "<nav>{}</nav>", '<div class="menu">{}</div>', '<div id="navbar" class="nav main-nav">{}</div>', '<ul class="breadcrumb">{}</ul>', '<div role="navigation">{}</div>'],
     "ad": ['<div class="ad">{}</div>', '<div class="ads banner">{}</div>', '<div id="advert">{}</div>', '<aside class="promo sponsor">{}</aside>', '<div class="advertisement">{}</div>', '<section class="sponsored">{}</section>'],
@@ -319,7 +420,12 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
     def other(kind: str) -> str:
         rows = []
         for _ in range(rng.randint(1, 6 if kind in ("menu", "side", "comment") else 2)):
-            says = " ".join(rng.choices(SAID[kind], k=rng.randint(1, 5)))
+            own = SAID[kind] if rng.random() < 0.65 else SAID_ELSEWHERE[kind].split()
+            says = rng.choice([" ", " ", " ", " | ", " · "]).join(rng.choices(own, k=rng.randint(1, 5)))
+            if rng.random() < 0.4:
+                says = says.capitalize() + rng.choice(["", ".", "!"])
+            if kind == "foot" and rng.random() < 0.4:
+                says = f"{rng.choice(['Copyright', '©', 'copyright ©'])} {rng.randint(1995, 2026)} {prose(rng.randint(0, 3), 1).strip('.').title()}".strip()
             if kind in ("ad", "foot", "comment", "side", "notice") and rng.random() < 0.6:
                 says = (says + " " if rng.random() < 0.4 else "") + prose(rng.randint(3, 40), 1)
             if kind == "menu" and rng.random() < 0.5:
@@ -332,13 +438,38 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
         inside = "".join(rows)
         return rng.choice(PLACES[kind]).format(f"<ul>{inside}</ul>" if kind == "menu" and rng.random() < 0.7 else inside)
 
+    def item() -> str:
+        """A few words, or a number, as lists and tables have them."""
+        number = f"{rng.choice([rng.randint(1, 20), rng.randint(1, 2000), round(rng.random() * 100, 1)])} {rng.choice(UNITS)}".strip()
+        said = " ".join("".join(rng.choices(syllables[0], k=rng.randint(1, 3))) for _ in range(rng.choice([1, 1, 2, 2, 3, 4, 6])))
+        said = said.capitalize() if rng.random() < 0.5 else said
+        return rng.choice([number, f"{number} {said}", said, said, said + "."])
+
+    def several() -> str:
+        """A list, a table or pictures with many short parts."""
+        n, kind = rng.randint(2, 9), rng.choice(["ul", "ol", "dl", "table", "figure", "p", "ul", "table"])
+        if kind in ("ul", "ol"):
+            return f"<{kind}>" + "".join(f"<li>{item()}</li>" for _ in range(n)) + f"</{kind}>"
+        if kind == "dl":
+            return "<dl>" + "".join(f"<dt>{item()}</dt><dd>{item() if rng.random() < 0.5 else prose(rng.randint(2, 12))}</dd>" for _ in range(n)) + "</dl>"
+        if kind == "figure":
+            return "".join(f"<figure><img src='x'><figcaption>{item()}</figcaption></figure>" for _ in range(min(n, 4)))
+        if kind == "p":
+            return "".join(f"<p>{item()}</p>" for _ in range(min(n, 5)))
+        columns, head = rng.randint(2, 4), rng.choice(["row", "column", "none"])
+        cell = lambda r, c: "th" if (head == "row" and not r) or (head == "column" and not c) else "td"
+        return "<table>" + "".join("<tr>" + "".join(f"<{cell(r, c)}>{item()}</{cell(r, c)}>" for c in range(columns)) + "</tr>" for r in range(min(n, 6))) + "</table>"
+
     def main() -> str:
         rows = []
         if rng.random() < 0.85:
             rows.append(f"<h1>{prose(rng.randint(1, 12))}</h1>")
         for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14])):
+            if rng.random() < 0.15:
+                rows.append(several())
+                continue
             text = prose(rng.choice([1, 2, 4, 8, 20, 40, 90]), int(rng.random() < 0.15))
-            shape = rng.choices(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>", "<p><a href='/y'>{}</a></p>", "<pre>{}</pre>", "<figure><img src='x'><figcaption>{}</figcaption></figure>", "<p><svg class='i'/>{}</p>"], [0.5, 0.08, 0.08, 0.08, 0.07, 0.04, 0.05, 0.04, 0.03, 0.03, 0.06, 0.02])[0]
+            shape = rng.choices(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>", "<p><a href='/y'>{}</a></p>", "<pre>{}</pre>", "<figure><img src='x'><figcaption>{}</figcaption></figure>", "<p><svg class='i'/>{}</p>"], [0.5, 0.08, 0.08, 0.08, 0.07, 0.04, 0.05, 0.04, 0.03, 0.03, 0.1, 0.02])[0]
             rows.append(shape.format(text))
         rows = "".join(rows)
         labels.extend([1] * len(blocks(rows)))
@@ -347,7 +478,9 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
     title = prose(rng.randint(2, 10))
     labels.append(0)
     before = [k for k in ("notice", "head", "menu", "ad", "side", "menu", "form") if rng.random() < 0.4]
-    after = [k for k in ("ad", "side", "form", "comment", "side", "notice", "foot") if rng.random() < 0.4]
+    # on many pages the article stands between a head and a foot alone
+    plain = rng.random() < 0.5
+    after = [k for k in (("foot",) if plain else ("ad", "side", "form", "comment", "side", "notice", "foot")) if rng.random() < (0.75 if plain else 0.4)]
     body = "".join(map(other, before)) + main() + "".join(map(other, after))
     if rng.random() < 0.3:
         body = f'<div class="{rng.choice(["wrapper", "page", "container", "site"])}">{body}</div>'
@@ -368,7 +501,7 @@ def trained(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11) -> Labelle
     start = lambda: np.concatenate([rng.normal(0, 0.1, (d + HIDDEN, 4 * HIDDEN)), np.r_[np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)][None]]).astype(np.float32)
     weights = [start(), start(), rng.normal(0, 0.1, 2 * HIDDEN + 1).astype(np.float32)]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    step = 0
+    step, mean, averaged = 0, [np.zeros_like(w) for w in weights], 0
     for epoch in range(epochs):
         order = rng.permutation(len(data))
         order = np.concatenate(sorted((order[i : i + 4 * BATCH] for i in range(0, len(order), 4 * BATCH)), key=len)[::-1])
@@ -393,7 +526,11 @@ def trained(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11) -> Labelle
                 first[k], second[k] = 0.9 * first[k] + 0.1 * gr, 0.999 * second[k] + 0.001 * gr * gr
                 weights[k] = weights[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-7)
                 weights[k] = weights[k].astype(np.float32)
-    return Labeller(*weights)
+            if epoch >= epochs // 2:  # the mean of the later weights depends less on the order of pages than the last ones do
+                averaged += 1
+                for m, w in zip(mean, weights, strict=True):
+                    m += (w - m) / averaged
+    return Labeller(*mean)
 
 
 def main_texts(pages: list[str | None], model: Labeller) -> list[str]:

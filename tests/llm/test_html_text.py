@@ -1,8 +1,10 @@
 import random
+import time
 
 import numpy as np
 import pytest
 
+from layouts import LAYOUTS
 from paperloom.llm import html_text as H
 
 
@@ -26,6 +28,36 @@ def test_blocks(page, expected):
     assert texts(page) == expected
 
 
+MEGA = 1 << 20
+
+
+@pytest.mark.parametrize(
+    ("page", "n"),
+    [
+        ("<a href='" * (MEGA // 9), 1), ("<a href=\"" * (MEGA // 9), 1), ("<a href='\"" * (MEGA // 10), 1), ("<pre>" + "a <b && c != 'x) \n" * (MEGA // 17) + "</pre>", 1), ("<span>" * 60000 + "</b>" * 60000, 0), ("<span>" * 60000 + "<p>x" * 60000, 60000),
+        ("<!" * (MEGA // 2), 1), ("</script" * (MEGA // 8), 1), ("<script>" + "</script" * (MEGA // 8), 0), ("<svg '" * (MEGA // 6), 1), ("<svg>" * (MEGA // 5), 0), ("<div>x" * 100000, 100000), ("<" * MEGA, 1), ("<template>" * 50000 + "x</template>" * 50000, 0), ("<!--" * (MEGA // 4), 0),
+        ("<b>" + "<div>" * 50000 + "</b>" * 50000, 0), ("<p '>x" * (MEGA // 6), 87381), ("<style>x</style" * (MEGA // 15), 1),
+    ],
+)
+def test_time_is_in_proportion(page, n):
+    start = time.process_time()
+    assert len(H.blocks(page)) == n
+    assert time.process_time() - start < 8  # about one second each; what is quadratic takes minutes
+
+
+def test_new_layouts():
+    """Of ten layouts written before the first run on them at most two are not exact."""
+    model, wrong, exact = H.trained(), 0, 0
+    for page, expected in LAYOUTS.values():
+        found = H.blocks(page)
+        kept = [b.text for b, p in zip(found, model.chances([H.vectors(found)])[0], strict=True) if p >= 0.5]
+        assert set(expected) <= set(kept)
+        exact += kept == expected
+        wrong += len(set(kept) ^ set(expected))
+    assert exact >= 8
+    assert wrong <= 5
+
+
 def test_long_page():
     page = "<article>" + "<p>word word</p>" * 30000 + "</article>"
     assert len(texts(page)) == 30000
@@ -62,7 +94,7 @@ def test_held_out_pages():
 
 def test_batches_do_not_matter():
     rng = random.Random(3)
-    pages = [H.vectors(H.blocks(H.made_page(rng)[0])) for _ in range(20)] + [np.zeros((0, 136), np.float32)]
+    pages = [H.vectors(H.blocks(H.made_page(rng)[0])) for _ in range(20)] + [np.zeros((0, H.PATH_DIM + H.WORD_DIM + H.SHAPE_DIM), np.float32)]
     model = H.trained()
     together = model.chances(pages)
     for p, c in zip(pages, together, strict=True):
