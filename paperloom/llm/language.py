@@ -4,13 +4,14 @@ Each language has a tree of byte contexts of order 3 and less. The code length o
 context that has it: -log2(count / (total + distinct)), with an escape of -log2(distinct / (total + distinct))
 for each longer context that the language knows and that lacks the byte; a context that it does not know costs
 nothing; below order 0 a byte costs 8 bits. Statistics are frozen after training, so a byte's length depends on
-the byte and the three before it alone: training flattens the trees into one array of lengths, a row for each known
+the byte and the three before it alone: a worker flattens the trees into one array of lengths, a row for each known
 context and a column for each byte, and scoring is two look-ups a byte over the whole text. The language with
 the least total length is predicted; the score is its posterior under equal priors.
 
 Bounds, all parameters: training reads at most ``SAMPLE`` documents of a language (whole texts, those of least hash, none of more than
-``LONGEST`` characters), and the flattened trees, which go to every executor, take ``TABLE_BYTES`` at most: contexts of order 3 beyond that,
-the rarest, are left to their last two bytes, and languages for which not even those fit are an error.
+``LONGEST`` characters). What goes to the executors are the counts of contexts seen, about one or two megabytes a language. Languages whose flat array would take more
+than ``TABLE_BYTES`` together are scored in groups, one after the other over the same texts: a language's lengths do not depend on the others, so any number of
+languages gives what one array would.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is everything when no row has a language
 to learn; bytes never seen in training cost the same in every language but for the escapes; repeated rows repeat;
@@ -42,37 +43,98 @@ CHUNK = 1 << 20
 _letter = re.compile(r"[^\W\d_]")
 
 
-class Model:
-    """Flattened context trees: ``rows`` by context of three symbols, ``bits`` by row, symbol and language."""
+#: Of one language and each order: codes of the contexts with the byte that follows, sorted, and how often they occur.
+Tree = tuple[tuple[np.ndarray, np.ndarray], ...]
+
+
+def flattened(trees: list[Tree], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each context of three symbols, length in bits by row, symbol and language)."""
+    known = np.unique(np.concatenate([t[ORDER][0] // width for t in trees]))
+    rows = np.tile(np.arange(width**2, dtype=np.int32), width)  # contexts not known go to the row of their last two symbols
+    rows[known] = width**2 + np.arange(len(known), dtype=np.int32)
+    bits = np.empty((width**2 + len(known), width, len(trees)), dtype=np.float32)
+    for at, tree in enumerate(trees):
+        lower = np.full((1, width), 8.0)
+        for order in range(ORDER + 1):
+            codes, counts = tree[order]
+            contexts = codes // width
+            if order == ORDER:
+                lower = lower[known % width**2]
+                place = np.searchsorted(known, contexts)
+            else:
+                lower = np.tile(lower, (width if order else 1, 1))
+                place = contexts
+            total = np.bincount(place, counts, len(lower))
+            distinct = np.bincount(place, minlength=len(lower))
+            has = total > 0
+            escape = np.zeros(len(lower))
+            escape[has] = np.log2((total[has] + distinct[has]) / distinct[has])
+            lower = lower + escape[:, None]
+            lower[place, codes % width] = np.log2((total[place] + distinct[place]) / counts)
+            if order == ORDER - 1:
+                bits[: width**2, :, at] = lower
+        bits[width**2 :, :, at] = lower
+    return rows, bits.reshape(-1, len(trees))
 
-    def __init__(self, languages: list[str], symbols: np.ndarray, width: int, rows: np.ndarray, bits: np.ndarray):
-        self.languages, self.symbols, self.width, self.rows, self.bits = languages, symbols, width, rows, bits
 
-    def lengths(self, text: str) -> np.ndarray:
-        """Code length of the whole text in each language, in bits."""
+class Model:
+    """Context trees by language, flattened a group of languages at a time."""
+
+    def __init__(self, languages: list[str], symbols: np.ndarray, width: int, trees: list[Tree], table_bytes: int = TABLE_BYTES):
+        self.languages, self.symbols, self.width, self.trees, self.table_bytes = languages, symbols, width, trees, table_bytes
+        self._flat: tuple[int, tuple] | None = None
+        self.groups: list[list[int]] = []
+        known: np.ndarray = np.zeros(0, dtype=np.int64)
+        for k, tree in enumerate(trees):
+            both = np.union1d(known, tree[ORDER][0] // width)
+            if self.groups and 4 * width * (width**2 + len(both)) * (len(self.groups[-1]) + 1) <= table_bytes:
+                self.groups[-1].append(k)
+                known = both
+            else:
+                self.groups.append([k])
+                known = np.unique(tree[ORDER][0] // width)
+
+    def group(self, g: int) -> tuple[np.ndarray, np.ndarray]:
+        if self._flat is None or self._flat[0] != g:
+            self._flat = None  # one group's array at a time
+            self._flat = (g, flattened([self.trees[k] for k in self.groups[g]], self.width))
+        return self._flat[1]
+
+    def lengths(self, text: str, g: int) -> np.ndarray:
+        """Code length of the whole text in each language of a group, in bits."""
+        rows, bits = self.group(g)
         raw = text.encode("utf-8", "surrogatepass")
-        total = np.zeros(len(self.languages))
+        total = np.zeros(bits.shape[1])
         for at in range(0, len(raw), CHUNK):
             lead = min(at, ORDER)
             part = self.symbols[np.frombuffer(raw, dtype=np.uint8, offset=at - lead, count=min(CHUNK, len(raw) - at) + lead)]
             part = np.concatenate([np.full(ORDER - lead, self.width - 1, dtype=np.int32), part])
             context = (part[:-3] * self.width + part[1:-2]) * self.width + part[2:-1]
-            total += self.bits[self.rows[context] * self.width + part[3:]].sum(0, dtype=np.float64)
+            total += bits[rows[context] * self.width + part[3:]].sum(0, dtype=np.float64)
         return total
 
+    def predictions(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        texts = list(texts)
+        spoken = [k for k, t in enumerate(texts) if t and self.languages and _letter.search(t)]
+        bits = np.zeros((len(spoken), len(self.languages)))
+        for g, group in enumerate(self.groups if spoken else []):
+            for row, k in enumerate(spoken):
+                bits[row, group] = self.lengths(texts[k], g)
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        for row, k in zip(bits, spoken, strict=True):
+            best = int(row.argmin())
+            out[k] = (self.languages[best], float(1 / np.exp2(-np.minimum(row - row[best], 200)).sum()))
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _letter.search(text):
-            return UNKNOWN, 0.0
-        bits = self.lengths(text)
-        best = int(bits.argmin())
-        return self.languages[best], float(1 / np.exp2(-np.minimum(bits - bits[best], 200)).sum())
+        return self.predictions([text])[0]
 
 
-NOTHING = Model([], np.zeros(256, dtype=np.int32), 1, np.zeros(1, dtype=np.int32), np.zeros((1, 0), dtype=np.float32))
+NOTHING = Model([], np.zeros(256, dtype=np.int32), 1, [])
 
 
 def train(texts: Mapping[str, Iterable[str]], table_bytes: int = TABLE_BYTES) -> Model:
-    """Count contexts of each language's texts and flatten the trees."""
+    """Count contexts of each language's texts."""
     languages = sorted(texts)
     raw = {k: [np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8) for t in texts[k] if t] for k in languages}
     seen = np.zeros(256, dtype=bool)
@@ -85,9 +147,10 @@ def train(texts: Mapping[str, Iterable[str]], table_bytes: int = TABLE_BYTES) ->
     symbols = np.full(256, width - 1, dtype=np.int32)
     symbols[seen] = np.arange(width - 1)
     none = np.full(ORDER, width - 1, dtype=np.int64)
-    counted = {}
+    trees = []
     for k in languages:
         stream = [np.concatenate([none, symbols[x].astype(np.int64)]) for x in raw[k]]
+        tree = []
         for order in range(ORDER + 1):
             grams = []
             for x in stream:
@@ -95,44 +158,9 @@ def train(texts: Mapping[str, Iterable[str]], table_bytes: int = TABLE_BYTES) ->
                 for back in range(order, -1, -1):
                     code = code * width + x[ORDER - back : len(x) - back]
                 grams.append(code)
-            counted[k, order] = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-    known = np.unique(np.concatenate([counted[k, ORDER][0] // width for k in languages]))
-    room = table_bytes // (4 * width * len(languages)) - width**2
-    if room < 0:
-        raise ValueError(f"{len(languages)} languages of {width} byte values need a table of more than {table_bytes} bytes")
-    if len(known) > room:
-        seen_in = np.zeros(len(known))
-        for k in languages:
-            codes, counts = counted[k, ORDER]
-            np.add.at(seen_in, np.searchsorted(known, codes // width), counts)
-        known = np.sort(known[np.lexsort((known, -seen_in))[:room]])
-    rows = np.tile(np.arange(width**2, dtype=np.int32), width)  # contexts not known go to the row of their last two symbols
-    rows[known] = width**2 + np.arange(len(known), dtype=np.int32)
-    bits = np.empty((width**2 + len(known), width, len(languages)), dtype=np.float32)
-    for at, k in enumerate(languages):
-        lower = np.full((1, width), 8.0)
-        for order in range(ORDER + 1):
-            codes, counts = counted[k, order]
-            contexts = codes // width
-            if order == ORDER:
-                lower = lower[known % width**2]
-                kept = np.isin(contexts, known)
-                codes, counts = codes[kept], counts[kept]
-                place = np.searchsorted(known, contexts[kept])
-            else:
-                lower = np.tile(lower, (width if order else 1, 1))
-                place = contexts
-            total = np.bincount(place, counts, len(lower))
-            distinct = np.bincount(place, minlength=len(lower))
-            has = total > 0
-            escape = np.zeros(len(lower))
-            escape[has] = np.log2((total[has] + distinct[has]) / distinct[has])
-            lower = lower + escape[:, None]
-            lower[place, codes % width] = np.log2((total[place] + distinct[place]) / counts)
-            if order == ORDER - 1:
-                bits[: width**2, :, at] = lower
-        bits[width**2 :, :, at] = lower
-    return Model(languages, symbols, width, rows, bits.reshape(-1, len(languages)))
+            tree.append(np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)))
+        trees.append(tuple(tree))
+    return Model(languages, symbols, width, trees, table_bytes)
 
 
 def fold(id_col: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -157,12 +185,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predicted_column(text: Column, model: Model, spark) -> Column:
     """struct(lang_pred, score); the model goes to the executors once."""
-    shared = spark.sparkContext.broadcast((model.languages, model.symbols, model.width, model.rows, model.bits))
+    shared = spark.sparkContext.broadcast((model.languages, model.symbols, model.width, model.trees, model.table_bytes))
+    held: list[Model] = []  # a worker's own, for as long as it has this function
 
     @F.pandas_udf("lang_pred string, score double")
     def language(texts: pd.Series) -> pd.DataFrame:
-        own = Model(*shared.value)
-        return pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
+        if not held:
+            held.append(Model(*shared.value))
+        return pd.DataFrame(held[0].predictions(texts), columns=["lang_pred", "score"])
 
     return language(text)
 

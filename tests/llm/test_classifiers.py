@@ -121,16 +121,23 @@ def test_scores_against_plain(spark, docs, made, prose):
     assert T.fit(d, spark.createDataFrame(labels, LABELS)).weights == model.weights  # reruns agree
 
 
-def test_table_is_bounded():
+def test_a_hundred_languages_in_groups():
+    """However small the array may be, languages are scored alike, and none is dropped."""
     r = random.Random(4)
-    texts = {k: ["".join(r.choices("abcdefgh", k=400)) for _ in range(5)] for k in ("x", "y")}
-    whole = L.train(texts)
-    small = L.train(texts, table_bytes=whole.bits.nbytes - 4000)
-    assert small.bits.nbytes <= whole.bits.nbytes - 4000 < whole.bits.nbytes
-    assert len(small.bits) > 0
-    assert np.abs(small.lengths("abcabc") - whole.lengths("abcabc")).max() < 20
-    with pytest.raises(ValueError, match="table"):
-        L.train(texts, table_bytes=100)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüéèñçßø"
+    texts = {f"l{k:03d}": [" ".join("".join(r.choices(own, k=r.randrange(2, 7))) for _ in range(150)) for _ in range(2)] for k in range(100) for own in [r.sample(letters, 7)]}
+    small = L.train(texts, table_bytes=3 << 20)
+    whole = L.train(texts, table_bytes=1 << 40)
+    assert len(whole.groups) == 1 < len(small.groups)
+    assert sorted(k for g in small.groups for k in g) == list(range(100))
+    asked = [t for k in list(texts)[::9] for t in texts[k]] + ["", None, "123", "zzz qqq"]
+    one, other = small.predictions(asked), whole.predictions(asked)
+    assert [x[0] for x in one] == [x[0] for x in other]
+    assert np.allclose([x[1] for x in one], [x[1] for x in other])
+    assert [x[0] for x in one[:-4]] == [k for k in list(texts)[::9] for _ in texts[k]]
+    assert max(small.group(g)[1].nbytes for g in range(len(small.groups)) if len(small.groups[g]) > 1) <= 3 << 20
+    for tiny in (100, 1):  # a language alone is always a group
+        assert len(L.train({k: texts[k] for k in list(texts)[:5]}, table_bytes=tiny).groups) == 5
 
 
 def test_code_lengths_are_exact(monkeypatch):
@@ -139,7 +146,7 @@ def test_code_lengths_are_exact(monkeypatch):
     for chunk in (1 << 20, 5):
         monkeypatch.setattr(L, "CHUNK", chunk)
         for t in ("abra", "bonbon nob", "xyz", "é abc bon!", "a", "cadabra bonbon " * 5):
-            got = dict(zip(m.languages, m.lengths(t), strict=True))
+            got = dict(zip(m.languages, m.lengths(t, 0), strict=True))
             for k in texts:
                 assert got[k] == pytest.approx(slow_bits(texts[k], t), rel=1e-4)
 
