@@ -7,7 +7,7 @@ comes last, and documents do not meet for its sake.
 
 Pairs are discarded in turn by size, by ``PARITIES`` bits that are each set where an odd number of hashes falls to it, and by as many such bits
 as a set has hashes: two sets differ in no fewer hashes than in these bits, so no pair at ``least`` is lost. What is left is compared hash by hash.
-No hash, cell or pair is capped.
+No hash, cell or pair is capped. A cell of more than 2 ``CELL_ROWS`` sets is cut into chunks of about ``CELL_ROWS``, and every two chunks are a task of their own.
 """
 
 from __future__ import annotations
@@ -31,10 +31,20 @@ BUCKETS = 1 << 17
 PARITIES = 512
 #: Rows of a cell compared with the rest at a time; rows up to which cells are compared together; pairs held back.
 ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
+#: Sets of a large cell to a chunk.
+CELL_ROWS = 8192
 #: Documents up to which the ids of those asked for are sent to every executor (some 40 bytes each).
 BROADCAST_ROWS = 500_000
 
 
+def cells_of(token: Column, sid: Column, n: Column, most: int | None = None) -> Column:
+    """The cells that a set goes to: its token's, or where that has more than two chunks one with each other chunk, so that any two sets of a token meet."""
+    chunks = F.ceil(n / F.lit(most or CELL_ROWS))
+    own = F.pmod(F.xxhash64(sid), chunks)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda j: j != own)
+    return F.when(chunks <= 2, F.array(token)).otherwise(F.transform(others, lambda j: F.xxhash64(token, F.least(own, j), F.greatest(own, j))))
+
+
 def _hashes_of(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``asked`` (__id, sid, ...) with the shingle hashes s of that document whose set has the hash ``sid``: documents may share an id."""
     asked = materialise(asked)
@@ -172,13 +182,14 @@ def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, tex
     release(prints.sparkSession)
     # of cells with the same members one is enough
     members = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("sid").alias("x"), F.bit_xor(F.xxhash64("sid")).alias("y"))
-    rows = materialise(rows.join(members.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"), "token", "left_semi"))
+    rows = materialise(rows.join(members.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n"), "token"))
     release(prints.sparkSession)
 
     def asked_pairs(edges: DataFrame, forest: bool) -> DataFrame:
         own = owners.select("sid", F.col("owner").alias("fp"), "size", "odd")
         labels = own.withColumn("label", F.col("fp")) if edges.isEmpty() else own.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp"))
-        dealt = rows.join(labels.select("sid", "size", "odd", "label"), "sid").repartition("token").sortWithinPartitions("token", "size")
+        dealt = rows.select("sid", F.explode(cells_of(F.col("token"), F.col("sid"), F.col("n"))).alias("token"))
+        dealt = dealt.join(labels.select("sid", "size", "odd", "label"), "sid").repartition("token").sortWithinPartitions("token", "size")
 
         def found(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
             sid, token, size, label = (part[k].to_numpy() for k in ("sid", "token", "size", "label"))

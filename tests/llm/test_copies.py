@@ -363,3 +363,41 @@ def test_nearer_false_links_hide_no_pair(spark, docs, monkeypatch):
     monkeypatch.setattr(S, "links", lambda prints, max_bits: spark.createDataFrame([(signed[0], signed[2]), (signed[1], signed[2])], "a long, b long"))
     found = {x["doc_id"]: x["component_id"] for x in S.near_duplicates(docs(rows), max_bits=6, confirm=True).collect()}
     assert found == {0: 0, 1: 0, 2: 2}
+
+
+def test_large_cells_are_cut(spark):
+    """20,000 sets of one token: no task has more than two chunks, and any two sets meet."""
+    from pyspark.sql import functions as F
+
+    from paperloom.llm import shingle_join as J
+
+    n, most = 20_000, 2048
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("token"), F.col("id").alias("sid"), F.lit(n).cast("long").alias("n"))
+    dealt = rows.select("sid", F.explode(J.cells_of(F.col("token"), F.col("sid"), F.col("n"), most)).alias("cell"))
+    assert dealt.groupBy("cell").count().agg(F.max("count")).first()[0] < 2 * most * 1.2
+    few = dealt.where("sid % 400 = 0")
+    met = few.alias("x").join(few.alias("y"), "cell").where("x.sid < y.sid").select("x.sid", F.col("y.sid").alias("other")).distinct().count()
+    assert met == 50 * 49 // 2
+    small = rows.withColumn("n", F.lit(100)).select(F.explode(J.cells_of(F.col("token"), F.col("sid"), F.col("n"), most)).alias("cell"))
+    assert [r["cell"] for r in small.distinct().collect()] == [7]
+
+
+def test_join_with_small_chunks(spark, docs, monkeypatch):
+    """The join finds the same groups however small the chunks are."""
+    import random
+
+    from paperloom.llm import shingle_join as J
+    from paperloom.llm import simhash as S
+
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        own = base[:]
+        for _ in range(r.randrange(0, 5)):
+            own[r.randrange(60)] = f"x{r.randrange(1000)}"
+        rows.append((i, " ".join(own), "en", "s"))
+    table = docs(rows)
+    whole = sorted(x["doc_id"] for x in S.keep_one(table, confirm=True).collect())
+    monkeypatch.setattr(J, "CELL_ROWS", 4)
+    assert sorted(x["doc_id"] for x in S.keep_one(table, confirm=True).collect()) == whole
