@@ -131,12 +131,14 @@ def blocked_bridge(left: DataFrame, right: DataFrame, left_id: str = "institutio
     A score of 100 is a containment test on token arrays, with no Python in the plan. Below 100, names without such a match meet by ``similar_candidates``; a
     pair is scored only if its bound reaches ``review`` and the best score that is sure for its left name. Names are compared once, however many rows have them.
     """
-    a = _named(left, name, "a")
+    # both are read several times
+    a = materialise(_named(left, name, "a"))
     ids = right.where(F.col(name) != "").groupBy(F.col(name).alias("b")).agg(F.min(right_id).alias("rid"))
-    b = _named(right, name, "b").join(ids, "b")
+    b = materialise(_named(right, name, "b").join(ids, "b"))
+    ids = b.select("b", "rid")
     found = _containing(a, b).withColumn("similarity", F.lit(100.0))
     if review < 100:
-        a, b, found = materialise(a), materialise(b), materialise(found)
+        found = materialise(found)
         pairs = materialise(similar_candidates(a.join(found.select("a"), "a", "left_anti"), b, review))
         floor = pairs.groupBy("a").agg(F.max("sure").alias("floor"))
         open_ = pairs.join(floor, "a").where(F.greatest("sure", "bound") >= F.col("floor"))

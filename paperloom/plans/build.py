@@ -6,7 +6,10 @@ is also where the two phases meet: all up to the matchers and clusters, and all
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import work_id
 from ..functions.udfs import detect_language
 from ..operators import gate, matching, quality
+from ..sources import snapshots
 from . import facts, marts, serving, staging
 
 Make = Callable[..., DataFrame]
@@ -69,15 +73,15 @@ STEPS: dict[str, tuple[tuple[str, ...], Make]] = {
 STORED = ("patents_scoped", "excluded_documents", "stg_openalex_works", "stg_patents_scoped", "pv_orgs", "oa_orgs", "fuzzy_bridge", "int_org_crosswalk", "mf_npl_links", "npl_links", "fact_document_cluster", "fact_publication", "fact_patent_filing", "fact_npl_link")
 
 
-def order(wanted: Iterable[str] | None = None) -> list[str]:
+def order(wanted: Iterable[str] | None = None, steps: Mapping[str, tuple[tuple[str, ...], Make]] = STEPS) -> list[str]:
     """Steps in an order that makes each after what it reads; only those that ``wanted`` needs."""
-    needed, open_ = set(), list(wanted or STEPS)
+    needed, open_ = set(), list(wanted or steps)
     while open_:
         name = open_.pop()
-        if name in STEPS and name not in needed:
+        if name in steps and name not in needed:
             needed.add(name)
-            open_ += STEPS[name][0]
-    return [n for n in TopologicalSorter({n: [x for x in STEPS[n][0] if x in needed] for n in needed}).static_order()]
+            open_ += steps[name][0]
+    return [n for n in TopologicalSorter({n: [x for x in steps[n][0] if x in needed] for n in sorted(needed)}).static_order()]
 
 
 def build(sources: Mapping[str, DataFrame], wanted: Iterable[str] | None = None, store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df.cache()) -> dict[str, DataFrame]:
@@ -92,6 +96,53 @@ def build(sources: Mapping[str, DataFrame], wanted: Iterable[str] | None = None,
     return {k: v for k, v in made.items() if k not in sources}
 
 
+class CheckFailed(RuntimeError):
+    """A step's table breaks a contract; nothing that reads it was made."""
+
+
+@dataclass
+class State:
+    """A build that keeps each step under a signature of its code and inputs, ``root/step/<signature>``.
+
+    A step whose signature is there is read, not run; a changed source runs what descends from it alone. Tables are written whole under a name of their own, so a build that was
+    stopped goes on where it stood. ``steps`` and ``tests`` (step: checks that count violations) may be given for other graphs.
+    """
+
+    root: str
+    steps: Mapping[str, tuple[tuple[str, ...], Make]] = field(default_factory=lambda: STEPS)
+    tests: Mapping[str, Mapping[str, Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
+    ran: list[str] = field(default_factory=list)
+
+    def signature(self, name: str, inputs: Iterable[str]) -> str:
+        """Of a step's code, its checks' names and its inputs' signatures. Code is a function's source and that of its module."""
+        make = self.steps[name][1]
+        module = inspect.getmodule(make)
+        code = (inspect.getsource(make) if make.__name__ == "<lambda>" else make.__qualname__) + (inspect.getsource(module) if module else "")
+        return hashlib.sha256("\n".join([name, code, *sorted(self.tests.get(name, {})), *inputs]).encode()).hexdigest()[:32]
+
+    def build(self, sources: Mapping[str, DataFrame], versions: Mapping[str, str], wanted: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """Every wanted step's table. ``versions`` says what each source is, such as the folder that its snapshot was committed in."""
+        made: dict[str, DataFrame] = dict(sources)
+        signed = {k: f"source {k} {versions[k]}" for k in sources}
+        self.ran.clear()
+        for name in order(wanted, self.steps):
+            reads, make = self.steps[name]
+            if absent := [x for x in reads if x not in made]:
+                raise KeyError(f"{name} reads {absent}, which no step makes and no source gives")
+            signed[name] = self.signature(name, [signed[x] for x in reads])
+            path = f"{self.root}/{name}/{signed[name]}"
+            spark = next(iter(made.values())).sparkSession
+            if not snapshots.complete(spark, path):
+                self.ran.append(name)
+                make(*[made[x] for x in reads]).write.mode("overwrite").parquet(path)
+            made[name] = spark.read.parquet(path)
+            # a table that fails stays for a look, and fails again until its code or inputs change
+            failed = {k: n for k, check in self.tests.get(name, {}).items() if (n := check(made[name]).count())}
+            if failed:
+                raise CheckFailed(f"{name}: {failed}")
+        return {k: v for k, v in made.items() if k not in sources}
+
+
 def star(made: Mapping[str, DataFrame]) -> serving.Star:
     return serving.Star(**{k: made[k] for k in serving.Star.__dataclass_fields__})
 

@@ -41,8 +41,15 @@ class Star:
         return Star(**{k: v.cache() for k, v in vars(self).items()})
 
 
+class TooManyRows(ValueError):
+    """An answer is larger than what is held for a question."""
+
+
 class Answers:
-    """Small results by question and arguments, held by the driver for ``seconds``: at most ``most`` of up to ``rows`` rows each."""
+    """Small results by question and arguments, held by the driver for ``seconds``: at most ``most`` of up to ``rows`` rows each.
+
+    An answer is whole or an error: one of more rows raises ``TooManyRows``, and its DataFrame is to be read instead.
+    """
 
     def __init__(self, seconds: float = 3600, most: int = 500, rows: int = 1000, clock=time.monotonic):
         self.seconds, self.most, self.rows, self.clock = seconds, most, rows, clock
@@ -53,7 +60,9 @@ class Answers:
         now = self.clock()
         if key in self.held and now - self.held[key][0] < self.seconds:
             return self.held[key][1]
-        found = question(star, *args).limit(self.rows).collect()
+        found = question(star, *args).limit(self.rows + 1).collect()
+        if len(found) > self.rows:
+            raise TooManyRows(f"{question.__name__}{args} has more than {self.rows} rows")
         self.held.pop(key, None)
         while len(self.held) >= self.most:
             self.held.pop(next(iter(self.held)))  # the oldest

@@ -142,6 +142,9 @@ def test_answers_are_remembered(spark):
     a.ask(question, None, "y")
     a.ask(question, None, "z")
     assert len(asked) == 4 and len(a.held) == 2
+    assert len(serving.Answers(rows=2).ask(question, None, "x")) == 2
+    with pytest.raises(serving.TooManyRows):
+        serving.Answers(rows=1).ask(question, None, "x")
 
 
 def test_too_thin(spark, rows):
