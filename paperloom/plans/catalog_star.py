@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import pieces
 from ..functions import text as X
-from ..operators import gate, matching, quality
-from ..session import shared_folder
+from ..operators import clusters, density, distinct, gate, matching, projection, quality, substrings
+from ..session import materialise, shared_folder
 from ..sources import files, snapshots
 from . import facts, feasibility, marts, serving, staging
 from .catalog import _SHAPES, _TABLES, Load, _sql, crosswalk_cascade, query, shaped, star
@@ -554,3 +555,61 @@ def json_works(t: Load) -> DataFrame:
     raw = t("customer").select(F.concat(F.lit("https://works.test/W"), c("c_custkey").cast("string")).alias("id"), words.alias("abstract_inverted_index"), F.array(F.struct(found.alias("institutions"))).alias("authorships"))
     flat = files.parse_works(raw.select(F.to_json(F.struct("*")).alias("value")))
     return flat.select("openalex_id", "abstract", F.array_join("institution_ids", ",").alias("institutions"))
+
+
+# --- counts, searches and clusters that are more than one plan --------------------------------------------------------------------
+
+
+@query(_sql["dataset_totals"])
+def bitmap_totals(t: Load) -> DataFrame:
+    """Distinct documents of some families and clusters, from bitmaps of all."""
+    s = star(t)
+    chosen = c("kind").isin("n_papers", "n_patents") & c("family_id").isin("euv", "unattributed") & c("cluster_id").isin("c_2", "c_3")
+    found = distinct.counted(distinct.document_bitmaps(s.fact_patent_filing, s.fact_publication), chosen)
+    total = lambda kind: F.coalesce(F.max(F.when(c("kind") == kind, c("n"))), F.lit(0)).alias(f"total_{kind[2:]}")
+    return found.agg(total("n_papers"), total("n_patents"))
+
+
+@query("SELECT doc_id AS id FROM documents WHERE text ILIKE '%tion%the_or%'")
+def substring_search(t: Load) -> DataFrame:
+    """Documents that hold a pattern, by an index of three-letter sequences."""
+    d = t("documents")
+    path = _lake(d)
+    substrings.build(d, "doc_id", "text", path)
+    return substrings.search(d.sparkSession, path, "tion%the_or").select("id")
+
+
+@query()
+def review_band_bridge(t: Load) -> DataFrame:
+    """Best match of each part's name, shortened or written otherwise, among the suppliers' at a score of 80 and more."""
+    p = t("part").select("p_partkey", "p_name")
+    k = c("p_partkey") % 3
+    name = F.when(k == 0, F.expr("substring_index(p_name, ' ', 2)")).when(k == 1, F.regexp_replace("p_name", "e", "a")).otherwise(F.concat("p_name", F.lit("s")))
+    left = t("part").select(c("p_partkey").alias("id"), name.alias("normalized_name"))
+    right = t("supplier").select(c("s_suppkey").alias("p_partkey")).join(p, "p_partkey").select(c("p_partkey").alias("rid"), c("p_name").alias("normalized_name"))
+    return matching.blocked_bridge(left, right, "id", "rid", review=80).select("id", "rid", F.round("similarity", 4).alias("similarity"), "match_method")
+
+
+@query()
+def token_lengths(t: Load) -> DataFrame:
+    """Tokens of each document by a public vocabulary, and whether they pass the encoder's length."""
+    import public_tokenizers
+
+    d = t("documents")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as lines:
+        of = pieces.token_counts(d.sparkSession, pieces.read_vocabulary(x.rstrip("\n") for x in lines))
+    return d.select("doc_id", of(c("text")).alias("tokens")).withColumn("truncated", c("tokens") > clusters.MOST_TOKENS)
+
+
+@query()
+def neighbour_projection(t: Load) -> DataFrame:
+    """Positions of all vectors by their neighbour graph."""
+    return projection.neighbour_plane(t("embeddings"), "vec_id")
+
+
+@query()
+def density_by_hierarchy(t: Load) -> DataFrame:
+    """Clusters of unlike density among the vectors' first two components, smallest 50."""
+    points = materialise(clusters.plane(t("embeddings"), "vec_id"))
+    labels = density.hierarchical_clusters(points, "vec_id")
+    return points.join(labels, "vec_id").select("vec_id", F.round("umap_x", 4).alias("umap_x"), F.round("umap_y", 4).alias("umap_y"), X.cluster_name(c("label")).alias("cluster_id"))
