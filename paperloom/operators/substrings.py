@@ -7,16 +7,32 @@ what stands between them. A query without three letters in a row has no gram and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRAM, BUCKETS = 3, 256
+#: Texts whose grams a worker holds at once.
+ROWS_AT_ONCE = 64
+
+
+def gram_rows(docs: DataFrame) -> DataFrame:
+    """(id, gram) of rows (id, text): each sequence of ``GRAM`` characters of a text in lower case once a row, cut in one pass over the text."""
+    kind = docs.schema["id"].dataType.simpleString()
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                found = [{t[i : i + GRAM] for i in range(len(t) - GRAM + 1)} for t in part.column(1).to_pylist()]
+                row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array([g for x in found for g in x], pa.string())], names=["id", "gram"])
 
-def grams(text: Column) -> Column:
-    """Distinct sequences of three characters of a text in lower case."""
-    low = F.lower(text)
-    return F.when(F.length(low) >= GRAM, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - GRAM + 1), lambda i: F.substr(low, i, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
+    # lower case as Spark has it, as in ``search``
+    return docs.select("id", F.lower("text").alias("text")).mapInArrow(cut, f"id {kind}, gram string")
 
 
 def _bucket(c: Column, buckets: int) -> Column:
@@ -26,9 +42,10 @@ def _bucket(c: Column, buckets: int) -> Column:
 def build(docs: DataFrame, id_col: str, text_col: str, path: str, buckets: int = BUCKETS) -> None:
     """Write the index of (id, text) under ``path``; rows without an id or a text are left out."""
     known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    postings = known.select("id", F.explode(grams(F.col("text"))).alias("gram")).distinct().withColumn("bucket", _bucket(F.col("gram"), buckets))
-    # frequent grams fill a folder with several files
-    postings.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("gram", "id").write.partitionBy("bucket").parquet(f"{path}/postings")
+    # a scan may be one task, however many texts it has; rows that share an id may share grams, which ``search`` counts once
+    postings = gram_rows(known.hint("rebalance")).withColumn("bucket", _bucket(F.col("gram"), buckets))
+    # frequent grams fill a folder with several files; the sort begins with the folder, as the writer asks, so rows are sorted once
+    postings.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("bucket", "gram", "id").write.partitionBy("bucket").parquet(f"{path}/postings")
     known.withColumn("bucket", _bucket(F.col("id"), buckets)).repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/texts")
 
 
@@ -44,5 +61,5 @@ def search(spark: SparkSession, path: str, query: str, buckets: int = BUCKETS) -
         return texts.where(hit)
     at = spark.range(1).select(F.array(*[_bucket(F.lit(g), buckets) for g in needed])).first()[0]
     postings = spark.read.parquet(f"{path}/postings").where(F.col("bucket").isin(*sorted(set(at))) & F.col("gram").isin(*needed))
-    ids = postings.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(needed)).select("id")
+    ids = postings.select("id", "gram").distinct().groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(needed)).select("id")
     return texts.join(ids, "id", "left_semi").where(hit)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -119,3 +120,18 @@ def test_build_with_state(spark, tmp_path):
     with pytest.raises(build.CheckFailed):
         strict.build(sources, {"left": "1", "right": "1"})
     assert strict.ran == []
+
+
+def test_grams_of_a_long_text(spark, tmp_path):
+    """One pass over a text, however long; rows that share an id and letters beyond 16 bits are found."""
+    r = random.Random(4)
+    long = "".join(r.choices("abcdefgh 😀é", k=400_000)) + "zebra"
+    docs = spark.createDataFrame([(1, long), (2, "A😀b"), (2, "zebra"), (3, "zeb"), (4, "ab"), (5, "")], "id long, text string")
+    start = time.time()
+    got = {(x["id"], x["gram"]) for x in substrings.gram_rows(docs).collect()}
+    substrings.build(docs, "id", "text", f"{tmp_path}/index", 4)
+    assert sorted(x["id"] for x in substrings.search(spark, f"{tmp_path}/index", "zebra", 4).collect()) == [1, 2]
+    assert [x["id"] for x in substrings.search(spark, f"{tmp_path}/index", "a😀B", 4).where("id = 2").collect()] == [2]
+    assert time.time() - start < 60  # minutes where each gram reads the text anew
+    plain = lambda t: {t[i : i + 3] for i in range(len(t) - 2)}
+    assert got == {(1, g) for g in plain(long)} | {(2, g) for t in ("a😀b", "zebra") for g in plain(t)} | {(3, "zeb")}
