@@ -6,7 +6,8 @@ The order is by how often the hashes' buckets (``BUCKETS`` of them) occur in all
 comes last, and documents do not meet for its sake.
 
 Pairs are discarded in turn by size, by ``PARITIES`` bits that are each set where an odd number of hashes falls to it, and by as many such bits
-as a set has hashes: two sets differ in no fewer hashes than in these bits, so no pair at ``least`` is lost. What is left is compared hash by hash.
+as a set has hashes: two sets differ in no fewer hashes than in these bits, so no pair at ``least`` is lost. What is left is compared hash by hash, the
+last of it inside the cells.
 No hash, cell or pair is capped. A cell of more than 2 ``CELL_ROWS`` sets is cut into chunks of about ``CELL_ROWS``, and every two chunks are a task of their own.
 """
 
@@ -33,6 +34,10 @@ PARITIES = 512
 ROWS_AT_ONCE, SMALL_CELL, HELD_PAIRS = 512, 32, 1_000_000
 #: Sets of a large cell to a chunk.
 CELL_ROWS = 8192
+#: Hashes of the sets of a large cell to a chunk, where sets come with all their hashes.
+CELL_HASHES = 1 << 20
+#: Parities that a set's hashes are made to before sets are compared hash by hash.
+PROVEN_BITS = 4096
 #: Documents up to which the ids of those asked for are sent to every executor (some 40 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -167,11 +172,60 @@ def _shortest_between(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
     return [kept]
 
 
+def _columns(part: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """sid, token, size, label and odd parities (a row of longs each) of a portion."""
+    odd = np.frombuffer(b"".join(part["odd"]), dtype=np.uint64).reshape(len(part), -1)
+    return part["sid"].to_numpy(), part["token"].to_numpy(), part["size"].to_numpy().astype(np.int64), part["label"].to_numpy(), odd
+
+
+def _with_partner(token: np.ndarray, size: np.ndarray, label: np.ndarray, odd: np.ndarray, wide: list[np.ndarray], least: float) -> np.ndarray:
+    """Which rows may reach ``least`` with another of their cell that has another label, by their wide parities too."""
+    hit = np.zeros(len(token), dtype=bool)
+    for a, b, _ in _maybe_alike(token, size, label, odd, least):
+        new = ~(hit[a] & hit[b])
+        for x, y in zip(a[new].tolist(), b[new].tolist(), strict=True):
+            if hit[x] and hit[y]:
+                continue
+            p, q = sorted((wide[x], wide[y]), key=len)
+            while len(q) > len(p):
+                q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+            if np.bitwise_count((p ^ q).view(np.uint64)).sum() <= (size[x] + size[y]) * ((1 - least) / (1 + least)) + 1e-6:
+                hit[x] = hit[y] = True
+    return hit
+
+
+def _proven(part: pd.DataFrame, least: float) -> pd.DataFrame:
+    """(a, b): a spanning forest of the portion's links between labels; rows (sid, token, size, label, s) are sorted by size inside a cell."""
+    sid, s = part["sid"].to_numpy(), list(part["s"])
+    label, node = np.unique(part["label"].to_numpy(), return_inverse=True)
+    odd = np.zeros((len(s), PROVEN_BITS // 64), dtype=np.uint64)
+    for at, x in enumerate(s):
+        odd[at] = np.packbits((np.bincount(x & (PROVEN_BITS - 1), minlength=PROVEN_BITS) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+    roots, found = list(range(len(label))), []
+
+    def root(n: int) -> int:
+        while roots[n] != n:
+            roots[n] = n = roots[roots[n]]
+        return n
+
+    for a, b, _ in _maybe_alike(part["token"].to_numpy(), part["size"].to_numpy().astype(np.int64), node, odd, least):
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            p, q = root(node[x]), root(node[y])
+            if p == q:  # joined by now
+                continue
+            both = len(np.intersect1d(s[x], s[y], assume_unique=True))
+            if both / (len(s[x]) + len(s[y]) - both) >= least:
+                roots[max(p, q)] = min(p, q)
+                found.append((min(sid[x], sid[y]), max(sid[x], sid[y])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: float = CONFIRM) -> DataFrame:
     """(a, b): fingerprints to join beyond ``edges`` so that all documents whose shingles reach ``least`` end together.
 
     ``prints`` has (doc_id, fp) and what ``heads`` adds; documents without an id are left out. A spanning forest of the pairs that may be
-    alike is confirmed first; then all pairs are that it leaves apart.
+    alike is confirmed first. Of what that leaves apart, sets that may be alike to another go back to their cells with all their hashes and are
+    compared there, each pair, so what is written grows with the cells' rows and not with their pairs.
     """
     sets = prints.where("doc_id is not null and size > 0")
     owners = materialise(sets.groupBy("sid").agg(F.min("fp").alias("owner"), F.min("doc_id").alias("__id"), F.first("size").alias("size"), F.first("odd").alias("odd"), F.first("wide").alias("wide")))
@@ -185,25 +239,44 @@ def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, tex
     rows = materialise(rows.join(members.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n"), "token"))
     release(prints.sparkSession)
 
-    def asked_pairs(edges: DataFrame, forest: bool) -> DataFrame:
-        own = owners.select("sid", F.col("owner").alias("fp"), "size", "odd")
+    def dealt(edges: DataFrame, *carried: str) -> DataFrame:
+        """Rows of all cells, a cell's by size, with the label of the edges so far."""
+        own = owners.select("sid", F.col("owner").alias("fp"), "size", "odd", *carried)
         labels = own.withColumn("label", F.col("fp")) if edges.isEmpty() else own.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp"))
-        dealt = rows.select("sid", F.explode(cells_of(F.col("token"), F.col("sid"), F.col("n"))).alias("token"))
-        dealt = dealt.join(labels.select("sid", "size", "odd", "label"), "sid").repartition("token").sortWithinPartitions("token", "size")
+        cells = rows.select("sid", F.explode(cells_of(F.col("token"), F.col("sid"), F.col("n"))).alias("token"))
+        return cells.join(labels.select("sid", "size", "odd", "label", *carried), "sid").repartition("token").sortWithinPartitions("token", "size")
+
+    def nearest(edges: DataFrame) -> DataFrame:
+        """(a, b): a spanning forest of each portion's pairs that may be alike."""
 
         def found(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            sid, token, size, label = (part[k].to_numpy() for k in ("sid", "token", "size", "label"))
-            odd = np.frombuffer(b"".join(part["odd"]), dtype=np.uint64).reshape(len(part), -1)
-            pairs = _maybe_alike(token, size.astype(np.int64), label, odd, least)
-            if forest:
-                pairs = _shortest_between(pairs, np.unique(label, return_inverse=True)[1])
-            for a, b, _ in pairs:
+            sid, token, size, label, odd = _columns(part)
+            for a, b, _ in _shortest_between(_maybe_alike(token, size, label, odd, least), np.unique(label, return_inverse=True)[1]):
                 yield pd.DataFrame({"a": np.minimum(sid[a], sid[b]), "b": np.maximum(sid[a], sid[b])})
 
-        pairs = dealt.mapInPandas(lambda batches: (x for part, _ in portions(batches, ["token"]) for x in found(part)), "a bigint, b bigint").distinct()
+        pairs = dealt(edges).mapInPandas(lambda batches: (x for part, _ in portions(batches, ["token"]) for x in found(part)), "a bigint, b bigint").distinct()
         a, b = (owners.select(F.col("sid").alias(k), F.col("size").alias(f"n{k}"), F.col("wide").alias(f"w{k}")) for k in "ab")
         return materialise(pairs.join(a, "a").join(b, "b").where(_may_reach(least)).select("a", "b"))
 
+    def unsettled(edges: DataFrame) -> DataFrame:
+        """(token, sid, size, label): sets that may be alike to another of their cell that the edges leave apart; at most the rows of the cells."""
+
+        def met(part: pd.DataFrame) -> pd.DataFrame:
+            _, token, size, label, odd = _columns(part)
+            return part.loc[_with_partner(token, size, label, odd, list(part["wide"]), least), ["token", "sid", "size", "label"]]
+
+        return materialise(dealt(edges, "wide").mapInPandas(lambda batches: (met(part) for part, _ in portions(batches, ["token"])), "token bigint, sid bigint, size int, label bigint"))
+
+    def settled(open_: DataFrame) -> DataFrame:
+        """(a, b): fingerprints to join, a spanning forest a portion; sets are compared hash by hash where they meet, so no pair leaves a task but as a link."""
+        held = materialise(_hashes_of(open_.select("sid").distinct().join(owners.select("sid", "__id"), "sid"), docs, id_col, text_col).select("sid", "s"))
+        total = open_.groupBy("token").agg(F.sum("size").alias("hashes"))
+        cells = open_.join(total, "token").select("sid", "size", "label", F.explode(cells_of(F.col("token"), F.col("sid"), F.col("hashes"), CELL_HASHES)).alias("token"))
+        cells = cells.join(held, "sid").select("sid", "token", "size", "label", "s").repartition("token").sortWithinPartitions("token", "size")
+        links = cells.mapInPandas(lambda batches: (_proven(part, least) for part, _ in portions(batches, ["token"])), "a bigint, b bigint")
+        a, b = (owners.select(F.col("sid").alias(k), F.col("owner").alias(f"fp{k}")) for k in "ab")
+        return links.distinct().join(a, "a").join(b, "b").select(F.col("fpa").alias("a"), F.col("fpb").alias("b"))
+
     def right(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(owners.select("sid", "__id"), "sid")
         held = materialise(_hashes_of(asked, docs, id_col, text_col).select("sid", "s"))
@@ -211,10 +284,10 @@ def alike(prints: DataFrame, edges: DataFrame, docs: DataFrame, id_col: str, tex
         return _alike_pairs(pairs, held, least).join(a, "a").join(b, "b").select(F.col("fpa").alias("a"), F.col("fpb").alias("b"))
 
     edges = materialise(edges)
-    tried = asked_pairs(edges, True)
+    tried = nearest(edges)
     if tried.isEmpty():
         return edges
     edges = materialise(edges.unionByName(right(tried)))
     release(prints.sparkSession)
-    rest = asked_pairs(edges, False).join(tried, ["a", "b"], "left_anti")
-    return edges if rest.isEmpty() else materialise(edges.unionByName(right(rest)))
+    open_ = unsettled(edges)
+    return edges if open_.isEmpty() else materialise(edges.unionByName(settled(open_)))

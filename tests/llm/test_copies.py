@@ -401,3 +401,32 @@ def test_join_with_small_chunks(spark, docs, monkeypatch):
     whole = sorted(x["doc_id"] for x in S.keep_one(table, confirm=True).collect())
     monkeypatch.setattr(J, "CELL_ROWS", 4)
     assert sorted(x["doc_id"] for x in S.keep_one(table, confirm=True).collect()) == whole
+
+
+def test_a_cell_writes_links_and_no_pairs():
+    """120 sets at about 0.75, some alike: rows that leave a cell are its sets and a forest of its links, however many pairs may be alike."""
+    import numpy as np
+    import pandas as pd
+
+    from paperloom.llm import shingle_join as J
+
+    r = random.Random(6)
+    number = lambda: r.randrange(-(1 << 63), 1 << 63)
+    base = [number() for _ in range(600)]
+    sets = [sorted({*base[: 600 - k], *(number() for _ in range(k))}) for k in (r.choice([20, 80]) for _ in range(120))]
+    s = sorted((np.array(x) for x in sets), key=len)
+    n, zero, size = len(s), np.zeros(len(s), dtype=np.int64), np.array([len(x) for x in s])
+    score = np.array([[len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in s] for x in s])
+    assert 3000 < ((score >= 0.7) & (score < 0.8)).sum() // 2 and ((score >= 0.8) & ~np.eye(n, dtype=bool)).any(axis=1).sum() > 20
+    bits = lambda w: [np.packbits((np.bincount(x & (w - 1), minlength=w) & 1).astype(np.uint8), bitorder="little").view(np.int64) for x in s]
+    odd = np.array(bits(J.PARITIES)).view(np.uint64)
+    hit = J._with_partner(zero, size, np.arange(n), odd, bits(1024), 0.8)
+    assert hit[((score >= 0.8) & ~np.eye(n, dtype=bool)).any(axis=1)].all()
+    found = J._proven(pd.DataFrame({"sid": np.arange(n), "token": zero, "size": size, "label": np.arange(n), "s": s}), 0.8)
+    assert len(found) < n and all(score[a, b] >= 0.8 for a, b in zip(found["a"], found["b"], strict=True))
+    from paperloom.llm.graph import merge
+
+    mine, plain = np.arange(n), np.arange(n)
+    merge(mine, found["a"].to_numpy(), found["b"].to_numpy())
+    merge(plain, *np.nonzero(score >= 0.8))
+    assert (mine == plain).all()
