@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 #: Sequences in a profile, the most frequent ones.
 MOST = 20_000
 #: Share of rightly guessed texts that may be refused.
@@ -27,8 +29,9 @@ def grams(text: Column) -> Column:
 
 def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = MOST) -> tuple[list[str], DataFrame]:
     """(languages in order, (gram, chances)): counted on all rows with a text and a language; at most ``most`` rows of one number a language."""
-    each = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(grams(F.col(text_col))).alias("gram"))
-    counts = each.groupBy("gram", "lang").agg(F.count("*").alias("n"))
+    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text_col).hint("rebalance")
+    each = labelled.select("lang", F.explode(grams(F.col(text_col))).alias("gram"))
+    counts = materialise(each.groupBy("gram", "lang").agg(F.count("*").alias("n")))
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}  # one row a language
     languages = list(totals)
     chance = lambda k: F.log((F.coalesce(F.max(F.when(F.col("lang") == k, F.col("n"))), F.lit(0)) + 0.5) / (totals[k] + 0.5 * most))
@@ -38,7 +41,8 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", mo
 
 def guessed(docs: DataFrame, languages: Sequence[str], known: DataFrame, id_col: str, text_col: str = "text", margin: float = 0.0) -> DataFrame:
     """(id, guess, lead) of every row: the likeliest language, null if refused, and its lead for each known sequence. Rows that share an id are one text."""
-    each = docs.select(id_col, F.explode_outer(grams(F.col(text_col))).alias("gram")).join(F.broadcast(known), "gram", "left")  # MOST rows
+    # a scan may be one task, however many texts it has
+    each = docs.select(id_col, text_col).hint("rebalance").select(id_col, F.explode_outer(grams(F.col(text_col))).alias("gram")).join(F.broadcast(known), "gram", "left")  # MOST rows
     sums = [F.sum(F.get("chances", F.lit(i))).alias(f"s{i}") for i in range(len(languages))]
     one = each.groupBy(id_col).agg(F.count("chances").alias("n"), *sums)
     if not languages:
@@ -52,8 +56,18 @@ def guessed(docs: DataFrame, languages: Sequence[str], known: DataFrame, id_col:
     return ranked.select(id_col, F.when((F.col("n") > 0) & (lead >= margin), best).alias("guess"), lead.alias("lead"))
 
 
+def refused(guesses: DataFrame, margin: float) -> DataFrame:
+    """``guessed`` rows without the guesses whose lead is below ``margin``."""
+    return guesses.withColumn("guess", F.when(F.col("lead") >= margin, F.col("guess")))
+
+
+def least_lead(guesses: DataFrame, labelled: DataFrame, id_col: str, lang_col: str = "lang", share: float = REFUSED) -> float:
+    """The lead that all but ``share`` of the rightly guessed rows of ``labelled`` have, by guesses made of them already; 0 where there are none."""
+    right = guesses.join(labelled.select(id_col, lang_col), id_col).where(F.col("guess") == F.col(lang_col))
+    found = right.agg(F.percentile_approx("lead", share, 10_000).alias("m")).first()["m"]
+    return max(0.0, found or 0.0)
+
+
 def calibrated(docs: DataFrame, languages: Sequence[str], known: DataFrame, id_col: str, text_col: str = "text", lang_col: str = "lang", refused: float = REFUSED) -> float:
     """The lead that all but ``refused`` of the rightly guessed labelled texts have; 0 where there are none."""
-    right = guessed(docs, languages, known, id_col, text_col).join(docs.select(id_col, lang_col), id_col).where(F.col("guess") == F.col(lang_col))
-    found = right.agg(F.percentile_approx("lead", refused, 10_000).alias("m")).first()["m"]
-    return max(0.0, found or 0.0)
+    return least_lead(guessed(docs, languages, known, id_col, text_col), docs, id_col, lang_col, refused)

@@ -622,4 +622,5 @@ def language_by_profiles(t: Load) -> DataFrame:
     learned = d.where(F.pmod(F.crc32(c("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
     names, known = languages.profiles(learned)
     known = materialise(known)
-    return languages.guessed(d, names, known, "doc_id", margin=languages.calibrated(learned, names, known, "doc_id")).select("doc_id", "guess", F.round("lead", 6).alias("lead"))
+    guesses = materialise(languages.guessed(d, names, known, "doc_id"))  # the margin is read from them too: ids are wholly inside or outside what was learned
+    return languages.refused(guesses, languages.least_lead(guesses, learned, "doc_id")).select("doc_id", "guess", F.round("lead", 6).alias("lead"))
