@@ -122,14 +122,16 @@ def terms(docs: DataFrame, label: str = "label", text: str = "text", most: int =
     idf is ln(classes / classes with the term); only the ``features`` most frequent terms are counted. Ties go by term. A pair
     spans no two documents.
     """
-    kept = docs.where((F.col(label) >= 0) & (F.coalesce(F.col(text), F.lit("")) != ""))
-    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)), lambda w: ~w.isin(*stop_words))
+    docs = docs.select(F.col(label).alias("label"), F.col(text).alias("text"))
+    kept = docs.where((F.col("label") >= 0) & (F.coalesce(F.col("text"), F.lit("")) != ""))
+    words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)), lambda w: ~w.isin(*stop_words))
     pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    each = kept.select(F.col(label).alias("label"), words.alias("w")).select("label", F.explode(F.concat("w", pairs)).alias("term"))
-    counts = each.groupBy("label", "term").agg(F.count("*").alias("n"))
+    # a scan may be one task, however many texts it has
+    each = kept.hint("rebalance").select("label", words.alias("w")).select("label", F.explode(F.concat("w", pairs)).alias("term"))
+    counts = materialise(each.groupBy("label", "term").agg(F.count("*").alias("n")))  # read three times
     chosen = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("*").alias("df")).orderBy(F.col("total").desc(), "term").limit(features).select("term", "df")
     known = counts.join(F.broadcast(chosen), "term")  # ``features`` rows
-    classes = kept.select(F.countDistinct(label).alias("classes"))
+    classes = kept.select(F.countDistinct("label").alias("classes"))
     sums = known.groupBy("label").agg(F.sum("n").alias("all"))
     weight = F.col("n") / (F.col("all") + F.lit(1e-9)) * F.log(F.col("classes") / (F.col("df") + F.lit(1e-9)))
     scored = known.join(sums, "label").crossJoin(F.broadcast(classes)).select("label", "term", weight.alias("weight"))  # one row

@@ -20,3 +20,12 @@ def test_languages_are_guessed_behind_an_exchange(spark, monkeypatch):
     for m in (margin, 1e-9, 1e9):
         key = lambda df: sorted((r["doc_id"], r["guess"], r["lead"] and round(r["lead"], 9)) for r in df.collect())
         assert key(languages.refused(guesses, m)) == key(languages.guessed(docs, names, known, "doc_id", margin=m))
+
+
+def test_terms_are_counted_once_behind_an_exchange(spark, monkeypatch):
+    docs = spark.createDataFrame([(0, "laser optics laser"), (1, "memory cell memory"), (-1, "laser"), (1, None)], "label int, text string")
+    plans = []
+    monkeypatch.setattr(clusters, "materialise", lambda df: plans.append(plan(df)) or df)
+    found = {(r["label"], r["term"]) for r in clusters.terms(docs).collect()}
+    assert found == {(0, t) for t in ("laser", "optics", "laser optics", "optics laser")} | {(1, t) for t in ("memory", "cell", "memory cell", "cell memory")}
+    assert len(plans) == 1 and "Rebalance" in plans[0]
