@@ -32,7 +32,8 @@ STOP_WORDS = (
 def embedded(corpus: DataFrame, encoder: Callable[[Column], Column] = embedding, most_tokens: int = MOST_TOKENS, tokens: Callable[[Column], Column] | None = None) -> DataFrame:
     """The corpus with a unit vector a document and whether its text passes the encoder's length in tokens."""
     tokens = tokens or word_pieces
-    return corpus.select("*", encoder(F.col("text")).alias("embedding"), (tokens(F.col("text")) > most_tokens).alias("truncated"))
+    # a scan may be one task, however many texts it has
+    return corpus.hint("rebalance").select("*", encoder(F.col("text")).alias("embedding"), (tokens(F.col("text")) > most_tokens).alias("truncated"))
 
 
 def word_pieces(text: Column) -> Column:

@@ -29,3 +29,8 @@ def test_terms_are_counted_once_behind_an_exchange(spark, monkeypatch):
     found = {(r["label"], r["term"]) for r in clusters.terms(docs).collect()}
     assert found == {(0, t) for t in ("laser", "optics", "laser optics", "optics laser")} | {(1, t) for t in ("memory", "cell", "memory cell", "cell memory")}
     assert len(plans) == 1 and "Rebalance" in plans[0]
+
+
+def test_texts_are_embedded_behind_an_exchange(spark):
+    found = clusters.embedded(spark.createDataFrame([(1, "a laser"), (2, None)], "doc_id long, text string"))
+    assert "Rebalance" in plan(found) and found.count() == 2
