@@ -16,6 +16,7 @@ Only the id and text columns are read, so extra columns of any name do no harm.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +37,9 @@ REMEMBERED = (300_000, 500_000)
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Marks that often end a word.
 MARKS = ".,;:!?"
+#: Bytes as the tokenizer's vocabulary writes them: printable ones as they are, the others as letters from U+0100 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTES = dict(zip([*_SHOWN, *(b for b in range(256) if b not in _SHOWN)], [*_SHOWN, *range(256, 512)], strict=False))
 #: Fixed value: the tokenizer's pattern of a word's parts.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -72,12 +76,22 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern, self.latin = regex.compile(PARTS), regex.compile("[\x00-\u012f\u0131-\u024f]*")
-        self.parts = Remembered(self._encoded, remembered[1])
+        self.model = self.tokenizer.model
+        probes = ("the", "antidisestablishment", "naïve", "łódź", "7", "...", "'s")
+        direct = all(self._by_model(x) == self._encoded(x) for x in probes)  # a vocabulary of bytes, as BYTES has them
+        self.parts = Remembered(self._by_model if direct else self._encoded, remembered[1])
         self.words = Remembered(self._by_parts, remembered[0])
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _by_model(self, part: str) -> bytes:
+        """Ids of one part by the merges alone: a lower-cased Latin part is what the tokenizer's earlier steps would leave as it is."""
+        if not part.isprintable():
+            return self._encoded(part)
+        ids = [t.id for t in self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(BYTES))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _by_parts(self, word: str) -> bytes:
         if not (word.isascii() or self.latin.fullmatch(word)) or "<|" in word:
             return self._encoded(word)

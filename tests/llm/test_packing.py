@@ -117,3 +117,18 @@ def test_groups_have_their_own_windows(spark, groups):
     found = P.pack(pieces, groups).collect()
     assert len(found) == 100
     assert len({r["sequence_id"] >> 32 for r in found}) == groups
+
+
+def test_parts_by_the_merges_alone(tmp_path):
+    """Every Latin letter and mark, alone and among others, has the ids that the whole tokenizer gives; few parts go through all its steps."""
+    import public_tokenizers
+
+    words = P.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    whole = words._encoded
+    letters = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA0, 0x130), *range(0x131, 0x250)]]
+    texts = [x for c in letters for x in (c, f"a{c}b", f"{c}{c}", f"tra{c}tion.", f"{c.upper()}E{c}", f"«{c}»")] + ["\x01\x02", "a\x7fb", "soft\xadhyphen", "it's THE naïve Łódź... 1984!"]
+    asked = []
+    words._encoded = lambda text: asked.append(text) or whole(text)
+    for t in texts:
+        assert words.encode(t) == whole(t), t
+    assert len(asked) < len(texts) / 10
