@@ -249,8 +249,8 @@ u AS (SELECT patent_id, work_id, match_method, confidence, 'marx_fuegi' AS link_
 SELECT u.*, publication_date, filing_date, date_diff('day', publication_date, filing_date)::INT AS citation_lag_days, round(date_diff('day', publication_date, filing_date) / 365.25::DOUBLE, 2) AS citation_lag_years
 FROM u JOIN stg_works w ON w.work_id = u.work_id JOIN stg_patents p ON p.patent_id = u.patent_id WHERE publication_date < filing_date"""))
 def fact_npl_link(t: Load) -> DataFrame:
-    papers, p = _works(t), _patents(t)
-    matched = matching.matched_links(staging.staged_references(shaped(t, "refs"), p), papers)
+    papers, p = materialise(_works(t)), materialise(_patents(t))  # read four times each, references twice
+    matched = matching.matched_links(materialise(staging.staged_references(shaped(t, "refs"), p)), papers)
     return facts.links(matching.published_links(shaped(t, "published"), p, papers), matched, facts.papers(papers), facts.patents(p))
 
 
