@@ -2,12 +2,15 @@
 
 1. **Neighbours.** Random hyperplanes cut at medians of a sample deal vectors to leaves of about ``LEAF``; each leaf's nearest are exact, and several such
    trees make the first graph. Rounds of neighbour descent follow: the neighbours of a vector, to it and from it, are compared with each other,
-   and a pair goes on only if it is closer than the farthest neighbour that one of the two has. The graph is approximate; ``recall`` measures it.
+   and a pair goes on only if it is closer than the farthest neighbour that one of the two has. Vectors are compared in blocks of alike ones: a block
+   gets each vector that its lists name once, and gives back each vector's nearest alone. The graph is approximate; ``recall`` measures it.
 2. **Weights.** exp(-(d - nearest) / scale), the scale such that a vector's weights sum to log2(k); both directions' weights join as a + b - ab.
 3. **Start.** Two eigenvectors of the graph's normalised weights by power iteration from the first principal components.
 4. **Layout.** Rounds of attraction along edges and repulsion from a drawn sample of ``DRAWN`` positions. A round deals the edges to blocks by their first end; a block moves
    its own points for some steps while the positions of all others stay as the round began.
 
+Steps 3 and 4 deal the edges to groups of blocks once (``spread``); after that only positions travel, each once to a group that has an edge to it.
+
 Sums over edges are of whole numbers (fixed point), draws are seeded and rows are sorted where Python sees them, so reruns agree to the last digit for the same input and partition-free keys.
 
 Defined results: rows without an id or a vector, or with a vector of zeros, get no position; of rows that share an id one vector counts (the least); equal vectors are
@@ -21,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -37,23 +40,39 @@ POWER_STEPS = 24
 ROUNDS, STEPS, DRAWN, REPULSED = 16, 25, 2000, 5
 #: All edges of a point act at once, so a step is this share of what single draws would do one after the other.
 GAIN = 0.02
-#: Points in a block of the layout, about.
-BLOCK = 5000
+#: Points in a block of the layout, about, and blocks that get their positions together.
+BLOCK, TOGETHER = 5000, 4
+#: Numbers in the vectors that a block of the descent holds, at most about; vectors and blocks that tables too small for that are cut to.
+HELD, LEAST_SHARE, SHARES = 1 << 25, 500, 24
+#: Pairs that a block of the descent holds before it keeps each vector's nearest alone.
+PAIRS = 1 << 20
 _FIXED = float(1 << 32)
 
 
+def _given(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(id, given, norm): one vector an id, as it is given, and its length."""
+    each = vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(vector).alias("given"))
+    norm = F.sqrt(F.aggregate(F.transform("given", lambda x: x.cast("double")), F.lit(0.0), lambda s, x: s + x * x))
+    return each.withColumn("norm", norm).where("norm > 0")
+
+
+def _with_units(given: DataFrame) -> DataFrame:
+    return given.withColumn("v", F.transform("given", lambda x: x.cast("double") / F.col("norm")))
+
+
 def unit_vectors(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
     """(id, v): one unit vector an id, as doubles."""
-    each = vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(vector).alias("v"))
-    each = each.withColumn("v", F.transform("v", lambda x: x.cast("double")))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return each.withColumn("n", norm).where("n > 0").select("id", F.transform("v", lambda x: x / F.col("n")).alias("v"))
+    return _with_units(_given(vectors, id_col, vector)).select("id", "v")
 
 
 def _matrix(column) -> np.ndarray:
     return np.array([np.asarray(v, dtype=np.float64) for v in column])
 
 
+def _units(frame: pd.DataFrame) -> np.ndarray:
+    return _matrix(frame["given"]) / frame["norm"].to_numpy()[:, None]
+
+
 def _distances(m: np.ndarray) -> np.ndarray:
     return np.round(np.clip(1.0 - m @ m.T, 0.0, 2.0), 7)
 
@@ -69,8 +88,8 @@ def _closest(ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return np.repeat(np.arange(n), k), order.ravel()
 
 
-def _leaves(units: DataFrame, n: int, trees: int, leaf: int, seed: int) -> DataFrame:
-    """(tree, leaf, id, v): each vector once a tree."""
+def _coded(units: DataFrame, n: int, trees: int, leaf: int, seed: int) -> tuple[DataFrame, int]:
+    """Units with ``codes``, their leaf in each tree, and the bits of a code."""
     sample = _matrix([r["v"] for r in units.orderBy(F.xxhash64("id", F.lit(seed))).limit(SAMPLED).collect()])
     bits = max(0, math.ceil(math.log2(max(n / leaf, 1))))
     made = []
@@ -79,61 +98,113 @@ def _leaves(units: DataFrame, n: int, trees: int, leaf: int, seed: int) -> DataF
         made.append((planes, np.median(sample @ planes, axis=0) if bits else np.zeros(0)))
 
     @F.pandas_udf("array<long>")
-    def codes(v: pd.Series) -> pd.Series:
-        m = _matrix(v)
+    def codes(given: pd.Series, norm: pd.Series) -> pd.Series:
+        m = _units(pd.DataFrame({"given": given, "norm": norm}))
         found = np.stack([((m @ p > cut) @ (1 << np.arange(bits))) if bits else np.zeros(len(m), int) for p, cut in made], axis=1)
         return pd.Series(list(found.astype(np.int64)))
 
-    rows = units.select("id", "v", F.posexplode(codes("v")).alias("tree", "code"))
-    # a leaf that many alike vectors share is cut by a hash
-    sizes = rows.groupBy("tree", "code").agg(F.ceil(F.count("*") / (2 * leaf)).alias("parts"))
-    return rows.join(sizes, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    return materialise(units.select("id", "given", "norm", codes("given", "norm").alias("codes"))), bits
+
+
+def _cut(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows with ``part``: what many rows share is cut by a hash. Sizes above the most are sent, at most rows / most of them."""
+    sizes = rows.groupBy(keys).agg(F.ceil(F.count("*") / most).alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    return rows.join(F.broadcast(sizes), keys, "left").withColumn("part", F.pmod(F.xxhash64("id", *[k for k in keys if k == "tree"]), parts)).drop("parts")
+
+
+def _homes(coded: DataFrame, n: int, bits: int, dimensions: int, k: int) -> DataFrame:
+    """(id, block): blocks of alike vectors, by the first tree's code."""
+    share = max(1, min(HELD // (3 * k * max(dimensions, 1)), max(LEAST_SHARE, n // SHARES)))
+    kept = min(bits, max(0, math.ceil(math.log2(max(n / share, 1)))))
+    prefix = F.element_at("codes", 1).bitwiseAND(F.lit((1 << kept) - 1))
+    return _cut(coded.select("id", prefix.alias("code")), ["code"], share).select("id", F.struct("code", "part").alias("block"))
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
     """(id, near): the k nearest of each id as (distance, neighbour), nearest first."""
-    once = pairs.groupBy("id", "neighbour").agg(F.min("distance").alias("distance"))
+    # dealt by id alone, once for both counts
+    once = pairs.select("id", "neighbour", "distance").repartition("id").groupBy("id", "neighbour").agg(F.min("distance").alias("distance"))
     return once.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "neighbour"))), 1, k).alias("near"))
 
 
+def _nearest(a: np.ndarray, b: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (a, b) at distance d, the k nearest of each a, each once."""
+    order = np.lexsort((d, b, a))
+    a, b, d = a[order], b[order], d[order]
+    first = np.ones(len(a), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b, d = a[first], b[first], d[first]
+    order = np.lexsort((b, d, a))
+    a, b, d = a[order], b[order], d[order]
+    rank = np.arange(len(a)) - np.searchsorted(a, a)
+    return a[rank < k], b[rank < k], d[rank < k]
+
+
+def _compared(lists: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
+    """One block's lists compared: rows (members) of ids, and (id, given, norm, farthest) of all that they name."""
+    held = held.sort_values("id")
+    ids, m, farthest = held["id"].to_numpy(), _units(held), held["farthest"].to_numpy()
+    ends = np.cumsum([len(x) for x in lists["members"]])
+    places = pd.Index(ids).get_indexer(np.concatenate(list(lists["members"]))) if len(ends) else np.zeros(0, int)
+    kept, pending, waiting = [], [], 0
+
+    def keep() -> None:
+        kept.append(_nearest(*(np.concatenate(c) for c in zip(*pending, strict=True)), k))
+        pending.clear()
+
+    for at in np.split(places, ends[:-1]):
+        at = np.sort(at)
+        d = _distances(m[at])
+        np.fill_diagonal(d, np.inf)
+        i, j = np.nonzero(d < farthest[at][:, None])
+        pending.append((at[i], at[j], d[i, j]))
+        waiting += len(i)
+        if waiting > PAIRS:
+            keep()
+            waiting = 0
+    if pending:
+        keep()
+    if not kept:
+        return pd.DataFrame({"id": ids[:0], "neighbour": ids[:0], "distance": np.zeros(0)})
+    a, b, d = _nearest(*(np.concatenate(c) for c in zip(*kept, strict=True)), k)
+    return pd.DataFrame({"id": ids[a], "neighbour": ids[b], "distance": d})
+
+
 def neighbour_graph(units: DataFrame, k: int = NEIGHBOURS, trees: int = TREES, leaf: int = LEAF, descents: int = DESCENTS, seed: int = 42) -> DataFrame:
-    """(id, near): about the k nearest of each unit vector (id, v), as an array of (distance, neighbour)."""
+    """(id, near): about the k nearest of each unit vector (id, v), as an array of (distance, neighbour).
+
+    Where units have the vectors ``given`` (floats, say) and their ``norm``, those travel instead.
+    """
+    units = units if "given" in units.columns else units.withColumns({"given": F.col("v"), "norm": F.lit(1.0)})
     kind = dict(units.dtypes)["id"]
     n = units.count()
     pair = f"id {kind}, neighbour {kind}, distance double"
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        ids, d = pdf["id"].to_numpy(), _distances(_matrix(pdf["v"]))
+        ids, d = pdf["id"].to_numpy(), _distances(_units(pdf))
         i, j = _closest(ids, d, k)
         return pd.DataFrame({"id": ids[i], "neighbour": ids[j], "distance": d[i, j]})
 
-    first = _leaves(units, n, trees, leaf, seed).groupBy("tree", "code", "part").applyInPandas(within, pair)
-    graph = materialise(_best(first, k))
-
-    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parts = []
-            for members in frame["members"]:
-                members = sorted(members, key=lambda r: r["member"])
-                ids = np.array([r["member"] for r in members])
-                farthest = np.array([r["farthest"] for r in members])
-                d = _distances(_matrix([r["v"] for r in members]))
-                np.fill_diagonal(d, np.inf)
-                i, j = np.nonzero(d < farthest[:, None])
-                parts.append(pd.DataFrame({"id": ids[i], "neighbour": ids[j], "distance": d[i, j]}))
-            if parts:
-                yield pd.concat(parts)
+    coded, bits = _coded(units, n, trees, leaf, seed)
+    leaves = _cut(coded.select("id", "given", "norm", F.posexplode("codes").alias("tree", "code")), ["tree", "code"], 2 * leaf)
+    graph = materialise(_best(leaves.groupBy("tree", "code", "part").applyInPandas(within, pair), k))
+    dimensions = (coded.agg(F.max(F.size("given"))).first()[0] or 0) if descents else 0
+    homes = materialise(_homes(coded, n, bits, dimensions, k))
 
     for _ in range(descents):
         flat = graph.select("id", F.inline("near")).select("id", "neighbour", "distance")
         # of those that have it as a neighbour, a vector is compared with the 2 k nearest: more would be met by way of others
         back = _best(flat.select(F.col("neighbour").alias("id"), F.col("id").alias("neighbour"), "distance"), 2 * k)
-        lists = flat.select("id", "neighbour").unionByName(back.select("id", F.inline("near")).select("id", "neighbour")).unionByName(units.select("id", F.col("id").alias("neighbour"))).distinct()
+        named = lambda c: F.coalesce(F.transform(c, lambda x: x["neighbour"]), F.array().cast(f"array<{kind}>"))
+        members = F.array_distinct(F.concat(F.array("id"), named("near"), named("back"))).alias("members")
+        lists = materialise(graph.join(back.withColumnRenamed("near", "back"), "id", "left").join(homes, "id").select("block", members))
         bound = F.when(F.size("near") < k, F.lit(3.0)).otherwise(F.element_at("near", -1)["distance"]).alias("farthest")
-        known = units.join(graph.select("id", bound), "id").select(F.col("id").alias("neighbour"), "v", "farthest")
-        members = lists.join(known, "neighbour").groupBy("id").agg(F.collect_list(F.struct(F.col("neighbour").alias("member"), "v", "farthest")).alias("members"))
-        found = members.select("members").mapInPandas(compared, pair)
+        known = coded.select("id", "given", "norm").join(graph.select("id", bound), "id")
+        wanted = lists.repartition("block").select("block", F.explode("members").alias("id")).distinct()
+        held = wanted.join(known, "id").select(F.col("block").alias("home"), "id", "given", "norm", "farthest")
+        found = lists.groupBy("block").cogroup(held.groupBy("home")).applyInPandas(lambda one, other: _compared(one, other, k), pair)
         better = materialise(_best(flat.unionByName(found), k))
         both = better.join(graph.select("id", F.col("near").alias("was")), "id")
         changed = both.agg(F.sum(F.size(F.array_except("near", "was"))).alias("n")).first()["n"] or 0
@@ -208,15 +279,59 @@ def _sum(c: Column) -> Column:
     return F.sum(_whole(c).cast("decimal(20,0)")).cast("double") / _FIXED
 
 
-def spectral_start(edges: DataFrame, start: DataFrame, steps: int = POWER_STEPS) -> DataFrame:
-    """(id, x, y): second and third eigenvector of the normalised weights, by power iteration from ``start`` (id, x, y)."""
-    degree = materialise(edges.groupBy(F.col("a").alias("id")).agg(_sum(F.col("w")).alias("d")))
-    near = edges.join(degree.withColumnsRenamed({"id": "a", "d": "da"}), "a").join(degree.withColumnsRenamed({"id": "b", "d": "db"}), "b")
-    near = materialise(near.select("a", "b", (F.col("w") / F.sqrt(F.col("da") * F.col("db"))).alias("w")))
-    at = start.join(degree, "id").select("id", "x", "y", F.sqrt("d").alias("o"))
+def spread(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges (g, block, a, b, w, even) by groups of blocks, the positions (to, id) that each group needs, and degrees (id, d); ``even`` is the normalised weight.
+
+    The first two are kept where they lie, dealt by group and by id, so that rounds move none of their rows; ``unpersist`` them at the end.
+    """
+    by_a = edges.repartition("a")
+    degree = materialise(by_a.groupBy(F.col("a").alias("id")).agg(_sum(F.col("w")).alias("d")))
+    blocks = max(1, degree.count() // BLOCK)
+    groups = max(min(blocks, SHARES), blocks // TOGETHER)
+    even = (F.col("w") / F.sqrt(F.col("da") * F.col("db"))).alias("even")
+    each = edges.join(degree.withColumnsRenamed({"id": "a", "d": "da"}), "a").join(degree.withColumnsRenamed({"id": "b", "d": "db"}), "b")
+    each = each.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks))).select((F.col("block") % groups).alias("g"), "block", "a", "b", "w", even)
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = each.repartition(parts, "g").sortWithinPartitions("g").persist()
+    near.count()
+    own = near.select(F.col("g").alias("to"), F.col("a").alias("id"))
+    needs = own.unionByName(near.select(F.col("g").alias("to"), F.col("b").alias("id"))).distinct().repartition(parts, "id").sortWithinPartitions("id").persist()
+    needs.count()
+    return near, needs, degree
+
+
+def _placed(needs: DataFrame, at: DataFrame) -> GroupedData:
+    """Positions of ``at`` (id, x, y), each once a group."""
+    return needs.join(at, "id").select("to", "id", "x", "y").groupBy("to")
+
+
+def _half_up(v: np.ndarray) -> np.ndarray:
+    """Whole numbers next to v as ``round`` gives them: halves away from zero."""
+    whole = np.trunc(v)
+    return (whole + np.where(np.abs(v - whole) >= 0.5, np.sign(v), 0.0)).astype(np.int64)
+
+
+def _power(edges: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
+    """Half of each position and half of the weighted sum of its neighbours': the half of self keeps all eigenvalues positive."""
+    edges = edges.sort_values("a")
+    at = pd.Index(places["id"])
+    ids, first = np.unique(edges["a"].to_numpy(), return_index=True)
+    there, own, w = at.get_indexer(edges["b"]), at.get_indexer(ids), edges["even"].to_numpy()
+    moved = {}
+    for c in "xy":
+        v = places[c].to_numpy()
+        moved[c] = (v[own] + np.add.reduceat(_half_up(w * v[there] * _FIXED), first) / _FIXED) / 2 if len(ids) else np.zeros(0)
+    return pd.DataFrame({"id": ids, **moved})
+
+
+def spectral_start(near: DataFrame, needs: DataFrame, degree: DataFrame, start: DataFrame, steps: int = POWER_STEPS) -> DataFrame:
+    """(id, x, y): second and third eigenvector of the normalised weights of ``spread``, by power iteration from ``start`` (id, x, y)."""
+    kind = dict(degree.dtypes)["id"]
+    own = degree.select("id", F.sqrt("d").alias("o"))
 
     def apart(df: DataFrame) -> DataFrame:
         """Both columns without the constant eigenvector, the second without the first, each of mean square 1."""
+        df = materialise(df.join(own, "id").select("id", "x", "y", "o"))
         dot = lambda p, q: _sum(F.col(p) * F.col(q))
         s = df.agg(dot("o", "o").alias("oo"), dot("o", "x").alias("ox"), dot("o", "y").alias("oy")).first()
         df = df.withColumns({c: F.col(c) - F.col("o") * ((s[f"o{c}"] or 0.0) / (s["oo"] or 1.0)) for c in "xy"})
@@ -224,16 +339,14 @@ def spectral_start(edges: DataFrame, start: DataFrame, steps: int = POWER_STEPS)
         df = df.withColumn("y", F.col("y") - F.col("x") * ((s["xy"] or 0.0) / (s["xx"] or 1.0)))
         s2 = df.agg(dot("y", "y").alias("yy")).first()
         size = lambda v: math.sqrt((v or 0.0) / max(s["n"], 1)) or 1.0
-        return df.select("id", (F.col("x") / size(s["xx"])).alias("x"), (F.col("y") / size(s2["yy"])).alias("y"), "o")
+        return df.select("id", (F.col("x") / size(s["xx"])).alias("x"), (F.col("y") / size(s2["yy"])).alias("y"))
 
-    at = materialise(apart(materialise(at)))
+    at = materialise(apart(start))
     for step in range(steps):
-        moved = near.join(at.select(F.col("id").alias("b"), "x", "y"), "b").groupBy(F.col("a").alias("id")).agg(_sum(F.col("w") * F.col("x")).alias("px"), _sum(F.col("w") * F.col("y")).alias("py"))
-        # the half of weights and self keeps all eigenvalues positive
-        at = at.join(moved, "id").select("id", ((F.col("x") + F.col("px")) / 2).alias("x"), ((F.col("y") + F.col("py")) / 2).alias("y"), "o")
+        at = near.select("g", "a", "b", "even").groupBy("g").cogroup(_placed(needs, at)).applyInPandas(_power, f"id {kind}, x double, y double")
         if step % 4 == 3 or step == steps - 1:
-            at = materialise(apart(materialise(at)))
-    return at.select("id", (F.col("x") / F.col("o")).alias("x"), (F.col("y") / F.col("o")).alias("y"))
+            at = materialise(apart(at))
+    return at.join(own, "id").select("id", (F.col("x") / F.col("o")).alias("x"), (F.col("y") / F.col("o")).alias("y"))
 
 
 def curve(least: float = LEAST_DISTANCE) -> tuple[float, float]:
@@ -248,15 +361,14 @@ def curve(least: float = LEAST_DISTANCE) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _mover(a: float, b: float, turn: int, rounds: int, steps: int, others: np.ndarray, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """One round of a block: rows (block, a, ax, ay, b, bx, by, w) are the edges of its points."""
+def _mover(a: float, b: float, turn: int, rounds: int, steps: int, others: np.ndarray, seed: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """One round of a group of blocks: rows (block, a, b, w) are the edges of its points, rows (id, x, y) the positions of their ends."""
 
-    def move(pdf: pd.DataFrame) -> pd.DataFrame:
+    def move(pdf: pd.DataFrame, index: pd.Index, places: np.ndarray) -> pd.DataFrame:
         pdf = pdf.sort_values(["a", "b"])
         ids, own = np.unique(pdf["a"].to_numpy(), return_inverse=True)
-        first = np.unique(own, return_index=True)[1]
-        p = pdf[["ax", "ay"]].to_numpy()[first]
-        there, w = pdf[["bx", "by"]].to_numpy().copy(), pdf["w"].to_numpy()[:, None]
+        p = places[index.get_indexer(ids)]
+        there, w = places[index.get_indexer(pdf["b"])], pdf["w"].to_numpy()[:, None]
         place = np.searchsorted(ids, pdf["b"].to_numpy())
         inside = (place < len(ids)) & (ids[np.minimum(place, len(ids) - 1)] == pdf["b"].to_numpy())
         pull = np.bincount(own, w[:, 0])[:, None]
@@ -277,29 +389,30 @@ def _mover(a: float, b: float, turn: int, rounds: int, steps: int, others: np.nd
             p = p + rate * GAIN * (2 * change + pull * push)
         return pd.DataFrame({"id": ids, "x": np.round(p[:, 0], 9), "y": np.round(p[:, 1], 9)})
 
-    return move
+    def each(edges: pd.DataFrame, positions: pd.DataFrame) -> pd.DataFrame:
+        index, places = pd.Index(positions["id"]), positions[["x", "y"]].to_numpy()
+        return pd.concat([move(pdf, index, places) for _, pdf in edges.groupby("block")])
 
+    return each
 
-def layout(edges: DataFrame, start: DataFrame, least: float = LEAST_DISTANCE, rounds: int = ROUNDS, steps: int = STEPS, seed: int = 42) -> DataFrame:
-    """(id, x, y) after rounds of attraction and repulsion from ``start``."""
+
+def layout(near: DataFrame, needs: DataFrame, start: DataFrame, least: float = LEAST_DISTANCE, rounds: int = ROUNDS, steps: int = STEPS, seed: int = 42) -> DataFrame:
+    """(id, x, y) after rounds of attraction and repulsion from ``start``, along the edges of ``spread``."""
     a, b = curve(least)
     kind = dict(start.dtypes)["id"]
-    n = start.count()
-    blocks = max(1, n // BLOCK)
     box = start.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0] or 1.0
     at = materialise(start.select("id", (F.col("x") * (10.0 / box)).alias("x"), (F.col("y") * (10.0 / box)).alias("y")))
     for turn in range(rounds):
         drawn = at.orderBy(F.xxhash64("id", F.lit(seed + turn)), "id").limit(DRAWN).collect()
         others = np.array([(r["x"], r["y"]) for r in drawn])
-
-        near = edges.join(at.withColumnsRenamed({"id": "a", "x": "ax", "y": "ay"}), "a").join(at.withColumnsRenamed({"id": "b", "x": "bx", "y": "by"}), "b")
-        at = materialise(near.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks))).groupBy("block").applyInPandas(_mover(a, b, turn, rounds, steps, others, seed), f"id {kind}, x double, y double"))
+        pulled = near.select("g", "block", "a", "b", "w").groupBy("g").cogroup(_placed(needs, at))
+        at = materialise(pulled.applyInPandas(_mover(a, b, turn, rounds, steps, others, seed), f"id {kind}, x double, y double"))
     return at
 
 
 def neighbour_plane(vectors: DataFrame, id_col: str, vector: str = "embedding", k: int = NEIGHBOURS, least: float = LEAST_DISTANCE, seed: int = 42) -> DataFrame:
     """(id, umap_x, umap_y): positions by the neighbour graph."""
-    units = materialise(unit_vectors(vectors, id_col, vector))
+    units = _with_units(materialise(_given(vectors, id_col, vector)))
     n = units.count()
     if n < 3:
         return units.select(F.col("id").alias(id_col), F.lit(0.0).cast("float").alias("umap_x"), F.lit(0.0).cast("float").alias("umap_y"))
@@ -307,5 +420,8 @@ def neighbour_plane(vectors: DataFrame, id_col: str, vector: str = "embedding",
     edges = materialise(fuzzy_edges(graph))
     # rounded: sums inside the components' fit are not in a fixed order
     first = plane(units, "id", "v").select("id", F.round(F.col("umap_x").cast("double"), 4).alias("x"), F.round(F.col("umap_y").cast("double"), 4).alias("y"))
-    placed = layout(edges, materialise(spectral_start(edges, first)), least, seed=seed)
+    near, needs, degree = spread(edges)
+    placed = layout(near, needs, materialise(spectral_start(near, needs, degree, first)), least, seed=seed)
+    near.unpersist()
+    needs.unpersist()
     return placed.select(F.col("id").alias(id_col), F.round("x", 5).cast("float").alias("umap_x"), F.round("y", 5).cast("float").alias("umap_y"))

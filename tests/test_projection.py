@@ -81,3 +81,45 @@ def test_odd_tables(spark, made):
     few = made.where("id < 'v0005'").collect()
     out = P.neighbour_plane(spark.createDataFrame(few, made.schema), "id")
     assert out.count() == len({r["id"] for r in few if r["id"] and r["embedding"] and any(r["embedding"])})
+
+
+def test_blocks_do_not_change_the_graph(spark, made, monkeypatch):
+    """Whatever the blocks, each gets a vector once, and the graph is the same."""
+    units = P.materialise(P.unit_vectors(made, "id", "embedding"))
+    rows = lambda graph: sorted((r["id"], [tuple(x) for x in r["near"]]) for r in graph.collect())
+    one = rows(P.neighbour_graph(units, 10, trees=2, leaf=40, descents=2))
+    for limits in ({"HELD": 30 * 24 * 40}, {"LEAST_SHARE": 100, "SHARES": 12, "PAIRS": 50}):
+        for name, value in limits.items():
+            monkeypatch.setattr(P, name, value)
+        assert rows(P.neighbour_graph(units, 10, trees=2, leaf=40, descents=2)) == one
+    r = np.random.default_rng(1)
+    held = P.pd.DataFrame({"id": np.arange(50), "given": list(r.normal(size=(50, 6))), "norm": 1.0, "farthest": 3.0})
+    lists = P.pd.DataFrame({"members": [np.arange(30), np.arange(20, 50), np.array([7])]})
+    found = P._compared(lists, held, 4)
+    m = np.array(list(held["given"]))
+    d = P._distances(m) + np.eye(50) * 9
+    d[:20, 30:], d[30:, :20] = 9, 9
+    nearest = found.groupby("id")["distance"].apply(list)
+    assert all(np.allclose(sorted(nearest[i]), np.sort(d[i])[:4], atol=2e-7) for i in range(50))
+
+
+def test_rounds_move_positions_and_not_edges(spark, made):
+    units = P.materialise(P.unit_vectors(made, "id", "embedding")).limit(300)
+    edges = P.materialise(P.fuzzy_edges(P.neighbour_graph(P.materialise(units), 8, descents=1)))
+    near, needs, degree = P.spread(edges)
+    assert near.count() == edges.count() and near.select("a", "b", "w").exceptAll(edges).isEmpty()
+    ends = edges.select(P.F.col("a").alias("id")).distinct().count()
+    assert needs.count() == needs.distinct().count() and needs.select("id").distinct().count() == degree.count() == ends
+    at = degree.select("id", P.F.lit(1.0).alias("x"), P.F.lit(2.0).alias("y"))
+    step = near.select("g", "a", "b", "even").groupBy("g").cogroup(P._placed(needs, at)).applyInPandas(P._power, "id string, x double, y double")
+    assert step.count() == ends
+    plan = step._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "FlatMapCoGroupsInPandas" in plan and "Exchange hashpartitioning(g" not in plan
+    near.unpersist()
+    needs.unpersist()
+
+
+def test_halves_are_rounded_as_spark_rounds_them(spark):
+    values = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, 4503599627370495.5, -3.2, 7.0, 0.0]
+    ours = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(P.F.round("v").cast("long")).collect()
+    assert P._half_up(np.array(values)).tolist() == [r[0] for r in ours]
