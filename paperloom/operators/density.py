@@ -36,6 +36,8 @@ BLOCK_POINTS, MOST_BLOCKS = 512, 20_000
 #: Components left over that go to one task together.
 TOGETHER = 20_000
 DEPTH = 26
+#: Levels of the quadtree that components go up at once: a task has what is left of at most 4 ** LEVELS blocks or cells.
+LEVELS = 2
 #: Distances below this count as this where they are divided by.
 LEAST_DISTANCE = 1e-12
 
@@ -47,18 +49,27 @@ def reach(dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
 def spanning_tree(ids: np.ndarray, x: np.ndarray, y: np.ndarray, core: np.ndarray) -> list[tuple[int, int, float]]:
     """Edges (place, place, length) of the one minimum spanning tree by mutual reachability, ties of length by the ends' ids."""
     n, out = len(ids), []
-    length, low, high = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
-    from_, waiting, at = np.zeros(n, np.int64), np.ones(n, bool), 0
-    for _ in range(n - 1):
-        waiting[at] = False
-        w = np.maximum(np.maximum(reach(x - x[at], y - y[at]), core), core[at])
-        a, b = np.minimum(ids, ids[at]), np.maximum(ids, ids[at])
-        better = waiting & ((w < length) | ((w == length) & ((a < low) | ((a == low) & (b < high)))))
-        length[better], low[better], high[better], from_[better] = w[better], a[better], b[better], at
-        open_ = np.flatnonzero(waiting)
-        least = open_[length[open_] == length[open_].min()]
+    # places that wait stand in front; the last of them fills the gap of the one taken
+    place, ids, x, y, core = np.arange(n), ids.copy(), x.copy(), y.copy(), core.copy()
+    length, low, high, from_ = np.full(n, np.inf), np.zeros(n, ids.dtype), np.zeros(n, ids.dtype), np.zeros(n, np.int64)
+    at = 0
+    for m in range(n - 1, 0, -1):
+        here, id_, px, py, c = place[at], ids[at], x[at], y[at], core[at]
+        for v in (place, ids, x, y, core, length, low, high, from_):
+            v[at] = v[m]
+        w = reach(x[:m] - px, y[:m] - py)
+        np.maximum(w, core[:m], out=w)
+        np.maximum(w, c, out=w)
+        better = w < length[:m]
+        same = np.flatnonzero(w == length[:m])
+        if len(same):
+            a, b = np.minimum(ids[same], id_), np.maximum(ids[same], id_)
+            better[same] = (a < low[same]) | ((a == low[same]) & (b < high[same]))
+        new = np.flatnonzero(better)
+        length[new], low[new], high[new], from_[new] = w[new], np.minimum(ids[new], id_), np.maximum(ids[new], id_), here
+        least = np.flatnonzero(length[:m] == length[:m].min())
         at = int(least[0] if len(least) == 1 else least[np.lexsort((high[least], low[least]))[0]])
-        out.append((int(from_[at]), at, float(length[at])))
+        out.append((int(from_[at]), int(place[at]), float(length[at])))
     return out
 
 
@@ -97,14 +108,24 @@ def _ancestor(block: Column, level: int) -> Column:
     return F.call_function("shiftleft", F.least(F.shiftright(block, 52), F.lit(level)).cast("long"), F.lit(52)).bitwiseOR(F.call_function("shiftleft", shifted(column), F.lit(26))).bitwiseOR(shifted(row))
 
 
-def _apart(one, all_: pd.DataFrame, farthest: bool = False) -> np.ndarray:
+def _sides(boxes: pd.DataFrame) -> np.ndarray:
+    """Rows x0, x1, y0, y1 of boxes."""
+    return boxes[["x0", "x1", "y0", "y1"]].to_numpy(float).T
+
+
+def _apart(one: np.ndarray, all_: np.ndarray, farthest: bool = False) -> np.ndarray:
     """Least (or greatest) distance between a box and each of many."""
     if farthest:
-        return reach(np.maximum(all_.x1 - one.x0, one.x1 - all_.x0).to_numpy(), np.maximum(all_.y1 - one.y0, one.y1 - all_.y0).to_numpy())
-    right, above = np.maximum(all_.x0 - one.x1, one.x0 - all_.x1).to_numpy(), np.maximum(all_.y0 - one.y1, one.y0 - all_.y1).to_numpy()
+        return reach(np.maximum(all_[1] - one[0], one[1] - all_[0]), np.maximum(all_[3] - one[2], one[3] - all_[2]))
+    right, above = np.maximum(all_[0] - one[1], one[0] - all_[1]), np.maximum(all_[2] - one[3], one[2] - all_[3])
     return reach(np.maximum(right, 0), np.maximum(above, 0))
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to as many tasks as the session's shuffles have: few bytes, much work, so tasks are not to be put together by bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _to_box(x: Column, y: Column) -> Column:
     """Distance of a point to the box (x0, x1, y0, y1)."""
     gap = lambda v, a, b: F.greatest(F.col(a) - v, v - F.col(b), F.lit(0.0))
@@ -120,12 +141,15 @@ def core_distances(spots: DataFrame, least: int) -> DataFrame:
     """Spots (pid, x, y, weight, block) with ``core``, the distance to the ``least``-th neighbour, copies counted."""
     spark = spots.sparkSession
     boxes = spots.groupBy("block").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.sum("weight").alias("weight")).toPandas()
-    asked = []
-    for target, one in zip(boxes.block, boxes.itertuples(), strict=True):
-        far = _apart(one, boxes, farthest=True)
-        order = np.argsort(far)
-        bound = far[order][np.searchsorted(np.cumsum(boxes.weight.to_numpy()[order]), least + 1)]
-        asked += [(int(target), int(b), float(bound), *map(float, (one.x0, one.x1, one.y0, one.y1))) for b in boxes.block[_apart(one, boxes) <= bound * (1 + 1e-9)]]
+    asked, sides, block, weights = [], _sides(boxes), boxes.block.to_numpy(), boxes.weight.to_numpy()
+    for target, one in zip(block.tolist(), sides.T, strict=True):
+        far = _apart(one, sides, farthest=True)
+        # a block has one point at least: the nearest least + 2 blocks are enough
+        few = np.argpartition(far, least + 1)[: least + 2] if len(far) > least + 2 else np.arange(len(far))
+        order = few[np.argsort(far[few])]
+        bound = float(far[order][np.searchsorted(np.cumsum(weights[order]), least + 1)])
+        box = one.tolist()
+        asked += [(target, b, bound, *box) for b in block[_apart(one, sides) <= bound * (1 + 1e-9)].tolist()]
     pairs = spark.createDataFrame(asked, "target long, block long, bound double, x0 double, x1 double, y0 double, y1 double")
     sent = spots.join(F.broadcast(pairs), "block").where(_near(_to_box(F.col("x"), F.col("y")), F.col("bound")))
 
@@ -135,12 +159,13 @@ def core_distances(spots: DataFrame, least: int) -> DataFrame:
         core = np.empty(len(own))
         for i, (px, py) in enumerate(zip(own.x, own.y, strict=True)):
             d = reach(x - px, y - py)
-            order = np.argsort(d, kind="stable")
-            # the point itself is the first of its place
+            # the point itself is the first of its place; each place weighs one at least, so the nearest least + 1 are enough
+            few = np.argpartition(d, least)[: least + 1] if len(d) > least + 1 else np.arange(len(d))
+            order = few[np.argsort(d[few], kind="stable")]
             core[i] = d[order[np.searchsorted(np.cumsum(weight[order]), least + 1)]]
         return own[["pid", "x", "y", "weight", "block"]].assign(core=core)
 
-    return sent.groupBy("target").applyInPandas(kth, "pid long, x double, y double, weight long, block long, core double")
+    return _dealt(sent, "target").groupBy("target").applyInPandas(kth, "pid long, x double, y double, weight long, block long, core double")
 
 
 # --- edges -------------------------------------------------------------------------------------------------------------------------------
@@ -166,13 +191,13 @@ def block_pairs(boxes: pd.DataFrame) -> list[tuple[int, int, float]]:
     # a spanning tree of the blocks' spots, lengths raised to the blocks' own longest edges
     raised = np.maximum(core, inner)
     edges = sorted((w, i, j) for i, j, w in spanning_tree(np.arange(n), x, y, raised))
-    of, sets = list(range(n)), {i: [i] for i in range(n)}
+    sides, of, sets = _sides(boxes), list(range(n)), {i: [i] for i in range(n)}
     out = []
     for w, i, j in edges:
         one, other = sorted((of[i], of[j]), key=lambda k: len(sets[k]))
-        many = boxes.iloc[sets[other]]
-        for k, own in zip(sets[one], boxes.iloc[sets[one]].itertuples(), strict=True):
-            near = np.flatnonzero(_apart(own, many) <= w * (1 + 1e-9))
+        many = sides[:, sets[other]]
+        for k in sets[one]:
+            near = np.flatnonzero(_apart(sides[:, k], many) <= w * (1 + 1e-9))
             out += [(k, sets[other][m], w) for m in near]
         for k in sets[one]:
             of[k] = other
@@ -183,22 +208,20 @@ def block_pairs(boxes: pd.DataFrame) -> list[tuple[int, int, float]]:
 def candidate_edges(cored: DataFrame) -> DataFrame:
     """Edges among which the minimum spanning tree is; cored: (pid, x, y, weight, block, core)."""
     spark = cored.sparkSession
-    inside = materialise(cored.groupBy("block").applyInPandas(lambda pdf: _edges(pdf, False), _EDGE))
+    inside = materialise(_dealt(cored, "block").groupBy("block").applyInPandas(lambda pdf: _edges(pdf, False), _EDGE))
     rep = F.min(F.struct("core", "pid", "x", "y"))
     boxes = cored.groupBy("block").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), rep.alias("r"))
     longest = inside.groupBy(F.col("ablock").alias("block")).agg(F.max("w").alias("inner"))
     known = boxes.join(longest, "block", "left").select("block", "x0", "x1", "y0", "y1", F.col("r.x").alias("rx"), F.col("r.y").alias("ry"), F.col("r.core").alias("rcore"), F.coalesce("inner", F.lit(0.0)).alias("inner")).toPandas()
-    sides = []
+    sides, block, boxed = [], known.block.tolist(), _sides(known).T.tolist()
     for k, (i, j, w) in enumerate(block_pairs(known)):
-        for own, other in ((i, j), (j, i)):
-            o = known.iloc[other]
-            sides.append((k, int(known.block[own]), float(w), *map(float, (o.x0, o.x1, o.y0, o.y1))))
+        sides += [(k, block[own], float(w), *boxed[other]) for own, other in ((i, j), (j, i))]
     if not sides:
         return inside
     pairs = spark.createDataFrame(sides, "pair long, block long, bound double, x0 double, x1 double, y0 double, y1 double")
     near = _near(_to_box(F.col("x"), F.col("y")), F.col("bound")) & _near(F.col("core"), F.col("bound"))
     met = cored.join(F.broadcast(pairs), "block").where(near).select("pair", "pid", "x", "y", "core", "block")
-    return inside.unionByName(met.groupBy("pair").applyInPandas(lambda pdf: _edges(pdf, True), _EDGE))
+    return inside.unionByName(_dealt(met, "pair").groupBy("pair").applyInPandas(lambda pdf: _edges(pdf, True), _EDGE))
 
 
 # --- the tree of clusters -----------------------------------------------------------------------------------------------------------------
@@ -301,7 +324,7 @@ def cluster_tree(cored: DataFrame, edges: DataFrame, smallest: int, together: in
         kept = done.where("kind = 'e'").select(F.col("node").alias("a"), F.col("block").alias("ablock"), F.col("other").alias("b"), F.col("size").alias("bblock"), "w", "lo", "hi")
         edges = materialise(ends.unionByName(kept))
         nodes = done.where("kind = 'n'").select("node", "block", "size", "cluster", "members")
-        level -= 1
+        level = max(level - LEVELS, 0)
     every = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(every(parts[1:]))
     return materialise(every(falls)), materialise(every(joins))
 

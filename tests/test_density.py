@@ -143,3 +143,19 @@ def test_no_task_has_all_points(spark, monkeypatch):
     edges = D.candidate_edges(cored).count()
     assert cored.count() == len(points)
     assert edges < 3 * len(points)
+
+
+def test_components_go_up_some_levels_at_once(spark, monkeypatch):
+    seen, ancestor = set(), D._ancestor
+    monkeypatch.setattr(D, "_ancestor", lambda block, level: seen.add(level) or ancestor(block, level))
+    points = unlike(5, 1200)
+    assert found(spark, points, 20, 20, block=40, together=10) == plain(points, 20, 20)
+    assert max(seen) >= 4
+    assert len(seen) <= max(seen) // 2 + 2
+
+
+def test_blocks_are_dealt_to_all_tasks(spark):
+    """Blocks have few bytes and much work: adaptive execution does not put them into one task."""
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(unlike(7, 400))], "pid long, x double, y double")
+    blocks = D.materialise(D._blocks(D.materialise(df.withColumn("weight", D.F.lit(1).cast("long"))), 40))
+    assert D.core_distances(blocks, 5).rdd.getNumPartitions() == 4
